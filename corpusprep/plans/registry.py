@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusprep.functions import text as tx
 from corpusprep.operators import leakage as lk
@@ -149,3 +150,275 @@ def q_leakage_by_group(spark, sf):
 @register("leakage_gate")
 def q_leakage_gate(spark, sf):
     return lk.leakage_gate(lk.sheet_report(d_split(spark, sf), "ctext"))
+
+
+# ======================================================================
+# labels, filters, text (step 1)
+# ======================================================================
+from corpusprep.functions import casts as cs  # noqa: E402
+from corpusprep.functions import names as nm  # noqa: E402
+from corpusprep.operators import filters as fl  # noqa: E402
+from corpusprep.operators import labels as lb  # noqa: E402
+from corpusprep.operators.ranking import shuffle_key  # noqa: E402
+from corpusprep.sources import typed as ty  # noqa: E402
+
+_WS = S.WHITESPACE if hasattr(S, "WHITESPACE") else tx.WHITESPACE
+
+
+def _sql_norm(e: str) -> str:
+    return f"replace(replace(lower({S.strip(e)}), 'aws_', ''), 'amazon_', '')"
+
+
+def _raw_names(spark, sf):
+    p = tb.read_table(spark, sf, "part")
+    return p.select("p_partkey", F.concat(F.lit("  AWS_"), F.col("p_brand"), F.lit("_Amazon_"),
+                                          F.col("p_type"), F.lit(" ")).alias("raw_name"))
+
+
+_RAW_NAMES_SQL = "SELECT p_partkey, '  AWS_' || p_brand || '_Amazon_' || p_type || ' ' AS raw_name FROM part"
+
+
+@register("normalize_name", f"SELECT p_partkey, {_sql_norm('raw_name')} AS name FROM ({_RAW_NAMES_SQL}) x")
+def q_normalize_name(spark, sf):
+    return _raw_names(spark, sf).select("p_partkey", nm.normalize_name(F.col("raw_name")).alias("name"))
+
+
+_SKIP = ["Brand#1", " AWS_brand#12 ", "", "amazon_BRAND#3"]
+_SKIP_NORM = sorted({nm.normalize_name_py(s) for s in _SKIP if s.strip()})
+
+
+@register("skip_groups", f"""
+SELECT workbook, sheet, CAST(count(*) AS BIGINT) AS n_rows FROM ({S.R}) r
+WHERE {_sql_norm('sheet')} NOT IN ({', '.join(repr(s) for s in _SKIP_NORM)})
+GROUP BY workbook, sheet""")
+def q_skip_groups(spark, sf):
+    kept = fl.skip_groups(tb.parts_by_brand(spark, sf), _SKIP)
+    return fl.group_sizes(kept)
+
+
+def _mixed_raw(spark, sf):
+    """Raw cells of parts (by brand) and customers (by segment) in one frame."""
+    p = tb.as_cells(tb.parts_by_brand(spark, sf), ["p_name", "p_type", "p_size", "p_retailprice"])
+    c = tb.as_cells(tb.customers_by_segment(spark, sf), ["c_name", "c_nationkey", "c_acctbal"])
+    return p.unionByName(c)
+
+
+_MIXED_KV = f"""
+SELECT 'part' AS workbook, p_brand AS sheet, p_partkey AS row_idx, k AS column_name, v AS value FROM part,
+  (VALUES ('p_name'), ('p_type'), ('p_size'), ('p_retailprice')) c(k),
+  LATERAL (SELECT CASE k WHEN 'p_name' THEN p_name WHEN 'p_type' THEN p_type
+                  WHEN 'p_size' THEN CAST(p_size AS VARCHAR) ELSE CAST(p_retailprice AS VARCHAR) END AS v) x
+UNION ALL
+SELECT 'customer', c_mktsegment, c_custkey, k, v FROM customer,
+  (VALUES ('c_name'), ('c_nationkey'), ('c_acctbal')) c(k),
+  LATERAL (SELECT CASE k WHEN 'c_name' THEN c_name WHEN 'c_nationkey' THEN CAST(c_nationkey AS VARCHAR)
+                  ELSE CAST(c_acctbal AS VARCHAR) END AS v) x"""
+
+
+@register("groups_with_columns", f"""
+SELECT workbook, sheet, bool_and_cols AS has_all FROM (
+  SELECT workbook, sheet,
+         count(DISTINCT CASE WHEN column_name IN ('p_name', 'p_type') THEN column_name END) = 2 AS bool_and_cols
+  FROM ({_MIXED_KV}) kv GROUP BY workbook, sheet) g""")
+def q_groups_with_columns(spark, sf):
+    cat = fl.column_catalog(_mixed_raw(spark, sf))
+    return fl.groups_with_columns(cat, ["p_name", "p_type"]).select(*GK, "has_all")
+
+
+@register("pick_label_column", f"""
+SELECT workbook, sheet,
+  CASE WHEN bool_or(column_name = 'label') THEN 'label' WHEN bool_or(column_name = 'c_nationkey') THEN 'c_nationkey'
+       WHEN bool_or(column_name = 'p_type') THEN 'p_type' END AS label_col
+FROM ({_MIXED_KV}) kv GROUP BY workbook, sheet""")
+def q_pick_label_column(spark, sf):
+    cat = fl.column_catalog(_mixed_raw(spark, sf))
+    return fl.pick_label_column(cat, ["label", "c_nationkey", "p_type"]).select(*GK, "label_col")
+
+
+@register("complete_groups", f"""
+SELECT workbook, sheet, CAST(count_if(split = 'train') AS BIGINT) AS train_count,
+       CAST(count_if(split = 'test') AS BIGINT) AS test_count
+FROM ({S.split(S.Q, 'toxic')}) x GROUP BY workbook, sheet
+HAVING count_if(split = 'train') > 0 AND count_if(split = 'test') > 0""")
+def q_complete_groups(spark, sf):
+    return fl.complete_groups(sp.stratified_split(tb.docs_labelled(spark, sf), "toxic"))
+
+
+_TAG_COLS = ["p_name", "p_type", "p_size"]
+
+
+@register("tagged_text", f"""
+SELECT workbook, sheet, row_idx, {S.tagged(_TAG_COLS)} || ' [P_COLOR] ' AS text FROM ({S.R}) r""")
+def q_tagged_text(spark, sf):
+    r = tb.parts_by_brand(spark, sf)
+    return r.select(*GK, "row_idx", tx.tagged_text(_TAG_COLS + ["p_color"], present=r.columns).alias("text"))
+
+
+@register("delimited_text", f"""
+SELECT workbook, sheet, row_idx,
+       coalesce(p_name, 'nan') || ' | ' || coalesce(p_type, 'nan') || ' | ' || coalesce(CAST(p_size AS VARCHAR), 'nan')
+         AS text
+FROM ({S.R}) r""")
+def q_delimited_text(spark, sf):
+    r = tb.parts_by_brand(spark, sf)
+    return r.select(*GK, "row_idx", tx.delimited_text(["p_name", "p_type", "p_size"]).alias("text"))
+
+
+@register("text_preview", f"""
+SELECT workbook, sheet, arg_min(substr(ctext, 1, 250), {S.shuffle_key()} || ':' || lpad(CAST(row_idx AS VARCHAR), 20, '0'))
+  AS preview
+FROM ({D_SPLIT}) x WHERE split = 'train' GROUP BY workbook, sheet""")
+def q_text_preview(spark, sf):
+    s = d_split(spark, sf).where("split = 'train'")
+    order = F.concat(shuffle_key("row_idx"), F.lit(":"), F.lpad(F.col("row_idx").cast("string"), 20, "0"))
+    return s.groupBy(*GK).agg(F.min_by(tx.preview(F.col("ctext")), order).alias("preview"))
+
+
+@register("csv_list", f"""
+SELECT conv_id, turn, CAST(len(l) AS INTEGER) AS n_items, md5(array_to_string(l, '|')) AS items_md5 FROM (
+  SELECT conv_id, turn,
+         list_filter(list_transform(string_split(text, ','), lambda x: {S.strip('x')}), lambda x: x <> '') AS l
+  FROM conversations) c""")
+def q_csv_list(spark, sf):
+    c = tb.read_table(spark, sf, "conversations")
+    items = tx.csv_list(F.col("text"))
+    return c.select("conv_id", "turn", F.size(items).cast("int").alias("n_items"),
+                    F.md5(F.array_join(items, "|")).alias("items_md5"))
+
+
+@register("safe_cast", """
+SELECT event_id,
+  coalesce(CASE WHEN regexp_full_match(trim(json_extract_string(props, '$.k')), '[+-]?[0-9]+')
+                THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END, -1) AS k,
+  coalesce(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE), 0.0) AS value_num,
+  coalesce(CASE WHEN regexp_full_match(trim(props), '[+-]?[0-9]+') THEN TRY_CAST(props AS BIGINT) END, -1)
+    AS props_int,
+  CASE WHEN lower(CAST(user_id % 3 AS VARCHAR)) IN ('true', '1', 'yes', 'y') THEN true
+       WHEN lower(CAST(user_id % 3 AS VARCHAR)) IN ('false', '0', 'no', 'n') THEN false ELSE false END AS flag
+FROM events""")
+def q_safe_cast(spark, sf):
+    e = tb.read_table(spark, sf, "events")
+    return e.select(
+        "event_id",
+        cs.safe_int(F.get_json_object("props", "$.k"), -1).alias("k"),
+        cs.safe_float(F.col("value").cast("string"), 0.0).alias("value_num"),
+        cs.safe_int(F.col("props"), -1).alias("props_int"),
+        cs.safe_bool((F.col("user_id") % 3).cast("string"), False).alias("flag"))
+
+
+@register("label_map_first_seen", f"""
+SELECT workbook, sheet, label_col, label,
+       CAST(row_number() OVER (PARTITION BY workbook, sheet, label_col ORDER BY first_idx) - 1 AS INTEGER) AS label_id
+FROM (SELECT workbook, sheet, 'source' AS label_col, source AS label, min(row_idx) AS first_idx
+      FROM ({S.D}) d GROUP BY workbook, sheet, source) f""")
+def q_label_map_first_seen(spark, sf):
+    return lb.label_map_first_seen(tb.docs_by_lang(spark, sf), ["source"])
+
+
+_SORTED_MAP = f"""
+SELECT workbook, sheet, label,
+       CAST(row_number() OVER (PARTITION BY workbook, sheet ORDER BY label) - 1 AS INTEGER) AS label_id,
+       CAST(count(*) OVER (PARTITION BY workbook, sheet) AS INTEGER) AS num_labels
+FROM (SELECT DISTINCT workbook, sheet, CAST(turn_class AS VARCHAR) AS label FROM ({V_SPLIT}) x
+      WHERE split = 'train') t"""
+
+
+@register("label_map_sorted", _SORTED_MAP)
+def q_label_map_sorted(spark, sf):
+    return lb.label_map_sorted(v_split(spark, sf), "turn_class")
+
+
+@register("label_encode", f"""
+SELECT s.workbook, s.sheet, s.row_idx, s.split, CAST(coalesce(m.label_id, -1) AS INTEGER) AS label_id
+FROM ({V_SPLIT}) s LEFT JOIN ({_SORTED_MAP}) m
+  ON s.workbook = m.workbook AND s.sheet = m.sheet AND CAST(s.turn_class AS VARCHAR) = m.label""")
+def q_label_encode(spark, sf):
+    s = v_split(spark, sf)
+    m = lb.label_map_sorted(s, "turn_class")
+    return lb.label_encode(s, m, "turn_class").select(*GK, "row_idx", "split", "label_id")
+
+
+@register("label_decode", f"""
+SELECT s.workbook, s.sheet, s.row_idx, m.label AS label
+FROM ({V_SPLIT}) s JOIN ({_SORTED_MAP}) m
+  ON s.workbook = m.workbook AND s.sheet = m.sheet AND CAST(s.turn_class AS VARCHAR) = m.label""")
+def q_label_decode(spark, sf):
+    s = v_split(spark, sf)
+    m = lb.label_map_sorted(s, "turn_class")
+    enc = lb.label_encode(s, m, "turn_class").select(*GK, "row_idx", "label_id")
+    return lb.label_decode(enc, m).select(*GK, "row_idx", "label")
+
+
+@register("distinct_labels", f"SELECT DISTINCT workbook, sheet, CAST(lang AS VARCHAR) AS label FROM ({S.L}) l")
+def q_distinct_labels(spark, sf):
+    return lb.distinct_labels(tb.docs_by_block(spark, sf), "lang")
+
+
+@register("union_parts", f"""
+SELECT workbook, sheet, split, has_extra, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT workbook, sheet, split, true AS has_extra FROM ({D_SPLIT}) x WHERE split = 'train'
+  UNION ALL
+  SELECT workbook, sheet, split, false FROM ({D_SPLIT}) x WHERE split = 'test') u
+GROUP BY workbook, sheet, split, has_extra""")
+def q_union_parts(spark, sf):
+    s = d_split(spark, sf).select(*GK, "split")
+    tr, te = sp.split_parts(s)
+    u = sp.union_parts(tr.withColumn("extra", F.lit(1)), te)
+    return u.groupBy(*GK, "split", F.col("extra").isNotNull().alias("has_extra")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("file_stem", r"SELECT page_id, regexp_replace(url, '\.[^.]+$', '') AS stem FROM pages")
+def q_file_stem(spark, sf):
+    return tb.read_table(spark, sf, "pages").select("page_id", tx.file_stem(F.col("url")).alias("stem"))
+
+
+_PART_SCHEMA = T.StructType([
+    T.StructField("p_name", T.StringType()), T.StructField("p_size", T.LongType()),
+    T.StructField("p_retailprice", T.DoubleType()), T.StructField("p_color", T.StringType())])
+
+
+@register("typed_projection", f"""
+SELECT workbook, sheet, row_idx, p_name, CAST(p_size AS BIGINT) AS p_size, p_retailprice,
+       CAST(NULL AS VARCHAR) AS p_color FROM ({S.R}) r""")
+def q_typed_projection(spark, sf):
+    raw = tb.as_cells(tb.parts_by_brand(spark, sf), ["p_name", "p_type", "p_size", "p_retailprice"])
+    return ty.typed_projection(raw, _PART_SCHEMA)
+
+
+@register("infer_types", f"""
+SELECT workbook, sheet, column_name AS "column",
+  CASE WHEN bool_and(regexp_full_match(trim(value), '[+-]?[0-9]+') AND TRY_CAST(value AS BIGINT) IS NOT NULL)
+       THEN 'bigint'
+       WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'double' ELSE 'string' END AS type
+FROM ({_MIXED_KV}) kv WHERE value IS NOT NULL GROUP BY workbook, sheet, column_name""")
+def q_infer_types(spark, sf):
+    return ty.infer_types(_mixed_raw(spark, sf))
+
+
+@register("split_last_label", f"""
+SELECT workbook, sheet, toxic AS label, split, CAST(count(*) AS BIGINT) AS n
+FROM ({S.split(S.Q, 'toxic')}) x GROUP BY workbook, sheet, toxic, split""")
+def q_split_last_label(spark, sf):
+    q = tb.docs_labelled(spark, sf)
+    s = sp.split_by_labels(q, ["quality", "toxic", "not_a_column"])
+    return s.groupBy(*GK, F.col("toxic").alias("label"), "split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("sample_rows_per_group", f"""
+SELECT workbook, sheet, CAST(rn AS INTEGER) AS rn, md5(ctext) AS text_md5 FROM (
+  SELECT workbook, sheet, ctext, row_number() OVER (PARTITION BY workbook, sheet
+         ORDER BY {S.shuffle_key()}, row_idx) AS rn
+  FROM ({D_SPLIT}) x WHERE split = 'test') t WHERE rn <= 5""")
+def q_sample_rows_per_group(spark, sf):
+    from corpusprep.operators.report import first_rows
+    s = d_split(spark, sf).where("split = 'test'")
+    return first_rows(s, 5).select(*GK, F.col("rn").cast("int").alias("rn"), F.md5("ctext").alias("text_md5"))
+
+
+@register("argmax_class", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax FROM embeddings""")
+def q_argmax_class(spark, sf):
+    from corpusprep.operators.classify import argmax
+    e = tb.read_table(spark, sf, "embeddings")
+    return e.select("vec_id", argmax(F.col("embedding")).alias("argmax"))
