@@ -1,11 +1,206 @@
-"""Per-group classifiers and their evaluation."""
+"""One classifier per group, inference and evaluation.
+
+The reference fine-tunes a transformer per worksheet on one machine. Here
+the default model is multinomial naive Bayes written as aggregations over
+``(group, label, token)``, so every group trains and predicts in the same
+Spark job. Label ids follow the sorted train label map.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusprep.functions.text import word_tokens
+from corpusprep.operators.joins import sized_join
+from corpusprep.operators.labels import label_encode, label_map_sorted
+from corpusprep.schema import ROW_IDX, SPLIT, TEST, TRAIN, group_cols
+
 
 def argmax(scores: Column) -> Column:
     """0-based position of the largest score; the first maximum wins."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+
+
+# --------------------------------------------------------------------------
+# naive Bayes by aggregation
+# --------------------------------------------------------------------------
+def nb_fit(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None,
+           alpha: float = 1.0) -> dict[str, DataFrame]:
+    """Fit multinomial NB on the train rows of every group at once.
+
+    Returns ``label_map`` (sorted train labels), ``classes`` (prior and
+    per-class denominator) and ``tokens`` (sparse log counts for count > 0).
+    """
+    by = group_cols(by)
+    train = split_df.where(F.col(SPLIT) == TRAIN).select(*by, F.col(label).cast("string").alias("label"), text)
+    lmap = label_map_sorted(split_df, label, by)
+    counts = train.select(*by, "label", F.explode(word_tokens(F.col(text))).alias("token")) \
+        .groupBy(*by, "label", "token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
+    vocab = counts.groupBy(*by).agg(F.count_distinct("token").cast("bigint").alias("vocab_size"))
+    totals = counts.groupBy(*by, "label").agg(F.sum("cnt").cast("bigint").alias("total"))
+    docs = train.groupBy(*by, "label").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
+    n_all = Window.partitionBy(*by)
+    classes = docs.join(totals, by + ["label"], "left").join(vocab, by, "left") \
+        .fillna(0, subset=["total", "vocab_size"]) \
+        .withColumn("log_prior", F.log(F.col("n_docs") / F.sum("n_docs").over(n_all))) \
+        .withColumn("log_denom", F.log(F.col("total") + F.lit(alpha) * F.col("vocab_size"))) \
+        .join(lmap.select(*by, "label", "label_id"), by + ["label"])
+    tokens = counts.select(*by, "label", "token", "cnt",
+                           (F.log(F.col("cnt") + F.lit(alpha)) - F.log(F.lit(alpha))).alias("log_gain"))
+    return {"label_map": lmap, "classes": classes, "tokens": tokens, "alpha": alpha}
+
+
+def nb_scores(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None = None,
+              by: Sequence[str] | None = None) -> DataFrame:
+    """Log score per (row, class): prior + sum over in-vocabulary words of
+    ``tf * log((cnt + a) / (total + a*V))``; words outside the group's train
+    vocabulary are ignored."""
+    by = group_cols(by)
+    keys = list(keys) if keys is not None else by + [ROW_IDX]
+    alpha = model["alpha"]
+    tf = df.select(*keys, F.explode(word_tokens(F.col(text))).alias("token")) \
+        .groupBy(*keys, "token").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
+    vocab = model["tokens"].select(*by, "token").distinct()
+    known = sized_join(tf, vocab, on=by + ["token"], how="left_semi")
+    n_known = known.groupBy(*keys).agg(F.sum("tf").alias("n_known"))
+    gains = sized_join(known, model["tokens"].select(*by, "token", "label", "log_gain"), on=by + ["token"]) \
+        .groupBy(*keys, "label").agg(F.sum(F.col("tf") * F.col("log_gain")).alias("gain"))
+    rows = df.select(*keys).join(n_known, keys, "left").fillna(0, subset=["n_known"])
+    base = sized_join(rows, model["classes"].select(*by, "label", "label_id", "log_prior", "log_denom"), on=by)
+    return base.join(gains, keys + ["label"], "left").select(
+        *keys, "label", "label_id",
+        (F.col("log_prior") + F.coalesce("gain", F.lit(0.0))
+         + F.col("n_known") * (F.log(F.lit(alpha)) - F.col("log_denom"))).alias("score"))
+
+
+def nb_predict(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None = None,
+               by: Sequence[str] | None = None) -> DataFrame:
+    """``pred_id``, ``pred_label`` (highest score, smaller id on ties) and
+    ``confidence`` (softmax probability of the predicted class)."""
+    by = group_cols(by)
+    keys = list(keys) if keys is not None else by + [ROW_IDX]
+    s = nb_scores(model, df, text, keys, by)
+    agg = s.groupBy(*keys).agg(
+        F.max_by(F.struct("label_id", "label"), F.struct("score", -F.col("label_id"))).alias("__best"),
+        F.max("score").alias("__max"),
+        F.collect_list("score").alias("__scores"))
+    denom = F.aggregate("__scores", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("__max")))
+    return agg.select(*keys, F.col("__best.label_id").alias("pred_id"), F.col("__best.label").alias("pred_label"),
+                      (F.lit(1.0) / denom).alias("confidence"))
+
+
+def nb_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None,
+                alpha: float = 1.0) -> DataFrame:
+    """Fit on train, predict test; rows ``group, row_idx, label_id, pred_id,
+    pred_label, confidence`` (unseen test labels get id -1)."""
+    by = group_cols(by)
+    model = nb_fit(split_df, text, label, by, alpha)
+    test = split_df.where(F.col(SPLIT) == TEST)
+    pred = nb_predict(model, test, text, by + [ROW_IDX], by)
+    actual = label_encode(test.select(*by, ROW_IDX, label), model["label_map"], label, by)
+    return actual.join(pred, by + [ROW_IDX]).select(*by, ROW_IDX, F.col(label).cast("string").alias("label"),
+                                                     "label_id", "pred_id", "pred_label", "confidence")
+
+
+# --------------------------------------------------------------------------
+# MLlib alternative for one large group
+# --------------------------------------------------------------------------
+def lr_pipeline(text: str, label_col: str = "label_id", num_features: int = 1 << 18, max_iter: int = 50):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+    return Pipeline(stages=[
+        RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True),
+        HashingTF(inputCol="__words", outputCol="__tf", numFeatures=num_features),
+        IDF(inputCol="__tf", outputCol="__features"),
+        LogisticRegression(featuresCol="__features", labelCol=label_col, maxIter=max_iter),
+    ])
+
+
+def lr_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None) -> DataFrame:
+    """Logistic regression per group with MLlib (one distributed fit per
+    group; meant for few, large groups)."""
+    from pyspark.ml.functions import vector_to_array
+    by = group_cols(by)
+    lmap = label_map_sorted(split_df, label, by)
+    enc = label_encode(split_df, lmap, label, by)
+    groups = [tuple(r) for r in lmap.select(*by).distinct().collect()]  # group keys only
+    outs = []
+    for g in groups:
+        cond = F.lit(True)
+        for c, v in zip(by, g):
+            cond = cond & (F.col(c) == F.lit(v))
+        part = enc.where(cond)
+        tr = part.where((F.col(SPLIT) == TRAIN) & (F.col("label_id") >= 0)).withColumn(
+            "label_id", F.col("label_id").cast("double"))
+        te = part.where(F.col(SPLIT) == TEST)
+        fitted = lr_pipeline(text).fit(tr)
+        p = fitted.transform(te).select(*by, ROW_IDX, "label_id", F.col("prediction").cast("int").alias("pred_id"),
+                                        F.array_max(vector_to_array("probability")).alias("confidence"))
+        outs.append(p)
+    out = outs[0]
+    for p in outs[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --------------------------------------------------------------------------
+# metrics (accuracy, weighted F1, per-class report)
+# --------------------------------------------------------------------------
+def accuracy(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    by = group_cols(by)
+    return pred.groupBy(*by).agg(F.avg((F.col("pred_id") == F.col("label_id")).cast("double")).alias("accuracy"))
+
+
+def class_report(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """precision, recall, f1, support per (group, class id); a zero
+    denominator gives 0. Classes are those seen as actual or predicted."""
+    by = group_cols(by)
+    roles = pred.select(*by, F.explode(F.array(
+        F.struct(F.col("label_id").alias("cls"), F.lit(1).alias("is_actual"),
+                 (F.col("label_id") == F.col("pred_id")).cast("int").alias("hit")),
+        F.struct(F.col("pred_id").alias("cls"), F.lit(0).alias("is_actual"), F.lit(0).alias("hit")),
+    )).alias("r")).select(*by, "r.*")
+    c = roles.groupBy(*by, "cls").agg(
+        F.sum("is_actual").cast("bigint").alias("support"),
+        F.sum(1 - F.col("is_actual")).cast("bigint").alias("n_pred"),
+        F.sum("hit").cast("bigint").alias("tp"))
+    prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
+    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
+    out = c.select(*by, F.col("cls").cast("int").alias("class_id"), prec.alias("precision"), rec.alias("recall"),
+                   "support")
+    f1 = F.when(F.col("precision") + F.col("recall") > 0,
+                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
+    return out.withColumn("f1", f1)
+
+
+def report_averages(report: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """macro and weighted averages of precision, recall, f1 per group."""
+    by = group_cols(by)
+    tot = F.sum("support")
+    return report.groupBy(*by).agg(
+        F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"),
+        F.avg("f1").alias("macro_f1"),
+        (F.sum(F.col("precision") * F.col("support")) / tot).alias("weighted_precision"),
+        (F.sum(F.col("recall") * F.col("support")) / tot).alias("weighted_recall"),
+        (F.sum(F.col("f1") * F.col("support")) / tot).alias("weighted_f1"),
+        tot.cast("bigint").alias("support"))
+
+
+def weighted_f1(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    by = group_cols(by)
+    return report_averages(class_report(pred, by), by).select(*by, F.col("weighted_f1").alias("f1"))
+
+
+def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
+                     by: Sequence[str] | None = None) -> DataFrame:
+    """Per group: labels, accuracy, weighted F1, train and test counts."""
+    by = group_cols(by)
+    counts = split_df.groupBy(*by).agg(
+        F.count_if(F.col(SPLIT) == TRAIN).cast("bigint").alias("num_train_samples"),
+        F.count_if(F.col(SPLIT) == TEST).cast("bigint").alias("num_test_samples"))
+    nl = label_map.groupBy(*by).agg(F.count(F.lit(1)).cast("int").alias("num_labels"))
+    return counts.join(nl, by).join(accuracy(pred, by), by, "left").join(weighted_f1(pred, by), by, "left")

@@ -422,3 +422,129 @@ def q_argmax_class(spark, sf):
     from corpusprep.operators.classify import argmax
     e = tb.read_table(spark, sf, "embeddings")
     return e.select("vec_id", argmax(F.col("embedding")).alias("argmax"))
+
+
+# ======================================================================
+# tokens and classifier (steps 2 and 4)
+# ======================================================================
+from corpusprep.operators import classify as cl  # noqa: E402
+from corpusprep.operators import tokens as tk  # noqa: E402
+
+
+def l_split(spark, sf):
+    d = tb.docs_by_block(spark, sf).withColumn("ctext", tx.tagged_text(["text"]))
+    return sp.stratified_split(d, "lang")
+
+
+L_SPLIT = S.split(S.with_text(S.L, ["text"]), "lang")
+VOCAB_N = 2000
+
+
+@register("word_tokens", f"SELECT doc_id, CAST(len({S.words('text')}) AS INTEGER) AS n_tokens FROM documents")
+def q_word_tokens(spark, sf):
+    d = tb.read_table(spark, sf, "documents")
+    return d.select("doc_id", F.size(tx.word_tokens(F.col("text"))).cast("int").alias("n_tokens"))
+
+
+def _vocab_sql(split_sql: str, n: int = VOCAB_N) -> str:
+    return f"""
+SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 3 AS INTEGER) AS token_id, cnt AS "count" FROM (
+  SELECT token, CAST(count(*) AS BIGINT) AS cnt FROM (
+    SELECT unnest({S.words('ctext')}) AS token FROM ({split_sql}) x WHERE split = 'train') t
+  GROUP BY token ORDER BY cnt DESC, token LIMIT {n}) v"""
+
+
+@register("vocabulary", _vocab_sql(D_SPLIT))
+def q_vocabulary(spark, sf):
+    return tk.vocabulary(d_split(spark, sf), "ctext", VOCAB_N)
+
+
+@register("encode_tokens", f"""
+WITH voc AS ({_vocab_sql(V_SPLIT)}),
+vm AS (SELECT map(list(token), list(token_id)) AS m FROM voc),
+s AS (SELECT workbook, sheet, row_idx, split,
+             list_transform(list_slice({S.words('ctext')}, 1, 126),
+                            lambda t: coalesce(vm.m[t], 1)) AS ids
+      FROM ({V_SPLIT}) x, vm)
+SELECT workbook, sheet, row_idx, split,
+       array_to_string(list_concat([2], ids, [3], list_transform(range(126 - len(ids)), lambda i: 0)), ' ')
+         AS input_ids,
+       CAST(len(ids) + 2 AS INTEGER) AS mask_sum
+FROM s""")
+def q_encode_tokens(spark, sf):
+    s = v_split(spark, sf)
+    voc = tk.vocabulary(s, "ctext", VOCAB_N)
+    e = tk.encode(s, "ctext", voc, keys=GK + ["row_idx"], max_length=128)
+    return e.select(*GK, "row_idx", "split", F.array_join("input_ids", " ").alias("input_ids"),
+                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("int").alias("mask_sum"))
+
+
+_NB = "WITH " + S.nb_ctes(L_SPLIT, "lang")
+
+
+def _nb_eval(spark, sf):
+    return cl.nb_evaluate(l_split(spark, sf), "ctext", "lang")
+
+
+@register("nb_token_counts", _NB + """
+SELECT workbook, sheet, label, label_id, CAST(n_docs AS BIGINT) AS n_docs, CAST(total AS BIGINT) AS total,
+       CAST(vocab_size AS BIGINT) AS vocab_size, round(log_prior, 9) AS log_prior FROM cls""")
+def q_nb_token_counts(spark, sf):
+    m = cl.nb_fit(l_split(spark, sf), "ctext", "lang")
+    return m["classes"].select(*GK, "label", "label_id", "n_docs", "total", "vocab_size",
+                               F.round("log_prior", 9).alias("log_prior"))
+
+
+@register("nb_predict", _NB + """
+SELECT workbook, sheet, row_idx, label, label_id, pred_id, pred_label FROM ev""")
+def q_nb_predict(spark, sf):
+    return _nb_eval(spark, sf).select(*GK, "row_idx", "label", "label_id", "pred_id", "pred_label")
+
+
+@register("nb_confidence", _NB + """
+SELECT workbook, sheet, row_idx, pred_label, round(confidence, 4) AS confidence FROM ev""")
+def q_nb_confidence(spark, sf):
+    return _nb_eval(spark, sf).select(*GK, "row_idx", "pred_label", F.round("confidence", 4).alias("confidence"))
+
+
+@register("clf_accuracy", _NB + """
+SELECT workbook, sheet, round(avg(CAST(pred_id = label_id AS DOUBLE)), 9) AS accuracy FROM ev GROUP BY workbook, sheet""")
+def q_clf_accuracy(spark, sf):
+    a = cl.accuracy(_nb_eval(spark, sf))
+    return a.select(*GK, F.round("accuracy", 9).alias("accuracy"))
+
+
+@register("clf_report", _NB + """
+SELECT workbook, sheet, class_id, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(f1, 9) AS f1, CAST(support AS BIGINT) AS support FROM repf""")
+def q_clf_report(spark, sf):
+    r = cl.class_report(_nb_eval(spark, sf))
+    return r.select(*GK, "class_id", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@register("clf_weighted_f1", _NB + """
+SELECT workbook, sheet, round(sum(f1 * support) / sum(support), 9) AS f1,
+       round(avg(f1), 9) AS macro_f1 FROM repf GROUP BY workbook, sheet""")
+def q_clf_weighted_f1(spark, sf):
+    avgs = cl.report_averages(cl.class_report(_nb_eval(spark, sf)))
+    return avgs.select(*GK, F.round("weighted_f1", 9).alias("f1"), F.round("macro_f1", 9).alias("macro_f1"))
+
+
+@register("training_summary", _NB + """,
+acc AS (SELECT workbook, sheet, avg(CAST(pred_id = label_id AS DOUBLE)) AS accuracy FROM ev GROUP BY workbook, sheet),
+wf AS (SELECT workbook, sheet, sum(f1 * support) / sum(support) AS f1 FROM repf GROUP BY workbook, sheet),
+cnts AS (SELECT workbook, sheet, count_if(split = 'train') AS ntr, count_if(split = 'test') AS nte FROM s
+         GROUP BY workbook, sheet),
+nl AS (SELECT workbook, sheet, count(*) AS num_labels FROM lmap GROUP BY workbook, sheet)
+SELECT c.workbook, c.sheet, CAST(nl.num_labels AS INTEGER) AS num_labels, round(acc.accuracy, 9) AS accuracy,
+       round(wf.f1, 9) AS f1, CAST(c.ntr AS BIGINT) AS num_train_samples, CAST(c.nte AS BIGINT) AS num_test_samples
+FROM cnts c JOIN nl ON c.workbook = nl.workbook AND c.sheet = nl.sheet
+LEFT JOIN acc ON c.workbook = acc.workbook AND c.sheet = acc.sheet
+LEFT JOIN wf ON c.workbook = wf.workbook AND c.sheet = wf.sheet""")
+def q_training_summary(spark, sf):
+    s = l_split(spark, sf)
+    pred = cl.nb_evaluate(s, "ctext", "lang")
+    lmap = lb.label_map_sorted(s, "lang")
+    t = cl.training_summary(s, pred, lmap)
+    return t.select(*GK, "num_labels", F.round("accuracy", 9).alias("accuracy"), F.round("f1", 9).alias("f1"),
+                    "num_train_samples", "num_test_samples")

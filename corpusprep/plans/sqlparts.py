@@ -53,3 +53,71 @@ def split(src: str, label: str, frac: float = FRAC, seed: int = SEED) -> str:
 
 def with_text(src: str, cols: list[str], name: str = "ctext") -> str:
     return f"SELECT s.*, {tagged(cols)} AS {name} FROM ({src}) s"
+
+
+WORDS = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
+
+
+def words(x: str) -> str:
+    return WORDS.format(x=x)
+
+
+def nb_ctes(split_src: str, label: str, text: str = "ctext") -> str:
+    """CTEs fitting multinomial NB (add-one) per group and scoring test rows.
+
+    Defines ``lmap``, ``cls``, ``cnt`` and ``sc`` (row x class scores) and
+    ``pred`` (best class, smaller id on ties, softmax confidence).
+    """
+    w = words(text)
+    return f"""
+s AS ({split_src}),
+tr AS (SELECT workbook, sheet, CAST({label} AS VARCHAR) AS label, {text} FROM s WHERE split = 'train'),
+cnt AS (SELECT workbook, sheet, label, token, count(*) AS cnt
+        FROM (SELECT workbook, sheet, label, unnest({w}) AS token FROM tr) t GROUP BY workbook, sheet, label, token),
+voc AS (SELECT workbook, sheet, count(DISTINCT token) AS vocab_size FROM cnt GROUP BY workbook, sheet),
+tot AS (SELECT workbook, sheet, label, sum(cnt) AS total FROM cnt GROUP BY workbook, sheet, label),
+docs AS (SELECT workbook, sheet, label, count(*) AS n_docs FROM tr GROUP BY workbook, sheet, label),
+lmap AS (SELECT workbook, sheet, label,
+                CAST(row_number() OVER (PARTITION BY workbook, sheet ORDER BY label) - 1 AS INTEGER) AS label_id
+         FROM (SELECT DISTINCT workbook, sheet, label FROM tr WHERE label IS NOT NULL) x),
+cls AS (SELECT d.workbook, d.sheet, d.label, m.label_id, d.n_docs, coalesce(t.total, 0) AS total,
+               coalesce(v.vocab_size, 0) AS vocab_size,
+               ln(d.n_docs / sum(d.n_docs) OVER (PARTITION BY d.workbook, d.sheet)) AS log_prior,
+               ln(coalesce(t.total, 0) + 1.0 * coalesce(v.vocab_size, 0)) AS log_denom
+        FROM docs d LEFT JOIN tot t ON d.workbook = t.workbook AND d.sheet = t.sheet AND d.label = t.label
+        LEFT JOIN voc v ON d.workbook = v.workbook AND d.sheet = v.sheet
+        JOIN lmap m ON d.workbook = m.workbook AND d.sheet = m.sheet AND d.label = m.label),
+te AS (SELECT workbook, sheet, row_idx, CAST({label} AS VARCHAR) AS label, {text} FROM s WHERE split = 'test'),
+tf AS (SELECT workbook, sheet, row_idx, token, count(*) AS tf
+       FROM (SELECT workbook, sheet, row_idx, unnest({w}) AS token FROM te) t GROUP BY workbook, sheet, row_idx, token),
+known AS (SELECT tf.* FROM tf WHERE EXISTS (SELECT 1 FROM cnt c WHERE c.workbook = tf.workbook
+          AND c.sheet = tf.sheet AND c.token = tf.token)),
+nk AS (SELECT workbook, sheet, row_idx, sum(tf) AS n_known FROM known GROUP BY workbook, sheet, row_idx),
+gain AS (SELECT k.workbook, k.sheet, k.row_idx, c.label, sum(k.tf * (ln(c.cnt + 1.0) - ln(1.0))) AS gain
+         FROM known k JOIN cnt c ON k.workbook = c.workbook AND k.sheet = c.sheet AND k.token = c.token
+         GROUP BY k.workbook, k.sheet, k.row_idx, c.label),
+rws AS (SELECT te.workbook, te.sheet, te.row_idx, coalesce(nk.n_known, 0) AS n_known FROM te
+        LEFT JOIN nk ON te.workbook = nk.workbook AND te.sheet = nk.sheet AND te.row_idx = nk.row_idx),
+sc AS (SELECT r.workbook, r.sheet, r.row_idx, c.label, c.label_id,
+              c.log_prior + coalesce(g.gain, 0) + r.n_known * (ln(1.0) - c.log_denom) AS score
+       FROM rws r JOIN cls c ON r.workbook = c.workbook AND r.sheet = c.sheet
+       LEFT JOIN gain g ON r.workbook = g.workbook AND r.sheet = g.sheet AND r.row_idx = g.row_idx
+                       AND c.label = g.label),
+ranked AS (SELECT sc.*, row_number() OVER (PARTITION BY workbook, sheet, row_idx ORDER BY score DESC, label_id) AS rn,
+                  max(score) OVER (PARTITION BY workbook, sheet, row_idx) AS mx FROM sc),
+pred AS (SELECT workbook, sheet, row_idx, max(CASE WHEN rn = 1 THEN label_id END) AS pred_id,
+                max(CASE WHEN rn = 1 THEN label END) AS pred_label, 1.0 / sum(exp(score - mx)) AS confidence
+         FROM ranked GROUP BY workbook, sheet, row_idx),
+ev AS (SELECT te.workbook, te.sheet, te.row_idx, te.label, CAST(coalesce(m.label_id, -1) AS INTEGER) AS label_id,
+              p.pred_id, p.pred_label, p.confidence
+       FROM te LEFT JOIN lmap m ON te.workbook = m.workbook AND te.sheet = m.sheet AND te.label = m.label
+       JOIN pred p ON te.workbook = p.workbook AND te.sheet = p.sheet AND te.row_idx = p.row_idx),
+roles AS (SELECT workbook, sheet, label_id AS cls, 1 AS is_actual, CAST(label_id = pred_id AS INTEGER) AS hit FROM ev
+          UNION ALL SELECT workbook, sheet, pred_id, 0, 0 FROM ev),
+rep0 AS (SELECT workbook, sheet, cls, sum(is_actual) AS support, sum(1 - is_actual) AS n_pred, sum(hit) AS tp
+         FROM roles GROUP BY workbook, sheet, cls),
+rep AS (SELECT workbook, sheet, CAST(cls AS INTEGER) AS class_id,
+               CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, support FROM rep0),
+repf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END
+                AS f1 FROM rep)"""
