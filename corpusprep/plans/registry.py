@@ -548,3 +548,114 @@ def q_training_summary(spark, sf):
     t = cl.training_summary(s, pred, lmap)
     return t.select(*GK, "num_labels", F.round("accuracy", 9).alias("accuracy"), F.round("f1", 9).alias("f1"),
                     "num_train_samples", "num_test_samples")
+
+
+# ======================================================================
+# vectors and clusters (step 5)
+# ======================================================================
+from corpusprep.operators import cluster as cu  # noqa: E402
+from corpusprep.operators import vectors as vc  # noqa: E402
+from corpusprep.plans import corpus as cp  # noqa: E402
+
+
+@register("tfidf_vectors", f"""
+WITH d AS ({S.D}),
+tf AS (SELECT workbook, sheet, row_idx, token, count(*) AS tf
+       FROM (SELECT workbook, sheet, row_idx, unnest({S.words('text')}) AS token FROM d) t
+       GROUP BY workbook, sheet, row_idx, token),
+n AS (SELECT workbook, sheet, count(*) AS n FROM d GROUP BY workbook, sheet),
+dfq AS (SELECT workbook, sheet, token, count(*) AS dfreq FROM tf GROUP BY workbook, sheet, token),
+w AS (SELECT tf.workbook, tf.sheet, tf.row_idx, tf.tf * (ln((n.n + 1) / (dfq.dfreq + 1)) + 1) AS w
+      FROM tf JOIN dfq ON tf.workbook = dfq.workbook AND tf.sheet = dfq.sheet AND tf.token = dfq.token
+      JOIN n ON tf.workbook = n.workbook AND tf.sheet = n.sheet),
+nw AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY workbook, sheet, row_idx)) AS weight FROM w)
+SELECT workbook, sheet, row_idx, CAST(count(*) AS BIGINT) AS nnz, round(max(weight), 9) AS max_weight
+FROM nw GROUP BY workbook, sheet, row_idx""")
+def q_tfidf_vectors(spark, sf):
+    t = vc.tfidf(tb.docs_by_lang(spark, sf), "text")
+    return t.groupBy(*GK, "row_idx").agg(F.count(F.lit(1)).cast("bigint").alias("nnz"),
+                                         F.round(F.max("weight"), 9).alias("max_weight"))
+
+
+@register("hashed_embedding")
+def q_hashed_embedding(spark, sf):
+    h = vc.hashed_embedding(tb.docs_by_lang(spark, sf), "text")
+    return h.select(*GK, "row_idx", F.size(F.filter("embedding", lambda x: x != 0)).alias("nonzero_dims"))
+
+
+_KM_SEEDS = f"""
+e AS ({S.E}),
+seeds AS (SELECT workbook, sheet, CAST(rn - 1 AS INTEGER) AS cluster, embedding AS c FROM (
+            SELECT *, row_number() OVER (PARTITION BY workbook, sheet ORDER BY {S.shuffle_key()}, row_idx) AS rn
+            FROM e) x WHERE rn <= 5),
+dd AS (SELECT e.workbook, e.sheet, e.row_idx, s.cluster,
+              list_sum(list_transform(list_zip(e.embedding, s.c),
+                       lambda p: (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) * (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE))))
+                AS d
+       FROM e JOIN seeds s ON e.workbook = s.workbook AND e.sheet = s.sheet),
+a AS (SELECT workbook, sheet, row_idx, cluster FROM (
+        SELECT *, row_number() OVER (PARTITION BY workbook, sheet, row_idx ORDER BY d, cluster) AS r FROM dd) x
+      WHERE r = 1)"""
+
+
+@register("kmeans_assign", f"WITH {_KM_SEEDS} SELECT workbook, sheet, row_idx, cluster FROM a")
+def q_kmeans_assign(spark, sf):
+    e = tb.vectors_by_block(spark, sf)
+    return cu.assign(e, "embedding", cu.seed_centroids(e, "embedding", 5)).select(*GK, "row_idx", "cluster")
+
+
+@register("kmeans_step", f"""
+WITH {_KM_SEEDS},
+x AS (SELECT a.workbook, a.sheet, a.cluster, a.row_idx, unnest(e.embedding) AS v,
+             unnest(range(1, len(e.embedding) + 1)) AS i
+      FROM a JOIN e ON a.workbook = e.workbook AND a.sheet = e.sheet AND a.row_idx = e.row_idx),
+m AS (SELECT workbook, sheet, cluster, i, avg(CAST(v AS DOUBLE)) AS mv, count(DISTINCT row_idx) AS size
+      FROM x GROUP BY workbook, sheet, cluster, i)
+SELECT workbook, sheet, cluster, CAST(max(size) AS BIGINT) AS size, round(sum(mv), 6) AS centroid_sum,
+       round(sum(mv * mv), 6) AS centroid_sq
+FROM m GROUP BY workbook, sheet, cluster""")
+def q_kmeans_step(spark, sf):
+    e = tb.vectors_by_block(spark, sf)
+    a = cu.assign(e, "embedding", cu.seed_centroids(e, "embedding", 5))
+    c = cu.update(a, "embedding")
+    return c.select(*GK, "cluster", "size",
+                    F.round(F.aggregate("centroid", F.lit(0.0), lambda s, x: s + x), 6).alias("centroid_sum"),
+                    F.round(F.aggregate("centroid", F.lit(0.0), lambda s, x: s + x * x), 6).alias("centroid_sq"))
+
+
+@register("cluster_summary", f"""
+WITH {_KM_SEEDS}
+SELECT workbook, sheet, CAST(count(*) AS BIGINT) AS records,
+       CAST(count(DISTINCT CASE WHEN cluster <> -1 THEN cluster END) AS BIGINT) AS clusters, 'kmeans' AS algorithm
+FROM a GROUP BY workbook, sheet""")
+def q_cluster_summary(spark, sf):
+    e = tb.vectors_by_block(spark, sf)
+    a = cu.assign(e, "embedding", cu.seed_centroids(e, "embedding", 5))
+    return cu.cluster_summary(a).select(*GK, "records", "clusters", "algorithm")
+
+
+@register("kmeans_fit")
+def q_kmeans_fit(spark, sf):
+    rows, _ = cu.kmeans(tb.vectors_by_block(spark, sf), "embedding", 5)
+    return rows.select(*GK, "row_idx", "cluster", F.round("dist2", 6).alias("dist2"))
+
+
+@register("hierarchical_clusters")
+def q_hierarchical_clusters(spark, sf):
+    return cu.bisecting(tb.vectors_by_block(spark, sf), "embedding", 5).select(*GK, "row_idx", "cluster")
+
+
+@register("pca_2d")
+def q_pca_2d(spark, sf):
+    return vc.pca_2d(tb.vectors_by_block(spark, sf), "embedding")
+
+
+@register("knn_graph")
+def q_knn_graph(spark, sf):
+    return vc.knn_graph(tb.vectors_by_block(spark, sf), "embedding", k=10)
+
+
+@register("cluster_corpus")
+def q_cluster_corpus(spark, sf):
+    _, summary = cp.cluster_corpus(tb.docs_by_lang(spark, sf), ["source", "text"], k=5)
+    return summary.select(*GK, "records", "clusters", "algorithm")
