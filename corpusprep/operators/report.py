@@ -34,3 +34,49 @@ def nest(df: DataFrame, outer: Sequence[str], name: str, order: Sequence[str] |
     order = list(order or inner)
     fields = order + [c for c in inner if c not in order]
     return df.groupBy(*outer).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
+
+
+# --------------------------------------------------------------------------
+# sinks
+# --------------------------------------------------------------------------
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ("workbook", "sheet"),
+              mode: str = "overwrite") -> None:
+    """Clustered rows as CSV with a header, one folder per group."""
+    df.write.mode(mode).partitionBy(*partition_by).option("header", True).csv(path)
+
+
+def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Small reports are written as one JSON-lines file."""
+    df.coalesce(1).write.mode(mode).json(path)
+
+
+def versioned_write(df: DataFrame, path: str, model: str, version: str | None = None,
+                    partition_by: Sequence[str] = ("workbook", "sheet"), fmt: str = "parquet") -> str:
+    """Write under ``model=<m>/version=<v>/workbook=<w>/sheet=<s>`` with
+    dynamic partition overwrite, so rewriting one group leaves the others.
+    The workbook is part of the key, so same-named sheets of two workbooks
+    do not overwrite each other. The version defaults to one UTC timestamp
+    taken once per write."""
+    import datetime as dt
+    version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        (df.withColumn("model", F.lit(model)).withColumn("version", F.lit(version))
+           .write.mode("overwrite").partitionBy("model", "version", *partition_by).format(fmt).save(path))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    return version
+
+
+def save_nb_model(model: dict, path: str) -> None:
+    """Naive Bayes tables (label map, classes, token counts) as parquet."""
+    for name in ("label_map", "classes", "tokens"):
+        model[name].write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+
+
+def load_nb_model(spark, path: str, alpha: float = 1.0) -> dict:
+    base = path.rstrip("/")
+    return {name: spark.read.parquet(f"{base}/{name}") for name in ("label_map", "classes", "tokens")} | {
+        "alpha": alpha}

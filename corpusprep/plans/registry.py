@@ -659,3 +659,136 @@ def q_knn_graph(spark, sf):
 def q_cluster_corpus(spark, sf):
     _, summary = cp.cluster_corpus(tb.docs_by_lang(spark, sf), ["source", "text"], k=5)
     return summary.select(*GK, "records", "clusters", "algorithm")
+
+
+# ======================================================================
+# files: workbook source and sinks (step 6)
+# ======================================================================
+from corpusprep.operators import report as rp  # noqa: E402
+from corpusprep.session import scratch_path  # noqa: E402
+from corpusprep.sources import xlsx as xl  # noqa: E402
+
+ROWS_PER_BOOK = 500
+_BOOK_COLS = ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice"]
+_BOOK_SQL = f"'book-' || lpad(CAST(p_partkey // {ROWS_PER_BOOK} AS VARCHAR), 5, '0')"
+
+
+def _write_part_books(spark, sf, empty_sheets=()):
+    """Workbooks derived from ``part``: book = p_partkey div 500, one
+    worksheet per brand; returns the folder."""
+    folder = scratch_path(spark, "xlsx")
+    p = tb.read_table(spark, sf, "part").withColumn(
+        "book", F.concat(F.lit("book-"), F.lpad(F.floor(F.col("p_partkey") / ROWS_PER_BOOK).cast("string"), 5, "0")))
+    xl.write_workbooks(p, folder, "book", "p_brand", _BOOK_COLS, order_col="p_partkey",
+                       empty_sheets=tuple(empty_sheets)).collect()  # one small row per written workbook
+    return folder
+
+
+_BOOK_SCHEMA = T.StructType([
+    T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
+    T.StructField("p_type", T.StringType()), T.StructField("p_size", T.LongType()),
+    T.StructField("p_retailprice", T.DoubleType())])
+
+
+def _typed_books(raw):
+    return ty.typed_projection(xl.good_rows(raw), _BOOK_SCHEMA, keys=["workbook", "sheet", "row_idx"])
+
+
+@register("xlsx_roundtrip", """
+SELECT p_brand AS sheet, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(p_size) AS BIGINT) AS sum_size,
+       CAST(count(DISTINCT p_type) AS BIGINT) AS n_types, round(sum(p_retailprice), 4) AS sum_price,
+       CAST(sum(p_partkey) AS BIGINT) AS sum_key
+FROM part GROUP BY p_brand""")
+def q_xlsx_roundtrip(spark, sf):
+    t = _typed_books(xl.read_workbooks(spark, _write_part_books(spark, sf)))
+    return t.groupBy("sheet").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.sum("p_size").cast("bigint").alias("sum_size"),
+        F.count_distinct("p_type").cast("bigint").alias("n_types"),
+        F.round(F.sum("p_retailprice"), 4).alias("sum_price"), F.sum("p_partkey").cast("bigint").alias("sum_key"))
+
+
+@register("xlsx_select_files", f"""
+SELECT {_BOOK_SQL} || '.xlsx' AS workbook, p_brand AS sheet, CAST(count(*) AS BIGINT) AS n_rows
+FROM part WHERE (p_partkey // {ROWS_PER_BOOK}) % 2 = 0 GROUP BY 1, 2""")
+def q_xlsx_select_files(spark, sf):
+    folder = _write_part_books(spark, sf)
+    books = xl.list_workbooks(folder)
+    chosen = ", ".join(b for i, b in enumerate(books) if int(b[5:10]) % 2 == 0) + ", ,"
+    raw = xl.read_workbooks(spark, folder, files=chosen)
+    return xl.good_rows(raw).groupBy("workbook", "sheet").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+@register("xlsx_bad_files", f"""
+SELECT {_BOOK_SQL} || '.xlsx' AS workbook, CAST(count(*) AS BIGINT) AS n_rows, false AS failed
+FROM part GROUP BY 1
+UNION ALL SELECT 'broken.xlsx', CAST(0 AS BIGINT), true""")
+def q_xlsx_bad_files(spark, sf):
+    folder = _write_part_books(spark, sf)
+    xl.write_bytes(f"{folder}/broken.xlsx", b"this is not a zip archive")
+    raw = xl.read_workbooks(spark, folder)
+    return raw.groupBy("workbook").agg(
+        F.count(F.col("row_idx")).cast("bigint").alias("n_rows"),
+        F.bool_or(F.col("_error").isNotNull()).alias("failed"))
+
+
+@register("scan_summary", f"""
+SELECT workbook, CAST(count(*) AS BIGINT) AS n_sheets, string_agg(sheet, ', ' ORDER BY sheet) AS sheets,
+       CAST(sum(n) AS BIGINT) AS n_rows FROM (
+  SELECT {_BOOK_SQL} || '.xlsx' AS workbook, p_brand AS sheet, count(*) AS n FROM part
+  WHERE {_sql_norm('p_brand')} NOT IN ('brand#1', 'brand#2')
+  GROUP BY 1, 2) s GROUP BY workbook""")
+def q_scan_summary(spark, sf):
+    sheets = xl.read_workbooks(spark, _write_part_books(spark, sf), skip="Brand#1, AWS_Brand#2", output="sheets")
+    return xl.good_rows(sheets).groupBy("workbook").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_sheets"),
+        F.array_join(F.sort_array(F.collect_list("sheet")), ", ").alias("sheets"),
+        F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
+@register("nonempty_groups", f"""
+SELECT workbook, sheet, n_rows, n_rows > 0 AS kept FROM (
+  SELECT {_BOOK_SQL} || '.xlsx' AS workbook, p_brand AS sheet, CAST(count(*) AS BIGINT) AS n_rows FROM part GROUP BY 1, 2
+  UNION ALL
+  SELECT DISTINCT {_BOOK_SQL} || '.xlsx', 'Empty', CAST(0 AS BIGINT) FROM part) g""")
+def q_nonempty_groups(spark, sf):
+    folder = _write_part_books(spark, sf, empty_sheets=("Empty",))
+    catalog = xl.good_rows(xl.read_workbooks(spark, folder, output="sheets"))
+    rows = xl.good_rows(xl.read_workbooks(spark, folder))
+    return fl.nonempty_groups(catalog, rows)
+
+
+@register("csv_roundtrip", f"""
+WITH {_KM_SEEDS}
+SELECT a.workbook, a.sheet, a.row_idx, e.label, a.cluster FROM a
+JOIN e ON a.workbook = e.workbook AND a.sheet = e.sheet AND a.row_idx = e.row_idx""")
+def q_csv_roundtrip(spark, sf):
+    e = tb.vectors_by_block(spark, sf)
+    a = cu.assign(e, "embedding", cu.seed_centroids(e, "embedding", 5)).drop("embedding", "dist2")
+    path = scratch_path(spark, "csv")
+    rp.write_csv(a, path)
+    schema = "row_idx bigint, label string, cluster int, workbook string, sheet string"
+    return spark.read.schema(schema).option("header", True).csv(path) \
+        .select("workbook", "sheet", "row_idx", "label", "cluster")
+
+
+@register("report_json", _EXACT_REPORT + """
+SELECT workbook, sheet, CAST(num_train AS BIGINT) AS num_train, CAST(num_test AS BIGINT) AS num_test,
+       CAST(exact_duplicates AS BIGINT) AS exact_duplicates FROM r""")
+def q_report_json(spark, sf):
+    rep = lk.sheet_report(d_split(spark, sf), "ctext", threshold=None).drop("near_duplicates")
+    path = scratch_path(spark, "json")
+    rp.write_json_report(rep, path)
+    return spark.read.schema("workbook string, sheet string, num_train bigint, num_test bigint, "
+                             "exact_duplicates bigint").json(path)
+
+
+@register("versioned_write", f"""
+SELECT 'nb' AS model, 'v1' AS version, workbook, sheet, CAST(count(*) AS BIGINT) AS n_rows
+FROM ({S.R}) r GROUP BY workbook, sheet""")
+def q_versioned_write(spark, sf):
+    path = scratch_path(spark, "versioned")
+    r = tb.parts_by_brand(spark, sf)
+    rp.versioned_write(r, path, "nb", "v1")
+    rp.versioned_write(r.where(F.col("sheet") == "Brand#1"), path, "nb", "v1")  # rewrites one group only
+    back = spark.read.parquet(path)
+    return back.groupBy("model", "version", "workbook", "sheet").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
