@@ -279,3 +279,60 @@ def assert_no_leakage(gate: DataFrame) -> None:
     row = gate.first()
     if row is not None and row["status"] == "FAIL":
         raise LeakageError(f"leakage ratio {row['leakage_ratio']} exceeds the fail threshold")
+
+
+# --------------------------------------------------------------------------
+# candidate steps exposed on their own, and the approximate option
+# --------------------------------------------------------------------------
+def char_overlap_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
+                       threshold: float = SIMILARITY_THRESHOLD, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Length-band pairs whose exact character multiset overlap
+    ``sum_c min(count_a(c), count_b(c))`` reaches ``t*(la+lb)/2``.
+
+    Relational form (characters exploded per distinct text); the production
+    path uses the hashed-bin bound, which is never smaller than this one.
+    """
+    by = group_cols(by)
+    band = length_band_pairs(split_df, text, by, threshold, seed)
+    texts = split_df.select(F.md5(F.col(text)).alias("tid"), F.col(text).alias("t")).dropDuplicates(["tid"])
+    chars = texts.select("tid", F.explode(F.split(F.col("t"), "")).alias("ch")) \
+        .groupBy("tid", "ch").agg(F.count(F.lit(1)).alias("n"))
+    a = chars.select(F.col("tid").alias("tr_tid"), "ch", F.col("n").alias("na"))
+    b = chars.select(F.col("tid").alias("te_tid"), "ch", F.col("n").alias("nb"))
+    keys = by + ["tr_tid", "te_tid", "tr_len", "te_len"]
+    ov = band.select(*keys).join(a, "tr_tid").join(b, ["te_tid", "ch"]) \
+        .groupBy(*keys).agg(F.sum(F.least("na", "nb")).alias("overlap"))
+    need = F.lit(threshold) * (F.col("tr_len") + F.col("te_len")) / F.lit(2.0) - F.lit(EPS)
+    return ov.where(F.col("overlap") >= need)
+
+
+def minhash_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
+                  max_distance: float = 0.5, ngram: int = 3, num_tables: int = 5,
+                  num_features: int = 1 << 18, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Approximate near duplicates for very large groups: word ``ngram``
+    shingles -> binary ``HashingTF`` -> ``MinHashLSH`` similarity join of
+    train and test inside each group, Jaccard distance <= ``max_distance``.
+    Recall is below 1 (LSH); texts with fewer than ``ngram`` words use their
+    single words; texts without words cannot be hashed and are not compared.
+    """
+    from pyspark.ml.feature import HashingTF, MinHashLSH, NGram
+    from corpusprep.functions.text import word_tokens
+    by = group_cols(by)
+    d = _distinct_texts(split_df, text, by, seed)
+    d = d.withColumn("__w", word_tokens(F.col("text")))
+    d = NGram(n=ngram, inputCol="__w", outputCol="__ng").transform(d)
+    d = d.withColumn("__sh", F.when(F.size("__ng") > 0, F.col("__ng")).otherwise(F.col("__w"))) \
+        .where(F.size("__sh") > 0)
+    d = HashingTF(inputCol="__sh", outputCol="__f", numFeatures=num_features, binary=True).transform(d)
+    lsh = MinHashLSH(inputCol="__f", outputCol="__h", numHashTables=num_tables, seed=seed).fit(d)
+    tr = d.where(F.col(SPLIT) == TRAIN).select(*by, "tid", "mult", "__f")
+    te = d.where(F.col(SPLIT) == TEST).select(*by, "tid", "mult", "__f")
+    j = lsh.approxSimilarityJoin(tr, te, max_distance, distCol="jaccard_distance")
+    same = F.lit(True)
+    for c in by:
+        same = same & (F.col(f"datasetA.{c}") == F.col(f"datasetB.{c}"))
+    return j.where(same & (F.col("datasetA.tid") != F.col("datasetB.tid"))).select(
+        *[F.col(f"datasetA.{c}").alias(c) for c in by],
+        F.col("datasetA.tid").alias("train_tid"), F.col("datasetB.tid").alias("test_tid"),
+        "jaccard_distance",
+        (F.col("datasetA.mult") * F.col("datasetB.mult")).cast("bigint").alias("pairs"))

@@ -792,3 +792,93 @@ def q_versioned_write(spark, sf):
     rp.versioned_write(r.where(F.col("sheet") == "Brand#1"), path, "nb", "v1")  # rewrites one group only
     back = spark.read.parquet(path)
     return back.groupBy("model", "version", "workbook", "sheet").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+# ======================================================================
+# leakage candidate steps, reports, evaluation status (steps 3 and 4)
+# ======================================================================
+_BAND = f"""
+s AS ({D_SPLIT}),
+tt AS (SELECT DISTINCT workbook, sheet, split, md5(ctext) AS tid, length(ctext) AS len, ctext FROM s),
+band AS (SELECT a.workbook, a.sheet, a.tid AS atid, b.tid AS btid, a.len AS alen, b.len AS blen
+         FROM tt a JOIN tt b ON a.workbook = b.workbook AND a.sheet = b.sheet
+         WHERE a.split = 'train' AND b.split = 'test' AND a.tid <> b.tid
+           AND 2 * least(a.len, b.len) >= 0.9 * (a.len + b.len) - 1e-9)"""
+
+
+@register("len_band_pairs", f"""
+WITH {_BAND}
+SELECT workbook, sheet, CAST(count(*) AS BIGINT) AS band_pairs FROM band GROUP BY workbook, sheet""")
+def q_len_band_pairs(spark, sf):
+    p = lk.length_band_pairs(d_split(spark, sf), "ctext")
+    return p.groupBy(*GK).agg(F.count(F.lit(1)).cast("bigint").alias("band_pairs"))
+
+
+@register("char_overlap_pairs", f"""
+WITH {_BAND},
+ch AS (SELECT tid, c, count(*) AS n FROM (SELECT DISTINCT tid, ctext FROM tt) x,
+       unnest(string_split(ctext, '')) AS u(c) GROUP BY tid, c),
+ov AS (SELECT band.workbook, band.sheet, atid, btid, alen, blen, sum(least(x.n, y.n)) AS o
+       FROM band JOIN ch x ON x.tid = band.atid JOIN ch y ON y.tid = band.btid AND x.c = y.c
+       GROUP BY band.workbook, band.sheet, atid, btid, alen, blen)
+SELECT workbook, sheet, CAST(count(*) AS BIGINT) AS overlap_pairs FROM ov
+WHERE o >= 0.9 * (alen + blen) / 2.0 - 1e-9 GROUP BY workbook, sheet""")
+def q_char_overlap_pairs(spark, sf):
+    p = lk.char_overlap_pairs(d_split(spark, sf), "ctext")
+    return p.groupBy(*GK).agg(F.count(F.lit(1)).cast("bigint").alias("overlap_pairs"))
+
+
+@register("minhash_pairs")
+def q_minhash_pairs(spark, sf):
+    return lk.minhash_pairs(d_split(spark, sf), "ctext")
+
+
+@register("nested_report", _EXACT_REPORT + """
+SELECT workbook, CAST(count(*) AS INTEGER) AS n_sheets, CAST(sum(num_train) AS BIGINT) AS total_train,
+       min(sheet) AS first_sheet, CAST(sum(exact_duplicates) AS BIGINT) AS exact_duplicates
+FROM r GROUP BY workbook""")
+def q_nested_report(spark, sf):
+    rep = lk.sheet_report(d_split(spark, sf), "ctext", threshold=None)
+    n = rp.nest(rep, ["workbook"], "sheets", order=["sheet"])
+    return n.select(
+        "workbook", F.size("sheets").cast("int").alias("n_sheets"),
+        F.aggregate("sheets", F.lit(0).cast("bigint"), lambda a, s: a + s["num_train"]).alias("total_train"),
+        F.col("sheets")[0]["sheet"].alias("first_sheet"),
+        F.aggregate("sheets", F.lit(0).cast("bigint"), lambda a, s: a + s["exact_duplicates"]).alias("exact_duplicates"))
+
+
+Q_SPLIT = S.split(S.with_text(S.Q, ["text"]), "toxic")
+
+
+@register("eval_by_group", "WITH " + S.nb_ctes(Q_SPLIT, "toxic") + """,
+acc AS (SELECT workbook, sheet, avg(CAST(pred_id = label_id AS DOUBLE)) AS accuracy FROM ev GROUP BY workbook, sheet),
+wf AS (SELECT workbook, sheet, sum(f1 * support) / sum(support) AS f1 FROM repf GROUP BY workbook, sheet),
+cnts AS (SELECT workbook, sheet, count_if(split = 'train') AS ntr, count_if(split = 'test') AS nte FROM s
+         GROUP BY workbook, sheet),
+nl AS (SELECT workbook, sheet, count(*) AS num_labels FROM lmap GROUP BY workbook, sheet)
+SELECT c.workbook, c.sheet,
+       CASE WHEN c.ntr > 0 AND c.nte > 0 THEN CAST(nl.num_labels AS INTEGER) END AS num_labels,
+       CASE WHEN c.ntr > 0 AND c.nte > 0 THEN round(acc.accuracy, 9) END AS accuracy,
+       CASE WHEN c.ntr > 0 AND c.nte > 0 THEN round(wf.f1, 9) END AS f1,
+       CASE WHEN c.ntr > 0 AND c.nte > 0 THEN 'trained' ELSE 'skipped' END AS status
+FROM cnts c LEFT JOIN nl ON c.workbook = nl.workbook AND c.sheet = nl.sheet
+LEFT JOIN acc ON c.workbook = acc.workbook AND c.sheet = acc.sheet
+LEFT JOIN wf ON c.workbook = wf.workbook AND c.sheet = wf.sheet""")
+def q_eval_by_group(spark, sf):
+    q = tb.docs_labelled(spark, sf).withColumn("ctext", tx.tagged_text(["text"]))
+    s = sp.split_by_labels(q, ["quality", "toxic"])
+    _, summary = cp.classify_corpus(s, "ctext", ["quality", "toxic"])
+    return summary.select(*GK, "num_labels", F.round("accuracy", 9).alias("accuracy"),
+                          F.round("f1", 9).alias("f1"), "status")
+
+
+@register("lr_predict")
+def q_lr_predict(spark, sf):
+    return cl.lr_evaluate(l_split(spark, sf), "ctext", "lang").select(
+        *GK, "row_idx", "label_id", "pred_id", F.round("confidence", 4).alias("confidence"))
+
+
+@register("leakage_scope_workbook")
+def q_leakage_scope_workbook(spark, sf):
+    """Leakage across all sheets of a workbook (scope='workbook')."""
+    return lk.sheet_report(d_split(spark, sf), "ctext", by=lk.scope_cols("workbook"))
