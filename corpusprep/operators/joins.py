@@ -29,3 +29,10 @@ def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     side, _ = bounded_broadcast(small, max_rows)
     return big.join(side, on=on, how=how)
+
+
+def cpu_partitions(spark, per_slot: int = 4) -> int:
+    """Partition count for CPU-heavy Python stages: several per task slot,
+    at least the configured shuffle partitions."""
+    slots = spark.sparkContext.defaultParallelism
+    return max(slots * per_slot, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

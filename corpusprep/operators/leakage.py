@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions import similarity as sim
-from corpusprep.operators.joins import sized_join
+from corpusprep.operators.joins import cpu_partitions, sized_join
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import SPLIT, TEST, TRAIN, group_cols
 
@@ -186,6 +186,9 @@ def near_duplicate_pairs(split_df: DataFrame, text: str, by: Sequence[str] | Non
     texts = split_df.select(F.md5(F.col(text)).alias("tid"), F.col(text).alias("t")).dropDuplicates(["tid"])
     cand = (cand.join(texts.withColumnRenamed("tid", "tr_tid").withColumnRenamed("t", "train_text"), "tr_tid")
                 .join(texts.withColumnRenamed("tid", "te_tid").withColumnRenamed("t", "test_text"), "te_tid"))
+    # The pair check is CPU bound on little data: AQE would coalesce it into a
+    # few partitions, so spread the candidates over all task slots first.
+    cand = cand.repartition(cpu_partitions(split_df.sparkSession), "tr_tid", "te_tid")
     scored = cand.withColumn("__r", _make_ratio_udf(threshold, autojunk)(F.col("train_text"), F.col("test_text")))
     return scored.where(F.col("__r.keep")).select(
         *by, "train_text", "test_text",

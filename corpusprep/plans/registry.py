@@ -882,3 +882,31 @@ def q_lr_predict(spark, sf):
 def q_leakage_scope_workbook(spark, sf):
     """Leakage across all sheets of a workbook (scope='workbook')."""
     return lk.sheet_report(d_split(spark, sf), "ctext", by=lk.scope_cols("workbook"))
+
+
+# ======================================================================
+# DBSCAN (step 5)
+# ======================================================================
+from corpusprep.operators import dbscan as db  # noqa: E402
+
+DB_EPS = 0.9
+
+
+@register("dbscan_core_points", f"""
+WITH e AS ({S.E}),
+n AS (SELECT workbook, sheet, row_idx, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+             sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nrm FROM e),
+u AS (SELECT workbook, sheet, row_idx, list_transform(v, lambda x: x / nrm) AS v FROM n),
+p AS (SELECT a.workbook, a.sheet, a.row_idx,
+             sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS d
+      FROM u a JOIN u b ON a.workbook = b.workbook AND a.sheet = b.sheet)
+SELECT workbook, sheet, row_idx, CAST(count(*) AS BIGINT) AS n_neighbors, count(*) >= 5 AS is_core
+FROM p WHERE d <= sqrt(2 * {DB_EPS}) + 1e-12 GROUP BY workbook, sheet, row_idx""")
+def q_dbscan_core_points(spark, sf):
+    return db.core_points(tb.vectors_by_block(spark, sf), "embedding", eps=DB_EPS)
+
+
+@register("dbscan_labels")
+def q_dbscan_labels(spark, sf):
+    r = db.dbscan(tb.vectors_by_block(spark, sf), "embedding", eps=DB_EPS)
+    return r.select(*GK, "row_idx", "cluster")
