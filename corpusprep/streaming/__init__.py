@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads folders of workbooks once per run; it has no stream,
+watermark, window or state. No streaming operator is built. A folder that
+grows can be processed with ``spark.readStream`` on the written parquet
+tables and ``foreachBatch`` calling the batch plans in ``corpusprep.plans``.
+"""
