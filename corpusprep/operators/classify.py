@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import word_tokens
-from corpusprep.operators.joins import sized_join
+from corpusprep.operators.joins import reuse, sized_join
 from corpusprep.operators.labels import label_encode, label_map_sorted
 from corpusprep.schema import ROW_IDX, SPLIT, TEST, TRAIN, group_cols
 
@@ -37,8 +37,8 @@ def nb_fit(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None
     by = group_cols(by)
     train = split_df.where(F.col(SPLIT) == TRAIN).select(*by, F.col(label).cast("string").alias("label"), text)
     lmap = label_map_sorted(split_df, label, by)
-    counts = train.select(*by, "label", F.explode(word_tokens(F.col(text))).alias("token")) \
-        .groupBy(*by, "label", "token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
+    counts = reuse(train.select(*by, "label", F.explode(word_tokens(F.col(text))).alias("token"))
+                   .groupBy(*by, "label", "token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
     vocab = counts.groupBy(*by).agg(F.count_distinct("token").cast("bigint").alias("vocab_size"))
     totals = counts.groupBy(*by, "label").agg(F.sum("cnt").cast("bigint").alias("total"))
     docs = train.groupBy(*by, "label").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
@@ -64,7 +64,7 @@ def nb_scores(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None
     tf = df.select(*keys, F.explode(word_tokens(F.col(text))).alias("token")) \
         .groupBy(*keys, "token").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
     vocab = model["tokens"].select(*by, "token").distinct()
-    known = sized_join(tf, vocab, on=by + ["token"], how="left_semi")
+    known = reuse(sized_join(tf, vocab, on=by + ["token"], how="left_semi"))
     n_known = known.groupBy(*keys).agg(F.sum("tf").alias("n_known"))
     gains = sized_join(known, model["tokens"].select(*by, "token", "label", "log_gain"), on=by + ["token"]) \
         .groupBy(*keys, "label").agg(F.sum(F.col("tf") * F.col("log_gain")).alias("gain"))
@@ -97,6 +97,7 @@ def nb_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] |
     """Fit on train, predict test; rows ``group, row_idx, label_id, pred_id,
     pred_label, confidence`` (unseen test labels get id -1)."""
     by = group_cols(by)
+    split_df = reuse(split_df)
     model = nb_fit(split_df, text, label, by, alpha)
     test = split_df.where(F.col(SPLIT) == TEST)
     pred = nb_predict(model, test, text, by + [ROW_IDX], by)

@@ -36,3 +36,9 @@ def cpu_partitions(spark, per_slot: int = 4) -> int:
     at least the configured shuffle partitions."""
     slots = spark.sparkContext.defaultParallelism
     return max(slots * per_slot, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Persist a frame that several branches of one plan read (memory, spill
+    to disk). Blocks lost with an executor are recomputed from lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions import similarity as sim
-from corpusprep.operators.joins import cpu_partitions, sized_join
+from corpusprep.operators.joins import cpu_partitions, reuse, sized_join
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import SPLIT, TEST, TRAIN, group_cols
 
@@ -225,6 +225,7 @@ def sheet_report(split_df: DataFrame, text: str, by: Sequence[str] | None = None
     ``threshold=None`` skips the near-duplicate search (near = 0).
     """
     by = group_cols(by)
+    split_df = reuse(split_df)
     counts = split_df.groupBy(*by).agg(
         F.count_if(F.col(SPLIT) == TRAIN).cast("bigint").alias("num_train"),
         F.count_if(F.col(SPLIT) == TEST).cast("bigint").alias("num_test"))

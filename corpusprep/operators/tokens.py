@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.text import word_tokens
-from corpusprep.operators.joins import sized_join
+from corpusprep.operators.joins import reuse, sized_join
 from corpusprep.schema import SPLIT, TRAIN
 
 # Special tokens and their ids, default lengths.
@@ -65,6 +65,7 @@ def encode(df: DataFrame, text: str, vocab: DataFrame, keys: Sequence[str], max_
     vocabulary (broadcast behind a size check) and gathered back per row.
     """
     keys, by = list(keys), list(by)
+    df = reuse(df)
     if max_length < 2:
         raise ValueError("max_length must leave room for [CLS] and [SEP]")
     room = max_length - 2

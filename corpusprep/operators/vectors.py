@@ -74,30 +74,55 @@ def as_double_array(c: str):
 
 
 def pca_2d(df: DataFrame, vec: str, by: Sequence[str] | None = None, k: int = 2) -> DataFrame:
-    """Mean-centred PCA to ``k`` components per group with MLlib (one
-    distributed fit per group; the reference uses it only for a picture).
-    Component signs are fixed so that the largest loading is positive."""
-    from pyspark.ml.feature import PCA, StandardScaler
+    """Mean-centred PCA to ``k`` components for every group in one job.
+
+    Per group, MLlib's ``Summarizer`` (a partial aggregate) gives the mean of
+    ``x`` and of the flattened outer product ``x x^T``; the covariance of each
+    group is then one small row (d*d values), eigen-decomposed with numpy in
+    ``applyInPandas`` (one row per group, so no group's data is gathered).
+    Components are sign-fixed so that their largest loading is positive, and
+    rows are projected with a size-checked join. Returns ``by, row_idx,
+    pc1..pck``.
+    """
     from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
     by = group_cols(by)
-    v = df.withColumn("__v", array_to_vector(as_double_array(vec)))
-    outs = []
-    for g in [tuple(r) for r in v.select(*by).distinct().collect()]:  # group keys only
-        cond = F.lit(True)
-        for c, val in zip(by, g):
-            cond = cond & (F.col(c) == F.lit(val))
-        part = v.where(cond)
-        centred = StandardScaler(withMean=True, withStd=False, inputCol="__v", outputCol="__c").fit(part).transform(part)
-        model = PCA(k=k, inputCol="__c", outputCol="__p").fit(centred)
-        pc = model.pc.toArray()
-        signs = [1.0 if pc[np.argmax(np.abs(pc[:, j])), j] >= 0 else -1.0 for j in range(pc.shape[1])]
-        proj = model.transform(centred).withColumn("__a", vector_to_array("__p"))
-        outs.append(proj.select(*by, ROW_IDX, *[(F.col("__a")[j] * F.lit(signs[j])).alias(f"pc{j + 1}")
-                                                for j in range(k)]))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    v = as_double_array(vec)
+    d = F.size(v)
+    outer = F.transform(F.sequence(F.lit(0), d * d - 1), lambda i: v[(i / d).cast("int")] * v[i % d])
+    stats = df.select(*by, array_to_vector(v).alias("__x"), array_to_vector(outer).alias("__xx")) \
+        .groupBy(*by).agg(Summarizer.mean(F.col("__x")).alias("__m"), Summarizer.mean(F.col("__xx")).alias("__mm"),
+                          F.count(F.lit(1)).alias("__n")) \
+        .select(*by, vector_to_array("__m").alias("mean"), vector_to_array("__mm").alias("mom"), "__n")
+    schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by] + [
+        T.StructField("mean", T.ArrayType(T.DoubleType())),
+        T.StructField("axes", T.ArrayType(T.ArrayType(T.DoubleType())))])
+
+    def _eig(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, r in pdf.iterrows():
+            mu = np.asarray(r["mean"], dtype=float)
+            n = len(mu)
+            cov = np.asarray(r["mom"], dtype=float).reshape(n, n) - np.outer(mu, mu)
+            if r["__n"] > 1:
+                cov = cov * r["__n"] / (r["__n"] - 1)
+            w, vecs = np.linalg.eigh(cov)
+            order = np.argsort(-w, kind="stable")[:k]
+            axes = []
+            for j in order:
+                a = vecs[:, j]
+                if a[np.argmax(np.abs(a))] < 0:
+                    a = -a
+                axes.append(a.tolist())
+            out.append({**{c: r[c] for c in by}, "mean": mu.tolist(), "axes": axes})
+        return pd.DataFrame(out, columns=[*by, "mean", "axes"])
+
+    model = stats.groupBy(*by).applyInPandas(_eig, schema)
+    j = sized_join(df.select(*by, ROW_IDX, v.alias("__v")), model, on=by)
+    centred = F.zip_with("__v", "mean", lambda a, b: a - b)
+    cols = [F.aggregate(F.zip_with(centred, F.col("axes")[i], lambda a, b: a * b), F.lit(0.0),
+                        lambda s_, x: s_ + x).alias(f"pc{i + 1}") for i in range(k)]
+    return j.select(*by, ROW_IDX, *cols)
 
 
 def knn_graph(df: DataFrame, vec: str, k: int = 10, by: Sequence[str] | None = None,

@@ -127,3 +127,43 @@ def test_tfidf_normalised(spark):
         assert r.n2 == pytest.approx(1.0)
     h = vc.hashed_embedding(df, "t", dims=16).first().embedding
     assert len(h) == 16 and sum(x * x for x in h) == pytest.approx(1.0)
+
+
+def test_pca_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(40, 5)) @ np.diag([5, 2, 1, 0.5, 0.1])
+    rows = [("w", "g1" if i < 20 else "g2", i, [float(x) for x in p]) for i, p in enumerate(base)]
+    df = spark.createDataFrame(rows, "workbook string, sheet string, row_idx bigint, v array<double>")
+    got = {r.row_idx: (r.pc1, r.pc2) for r in vc.pca_2d(df, "v").collect()}
+    for g, idx in (("g1", range(0, 20)), ("g2", range(20, 40))):
+        x = base[list(idx)]
+        xc = x - x.mean(0)
+        w, vecs = np.linalg.eigh(np.cov(xc.T))
+        top = vecs[:, np.argsort(-w)[:2]]
+        for j in range(2):
+            if top[np.argmax(np.abs(top[:, j])), j] < 0:
+                top[:, j] *= -1
+        exp = xc @ top
+        for n, i in enumerate(idx):
+            assert got[i] == pytest.approx(tuple(exp[n]), abs=1e-6)
+
+
+def test_embed_hook(spark):
+    df = spark.createDataFrame([("ab",), ("abcd",)], "t string")
+    out = vc.embed_with(df, "t", lambda: (lambda texts: [[len(t), 1.0] for t in texts])).collect()
+    assert [list(r.embedding) for r in out] == [[2.0, 1.0], [4.0, 1.0]]
+
+
+def test_model_save_and_load(spark, tmp_path):
+    from corpusprep.operators import report as rp
+    rows = [("w", "s", i, "train" if i < 6 else "test", "a" if i % 2 else "b", f"word{i % 2} common")
+            for i in range(8)]
+    df = spark.createDataFrame(rows, "workbook string, sheet string, row_idx bigint, split string, label string, "
+                                     "text string")
+    m = cl.nb_fit(df, "text", "label")
+    rp.save_nb_model(m, str(tmp_path / "nb"))
+    m2 = rp.load_nb_model(spark, str(tmp_path / "nb"))
+    test = df.where("split = 'test'")
+    a = sorted(map(tuple, cl.nb_predict(m, test, "text").select("row_idx", "pred_label").collect()))
+    b = sorted(map(tuple, cl.nb_predict(m2, test, "text").select("row_idx", "pred_label").collect()))
+    assert a == b
