@@ -109,7 +109,7 @@ def nb_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] |
 # --------------------------------------------------------------------------
 # MLlib alternative for one large group
 # --------------------------------------------------------------------------
-def lr_pipeline(text: str, label_col: str = "label_id", num_features: int = 1 << 18, max_iter: int = 50):
+def lr_pipeline(text: str, label_col: str = "label_id", num_features: int = 1 << 16, max_iter: int = 30):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -205,3 +205,16 @@ def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
         F.count_if(F.col(SPLIT) == TEST).cast("bigint").alias("num_test_samples"))
     nl = label_map.groupBy(*by).agg(F.count(F.lit(1)).cast("int").alias("num_labels"))
     return counts.join(nl, by).join(accuracy(pred, by), by, "left").join(weighted_f1(pred, by), by, "left")
+
+
+def inference_samples(split_df: DataFrame, pred: DataFrame, text: str, k: int = 5,
+                      by: Sequence[str] | None = None) -> DataFrame:
+    """First ``k`` test rows per group (seeded order) with the first 250
+    characters of their text, predicted label and confidence."""
+    from corpusprep.functions.text import preview
+    from corpusprep.operators.report import first_rows
+    by = group_cols(by)
+    top = first_rows(split_df.where(F.col(SPLIT) == TEST).select(*by, ROW_IDX, text), k, by)
+    return top.join(pred.select(*by, ROW_IDX, "pred_label", "confidence"), by + [ROW_IDX]).select(
+        *by, F.col("rn").cast("int").alias("rn"), preview(F.col(text)).alias("text"),
+        F.col("pred_label").alias("predicted_label"), "confidence")

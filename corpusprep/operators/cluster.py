@@ -16,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusprep.functions.vectors import nearest_centroid
 from corpusprep.operators.joins import BROADCAST_MAX_ROWS, sized_join
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import ROW_IDX, group_cols
@@ -62,16 +63,17 @@ def assign(df: DataFrame, vec: str, centroids: DataFrame, by: Sequence[str] | No
     packed size; True/False reuse a decision made earlier (k-means rounds).
     """
     by = group_cols(by)
-    packed = centroids.groupBy(*by).agg(F.collect_list(F.struct("cluster", "centroid")).alias("__cents"))
+    packed = centroids.groupBy(*by).agg(F.collect_list(F.struct("cluster", "centroid")).alias("__p")) \
+        .select(*by, F.transform("__p", lambda x: x["cluster"]).alias("__ids"),
+                F.transform("__p", lambda x: x["centroid"]).alias("__cents"))
     if broadcast is None:
         j = sized_join(df, packed, on=by)
     else:
         j = df.join(F.broadcast(packed) if broadcast else packed, on=by)
-    v = _vec(vec)
-    best = F.array_min(F.transform("__cents", lambda c: F.struct(
-        _sqdist(v, c["centroid"]).alias("d"), c["cluster"].alias("c"))))
+    gkey = F.xxhash64(*[F.col(c) for c in by]) if by else F.lit(0)
+    best = nearest_centroid(gkey, _vec(vec), F.col("__ids"), F.col("__cents"))
     return j.withColumn("__best", best).withColumn(out, F.col("__best.c")) \
-        .withColumn("dist2", F.col("__best.d")).drop("__cents", "__best")
+        .withColumn("dist2", F.col("__best.d")).drop("__ids", "__cents", "__best")
 
 
 def update(assigned: DataFrame, vec: str, by: Sequence[str] | None = None, cluster: str = "cluster") -> DataFrame:

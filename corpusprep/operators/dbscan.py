@@ -28,6 +28,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusprep.functions.vectors import euclidean
 from corpusprep.operators.cluster import NOISE
 from corpusprep.schema import ROW_IDX, group_cols
 from corpusprep.session import checkpoint_dir
@@ -77,8 +78,7 @@ def neighbours(df: DataFrame, vec: str, eps: float = EPS, metric: str = METRIC,
         b = b.select(*by, "dst", "vb", *[(F.col(f"c{j}") + F.col("__s")[j]).alias(f"g{j}")
                                          for j in range(len(axes))])
     keys = by + [f"g{j}" for j in range(len(axes))]
-    d2 = F.aggregate(F.zip_with("va", "vb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    pairs = a.join(b, keys).withColumn("distance", F.sqrt(d2))
+    pairs = a.join(b, keys).withColumn("distance", euclidean(F.col("va"), F.col("vb")))
     return pairs.where(F.col("distance") <= F.lit(r) + F.lit(1e-12)).select(*by, "src", "dst", "distance")
 
 

@@ -45,15 +45,13 @@ def tfidf(df: DataFrame, text: str, by: Sequence[str] | None = None, vocab: Data
 
 def hashed_embedding(df: DataFrame, text: str, dims: int = HASH_DIMS, out: str = "embedding") -> DataFrame:
     """Dense ``array<double>`` of hashed term counts, L2-normalised (MLlib
-    ``HashingTF`` on word tokens; JVM side)."""
-    from pyspark.ml.feature import HashingTF
+    ``HashingTF`` and ``Normalizer`` on word tokens; JVM side)."""
+    from pyspark.ml.feature import HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
     words = df.withColumn("__words", word_tokens(F.col(text)))
     h = HashingTF(inputCol="__words", outputCol="__tf", numFeatures=dims).transform(words)
-    arr = vector_to_array("__tf")
-    norm = F.sqrt(F.aggregate(F.transform(arr, lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
-    return h.withColumn(out, F.when(norm > 0, F.transform(arr, lambda x: x / norm)).otherwise(arr)) \
-        .drop("__words", "__tf")
+    n = Normalizer(inputCol="__tf", outputCol="__n", p=2.0).transform(h)
+    return n.withColumn(out, vector_to_array("__n")).drop("__words", "__tf", "__n")
 
 
 def embed_with(df: DataFrame, text: str, encoder_factory: Callable[[], Callable[[list[str]], np.ndarray]],
@@ -86,13 +84,18 @@ def pca_2d(df: DataFrame, vec: str, by: Sequence[str] | None = None, k: int = 2)
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
+    from corpusprep.functions.vectors import moment_partials
     by = group_cols(by)
     v = as_double_array(vec)
-    d = F.size(v)
-    outer = F.transform(F.sequence(F.lit(0), d * d - 1), lambda i: v[(i / d).cast("int")] * v[i % d])
-    stats = df.select(*by, array_to_vector(v).alias("__x"), array_to_vector(outer).alias("__xx")) \
-        .groupBy(*by).agg(Summarizer.mean(F.col("__x")).alias("__m"), Summarizer.mean(F.col("__xx")).alias("__mm"),
-                          F.count(F.lit(1)).alias("__n")) \
+    src = df.select(*by, v.alias("__v"))
+    part_schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by] + [
+        T.StructField("n", T.LongType()), T.StructField("mean", T.ArrayType(T.DoubleType())),
+        T.StructField("mom", T.ArrayType(T.DoubleType()))])
+    partials = src.mapInPandas(lambda it: moment_partials(it, by, "__v"), part_schema)
+    stats = partials.select(*by, "n", array_to_vector("mean").alias("__m"), array_to_vector("mom").alias("__mm")) \
+        .groupBy(*by).agg(Summarizer.mean(F.col("__m"), F.col("n").cast("double")).alias("__m"),
+                          Summarizer.mean(F.col("__mm"), F.col("n").cast("double")).alias("__mm"),
+                          F.sum("n").alias("__n")) \
         .select(*by, vector_to_array("__m").alias("mean"), vector_to_array("__mm").alias("mom"), "__n")
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by] + [
         T.StructField("mean", T.ArrayType(T.DoubleType())),
@@ -118,11 +121,11 @@ def pca_2d(df: DataFrame, vec: str, by: Sequence[str] | None = None, k: int = 2)
         return pd.DataFrame(out, columns=[*by, "mean", "axes"])
 
     model = stats.groupBy(*by).applyInPandas(_eig, schema)
+    from corpusprep.functions.vectors import project
     j = sized_join(df.select(*by, ROW_IDX, v.alias("__v")), model, on=by)
-    centred = F.zip_with("__v", "mean", lambda a, b: a - b)
-    cols = [F.aggregate(F.zip_with(centred, F.col("axes")[i], lambda a, b: a * b), F.lit(0.0),
-                        lambda s_, x: s_ + x).alias(f"pc{i + 1}") for i in range(k)]
-    return j.select(*by, ROW_IDX, *cols)
+    p = project(F.col("__v"), F.col("mean"), F.col("axes"))
+    return j.select(*by, ROW_IDX, p.alias("__p")).select(*by, ROW_IDX, *[F.col("__p")[i].alias(f"pc{i + 1}")
+                                                                         for i in range(k)])
 
 
 def knn_graph(df: DataFrame, vec: str, k: int = 10, by: Sequence[str] | None = None,

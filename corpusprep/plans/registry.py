@@ -910,3 +910,18 @@ def q_dbscan_core_points(spark, sf):
 def q_dbscan_labels(spark, sf):
     r = db.dbscan(tb.vectors_by_block(spark, sf), "embedding", eps=DB_EPS)
     return r.select(*GK, "row_idx", "cluster")
+
+
+@register("inference_samples", _NB + f""",
+ord AS (SELECT workbook, sheet, row_idx, substr(ctext, 1, 250) AS text,
+               row_number() OVER (PARTITION BY workbook, sheet ORDER BY {S.shuffle_key()}, row_idx) AS rn
+        FROM s WHERE split = 'test')
+SELECT o.workbook, o.sheet, CAST(o.rn AS INTEGER) AS rn, o.text, ev.pred_label AS predicted_label,
+       round(ev.confidence, 4) AS confidence
+FROM ord o JOIN ev ON o.workbook = ev.workbook AND o.sheet = ev.sheet AND o.row_idx = ev.row_idx
+WHERE o.rn <= 5""")
+def q_inference_samples(spark, sf):
+    s = l_split(spark, sf)
+    pred = cl.nb_evaluate(s, "ctext", "lang")
+    return cl.inference_samples(s, pred, "ctext").select(
+        *GK, "rn", "text", "predicted_label", F.round("confidence", 4).alias("confidence"))
