@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.vectors import nearest_centroid
-from corpusprep.operators.joins import BROADCAST_MAX_ROWS, sized_join
+from corpusprep.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast, sized_join
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import ROW_IDX, group_cols
 from corpusprep.session import checkpoint_dir
@@ -93,8 +93,9 @@ def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None
 
     A group has converged when the summed squared shift of its centroids is
     at most ``tol`` times the mean per-coordinate variance of its rows (the
-    usual relative tolerance); the loop ends when every group has converged
-    or after ``max_iter`` rounds. Each round's centroids (a small table) are
+    usual relative tolerance); converged groups are frozen (later rounds read
+    only the rows of groups still moving) and the loop ends when every group
+    has converged or after ``max_iter`` rounds. Each round's centroids (a small table) are
     written with ``checkpoint()`` to the shared checkpoint folder, so lineage
     stays one round deep and a lost executor recomputes one round (persisted
     chains measured slower: plans grow with every round). Whether the packed
@@ -113,25 +114,64 @@ def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None
     cents = seed_centroids(data, vec, k, by, seed).checkpoint()
     n_groups = limits.limit(BROADCAST_MAX_ROWS + 1).count()
     bcast = n_groups <= BROADCAST_MAX_ROWS
+    lim = F.broadcast(limits) if bcast else limits
+    n_open, state = n_groups, None
     for _ in range(max_iter):
-        new = update(assign(data, vec, cents, by, broadcast=bcast), vec, by) \
+        if n_open < n_groups:                      # converged groups are frozen
+            keys = state.where("__open").select(*by).distinct()
+            keys = F.broadcast(keys) if bcast else keys
+            rows, live = data.join(keys, by, "left_semi"), cents.join(keys, by, "left_semi")
+        else:
+            rows, live = data, cents
+        new = update(assign(rows, vec, live, by, broadcast=bcast), vec, by) \
             .select(*by, "cluster", F.col("centroid").alias("__new"))
-        moved = cents.join(new, by + ["cluster"], "left").select(
+        shift = _sqdist(F.col("centroid"), F.coalesce("__new", "centroid"))
+        state = cents.join(new, by + ["cluster"], "left").join(lim, by).select(
             *by, "cluster", F.coalesce("__new", "centroid").alias("centroid"),
-            _sqdist(F.col("centroid"), F.coalesce("__new", "centroid")).alias("__shift"))
-        moved = moved.checkpoint()
-        open_groups = moved.groupBy(*by).agg(F.sum("__shift").alias("__s")).join(limits, by) \
-            .where(F.col("__s") > F.col("__limit")).limit(1).count()
-        cents = moved.drop("__shift")
-        if open_groups == 0:
+            (F.sum(shift).over(Window.partitionBy(*by)) > F.col("__limit")).alias("__open")).checkpoint()
+        n_open = state.where("__open").select(*by).distinct().count()
+        cents = state.select(*by, "cluster", "centroid")
+        if n_open == 0:
             break
     return assign(data, vec, cents, by, broadcast=bcast), cents
 
 
 def bisecting(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
-              seed: int = DEFAULT_SEED) -> DataFrame:
-    """Hierarchical (top-down) clustering per group with MLlib
-    ``BisectingKMeans``; stands in for bottom-up agglomerative clustering."""
+              seed: int = DEFAULT_SEED, max_iter: int = 300) -> DataFrame:
+    """Top-down hierarchical clustering for every group at once.
+
+    Start with one cluster per group; each round picks, in every group, the
+    largest cluster (ties: smaller id) that still has at least two rows and
+    splits it with grouped 2-means (``kmeans`` keyed by group and cluster);
+    the new half gets the next id. After ``k - 1`` rounds each group has up
+    to ``k`` clusters. Stands in for bottom-up agglomerative clustering.
+    Adds ``cluster``.
+    """
+    by = group_cols(by)
+    checkpoint_dir(df.sparkSession)
+    cur = df.withColumn("cluster", F.lit(0)).checkpoint()
+    for step in range(1, k):
+        sizes = cur.groupBy(*by, "cluster").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= 2)
+        w = Window.partitionBy(*by).orderBy(F.col("__n").desc(), F.col("cluster"))
+        target = sizes.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).select(*by, "cluster")
+        target = target.checkpoint()
+        if target.limit(1).count() == 0:
+            break
+        tgt, _ = bounded_broadcast(target)          # at most one row per group
+        chosen = cur.join(tgt, by + ["cluster"], "left_semi")
+        rest = cur.join(tgt, by + ["cluster"], "left_anti")
+        halves, _ = kmeans(chosen.withColumnRenamed("cluster", "__parent"), vec, 2, by + ["__parent"], seed,
+                           max_iter)
+        halves = halves.withColumn("cluster", F.when(F.col("cluster") == 1, F.lit(step))
+                                   .otherwise(F.col("__parent"))).drop("__parent", "dist2")
+        cur = rest.unionByName(halves).checkpoint()
+    return cur
+
+
+def bisecting_mllib(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
+                    seed: int = DEFAULT_SEED) -> DataFrame:
+    """MLlib ``BisectingKMeans``, one distributed fit per group (for a few
+    very large groups)."""
     from pyspark.ml.clustering import BisectingKMeans
     from pyspark.ml.functions import array_to_vector
     by = group_cols(by)

@@ -73,14 +73,20 @@ def exact_duplicates(split_df: DataFrame, text: str, by: Sequence[str] | None =
 # --------------------------------------------------------------------------
 # near duplicates (lossless candidate plan)
 # --------------------------------------------------------------------------
-def _distinct_texts(split_df: DataFrame, text: str, by: list[str], seed: int) -> DataFrame:
-    """Collapse each split to distinct texts with multiplicity and first position."""
-    return split_df.groupBy(*by, SPLIT, text).agg(
-        F.count(F.lit(1)).alias("mult"),
-        F.min(F.concat(shuffle_key("row_idx", seed), F.lit(":"),
-                       F.lpad(F.col("row_idx").cast("string"), 20, "0"))).alias("pos"),
-    ).select(*by, SPLIT, F.col(text).alias("text"), F.md5(F.col(text)).alias("tid"),
-             F.length(F.col(text)).alias("len"), "mult", "pos")
+def _distinct_texts(split_df: DataFrame, text: str, by: list[str], seed: int, with_bins: bool = False,
+                    with_text: bool = False) -> DataFrame:
+    """Collapse each split to distinct texts with multiplicity and first
+    position. Only ``md5(text)``, the length (and the character bins) travel
+    through the shuffle; texts are joined back later for the few survivors."""
+    pre = split_df.select(*by, SPLIT, F.md5(F.col(text)).alias("tid"), F.length(F.col(text)).alias("len"),
+                          F.concat(shuffle_key("row_idx", seed), F.lit(":"),
+                                   F.lpad(F.col("row_idx").cast("string"), 20, "0")).alias("__pos"),
+                          *([_char_bins_udf(F.col(text)).alias("bins")] if with_bins else []),
+                          *([F.col(text).alias("text")] if with_text else []))
+    extra = ([F.first("bins").alias("bins")] if with_bins else []) + \
+        ([F.first("text").alias("text")] if with_text else [])
+    return pre.groupBy(*by, SPLIT, "tid").agg(
+        F.first("len").alias("len"), F.count(F.lit(1)).alias("mult"), F.min("__pos").alias("pos"), *extra)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -101,9 +107,7 @@ def length_band_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None =
     replicated to every slice, so every pair is produced exactly once.
     """
     by = group_cols(by)
-    d = _distinct_texts(split_df, text, by, seed)
-    if with_bins:
-        d = d.withColumn("bins", _char_bins_udf(F.col("text")))
+    d = _distinct_texts(split_df, text, by, seed, with_bins=with_bins)
     if threshold >= 1.0:
         return _empty_pairs(d, by, with_bins)
     if threshold > 0:
@@ -322,7 +326,7 @@ def minhash_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = Non
     from pyspark.ml.feature import HashingTF, MinHashLSH, NGram
     from corpusprep.functions.text import word_tokens
     by = group_cols(by)
-    d = _distinct_texts(split_df, text, by, seed)
+    d = _distinct_texts(split_df, text, by, seed, with_text=True)
     d = d.withColumn("__w", word_tokens(F.col("text")))
     d = NGram(n=ngram, inputCol="__w", outputCol="__ng").transform(d)
     d = d.withColumn("__sh", F.when(F.size("__ng") > 0, F.col("__ng")).otherwise(F.col("__w"))) \

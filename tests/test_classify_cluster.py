@@ -167,3 +167,18 @@ def test_model_save_and_load(spark, tmp_path):
     a = sorted(map(tuple, cl.nb_predict(m, test, "text").select("row_idx", "pred_label").collect()))
     b = sorted(map(tuple, cl.nb_predict(m2, test, "text").select("row_idx", "pred_label").collect()))
     assert a == b
+
+
+def test_bisecting_grouped(spark):
+    df = _blobs(spark, n_per=12, seed=4)
+    df = df.unionByName(df.withColumn("sheet", F.lit("t")))
+    out = cu.bisecting(df, "v", k=3)
+    rows = out.collect()
+    assert len(rows) == 2 * 37
+    for sheet in ("s", "t"):
+        a = {r.row_idx: r.cluster for r in rows if r.sheet == sheet}
+        assert set(a.values()) <= {0, 1, 2} and len(set(a.values())) == 3
+        # the two sheets hold the same points, so they get the same clusters
+    s_ = {r.row_idx: r.cluster for r in rows if r.sheet == "s"}
+    t_ = {r.row_idx: r.cluster for r in rows if r.sheet == "t"}
+    assert s_ == t_
