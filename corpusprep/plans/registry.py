@@ -87,7 +87,7 @@ def q_exact_dup_count(spark, sf):
 
 
 @register("text_intersect", f"""
-SELECT workbook, sheet, md5(ctext) AS text_md5, length(ctext) AS text_len FROM (
+SELECT workbook, sheet, md5(ctext) AS text_md5, CAST(length(ctext) AS INTEGER) AS text_len FROM (
   SELECT workbook, sheet, ctext FROM ({D_SPLIT}) x WHERE split = 'train'
   INTERSECT
   SELECT workbook, sheet, ctext FROM ({D_SPLIT}) x WHERE split = 'test') i""")
