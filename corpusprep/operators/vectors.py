@@ -38,7 +38,7 @@ def tfidf(df: DataFrame, text: str, by: Sequence[str] | None = None, vocab: Data
     dfreq = tf.groupBy(*by, "token").agg(F.count(F.lit(1)).alias("__df"))
     idf = sized_join(dfreq, n, on=by).select(
         *by, "token", (F.log((F.col("__n") + 1) / (F.col("__df") + 1)) + 1).alias("idf"))
-    w = tf.join(idf, by + ["token"]).withColumn("__w", F.col("tf") * F.col("idf"))
+    w = sized_join(tf, idf, on=by + ["token"]).withColumn("__w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(*keys)))
     return w.select(*keys, "token", (F.col("__w") / norm).alias("weight"))
 

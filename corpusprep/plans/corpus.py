@@ -21,6 +21,7 @@ from corpusprep.operators import labels as lb
 from corpusprep.operators import leakage as lk
 from corpusprep.operators import split as sp
 from corpusprep.operators import vectors as vc
+from corpusprep.operators.joins import sized_join
 from corpusprep.schema import SPLIT, group_cols
 
 CLUSTER_TEXT = "__cluster_text__"
@@ -46,7 +47,7 @@ def classify_corpus(split_df: DataFrame, text: str, label_cols: Sequence[str],
     by = group_cols(by)
     label = sp.last_present(label_cols, split_df)
     usable = fl.complete_groups(split_df, by).select(*by)
-    s = split_df.join(usable, by, "left_semi")
+    s = sized_join(split_df, usable, on=by, how="left_semi")
     pred = cl.nb_evaluate(s, text, label, by)
     summary = cl.training_summary(s, pred, lb.label_map_sorted(s, label, by), by)
     groups = split_df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))

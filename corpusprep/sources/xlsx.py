@@ -28,7 +28,7 @@ from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from corpusprep.functions.names import normalize_name_py
 
@@ -146,10 +146,14 @@ class XlsxReader(DataSourceReader):
         self.output = output
         skip = options.get("skip", "")
         self.skip = {normalize_name_py(s) for s in skip.split(",") if s.strip()}
+        self.only: dict[str, set] = {}          # pushed equality / IN filters per key column
 
     def partitions(self):
         base = self.folder.rstrip("/")
-        return [_Part(f"{base}/{n}", n) for n in list_workbooks(self.folder, self.files)]
+        names = list_workbooks(self.folder, self.files)
+        if "workbook" in self.only:
+            names = [n for n in names if n in self.only["workbook"]]
+        return [_Part(f"{base}/{n}", n) for n in names]
 
     def read(self, partition):
         try:
@@ -161,11 +165,14 @@ class XlsxReader(DataSourceReader):
             if self.mode == "FAILFAST":
                 raise
             msg = f"{type(e).__name__}: {e}"
-            yield (partition.name, None, None, None, msg)
+            if "sheet" not in self.only:          # a null sheet matches no pushed sheet filter
+                yield (partition.name, None, None, None, msg)
             return
         for sheet, header, rows in sheets:
             if normalize_name_py(sheet) in self.skip:
                 continue
+            if "sheet" in self.only and sheet not in self.only["sheet"]:
+                continue
             if self.output == "sheets":
                 yield (partition.name, sheet, header, len(rows), None)
             else:
@@ -173,6 +180,23 @@ class XlsxReader(DataSourceReader):
                     yield (partition.name, sheet, idx, cells, None)
 
 
+class XlsxPushdownReader(XlsxReader):
+    """Reader that also takes ``workbook`` / ``sheet`` filters (used when the
+    session enables ``spark.sql.python.filterPushdown.enabled``)."""
+
+    def pushFilters(self, filters):
+        """Accept ``workbook`` / ``sheet`` equality and IN filters: workbooks
+        not named are never opened, worksheets not named are not parsed into
+        rows. Everything else is returned to Spark."""
+        for f in filters:
+            col = f.attribute[0] if isinstance(f, (EqualTo, In)) and len(f.attribute) == 1 else None
+            if col in ("workbook", "sheet"):
+                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.only[col] = self.only[col] & values if col in self.only else values
+            else:
+                yield f
+
+
 class XlsxDataSource(DataSource):
     @classmethod
     def name(cls):
@@ -182,7 +206,8 @@ class XlsxDataSource(DataSource):
         return SHEETS_SCHEMA if self.options.get("output", "rows") == "sheets" else ROWS_SCHEMA
 
     def reader(self, schema):
-        return XlsxReader(dict(self.options), self.options.get("output", "rows"))
+        cls = XlsxPushdownReader if self.options.get("pushdown", "false") == "true" else XlsxReader
+        return cls(dict(self.options), self.options.get("output", "rows"))
 
 
 def register(spark: SparkSession) -> None:
@@ -192,7 +217,9 @@ def register(spark: SparkSession) -> None:
 def read_workbooks(spark: SparkSession, folder: str, files: str | None = None, skip: str = "",
                    mode: str = "PERMISSIVE", output: str = "rows") -> DataFrame:
     register(spark)
-    r = spark.read.format("xlsx").option("mode", mode).option("skip", skip).option("output", output)
+    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
+    r = spark.read.format("xlsx").option("mode", mode).option("skip", skip).option("output", output) \
+        .option("pushdown", str(pushdown).lower())
     if files is not None:
         r = r.option("files", files)
     return r.load(folder)

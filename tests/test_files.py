@@ -81,3 +81,21 @@ def test_sinks(spark, tmp_path):
     assert got == {("w1", 9), ("w2", 1)}       # dynamic overwrite of one group only
     rp.write_json_report(df, str(tmp_path / "json"))
     assert len([f for f in os.listdir(tmp_path / "json") if f.endswith(".json")]) == 1
+
+
+def test_filter_pushdown(spark):
+    d = _folder()
+    xl.write_bytes(os.path.join(d, "a.xlsx"), xl.workbook_bytes([("S1", ["x"], [["1"], ["2"]]), ("S2", ["x"], [["3"]])]))
+    xl.write_bytes(os.path.join(d, "b.xlsx"), xl.workbook_bytes([("S1", ["x"], [["4"]])]))
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        raw = xl.read_workbooks(spark, d).where((F.col("workbook") == "a.xlsx") & F.col("sheet").isin("S1", "S9"))
+        got = sorted(r.cells["x"] for r in raw.collect())
+        assert got == ["1", "2"]
+        plan = raw._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(workbook,a.xlsx)" in plan and "In(sheet" in plan
+        xl.write_bytes(os.path.join(d, "c.xlsx"), b"broken")
+        bad = xl.read_workbooks(spark, d).where(F.col("sheet") == "S1")
+        assert bad.where(F.col("_error").isNotNull()).count() == 0 and bad.count() == 3
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
