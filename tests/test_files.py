@@ -92,7 +92,7 @@ def test_filter_pushdown(spark):
         raw = xl.read_workbooks(spark, d).where((F.col("workbook") == "a.xlsx") & F.col("sheet").isin("S1", "S9"))
         got = sorted(r.cells["x"] for r in raw.collect())
         assert got == ["1", "2"]
-        plan = raw._jdf.queryExecution().executedPlan().toString()
+        plan = raw._sc._jvm.PythonSQLUtils.explainString(raw._jdf.queryExecution(), "formatted")
         assert "EqualTo(workbook,a.xlsx)" in plan and "In(sheet" in plan
         xl.write_bytes(os.path.join(d, "c.xlsx"), b"broken")
         bad = xl.read_workbooks(spark, d).where(F.col("sheet") == "S1")
