@@ -218,3 +218,32 @@ def inference_samples(split_df: DataFrame, pred: DataFrame, text: str, k: int =
     return top.join(pred.select(*by, ROW_IDX, "pred_label", "confidence"), by + [ROW_IDX]).select(
         *by, F.col("rn").cast("int").alias("rn"), preview(F.col(text)).alias("text"),
         F.col("pred_label").alias("predicted_label"), "confidence")
+
+
+def confusion(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """``by, label_id, pred_id, n``: confusion counts (a partial aggregate)."""
+    by = group_cols(by)
+    return pred.groupBy(*by, "label_id", "pred_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def custom_metrics(pred: DataFrame, fn, schema: str, by: Sequence[str] | None = None) -> DataFrame:
+    """Apply a user metric callback per group.
+
+    ``fn(confusion: pandas.DataFrame) -> dict`` receives the group's
+    confusion counts (columns ``label_id, pred_id, n``; at most classes^2
+    rows, so no group's predictions are gathered) and returns the metric
+    values named in ``schema`` (a DDL string, group columns excluded).
+    """
+    import pandas as pd
+    by = group_cols(by)
+    conf = confusion(pred, by)
+    key_fields = ", ".join(f"{c} {conf.schema[c].dataType.simpleString()}" for c in by)
+
+    def _apply(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = dict(fn(pdf[["label_id", "pred_id", "n"]].reset_index(drop=True)))
+        for c in by:
+            out[c] = pdf[c].iloc[0]
+        return pd.DataFrame([out])
+
+    full = f"{key_fields}, {schema}" if by else schema
+    return conf.groupBy(*by).applyInPandas(_apply, full)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.text import word_tokens
-from corpusprep.operators.joins import sized_join
+from corpusprep.operators.joins import reuse, sized_join
 from corpusprep.schema import ROW_IDX, group_cols
 
 HASH_DIMS = 256
@@ -34,6 +34,7 @@ def tfidf(df: DataFrame, text: str, by: Sequence[str] | None = None, vocab: Data
         .groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("tf"))
     if vocab is not None:
         tf = sized_join(tf, vocab.select("token").distinct(), on=["token"], how="left_semi")
+    tf = reuse(tf)                               # read for document frequencies and weights
     n = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
     dfreq = tf.groupBy(*by, "token").agg(F.count(F.lit(1)).alias("__df"))
     idf = sized_join(dfreq, n, on=by).select(

@@ -925,3 +925,18 @@ def q_inference_samples(spark, sf):
     pred = cl.nb_evaluate(s, "ctext", "lang")
     return cl.inference_samples(s, pred, "ctext").select(
         *GK, "rn", "text", "predicted_label", F.round("confidence", 4).alias("confidence"))
+
+
+def _balanced_accuracy(conf):
+    """Example user metric over a group's confusion counts: mean recall."""
+    recalls = []
+    for cls, g in conf.groupby("label_id"):
+        recalls.append(g.loc[g.pred_id == cls, "n"].sum() / g["n"].sum())
+    return {"balanced_accuracy": round(float(sum(recalls) / len(recalls)), 9)}
+
+
+@register("clf_custom_metric", _NB + """
+SELECT workbook, sheet, round(avg(recall), 9) AS balanced_accuracy FROM rep WHERE support > 0
+GROUP BY workbook, sheet""")
+def q_clf_custom_metric(spark, sf):
+    return cl.custom_metrics(_nb_eval(spark, sf), _balanced_accuracy, "balanced_accuracy double")

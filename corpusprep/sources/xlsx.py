@@ -60,7 +60,8 @@ def list_workbooks(folder: str, files: str | None = None) -> list[str]:
     from pyarrow import fs as pafs
     fs, p = _fs(folder)
     infos = fs.get_file_info(pafs.FileSelector(p, recursive=False))
-    return sorted(i.base_name for i in infos if i.type == pafs.FileType.File and i.base_name.endswith(".xlsx"))
+    return sorted(i.base_name for i in infos if i.type == pafs.FileType.File and i.base_name.endswith(".xlsx")
+                  and not i.base_name.startswith(("_", ".")))   # hidden and temporary files
 
 
 def _col_index(ref: str) -> int:
@@ -345,6 +346,12 @@ def _ensure_dir(folder: str) -> None:
 
 
 def write_bytes(path: str, data: bytes) -> None:
+    """Write a file atomically: a temporary name first, then a rename, so a
+    retried or speculative task never leaves a half-written workbook."""
+    import uuid
     fs, p = _fs(path)
-    with fs.open_output_stream(p) as out:
+    folder, name = p.rsplit("/", 1)
+    tmp = f"{folder}/_tmp-{uuid.uuid4().hex}-{name}"
+    with fs.open_output_stream(tmp) as out:
         out.write(data)
+    fs.move(tmp, p)

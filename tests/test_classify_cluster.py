@@ -182,3 +182,18 @@ def test_bisecting_grouped(spark):
     s_ = {r.row_idx: r.cluster for r in rows if r.sheet == "s"}
     t_ = {r.row_idx: r.cluster for r in rows if r.sheet == "t"}
     assert s_ == t_
+
+
+def test_custom_metric_callback(spark):
+    pairs = [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0)]
+    rows = [("w", "s", i, a, p) for i, (a, p) in enumerate(pairs)]
+    pred = spark.createDataFrame(rows, "workbook string, sheet string, row_idx bigint, label_id int, pred_id int")
+
+    def balanced_accuracy(conf):
+        per = []
+        for cls, g in conf.groupby("label_id"):
+            per.append(g.loc[g.pred_id == cls, "n"].sum() / g["n"].sum())
+        return {"balanced_accuracy": float(sum(per) / len(per)), "rows": int(conf["n"].sum())}
+
+    r = cl.custom_metrics(pred, balanced_accuracy, "balanced_accuracy double, rows long").first()
+    assert r.rows == 5 and r.balanced_accuracy == pytest.approx((0.5 + 1.0 + 0.0) / 3)
