@@ -102,9 +102,10 @@ def length_band_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None =
 
     Lengths are bucketed by ``floor(ln(len)/ln((2-t)/t))``; a qualifying pair
     lies in the same or a neighbouring bucket, so test texts are replicated to
-    three buckets and joined on ``(group, bucket, salt)``. Big buckets are
-    salted: train texts are cut into slices of ``SALT_ROWS`` and test texts
-    replicated to every slice, so every pair is produced exactly once.
+    three buckets and joined on ``(group, bucket, salt cell)``. Big buckets
+    are salted on both sides (a grid of train slices x test slices of at most
+    ``SALT_ROWS`` texts each), so every pair is produced exactly once and no
+    task holds more than ``SALT_ROWS**2`` pairs of one bucket.
     """
     by = group_cols(by)
     d = _distinct_texts(split_df, text, by, seed, with_bins=with_bins)
@@ -120,13 +121,24 @@ def length_band_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None =
     tr = d.where(F.col(SPLIT) == TRAIN).select(*by, "lb", *cols)
     te = d.where(F.col(SPLIT) == TEST).select(*by, "lb", *cols)
 
-    slices = tr.groupBy(*by, "lb").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(SALT_ROWS)).cast("int").alias("nslice"))
-    tr = sized_join(tr, slices, on=by + ["lb"]).withColumn(
-        "salt", F.pmod(F.xxhash64("tid"), F.col("nslice")).cast("int"))
-    te = te.withColumn("lb", F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)))
-    te = sized_join(te, slices, on=by + ["lb"]).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("nslice") - 1)))
+    # 2-D salt grid per join bucket: train texts are cut into S_tr slices and
+    # test texts (from the three neighbouring buckets) into S_te slices; a
+    # train row is copied to every test slice and vice versa, so each pair
+    # meets in exactly one cell and no cell holds more than SALT_ROWS^2 pairs.
+    te3 = te.withColumn("lb", F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)))
+    n_tr = tr.groupBy(*by, "lb").agg(F.count(F.lit(1)).alias("__ntr"))
+    n_te = te3.groupBy(*by, "lb").agg(F.count(F.lit(1)).alias("__nte"))
+    grid = n_tr.join(n_te, by + ["lb"]).select(
+        *by, "lb", F.ceil(F.col("__ntr") / F.lit(SALT_ROWS)).cast("int").alias("s_tr"),
+        F.ceil(F.col("__nte") / F.lit(SALT_ROWS)).cast("int").alias("s_te"))
+    tr = sized_join(tr, grid, on=by + ["lb"]).select(
+        *by, "lb", *cols, F.pmod(F.xxhash64("tid"), F.col("s_tr")).cast("int").alias("si"),
+        F.explode(F.sequence(F.lit(0), F.col("s_te") - 1)).alias("sj"))
+    te = sized_join(te3, grid, on=by + ["lb"]).select(
+        *by, "lb", *cols, F.explode(F.sequence(F.lit(0), F.col("s_tr") - 1)).alias("si"),
+        F.pmod(F.xxhash64("tid"), F.col("s_te")).cast("int").alias("sj"))
+    tr = tr.withColumn("salt", F.concat_ws(":", "si", "sj")).drop("si", "sj")
+    te = te.withColumn("salt", F.concat_ws(":", "si", "sj")).drop("si", "sj")
 
     a = tr.select(*by, "lb", "salt", *[F.col(c).alias(f"tr_{c}") for c in cols])
     b = te.select(*by, "lb", "salt", *[F.col(c).alias(f"te_{c}") for c in cols])
