@@ -327,32 +327,46 @@ def char_overlap_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None
 
 
 def minhash_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
-                  max_distance: float = 0.5, ngram: int = 3, num_tables: int = 5,
+                  max_distance: float = 0.5, ngram: int = 3, bands: int = 5, rows_per_band: int = 2,
                   num_features: int = 1 << 18, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Approximate near duplicates for very large groups: word ``ngram``
-    shingles -> binary ``HashingTF`` -> ``MinHashLSH`` similarity join of
-    train and test inside each group, Jaccard distance <= ``max_distance``.
-    Recall is below 1 (LSH); texts with fewer than ``ngram`` words use their
-    single words; texts without words cannot be hashed and are not compared.
+    """Approximate near duplicates for very large groups (recall below 1).
+
+    Word ``ngram`` shingles -> binary ``HashingTF`` -> MLlib ``MinHashLSH``
+    signatures (``bands * rows_per_band`` hash functions). Candidate pairs
+    share one band, i.e. all ``rows_per_band`` min-hashes of that band, and
+    the group is part of the join key, so texts of different groups are
+    never paired and one common shingle cannot make a giant bucket. Exact
+    Jaccard distance of the shingle sets is checked on the candidates.
+    Texts with fewer than ``ngram`` words use their single words; texts
+    without words cannot be hashed and are not compared.
     """
     from pyspark.ml.feature import HashingTF, MinHashLSH, NGram
+    from pyspark.ml.functions import vector_to_array
     from corpusprep.functions.text import word_tokens
     by = group_cols(by)
     d = _distinct_texts(split_df, text, by, seed, with_text=True)
     d = d.withColumn("__w", word_tokens(F.col("text")))
     d = NGram(n=ngram, inputCol="__w", outputCol="__ng").transform(d)
-    d = d.withColumn("__sh", F.when(F.size("__ng") > 0, F.col("__ng")).otherwise(F.col("__w"))) \
+    d = d.withColumn("__sh", F.array_distinct(F.when(F.size("__ng") > 0, F.col("__ng")).otherwise(F.col("__w")))) \
         .where(F.size("__sh") > 0)
     d = HashingTF(inputCol="__sh", outputCol="__f", numFeatures=num_features, binary=True).transform(d)
-    lsh = MinHashLSH(inputCol="__f", outputCol="__h", numHashTables=num_tables, seed=seed).fit(d)
-    tr = d.where(F.col(SPLIT) == TRAIN).select(*by, "tid", "mult", "__f")
-    te = d.where(F.col(SPLIT) == TEST).select(*by, "tid", "mult", "__f")
-    j = lsh.approxSimilarityJoin(tr, te, max_distance, distCol="jaccard_distance")
-    same = F.lit(True)
-    for c in by:
-        same = same & (F.col(f"datasetA.{c}") == F.col(f"datasetB.{c}"))
-    return j.where(same & (F.col("datasetA.tid") != F.col("datasetB.tid"))).select(
-        *[F.col(f"datasetA.{c}").alias(c) for c in by],
-        F.col("datasetA.tid").alias("train_tid"), F.col("datasetB.tid").alias("test_tid"),
-        "jaccard_distance",
-        (F.col("datasetA.mult") * F.col("datasetB.mult")).cast("bigint").alias("pairs"))
+    n_hash = bands * rows_per_band
+    lsh = MinHashLSH(inputCol="__f", outputCol="__h", numHashTables=n_hash, seed=seed).fit(d)
+    h = reuse(lsh.transform(d).select(*by, SPLIT, "tid", "mult", "__sh",
+                                      F.transform("__h", lambda v: vector_to_array(v)[0]).alias("__mh")))
+    band_keys = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(
+        b.alias("band"), F.slice("__mh", b * rows_per_band + 1, rows_per_band).alias("key"))))
+    keyed = h.select(*by, SPLIT, "tid", band_keys.alias("__b")).select(*by, SPLIT, "tid", "__b.band", "__b.key")
+    tr = keyed.where(F.col(SPLIT) == TRAIN).select(*by, "band", "key", F.col("tid").alias("train_tid"))
+    te = keyed.where(F.col(SPLIT) == TEST).select(*by, "band", "key", F.col("tid").alias("test_tid"))
+    cand = tr.join(te, by + ["band", "key"]).where(F.col("train_tid") != F.col("test_tid")) \
+        .select(*by, "train_tid", "test_tid").distinct()
+    sa = h.where(F.col(SPLIT) == TRAIN).select(*by, F.col("tid").alias("train_tid"), F.col("__sh").alias("a"),
+                                               F.col("mult").alias("ma"))
+    sb = h.where(F.col(SPLIT) == TEST).select(*by, F.col("tid").alias("test_tid"), F.col("__sh").alias("b"),
+                                              F.col("mult").alias("mb"))
+    j = cand.join(sa, by + ["train_tid"]).join(sb, by + ["test_tid"])
+    dist = F.lit(1.0) - F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
+    return j.select(*by, "train_tid", "test_tid", dist.alias("jaccard_distance"),
+                    (F.col("ma") * F.col("mb")).cast("bigint").alias("pairs")) \
+        .where(F.col("jaccard_distance") <= F.lit(max_distance))

@@ -112,3 +112,14 @@ def test_asymmetry_and_scope(spark):
     df = a.unionByName(b)
     assert lk.exact_duplicates(df, "text").agg(F.sum("exact_duplicates")).first()[0] == 0
     assert lk.exact_duplicates(df, "text", by=["workbook"]).first().exact_duplicates == 1
+
+
+def test_minhash_finds_close_pairs_within_groups(spark):
+    base = "the quick brown fox jumps over the lazy dog near the quiet river bank today"
+    train = [base, "completely different words about cooking pasta with fresh tomato sauce"]
+    test = [base + " again", "nothing in common here at all zebra"]
+    a = _split_frame(spark, train, test, ("w", "s1"))
+    b = _split_frame(spark, [base], [], ("w", "s2"))            # same text in another group
+    got = lk.minhash_pairs(a.unionByName(b), "text", max_distance=0.5).collect()
+    assert len(got) == 1 and got[0].sheet == "s1"
+    assert got[0].jaccard_distance <= 0.5
