@@ -63,8 +63,11 @@ def versioned_write(df: DataFrame, path: str, model: str, version: str | None =
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (df.withColumn("model", F.lit(model)).withColumn("version", F.lit(version))
-           .write.mode("overwrite").partitionBy("model", "version", *partition_by).format(fmt).save(path))
+        w = (df.withColumn("model", F.lit(model)).withColumn("version", F.lit(version))
+             .write.mode("overwrite").partitionBy("model", "version", *partition_by).format(fmt))
+        if fmt == "csv":
+            w = w.option("header", True)
+        w.save(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     return version

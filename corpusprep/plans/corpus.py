@@ -84,3 +84,48 @@ def cluster_corpus(df: DataFrame, text_cols: Sequence[str], k: int = cu.DEFAULT_
 
 
 __all__ = ["leakage_report", "classify_corpus", "cluster_corpus", "SPLIT"]
+
+
+# --------------------------------------------------------------------------
+# writing the plans' outputs (JSON reports, CSV rows, versioned layout)
+# --------------------------------------------------------------------------
+def write_leakage_report(report: DataFrame, gate: DataFrame, path: str,
+                         threshold: float | None = lk.SIMILARITY_THRESHOLD,
+                         fail_threshold: float = lk.FAIL_THRESHOLD) -> None:
+    """``workbooks/``: one JSON line per workbook with its sheets nested;
+    ``summary/``: one line with totals, ratio, status and both thresholds."""
+    from corpusprep.operators.report import nest, write_json_report
+    base = path.rstrip("/")
+    sheets = report.withColumnRenamed("sheet", "sheet_name")
+    nest(sheets, ["workbook"], "sheets", order=["sheet_name"]).write.mode("overwrite").json(f"{base}/workbooks")
+    write_json_report(gate.withColumn("similarity_threshold", F.lit(threshold).cast("double"))
+                      .withColumn("fail_threshold", F.lit(fail_threshold)), f"{base}/summary")
+
+
+def write_cluster_outputs(rows: DataFrame, summary: DataFrame, root: str, model: str = "clustering",
+                          version: str | None = None, by: Sequence[str] | None = None) -> str:
+    """Clustered rows as CSV and summaries as JSON under
+    ``root/{rows,summary}/model=../version=../workbook=../sheet=..``."""
+    from corpusprep.operators.report import versioned_write
+    by = group_cols(by)
+    base = root.rstrip("/")
+    version = versioned_write(rows, f"{base}/rows", model, version, by, fmt="csv")
+    versioned_write(summary, f"{base}/summary", model, version, by, fmt="json")
+    return version
+
+
+def write_classification_outputs(split_df: DataFrame, pred: DataFrame, summary: DataFrame, text: str,
+                                 label: str, root: str, model: str = "nb", version: str | None = None,
+                                 by: Sequence[str] | None = None) -> str:
+    """Label maps, per-class metrics, inference samples and the per-group
+    summary, each as JSON in the versioned layout."""
+    from corpusprep.operators.report import versioned_write
+    by = group_cols(by)
+    base = root.rstrip("/")
+    version = versioned_write(lb.label_map_sorted(split_df, label, by), f"{base}/label_mapping", model, version,
+                              by, fmt="json")
+    versioned_write(cl.class_report(pred, by), f"{base}/metrics", model, version, by, fmt="json")
+    versioned_write(cl.inference_samples(split_df, pred, text, by=by), f"{base}/inference_samples", model,
+                    version, by, fmt="json")
+    versioned_write(summary, f"{base}/summary", model, version, by, fmt="json")
+    return version
