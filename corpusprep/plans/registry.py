@@ -732,17 +732,21 @@ def q_xlsx_bad_files(spark, sf):
 
 
 @register("scan_summary", f"""
-SELECT workbook, CAST(count(*) AS BIGINT) AS n_sheets, string_agg(sheet, ', ' ORDER BY sheet) AS sheets,
-       CAST(sum(n) AS BIGINT) AS n_rows FROM (
-  SELECT {_BOOK_SQL} || '.xlsx' AS workbook, p_brand AS sheet, count(*) AS n FROM part
-  WHERE {_sql_norm('p_brand')} NOT IN ('brand#1', 'brand#2')
-  GROUP BY 1, 2) s GROUP BY workbook""")
+SELECT workbook, CAST(count_if(NOT skipped) AS BIGINT) AS n_sheets,
+       string_agg(CASE WHEN NOT skipped THEN sheet END, ', ' ORDER BY sheet) AS sheets,
+       CAST(sum(CASE WHEN NOT skipped THEN n ELSE 0 END) AS BIGINT) AS n_rows,
+       CAST(count_if(skipped) AS BIGINT) AS n_skipped FROM (
+  SELECT {_BOOK_SQL} || '.xlsx' AS workbook, p_brand AS sheet, count(*) AS n,
+         {_sql_norm('p_brand')} IN ('brand#1', 'brand#2') AS skipped
+  FROM part GROUP BY 1, 2, 4) s GROUP BY workbook""")
 def q_scan_summary(spark, sf):
     sheets = xl.read_workbooks(spark, _write_part_books(spark, sf), skip="Brand#1, AWS_Brand#2", output="sheets")
+    kept = ~F.col("skipped")
     return xl.good_rows(sheets).groupBy("workbook").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_sheets"),
-        F.array_join(F.sort_array(F.collect_list("sheet")), ", ").alias("sheets"),
-        F.sum("n_rows").cast("bigint").alias("n_rows"))
+        F.count_if(kept).cast("bigint").alias("n_sheets"),
+        F.array_join(F.sort_array(F.collect_list(F.when(kept, F.col("sheet")))), ", ").alias("sheets"),
+        F.sum(F.when(kept, F.col("n_rows")).otherwise(0)).cast("bigint").alias("n_rows"),
+        F.count_if(F.col("skipped")).cast("bigint").alias("n_skipped"))
 
 
 @register("nonempty_groups", f"""

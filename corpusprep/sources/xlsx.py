@@ -11,7 +11,8 @@ header. Options:
 * ``mode``: ``PERMISSIVE`` (default) turns an unreadable workbook into one
   row with ``_error`` set; ``FAILFAST`` raises;
 * ``output``: ``rows`` (default) or ``sheets`` (one row per worksheet with
-  its columns and row count, including empty worksheets).
+  its columns and row count, including empty worksheets and, flagged
+  ``skipped``, those left out by the skip list).
 
 Files are opened through ``pyarrow.fs`` so the same code reads local, HDFS
 or object-store folders.
@@ -33,7 +34,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 from corpusprep.functions.names import normalize_name_py
 
 ROWS_SCHEMA = "workbook string, sheet string, row_idx bigint, cells map<string,string>, _error string"
-SHEETS_SCHEMA = "workbook string, sheet string, columns array<string>, n_rows bigint, _error string"
+SHEETS_SCHEMA = ("workbook string, sheet string, columns array<string>, n_rows bigint, skipped boolean, "
+                 "_error string")
 ALL_FILES = "ALL_FILES"
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -167,16 +169,16 @@ class XlsxReader(DataSourceReader):
                 raise
             msg = f"{type(e).__name__}: {e}"
             if "sheet" not in self.only:          # a null sheet matches no pushed sheet filter
-                yield (partition.name, None, None, None, msg)
+                yield (partition.name, None, None, None, msg) if self.output != "sheets" else \
+                    (partition.name, None, None, None, None, msg)
             return
         for sheet, header, rows in sheets:
-            if normalize_name_py(sheet) in self.skip:
-                continue
             if "sheet" in self.only and sheet not in self.only["sheet"]:
                 continue
+            skipped = normalize_name_py(sheet) in self.skip
             if self.output == "sheets":
-                yield (partition.name, sheet, header, len(rows), None)
-            else:
+                yield (partition.name, sheet, header, len(rows), skipped, None)
+            elif not skipped:
                 for idx, cells in rows:
                     yield (partition.name, sheet, idx, cells, None)
 
