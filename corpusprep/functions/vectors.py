@@ -68,10 +68,14 @@ def project(vec: pd.Series, mean: pd.Series, axes: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def moment_partials(batches: Iterator[pd.DataFrame], keys: list[str], vec: str) -> Iterator[pd.DataFrame]:
+def moment_partials(batches: Iterator[pd.DataFrame], keys: list[str], vec: str,
+                    max_values: int = 8_000_000) -> Iterator[pd.DataFrame]:
     """Per task and group: row count, mean of x and mean of x x^T (flattened).
-    Pre-aggregates inside each partition before any shuffle."""
+    Pre-aggregates inside each partition before any shuffle; when the open
+    accumulators exceed ``max_values`` numbers they are emitted early (the
+    final weighted mean combines any number of partials per group)."""
     acc: dict[tuple, list] = {}
+    held = 0
     for pdf in batches:
         for k, g in pdf.groupby(keys, sort=False, dropna=False):
             k = k if isinstance(k, tuple) else (k,)
@@ -79,11 +83,20 @@ def moment_partials(batches: Iterator[pd.DataFrame], keys: list[str], vec: str)
             s = acc.get(k)
             if s is None:
                 acc[k] = [len(x), x.sum(0), x.T @ x]
+                held += x.shape[1] * (x.shape[1] + 1)
             else:
                 s[0] += len(x)
                 s[1] = s[1] + x.sum(0)
                 s[2] = s[2] + x.T @ x
+        if held > max_values:
+            yield _emit(acc, keys)
+            acc, held = {}, 0
+    if acc:
+        yield _emit(acc, keys)
+
+
+def _emit(acc: dict, keys: list[str]) -> pd.DataFrame:
     rows = []
     for k, (n, sx, sxx) in acc.items():
         rows.append({**dict(zip(keys, k)), "n": n, "mean": (sx / n).tolist(), "mom": (sxx / n).ravel().tolist()})
-    yield pd.DataFrame(rows, columns=[*keys, "n", "mean", "mom"])
+    return pd.DataFrame(rows, columns=[*keys, "n", "mean", "mom"])

@@ -112,8 +112,9 @@ def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None
     limits = var.select(*by, (F.lit(tol) * F.aggregate(vector_to_array("__var"), F.lit(0.0), lambda a, x: a + x)
                                / F.greatest(F.size(vector_to_array("__var")), F.lit(1))).alias("__limit")).checkpoint()
     cents = seed_centroids(data, vec, k, by, seed).checkpoint()
-    n_groups = limits.limit(BROADCAST_MAX_ROWS + 1).count()
-    bcast = n_groups <= BROADCAST_MAX_ROWS
+    n_groups = limits.count()
+    # the packed centroids (k vectors per group) keep the seeds' size: check once
+    _, bcast = bounded_broadcast(cents.groupBy(*by).agg(F.collect_list("centroid").alias("__c")))
     lim = F.broadcast(limits) if bcast else limits
     n_open, state = n_groups, None
     for _ in range(max_iter):

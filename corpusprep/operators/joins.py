@@ -6,21 +6,28 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of rows we are willing to ship to every executor.
+# Largest side we are willing to ship to every executor: rows and bytes.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(small, is_broadcast)``.
 
     ``small`` is persisted and counted (a cheap job: it is an aggregate or a
-    dictionary); if it holds at most ``max_rows`` rows it is wrapped in a
-    broadcast hint, otherwise it is left for a shuffle join (with AQE skew
-    splitting). Nothing is collected to the driver.
+    dictionary). It is broadcast only if it holds at most ``max_rows`` rows
+    and its materialised size (the cached relation's statistics, exact once
+    built) is at most ``max_bytes``; otherwise it is left for a shuffle join
+    (with AQE skew splitting). Nothing is collected to the driver.
     """
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     n = small.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if n > max_rows:
+        return small, False
+    small.count()                                   # materialise every partition
+    size = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size <= max_bytes:
         return F.broadcast(small), True
     return small, False
 
