@@ -22,10 +22,9 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     (with AQE skew splitting). Nothing is collected to the driver.
     """
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
+    n = small.count()              # materialises the cache the join reads next
     if n > max_rows:
         return small, False
-    small.count()                                   # materialise every partition
     size = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size <= max_bytes:
         return F.broadcast(small), True

@@ -59,17 +59,12 @@ def versioned_write(df: DataFrame, path: str, model: str, version: str | None =
     taken once per write."""
     import datetime as dt
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = (df.withColumn("model", F.lit(model)).withColumn("version", F.lit(version))
-             .write.mode("overwrite").partitionBy("model", "version", *partition_by).format(fmt))
-        if fmt == "csv":
-            w = w.option("header", True)
-        w.save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    w = (df.withColumn("model", F.lit(model)).withColumn("version", F.lit(version))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("model", "version", *partition_by).format(fmt))
+    if fmt == "csv":
+        w = w.option("header", True)
+    w.save(path)
     return version
 
 
