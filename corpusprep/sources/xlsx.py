@@ -74,11 +74,66 @@ def _col_index(ref: str) -> int:
 
 
 def _text(el) -> str:
-    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
-
-
-def parse_workbook(data: bytes) -> Iterator[tuple[str, list[str], list[tuple[int, dict[str, str | None]]]]]:
-    """Yield ``(sheet name, header, [(row_idx, cells)])`` per worksheet."""
+    """Text of a shared or inline string: plain ``t`` or rich-text runs
+    (phonetic runs are left out)."""
+    m = _NS["m"]
+    t = el.find(f"{{{m}}}t")
+    if t is not None:
+        return t.text or ""
+    return "".join((r.findtext(f"{{{m}}}t") or "") for r in el.findall(f"{{{m}}}r"))
+
+
+def _cell_value(c, shared: list[str]) -> str | None:
+    t = c.get("t", "n")
+    if t == "inlineStr":
+        is_el = c.find("m:is", _NS)
+        return _text(is_el) if is_el is not None else None
+    v = c.find("m:v", _NS)
+    val = v.text if v is not None else None
+    if t == "s" and val is not None:
+        return shared[int(val)]
+    if t == "b" and val is not None:
+        return "True" if val == "1" else "False"
+    return val
+
+
+def _sheet_rows(fh, shared: list[str]) -> Iterator[tuple[int, dict[int, str | None]]]:
+    """Stream ``(row number, {column index: value})`` from a worksheet part
+    with ``iterparse``; each row element is cleared once read, so memory
+    stays bounded by one row."""
+    row_tag = f"{{{_NS['m']}}}row"
+    last = 0
+    for _, el in ET.iterparse(fh, events=("end",)):
+        if el.tag != row_tag:
+            continue
+        rnum = int(el.get("r")) if el.get("r") else last + 1
+        last = rnum
+        cells: dict[int, str | None] = {}
+        for i, c in enumerate(el.findall("m:c", _NS)):
+            cells[_col_index(c.get("r")) if c.get("r") else i] = _cell_value(c, shared)
+        el.clear()
+        if any(v is not None for v in cells.values()):
+            yield rnum, cells
+
+
+def _header(head: dict[int, str | None], width: int) -> list[str]:
+    header, seen = [], {}
+    for i in range(width):
+        h = head.get(i)
+        name = str(h) if h is not None else f"Unnamed: {i}"
+        if name in seen:
+            seen[name] += 1
+            name = f"{name}.{seen[name]}"
+        else:
+            seen[name] = 0
+        header.append(name)
+    return header
+
+
+def parse_workbook(data: bytes) -> Iterator[tuple[str, list[str], Iterator[tuple[int, dict[str, str | None]]]]]:
+    """Yield ``(sheet name, header, rows)`` per worksheet; ``rows`` streams
+    ``(row_idx, cells)``. Columns past the header row are named
+    ``Unnamed: i``; repeated names get ``.1``, ``.2`` suffixes."""
     z = zipfile.ZipFile(io.BytesIO(data))
     names = set(z.namelist())
     shared: list[str] = []
@@ -93,46 +148,29 @@ def parse_workbook(data: bytes) -> Iterator[tuple[str, list[str], list[tuple[int
     wb = ET.fromstring(z.read("xl/workbook.xml"))
     for sh in wb.find("m:sheets", _NS).findall("m:sheet", _NS):
         target = rels.get(sh.get(_REL))
-        grid: list[tuple[int, dict[int, str | None]]] = []
-        if target and target in names:
-            ws = ET.fromstring(z.read(target))
-            data_el = ws.find("m:sheetData", _NS)
-            for row in (data_el.findall("m:row", _NS) if data_el is not None else []):
-                rnum = int(row.get("r")) if row.get("r") else (grid[-1][0] + 1 if grid else 1)
-                cells: dict[int, str | None] = {}
-                for i, c in enumerate(row.findall("m:c", _NS)):
-                    idx = _col_index(c.get("r")) if c.get("r") else i
-                    t = c.get("t", "n")
-                    if t == "inlineStr":
-                        is_el = c.find("m:is", _NS)
-                        val = _text(is_el) if is_el is not None else None
-                    else:
-                        v = c.find("m:v", _NS)
-                        val = v.text if v is not None else None
-                        if t == "s" and val is not None:
-                            val = shared[int(val)]
-                        elif t == "b" and val is not None:
-                            val = "True" if val == "1" else "False"
-                    cells[idx] = val
-                if any(v is not None for v in cells.values()):
-                    grid.append((rnum, cells))
-        if not grid:
-            yield sh.get("name"), [], []
+        if not target or target not in names:
+            yield sh.get("name"), [], iter(())
             continue
-        head_r, head = grid[0]
-        width = max(max(c.keys()) for _, c in grid) + 1
-        header, seen = [], {}
-        for i in range(width):
-            h = head.get(i)
-            name = str(h) if h is not None else f"Unnamed: {i}"
-            if name in seen:
-                seen[name] += 1
-                name = f"{name}.{seen[name]}"
-            else:
-                seen[name] = 0
-            header.append(name)
-        rows = [(r - head_r - 1, {header[i]: cells.get(i) for i in range(width)}) for r, cells in grid[1:]]
-        yield sh.get("name"), header, rows
+        # one pass for the width (cells may extend past the header row),
+        # a second streaming pass for the rows
+        width, head, head_r = 0, None, None
+        with z.open(target) as fh:
+            for rnum, cells in _sheet_rows(fh, shared):
+                if head is None:
+                    head, head_r = cells, rnum
+                width = max(width, max(cells) + 1)
+        if head is None:
+            yield sh.get("name"), [], iter(())
+            continue
+        header = _header(head, width)
+
+        def rows(target=target, head_r=head_r, header=header):
+            with z.open(target) as fh:
+                for rnum, cells in _sheet_rows(fh, shared):
+                    if rnum > head_r:
+                        yield rnum - head_r - 1, {header[i]: cells.get(i) for i in range(len(header))}
+
+        yield sh.get("name"), header, rows()
 
 
 class _Part(InputPartition):
@@ -158,29 +196,40 @@ class XlsxReader(DataSourceReader):
             names = [n for n in names if n in self.only["workbook"]]
         return [_Part(f"{base}/{n}", n) for n in names]
 
+    def _error(self, workbook: str, sheet: str | None, e: Exception):
+        if self.mode == "FAILFAST":
+            raise e
+        msg = f"{type(e).__name__}: {e}"
+        if "sheet" in self.only and sheet not in self.only["sheet"]:
+            return None                             # a pushed sheet filter excludes it
+        return (workbook, sheet, None, None, msg) if self.output != "sheets" else \
+            (workbook, sheet, None, None, None, msg)
+
     def read(self, partition):
         try:
             fs, p = _fs(partition.path)
             with fs.open_input_file(p) as fh:
                 data = fh.read()
-            sheets = list(parse_workbook(data))
+            sheets = list(parse_workbook(data))    # structure and widths; rows stream below
         except Exception as e:  # noqa: BLE001 - reported as a row in PERMISSIVE mode
-            if self.mode == "FAILFAST":
-                raise
-            msg = f"{type(e).__name__}: {e}"
-            if "sheet" not in self.only:          # a null sheet matches no pushed sheet filter
-                yield (partition.name, None, None, None, msg) if self.output != "sheets" else \
-                    (partition.name, None, None, None, None, msg)
+            row = self._error(partition.name, None, e)
+            if row is not None:
+                yield row
             return
         for sheet, header, rows in sheets:
             if "sheet" in self.only and sheet not in self.only["sheet"]:
                 continue
             skipped = normalize_name_py(sheet) in self.skip
-            if self.output == "sheets":
-                yield (partition.name, sheet, header, len(rows), skipped, None)
-            elif not skipped:
-                for idx, cells in rows:
-                    yield (partition.name, sheet, idx, cells, None)
+            try:
+                if self.output == "sheets":
+                    yield (partition.name, sheet, header, sum(1 for _ in rows), skipped, None)
+                elif not skipped:
+                    for idx, cells in rows:
+                        yield (partition.name, sheet, idx, cells, None)
+            except Exception as e:  # noqa: BLE001 - a damaged worksheet
+                row = self._error(partition.name, sheet, e)
+                if row is not None:
+                    yield row
 
 
 class XlsxPushdownReader(XlsxReader):
