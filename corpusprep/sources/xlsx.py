@@ -6,7 +6,8 @@ is one input partition, read on an executor; the first row of a sheet is the
 header. Options:
 
 * ``files``: ``ALL_FILES`` (default) lists ``*.xlsx`` of the folder (not
-  recursive); otherwise a comma list, trimmed, blanks dropped;
+  recursive); otherwise a comma list, trimmed, blanks dropped; the keyword
+  is compared case-sensitively unless ``keyword_case_sensitive`` is false;
 * ``skip``: comma list of sheet names to leave out (normalised names);
 * ``mode``: ``PERMISSIVE`` (default) turns an unreadable workbook into one
   row with ``_error`` set; ``FAILFAST`` raises;
@@ -55,9 +56,13 @@ def _fs(path: str):
     return pafs.LocalFileSystem(), path
 
 
-def list_workbooks(folder: str, files: str | None = None) -> list[str]:
-    """File names to read (names only, sorted)."""
-    if files is not None and files.strip() != ALL_FILES:
+def list_workbooks(folder: str, files: str | None = None, keyword_case_sensitive: bool = True) -> list[str]:
+    """File names to read (names only, sorted). ``files`` is ``ALL_FILES``
+    (compared case-sensitively unless ``keyword_case_sensitive=False``) or a
+    comma list."""
+    keyword = files.strip() if files is not None else ALL_FILES
+    is_all = keyword == ALL_FILES if keyword_case_sensitive else keyword.upper() == ALL_FILES
+    if not is_all:
         return [f.strip() for f in files.split(",") if f.strip()]
     from pyarrow import fs as pafs
     fs, p = _fs(folder)
@@ -183,6 +188,7 @@ class XlsxReader(DataSourceReader):
     def __init__(self, options: dict, output: str):
         self.folder = options.get("path", "")
         self.files = options.get("files")
+        self.keyword_cs = options.get("keyword_case_sensitive", "true").lower() == "true"
         self.mode = options.get("mode", "PERMISSIVE").upper()
         self.output = output
         skip = options.get("skip", "")
@@ -191,7 +197,7 @@ class XlsxReader(DataSourceReader):
 
     def partitions(self):
         base = self.folder.rstrip("/")
-        names = list_workbooks(self.folder, self.files)
+        names = list_workbooks(self.folder, self.files, self.keyword_cs)
         if "workbook" in self.only:
             names = [n for n in names if n in self.only["workbook"]]
         return [_Part(f"{base}/{n}", n) for n in names]
@@ -267,13 +273,14 @@ def register(spark: SparkSession) -> None:
 
 
 def read_workbooks(spark: SparkSession, folder: str, files: str | None = None, skip: str = "",
-                   mode: str = "PERMISSIVE", output: str = "rows") -> DataFrame:
+                   mode: str = "PERMISSIVE", output: str = "rows", keyword_case_sensitive: bool = True) -> DataFrame:
     register(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
     r = spark.read.format("xlsx").option("mode", mode).option("skip", skip).option("output", output) \
         .option("pushdown", str(pushdown).lower())
     if files is not None:
         r = r.option("files", files)
+    r = r.option("keyword_case_sensitive", str(keyword_case_sensitive).lower())
     return r.load(folder)
 
 

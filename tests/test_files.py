@@ -53,6 +53,9 @@ def test_workbook_roundtrip_and_edge_sheets(spark):
     assert [r.workbook for r in sel.select("workbook").distinct().collect()] == ["two.xlsx"]
     with pytest.raises(Exception):
         xl.read_workbooks(spark, d, files="broken.xlsx", mode="FAILFAST").collect()
+    assert xl.list_workbooks(d, " all_files ", keyword_case_sensitive=False) == ["broken.xlsx", "one.xlsx",
+                                                                              "two.xlsx"]
+    assert xl.list_workbooks(d, "all_files") == ["all_files"]
 
 
 def test_write_workbooks_from_spark(spark):
