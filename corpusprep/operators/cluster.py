@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.vectors import nearest_centroid
-from corpusprep.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast, sized_join
+from corpusprep.operators.joins import bounded_broadcast, sized_join
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import ROW_IDX, group_cols
 from corpusprep.session import checkpoint_dir

@@ -22,7 +22,7 @@ from corpusprep.operators import leakage as lk
 from corpusprep.operators import split as sp
 from corpusprep.operators import vectors as vc
 from corpusprep.operators.joins import sized_join
-from corpusprep.schema import SPLIT, group_cols
+from corpusprep.schema import group_cols
 
 CLUSTER_TEXT = "__cluster_text__"
 COMBINED_TEXT = "__combined_text__"
@@ -83,7 +83,8 @@ def cluster_corpus(df: DataFrame, text_cols: Sequence[str], k: int = cu.DEFAULT_
     return rows, summary
 
 
-__all__ = ["leakage_report", "classify_corpus", "cluster_corpus", "SPLIT"]
+__all__ = ["leakage_report", "classify_corpus", "cluster_corpus", "write_leakage_report", "write_cluster_outputs",
+           "write_classification_outputs"]
 
 
 # --------------------------------------------------------------------------

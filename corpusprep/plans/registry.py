@@ -162,9 +162,6 @@ from corpusprep.operators import labels as lb  # noqa: E402
 from corpusprep.operators.ranking import shuffle_key  # noqa: E402
 from corpusprep.sources import typed as ty  # noqa: E402
 
-_WS = S.WHITESPACE if hasattr(S, "WHITESPACE") else tx.WHITESPACE
-
-
 def _sql_norm(e: str) -> str:
     return f"replace(replace(lower({S.strip(e)}), 'aws_', ''), 'amazon_', '')"
 
