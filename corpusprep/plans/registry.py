@@ -941,3 +941,13 @@ SELECT workbook, sheet, round(avg(recall), 9) AS balanced_accuracy FROM rep WHER
 GROUP BY workbook, sheet""")
 def q_clf_custom_metric(spark, sf):
     return cl.custom_metrics(_nb_eval(spark, sf), _balanced_accuracy, "balanced_accuracy double")
+
+
+@register("near_dup_samples")
+def q_near_dup_samples(spark, sf):
+    """First five near-duplicate pairs per group (test order, then train order)."""
+    pairs = lk.near_duplicate_pairs(d_split(spark, sf), "ctext")
+    s = lk.sample_pairs(pairs)
+    return s.select(*GK, F.explode("sample_near_duplicates").alias("p")).select(
+        *GK, F.col("p.n").alias("rn"), F.md5("p.train_text").alias("train_md5"),
+        F.md5("p.test_text").alias("test_md5"), F.col("p.similarity").alias("similarity"))
