@@ -138,14 +138,16 @@ def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None
 
 
 def bisecting(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
-              seed: int = DEFAULT_SEED, max_iter: int = 300) -> DataFrame:
+              seed: int = DEFAULT_SEED, max_iter: int = 20) -> DataFrame:
     """Top-down hierarchical clustering for every group at once.
 
     Start with one cluster per group; each round picks, in every group, the
     largest cluster (ties: smaller id) that still has at least two rows and
     splits it with grouped 2-means (``kmeans`` keyed by group and cluster);
     the new half gets the next id. After ``k - 1`` rounds each group has up
-    to ``k`` clusters. Stands in for bottom-up agglomerative clustering.
+    to ``k`` clusters. Each split runs at most ``max_iter`` Lloyd rounds
+    (20, as MLlib's bisecting k-means). Stands in for bottom-up
+    agglomerative clustering.
     Adds ``cluster``.
     """
     by = group_cols(by)
