@@ -123,3 +123,19 @@ def test_minhash_finds_close_pairs_within_groups(spark):
     got = lk.minhash_pairs(a.unionByName(b), "text", max_distance=0.5).collect()
     assert len(got) == 1 and got[0].sheet == "s1"
     assert got[0].jaccard_distance <= 0.5
+
+
+def test_hot_text_multiplicities(spark, monkeypatch):
+    monkeypatch.setattr(lk, "SALT_ROWS", 2)
+    hot = "the same support question repeated very many times"
+    near = "the same support question repeated very many timez"
+    train = [hot] * 30 + [near] * 3 + [f"other question number {i}" for i in range(57)]
+    test = [hot] * 10 + [near] * 2 + [f"different test item {i}" for i in range(18)]
+    df = _split_frame(spark, train, test)
+    got = Counter()
+    for r in lk.near_duplicate_pairs(df, "text").collect():
+        got[(r.train_text, r.test_text)] += r.pairs
+    assert got == _brute(train, test, 0.9)
+    assert got[(hot, near)] == 30 * 2 and got[(near, hot)] == 3 * 10
+    rep = lk.sheet_report(df, "text").first()
+    assert rep.exact_duplicates == 2 and rep.near_duplicates == sum(got.values())
