@@ -121,27 +121,38 @@ def lr_pipeline(text: str, label_col: str = "label_id", num_features: int = 1 <<
     ])
 
 
+def _group_filter(by: list[str], key: tuple):
+    cond = F.lit(True)
+    for c, v in zip(by, key):
+        cond = cond & (F.col(c) == F.lit(v))
+    return cond
+
+
+def lr_fit(split_df: DataFrame, text: str, label: str, key: tuple, by: Sequence[str] | None = None):
+    """Fit the MLlib pipeline on the train rows of one group; returns
+    ``(PipelineModel, label map)``. Save it with
+    ``model.write().overwrite().save(path)``."""
+    by = group_cols(by)
+    part = split_df.where(_group_filter(by, key))
+    lmap = label_map_sorted(part, label, by)
+    tr = label_encode(part.where(F.col(SPLIT) == TRAIN), lmap, label, by) \
+        .where(F.col("label_id") >= 0).withColumn("label_id", F.col("label_id").cast("double"))
+    return lr_pipeline(text).fit(tr), lmap
+
+
 def lr_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None) -> DataFrame:
     """Logistic regression per group with MLlib (one distributed fit per
     group; meant for few, large groups)."""
     from pyspark.ml.functions import vector_to_array
     by = group_cols(by)
-    lmap = label_map_sorted(split_df, label, by)
-    enc = label_encode(split_df, lmap, label, by)
-    groups = [tuple(r) for r in lmap.select(*by).distinct().collect()]  # group keys only
+    keys = [tuple(r) for r in split_df.select(*by).distinct().collect()]  # group keys only
     outs = []
-    for g in groups:
-        cond = F.lit(True)
-        for c, v in zip(by, g):
-            cond = cond & (F.col(c) == F.lit(v))
-        part = enc.where(cond)
-        tr = part.where((F.col(SPLIT) == TRAIN) & (F.col("label_id") >= 0)).withColumn(
-            "label_id", F.col("label_id").cast("double"))
-        te = part.where(F.col(SPLIT) == TEST)
-        fitted = lr_pipeline(text).fit(tr)
-        p = fitted.transform(te).select(*by, ROW_IDX, "label_id", F.col("prediction").cast("int").alias("pred_id"),
-                                        F.array_max(vector_to_array("probability")).alias("confidence"))
-        outs.append(p)
+    for g in keys:
+        model, lmap = lr_fit(split_df, text, label, g, by)
+        te = label_encode(split_df.where(_group_filter(by, g) & (F.col(SPLIT) == TEST)), lmap, label, by)
+        outs.append(model.transform(te).select(
+            *by, ROW_IDX, "label_id", F.col("prediction").cast("int").alias("pred_id"),
+            F.array_max(vector_to_array("probability")).alias("confidence")))
     out = outs[0]
     for p in outs[1:]:
         out = out.unionByName(p)

@@ -197,3 +197,20 @@ def test_custom_metric_callback(spark):
 
     r = cl.custom_metrics(pred, balanced_accuracy, "balanced_accuracy double, rows long").first()
     assert r.rows == 5 and r.balanced_accuracy == pytest.approx((0.5 + 1.0 + 0.0) / 3)
+
+
+def test_lr_model_save_and_load(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    rows = [("w", "s", i, "train" if i < 16 else "test", "a" if i % 2 else "b", f"word{i % 2} filler text")
+            for i in range(20)]
+    df = spark.createDataFrame(rows, "workbook string, sheet string, row_idx bigint, split string, label string, "
+                                     "text string")
+    model, lmap = cl.lr_fit(df, "text", "label", ("w", "s"))
+    model.write().overwrite().save(str(tmp_path / "lr"))
+    back = PipelineModel.load(str(tmp_path / "lr"))
+    test = df.where("split = 'test'")
+    a = [r.prediction for r in model.transform(test).orderBy("row_idx").collect()]
+    b = [r.prediction for r in back.transform(test).orderBy("row_idx").collect()]
+    assert a == b
+    ev = {r.row_idx: (r.label_id, r.pred_id) for r in cl.lr_evaluate(df, "text", "label").collect()}
+    assert all(lab == pred for lab, pred in ev.values())
