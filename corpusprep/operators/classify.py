@@ -63,11 +63,15 @@ def nb_scores(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None
     alpha = model["alpha"]
     tf = df.select(*keys, F.explode(word_tokens(F.col(text))).alias("token")) \
         .groupBy(*keys, "token").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
-    vocab = model["tokens"].select(*by, "token").distinct()
-    known = reuse(sized_join(tf, vocab, on=by + ["token"], how="left_semi"))
+    # one model row per (group, token) with its per-label gains: a single
+    # size-checked join finds the known words and their gains together
+    packed = model["tokens"].groupBy(*by, "token").agg(
+        F.collect_list(F.struct("label", "log_gain")).alias("__g"))
+    known = reuse(sized_join(tf, packed, on=by + ["token"]))
     n_known = known.groupBy(*keys).agg(F.sum("tf").alias("n_known"))
-    gains = sized_join(known, model["tokens"].select(*by, "token", "label", "log_gain"), on=by + ["token"]) \
-        .groupBy(*keys, "label").agg(F.sum(F.col("tf") * F.col("log_gain")).alias("gain"))
+    gains = known.select(*keys, "tf", F.explode("__g").alias("__e")) \
+        .groupBy(*keys, F.col("__e.label").alias("label")) \
+        .agg(F.sum(F.col("tf") * F.col("__e.log_gain")).alias("gain"))
     rows = df.select(*keys).join(n_known, keys, "left").fillna(0, subset=["n_known"])
     base = sized_join(rows, model["classes"].select(*by, "label", "label_id", "log_prior", "log_denom"), on=by)
     return base.join(gains, keys + ["label"], "left").select(
