@@ -167,6 +167,7 @@ def _bin_overlap(a: str, b: str):
 _PAIR_SCHEMA = T.StructType([
     T.StructField("keep", T.BooleanType()),
     T.StructField("similarity", T.DoubleType()),
+    T.StructField("similarity_3", T.DoubleType()),      # Python round(x, 3), as reports show it
 ])
 
 
@@ -175,6 +176,7 @@ def _make_ratio_udf(threshold: float, autojunk: bool):
     def pair_ratio(train: pd.Series, test: pd.Series) -> pd.DataFrame:
         keep = np.zeros(len(train), dtype=bool)
         score = np.full(len(train), np.nan)
+        shown = np.full(len(train), np.nan)
         for i, (a, b) in enumerate(zip(train, test)):
             need = sim.need_matches(len(a), len(b), threshold) - EPS
             if not sim.lcs_at_least(a, b, need):
@@ -183,7 +185,8 @@ def _make_ratio_udf(threshold: float, autojunk: bool):
             if r >= threshold and a != b:
                 keep[i] = True
                 score[i] = r
-        return pd.DataFrame({"keep": keep, "similarity": score})
+                shown[i] = round(r, 3)
+        return pd.DataFrame({"keep": keep, "similarity": score, "similarity_3": shown})
     # non-deterministic so the optimizer never inlines it twice
     return pair_ratio.asNondeterministic()
 
@@ -212,7 +215,7 @@ def near_duplicate_pairs(split_df: DataFrame, text: str, by: Sequence[str] | Non
     scored = cand.withColumn("__r", _make_ratio_udf(threshold, autojunk)(F.col("train_text"), F.col("test_text")))
     return scored.where(F.col("__r.keep")).select(
         *by, "train_text", "test_text",
-        F.col("__r.similarity").alias("similarity"),
+        F.col("__r.similarity").alias("similarity"), F.col("__r.similarity_3").alias("similarity_3"),
         (F.col("tr_mult") * F.col("te_mult")).cast("bigint").alias("pairs"),
         F.col("tr_pos").alias("train_pos"), F.col("te_pos").alias("test_pos"),
     )
@@ -225,13 +228,14 @@ def near_duplicate_counts(pairs: DataFrame, by: Sequence[str] | None = None) ->
 
 def sample_pairs(pairs: DataFrame, by: Sequence[str] | None = None, k: int = SAMPLE_PAIRS) -> DataFrame:
     """First ``k`` pairs per group in (test order, train order); similarity
-    rounded to 3 places. Returns ``group, sample_near_duplicates``."""
+    rounded to 3 places the way Python rounds (half-even on the binary
+    value). Returns ``group, sample_near_duplicates``."""
     by = group_cols(by)
     w = Window.partitionBy(*by).orderBy("test_pos", "train_pos")
     top = pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
     return top.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(
         F.col("__rn").alias("n"), "train_text", "test_text",
-        F.round("similarity", 3).alias("similarity")))).alias("sample_near_duplicates"))
+        F.col("similarity_3").alias("similarity")))).alias("sample_near_duplicates"))
 
 
 # --------------------------------------------------------------------------
