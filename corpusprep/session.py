@@ -9,15 +9,39 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Sizing for a large cluster (hundreds of executors, ~100 TB of input):
+# start with many shuffle partitions and let AQE coalesce them towards the
+# advisory size, so a 100 TB shuffle still has ~128 MB partitions that fit in
+# executor memory; split scans at 256 MB; let AQE split skewed join
+# partitions; keep Arrow batches moderate for wide text rows.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+}
+
+
 def get_spark(master: str | None = None, app: str = "corpusprep",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Session with AQE, Arrow and UTC; tests use ``local[*]``."""
+    """Session with AQE, Arrow and UTC; tests use ``local[*]``. A non-local
+    master gets ``CLUSTER_CONF`` (explicit settings of the caller win)."""
     cpus = os.environ.get("BENCH_CPUS")
     master = master or (f"local[{cpus}]" if cpus else "local[*]")
     parts = shuffle_partitions or int(cpus or os.cpu_count() or 8)
+    builder = SparkSession.builder.master(master).appName(app)
+    if not master.startswith("local"):
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
+        parts = shuffle_partitions or int(CLUSTER_CONF["spark.sql.shuffle.partitions"])
     spark = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        builder
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
