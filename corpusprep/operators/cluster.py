@@ -50,6 +50,31 @@ def seed_centroids(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str
         .select(*by, (F.col("__rn") - 1).cast("int").alias("cluster"), "centroid")
 
 
+def plus_plus_seeds(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
+                    seed: int = DEFAULT_SEED, broadcast: bool | None = None) -> DataFrame:
+    """k-means++ seeds for every group at once, deterministic.
+
+    The first seed is the row with the smallest ``md5('<seed>:<row_idx>')``.
+    Each next seed is a D^2-weighted draw: every row gets the key
+    ``ln(u) / D^2`` (``u`` in (0, 1] from an md5 of seed, round and row, D the
+    distance to the nearest chosen seed) and the largest key wins per group
+    (weighted sampling by Efraimidis-Spirakis keys), a partial ``max_by``
+    aggregate. One pass over the rows per seed; the result does not depend
+    on partitioning. Groups with fewer distinct points get fewer seeds.
+    """
+    by = group_cols(by)
+    cents = seed_centroids(df, vec, 1, by, seed).checkpoint()
+    for c in range(1, k):
+        a = assign(df, vec, cents, by, broadcast=broadcast).where(F.col("dist2") > 0)
+        h = F.md5(F.concat(F.lit(f"{seed}:{c}:"), F.col(ROW_IDX).cast("string")))
+        u = (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + F.lit(1.0)) / F.lit(float(1 << 52))
+        key = F.struct((F.log(u) / F.col("dist2")).alias("k"), (-F.col(ROW_IDX)).alias("t"))
+        pick = a.groupBy(*by).agg(F.max_by(_vec(vec), key).alias("centroid")) \
+            .select(*by, F.lit(c).cast("int").alias("cluster"), "centroid")
+        cents = cents.unionByName(pick).checkpoint()
+    return cents
+
+
 def _sqdist(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
@@ -88,9 +113,13 @@ def update(assigned: DataFrame, vec: str, by: Sequence[str] | None = None, clust
 
 
 def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
-           seed: int = DEFAULT_SEED, max_iter: int = 300, tol: float = 1e-4) -> tuple[DataFrame, DataFrame]:
+           seed: int = DEFAULT_SEED, max_iter: int = 300, tol: float = 1e-4,
+           init: str = "k-means++") -> tuple[DataFrame, DataFrame]:
     """Grouped Lloyd iterations; returns ``(assignments, centroids)``.
 
+    ``init``: ``k-means++`` (default, deterministic D^2 seeding) or ``md5``
+    (the ``k`` rows with the smallest seeded hash).
+
     A group has converged when the summed squared shift of its centroids is
     at most ``tol`` times the mean per-coordinate variance of its rows (the
     usual relative tolerance); converged groups are frozen (later rounds read
@@ -111,10 +140,13 @@ def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None
         .agg(Summarizer.variance(F.col("__v")).alias("__var"))
     limits = var.select(*by, (F.lit(tol) * F.aggregate(vector_to_array("__var"), F.lit(0.0), lambda a, x: a + x)
                                / F.greatest(F.size(vector_to_array("__var")), F.lit(1))).alias("__limit")).checkpoint()
-    cents = seed_centroids(data, vec, k, by, seed).checkpoint()
+    if init not in ("k-means++", "md5"):
+        raise ValueError(f"unknown init {init!r}")
+    first = seed_centroids(data, vec, k, by, seed).checkpoint()
     n_groups = limits.count()
-    # the packed centroids (k vectors per group) keep the seeds' size: check once
-    _, bcast = bounded_broadcast(cents.groupBy(*by).agg(F.collect_list("centroid").alias("__c")))
+    # the packed centroids (k vectors per group) have the seeds' size: check once
+    _, bcast = bounded_broadcast(first.groupBy(*by).agg(F.collect_list("centroid").alias("__c")))
+    cents = first if init == "md5" else plus_plus_seeds(data, vec, k, by, seed, broadcast=bcast)
     lim = F.broadcast(limits) if bcast else limits
     n_open, state = n_groups, None
     for _ in range(max_iter):
