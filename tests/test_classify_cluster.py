@@ -214,3 +214,15 @@ def test_lr_model_save_and_load(spark, tmp_path):
     assert a == b
     ev = {r.row_idx: (r.label_id, r.pred_id) for r in cl.lr_evaluate(df, "text", "label").collect()}
     assert all(lab == pred for lab, pred in ev.values())
+
+
+def test_plus_plus_seeds_distinct_and_invariant(spark):
+    df = _blobs(spark, n_per=15, seed=9)
+    a = {r.cluster: tuple(r.centroid) for r in cu.plus_plus_seeds(df, "v", 4).collect()}
+    b = {r.cluster: tuple(r.centroid) for r in cu.plus_plus_seeds(df.repartition(5), "v", 4).collect()}
+    assert a == b and len(set(a.values())) == 4
+    dup = df.unionByName(df)                       # duplicate points never become a second seed
+    c = {r.cluster: tuple(r.centroid) for r in cu.plus_plus_seeds(dup, "v", 4).collect()}
+    assert len(set(c.values())) == 4
+    with pytest.raises(ValueError):
+        cu.kmeans(df, "v", 2, init="random")
