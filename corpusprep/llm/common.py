@@ -117,8 +117,7 @@ def prefix_sums(light: DataFrame, order: list[str], size: str, start: str = "sta
             .drop("__part", "__before", "__off"))
 
 
-def shard_bounds(starts: DataFrame, key: str, shard_size: int, max_shards: int = 100_000,
-                 size: str | None = None) -> list[tuple[int, int]]:
+def shard_bounds(starts: DataFrame, key: str, shard_size: int, max_shards: int) -> list[tuple[int, int]]:
     """``(first key, first start)`` of each shard of about ``shard_size``, ascending.
 
     At most ``max_shards`` pairs: the shard grows instead. Depends only on

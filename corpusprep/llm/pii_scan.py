@@ -161,13 +161,23 @@ def mask(text: str) -> str:
     return "".join(out) + text[at:]
 
 
-def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with personal data in ``text_col`` masked; other columns unchanged, a null text stays null."""
+def mask_pii(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with personal data in ``text_col`` masked; a null text stays null.
+
+    ``chars_col``, if there is such a column, counts the new code points of
+    texts that changed; all other columns and rows are unchanged.
+    """
     at = docs.columns.index(text_col)
+    chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
 
     def run(batches):
         for b in batches:
             cols = list(b.columns)
-            cols[at] = pa.array([None if t is None else mask(t) for t in cols[at].to_pylist()], b.schema.field(at).type)
+            old = cols[at].to_pylist()
+            new = [None if t is None else mask(t) for t in old]
+            cols[at] = pa.array(new, b.schema.field(at).type)
+            if chars is not None:
+                cols[chars] = pa.array([n if t == o else len(t) for n, t, o in zip(cols[chars].to_pylist(), new, old, strict=True)],
+                                       b.schema.field(chars).type)
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
     return map_text(docs, run, docs.schema)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import pii_scan, simhash_gray, source_mix
+from corpusprep.llm import bpe_transducer, mil_quality, ordinal_toxicity, pii_scan, rans_tokens, simhash_gray, source_mix, warc_sharded
 from corpusprep.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,25 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gray.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    uri, manifest = warc_sharded.write_archives(table(spark, sf_dir, "pages"))
+    return warc_sharded.read_archives(uri, manifest, payloads=False) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op2_warc"] = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100
+      GROUP BY payload_digest HAVING count(*) > 1)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first IS NULL OR f.first IS NOT DISTINCT FROM p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first IS DISTINCT FROM p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))
@@ -60,3 +80,29 @@ FROM b JOIN r ON b.source IS NOT DISTINCT FROM r.source
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_scan.find_pii(table(spark, sf_dir, "documents"))
+
+
+#: Fixed value: the id that ends each document in op6.
+END_ID = 1
+
+
+@query
+def op6_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    uri, manifest = rans_tokens.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return rans_tokens.read_tokens(uri, manifest)
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mil_quality.score_quality(docs, mil_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal_toxicity.grade_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_transducer.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import connected_components, forest, map_text, written
+from corpusprep.llm.common import connected_components, forest, key_of, map_text, written
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -63,13 +63,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``; ``fp`` is the fingerprint as a signed bigint."""
+    """``doc_id, text_hash, fp``; ``fp`` is the fingerprint as a signed bigint."""
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
-    return map_text(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), run,
-                    "doc_id bigint, fp bigint")
+            fp = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["doc_id", "text_hash", "fp"])
+    return map_text(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                                F.col(text_col).alias("text")), run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 # ------------------------------------------------------------------ the index
@@ -211,15 +211,38 @@ def near_links(values: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SH
     return routed.repartition("shard").sortWithinPartitions("shard").mapInArrow(_join_shards(max_bits), "a bigint, b bigint")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every document."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, text_hash, fp)`` of every row, and ``(fp, first_id, root)`` of every distinct fingerprint."""
     fps = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-class")
     comp = connected_components(near_links(classes.select("fp"), max_bits))
-    rooted = classes.join(comp, F.col("fp") == F.col("node"), "left") \
+    return fps, classes.join(comp, F.col("fp") == F.col("node"), "left") \
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every document."""
+    fps, rooted = _rooted(docs, id_col, text_col, shingle, max_bits)
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = rooted.join(ids, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                         "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` for each component: the smallest id (nulls last), then the smallest text hash.
+
+    Of rows equal in both, the first by the other columns stays.
+    """
+    fps, rooted = _rooted(docs, id_col, text_col, shingle, max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    kept = fps.groupBy("fp").agg(first).join(rooted.select("fp", "root"), "fp") \
+        .groupBy("root").agg(F.min("first").alias("first")) \
+        .select(key_of("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_hash"))
+    keyed = docs.withColumn("__kept_id", key_of(id_col)).withColumn("__kept_hash", F.xxhash64(text_col))
+    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)] or [F.lit(0)]
+    w = Window.partitionBy("__kept_id", "__kept_hash").orderBy(*others)
+    return keyed.join(kept, ["__kept_id", "__kept_hash"], "left_semi").withColumn("__nth", F.row_number().over(w)) \
+        .where(F.col("__nth") == 1).select(*docs.columns)
