@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import bpe_transducer, mil_quality, ordinal_toxicity, pii_scan, rans_tokens, simhash_gray, source_mix, warc_sharded
+from corpusprep.llm import (bpe_transducer, ego_join, mil_quality, ordinal_toxicity, pii_scan, rans_tokens, simhash_gray,
+                            source_mix, syncmers, warc_sharded)
 from corpusprep.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +83,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_scan.find_pii(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 #: Fixed value: the id that ends each document in op6.
 END_ID = 1
 
@@ -98,6 +104,28 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.score_quality(docs, mil_quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op8_embeddings"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) AS q
+  FROM embeddings),
+ok AS (SELECT vec_id, e FROM v WHERE q > 0 AND NOT isinf(q) AND NOT isnan(q)
+       AND len(list_filter(e, lambda x: x IS NULL)) = 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+c AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(c.y, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(c.y, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.x = e.vec_id LEFT JOIN c ON c.x = e.vec_id
+"""
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_toxicity.grade_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
