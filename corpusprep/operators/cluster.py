@@ -31,7 +31,7 @@ ALGORITHMS = ("kmeans", "dbscan", "agglomerative")
 def check_algorithm(name: str) -> str:
     name = name.lower()
     if name not in ALGORITHMS:
-        raise ValueError(f"Unsupported clustering algorithm: {name}")
+        raise ValueError(f"no algorithm {name!r}; choose one of {', '.join(ALGORITHMS)}")
     return name
 
 
@@ -203,28 +203,6 @@ def bisecting(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | N
     return cur
 
 
-def bisecting_mllib(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
-                    seed: int = DEFAULT_SEED) -> DataFrame:
-    """MLlib ``BisectingKMeans``, one distributed fit per group (for a few
-    very large groups)."""
-    from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.functions import array_to_vector
-    by = group_cols(by)
-    v = df.withColumn("__v", array_to_vector(_vec(vec)))
-    outs = []
-    for g in [tuple(r) for r in v.select(*by).distinct().collect()]:  # group keys only
-        cond = F.lit(True)
-        for c, val in zip(by, g):
-            cond = cond & (F.col(c) == F.lit(val))
-        part = v.where(cond)
-        m = BisectingKMeans(k=k, seed=seed, featuresCol="__v", predictionCol="cluster").fit(part)
-        outs.append(m.transform(part).drop("__v"))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
-
-
 def cluster_summary(assigned: DataFrame, by: Sequence[str] | None = None, cluster: str = "cluster",
                     algorithm: str = "kmeans", columns_used: Sequence[str] = ()) -> DataFrame:
     """records and clusters (noise excluded) per group."""

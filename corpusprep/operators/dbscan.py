@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.vectors import euclidean
 from corpusprep.operators.cluster import NOISE
+from corpusprep.operators.joins import null_safe_groups
 from corpusprep.schema import ROW_IDX, group_cols
 from corpusprep.session import checkpoint_dir
 
@@ -43,7 +44,8 @@ def _prepare(df: DataFrame, vec: str, metric: str) -> DataFrame:
     v = F.col(vec).cast("array<double>")
     if metric == "cosine":
         norm = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
-        v = F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v)
+        # under cosine a zero vector is at distance 1 of all others: far for any radius below 1
+        v = F.when(norm > 0, F.transform(v, lambda x: x / norm))
     elif metric != "euclidean":
         raise ValueError(f"unsupported metric {metric!r}")
     return df.withColumn("__v", v)
@@ -59,7 +61,8 @@ def neighbours(df: DataFrame, vec: str, eps: float = EPS, metric: str = METRIC,
     self pairs included, with their distance."""
     by = group_cols(by)
     r = radius(eps, metric)
-    p = _prepare(df, vec, metric).select(*by, ROW_IDX, "__v")
+    every = _prepare(df, vec, metric).select(*by, ROW_IDX, "__v")
+    p, alone = every.where(F.col("__v").isNotNull()), every.where(F.col("__v").isNull())
     dim = p.select(F.size("__v").alias("n")).agg(F.max("n")).first()[0] or 0
     m = min(grid_dims, dim)
     if m > 0:
@@ -79,9 +82,12 @@ def neighbours(df: DataFrame, vec: str, eps: float = EPS, metric: str = METRIC,
                                          for j in range(len(axes))])
     keys = by + [f"g{j}" for j in range(len(axes))]
     pairs = a.join(b, keys).withColumn("distance", euclidean(F.col("va"), F.col("vb")))
-    return pairs.where(F.col("distance") <= F.lit(r) + F.lit(1e-12)).select(*by, "src", "dst", "distance")
+    near = pairs.where(F.col("distance") <= F.lit(r) + F.lit(1e-12)).select(*by, "src", "dst", "distance")
+    itself = alone.select(*by, F.col(ROW_IDX).alias("src"), F.col(ROW_IDX).alias("dst"), F.lit(0.0).alias("distance"))
+    return near.unionByName(itself)
 
 
+@null_safe_groups
 def core_points(df: DataFrame, vec: str, eps: float = EPS, min_samples: int = MIN_SAMPLES,
                 metric: str = METRIC, by: Sequence[str] | None = None) -> DataFrame:
     """``by, row_idx, n_neighbors, is_core`` for every row."""
@@ -92,6 +98,7 @@ def core_points(df: DataFrame, vec: str, eps: float = EPS, min_samples: int = MI
                      (F.col("n_neighbors") >= min_samples).alias("is_core"))
 
 
+@null_safe_groups
 def dbscan(df: DataFrame, vec: str, eps: float = EPS, min_samples: int = MIN_SAMPLES, metric: str = METRIC,
            by: Sequence[str] | None = None, out: str = "cluster") -> DataFrame:
     """Rows of ``df`` with ``out`` = cluster id per group, -1 for noise."""

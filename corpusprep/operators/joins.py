@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we are willing to ship to every executor: rows and bytes.
+from corpusprep.session import scratch_path
+
+# Largest side we are willing to ship to every executor: rows, and bytes of its files.
 BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 << 20
+BROADCAST_MAX_BYTES = 16 << 20
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(small, is_broadcast)``.
 
-    ``small`` is persisted and counted (a cheap job: it is an aggregate or a
-    dictionary). It is broadcast only if it holds at most ``max_rows`` rows
-    and its materialised size (the cached relation's statistics, exact once
-    built) is at most ``max_bytes``; otherwise it is left for a shuffle join
-    (with AQE skew splitting). Nothing is collected to the driver.
+    ``small`` (an aggregate or a dictionary) is written to the shared folder
+    and read again: its rows and bytes are then known, its lineage is cut, no
+    cache has to be released and a lost executor loses nothing. It is
+    broadcast only if it holds at most ``max_rows`` rows and ``max_bytes``
+    bytes; otherwise it is left for a shuffle join (with AQE skew splitting).
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()              # materialises the cache the join reads next
-    if n > max_rows:
+    spark = small.sparkSession
+    path = scratch_path(spark, "small")
+    small.write.parquet(path)
+    small = spark.read.schema(small.schema).parquet(path)
+    if small.count() > max_rows:
         return small, False
     size = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size <= max_bytes:
-        return F.broadcast(small), True
-    return small, False
+    return (F.broadcast(small), True) if size <= max_bytes else (small, False)
 
 
 def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -37,6 +43,50 @@ def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(side, on=on, how=how)
 
 
+def join_by(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner", broadcast: bool = False) -> DataFrame:
+    """Join on ``by`` with nulls equal; an empty ``by`` joins one-row aggregates."""
+    by = list(by)
+    other = right.select(*[F.col(c).alias(f"__r_{c}") if c in by else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in by:
+        cond = cond & left[c].eqNullSafe(other[f"__r_{c}"])
+    out = left.join(F.broadcast(other) if broadcast else other, cond, how)
+    return out if how == "left_semi" else out.drop(*[f"__r_{c}" for c in by])
+
+
+# Group columns packed into one struct: structs are never null and their null
+# fields compare as equal, so joins on it lose no group, and an empty ``by``
+# is a struct like any other.
+GROUP_KEY = "__g"
+
+
+def null_safe_groups(fn):
+    """Let a grouped operator ``fn(df, ..., by)`` keep null group keys and take an empty ``by``."""
+    sig = inspect.signature(fn)
+
+    def unpack(out, by):
+        if isinstance(out, tuple):
+            return tuple(unpack(o, by) for o in out)
+        if isinstance(out, DataFrame) and GROUP_KEY in out.columns:
+            return out.select(*[F.col(f"{GROUP_KEY}.{c}").alias(c) for c in by], *[c for c in out.columns if c != GROUP_KEY])
+        return out
+
+    @functools.wraps(fn)
+    def run(*args, **kw):
+        from corpusprep.schema import group_cols
+        bound = sig.bind(*args, **kw)
+        bound.apply_defaults()
+        by = group_cols(bound.arguments["by"])
+        if by == [GROUP_KEY]:
+            return fn(*bound.args, **bound.kwargs)
+        first = next(iter(bound.arguments))
+        key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+        bound.arguments[first] = bound.arguments[first].withColumn(GROUP_KEY, key).drop(*by)
+        bound.arguments["by"] = [GROUP_KEY]
+        return unpack(fn(*bound.args, **bound.kwargs), by)
+    return run
+
+
 def cpu_partitions(spark, per_slot: int = 4) -> int:
     """Partition count for CPU-heavy Python stages: several per task slot,
     at least the configured shuffle partitions."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions import similarity as sim
-from corpusprep.operators.joins import cpu_partitions, reuse, sized_join
+from corpusprep.operators.joins import cpu_partitions, null_safe_groups, reuse, sized_join
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import SPLIT, TEST, TRAIN, group_cols
 
@@ -57,12 +57,6 @@ def text_sides(split_df: DataFrame, text: str, by: Sequence[str] | None = None)
     )
 
 
-def text_intersect(split_df: DataFrame, text: str, by: Sequence[str] | None = None) -> DataFrame:
-    """Distinct texts present in both splits."""
-    by = group_cols(by)
-    return text_sides(split_df, text, by).where("in_train AND in_test").select(*by, text)
-
-
 def exact_duplicates(split_df: DataFrame, text: str, by: Sequence[str] | None = None) -> DataFrame:
     """Number of distinct texts found in both splits, per group.
 
@@ -191,11 +185,14 @@ def _make_ratio_udf(threshold: float, autojunk: bool):
     return pair_ratio.asNondeterministic()
 
 
+@null_safe_groups
 def near_duplicate_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
                          threshold: float = SIMILARITY_THRESHOLD, seed: int = DEFAULT_SEED,
-                         autojunk: bool = True) -> DataFrame:
+                         autojunk: bool = False) -> DataFrame:
     """All (train, test) text pairs of one group with ``ratio >= threshold``
-    and different texts; ``pairs`` is the product of both multiplicities, so
+    and different texts (``autojunk=True`` ignores common characters of test
+    texts from 200 characters on, as difflib does by default: it loses pairs
+    and is there for comparison only); ``pairs`` is the product of both multiplicities, so
     repeated texts count as repeated pairs.
 
     Candidate steps (each only drops pairs that cannot qualify): length band
@@ -206,7 +203,11 @@ def near_duplicate_pairs(split_df: DataFrame, text: str, by: Sequence[str] | Non
     cand = length_band_pairs(split_df, text, by, threshold, seed, with_bins=True)
     need = F.lit(threshold) * (F.col("tr_len") + F.col("te_len")) / F.lit(2.0) - F.lit(EPS)
     cand = cand.where(_bin_overlap("tr_bins", "te_bins") >= need).drop("tr_bins", "te_bins")
-    texts = split_df.select(F.md5(F.col(text)).alias("tid"), F.col(text).alias("t")).dropDuplicates(["tid"])
+    # candidates carry ids only; texts are fetched for these ids alone
+    cand = reuse(cand)
+    ids = cand.select(F.col("tr_tid").alias("tid")).union(cand.select(F.col("te_tid").alias("tid"))).distinct()
+    texts = split_df.select(F.md5(F.col(text)).alias("tid"), F.col(text).alias("t")) \
+        .join(ids, "tid", "left_semi").groupBy("tid").agg(F.first("t").alias("t"))
     cand = (cand.join(texts.withColumnRenamed("tid", "tr_tid").withColumnRenamed("t", "train_text"), "tr_tid")
                 .join(texts.withColumnRenamed("tid", "te_tid").withColumnRenamed("t", "test_text"), "te_tid"))
     # The pair check is CPU bound on little data: AQE would coalesce it into a
@@ -226,13 +227,18 @@ def near_duplicate_counts(pairs: DataFrame, by: Sequence[str] | None = None) ->
     return pairs.groupBy(*by).agg(F.sum("pairs").cast("bigint").alias("near_duplicates"))
 
 
+@null_safe_groups
 def sample_pairs(pairs: DataFrame, by: Sequence[str] | None = None, k: int = SAMPLE_PAIRS) -> DataFrame:
     """First ``k`` pairs per group in (test order, train order); similarity
     rounded to 3 places the way Python rounds (half-even on the binary
     value). Returns ``group, sample_near_duplicates``."""
     by = group_cols(by)
     w = Window.partitionBy(*by).orderBy("test_pos", "train_pos")
-    top = pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
+    # k pairs of texts hold the first k rows; then each stands as often as its rows repeat
+    top = pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k) \
+        .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.least("pairs", F.lit(k)).cast("int"))))
+    again = Window.partitionBy(*by).orderBy("__rn", "__rep")
+    top = top.withColumn("__rn", F.row_number().over(again)).where(F.col("__rn") <= k)
     return top.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(
         F.col("__rn").alias("n"), "train_text", "test_text",
         F.col("similarity_3").alias("similarity")))).alias("sample_near_duplicates"))
@@ -241,9 +247,10 @@ def sample_pairs(pairs: DataFrame, by: Sequence[str] | None = None, k: int = SAM
 # --------------------------------------------------------------------------
 # per-sheet report, totals and gate
 # --------------------------------------------------------------------------
+@null_safe_groups
 def sheet_report(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
                  threshold: float | None = SIMILARITY_THRESHOLD, seed: int = DEFAULT_SEED,
-                 autojunk: bool = True, with_samples: bool = False) -> DataFrame:
+                 autojunk: bool = False, with_samples: bool = False) -> DataFrame:
     """``num_train, num_test, exact_duplicates, near_duplicates`` per group.
 
     ``threshold=None`` skips the near-duplicate search (near = 0).
@@ -312,6 +319,7 @@ def assert_no_leakage(gate: DataFrame) -> None:
 # --------------------------------------------------------------------------
 # candidate steps exposed on their own, and the approximate option
 # --------------------------------------------------------------------------
+@null_safe_groups
 def char_overlap_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
                        threshold: float = SIMILARITY_THRESHOLD, seed: int = DEFAULT_SEED) -> DataFrame:
     """Length-band pairs whose exact character multiset overlap
@@ -334,6 +342,7 @@ def char_overlap_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None
     return ov.where(F.col("overlap") >= need)
 
 
+@null_safe_groups
 def minhash_pairs(split_df: DataFrame, text: str, by: Sequence[str] | None = None,
                   max_distance: float = 0.5, ngram: int = 3, bands: int = 5, rows_per_band: int = 2,
                   num_features: int = 1 << 18, seed: int = DEFAULT_SEED) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.operators.joins import sized_join
+from corpusprep.operators.joins import bounded_broadcast, join_by
 
 # The default seed of every shuffle.
 DEFAULT_SEED = 42
@@ -51,7 +51,33 @@ def rank_in_group(df: DataFrame, by: Sequence[str], key: str, tie: str,
         F.coalesce(F.sum("__cnt").over(w_run), F.lit(0)).alias("__before"),
         F.sum("__cnt").over(w_all).alias(size_col),
     )
-    joined = sized_join(keyed, offs, on=by + [b])
+    offs, small = bounded_broadcast(offs)
+    joined = join_by(keyed, offs, by + [b], broadcast=small)
     w_loc = Window.partitionBy(*by, b).orderBy(F.col(key), F.col(tie))
     return joined.withColumn(rank_col, (F.col("__before") + F.row_number().over(w_loc)).cast("bigint")) \
         .drop(b, "__before")
+
+
+# Buckets of the histogram that finds a cut: a label of n rows ranks n / 4096 of them.
+CUT_HEX = 3
+
+
+def cut_points(df: DataFrame, by: Sequence[str], key: str, tie: str, frac: float) -> DataFrame:
+    """``by`` with the key and tie of the last of the first ``max(1, floor(n * frac))`` rows.
+
+    A histogram of key prefixes tells the bucket in which that row lies; only
+    the rows of this bucket are ranked, on narrow columns. One row per group.
+    """
+    by = list(by)
+    narrow = df.select(*by, F.col(key).alias("__k"), F.col(tie).alias("__t"),
+                       F.substring(F.col(key), 1, CUT_HEX).alias("__b"))
+    hist = narrow.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    run = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    want = F.greatest(F.lit(1), F.floor(F.sum("__cnt").over(Window.partitionBy(*by)) * F.lit(frac)))
+    hist = hist.withColumn("__upto", F.sum("__cnt").over(run)).withColumn("__want", want)
+    cut = hist.where((F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__cnt") < F.col("__want"))) \
+        .withColumn("__left", F.col("__want") - (F.col("__upto") - F.col("__cnt"))).select(*by, "__b", "__left")
+    inside = join_by(narrow, cut, by + ["__b"])
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy("__k", "__t"))
+    return inside.withColumn("__nth", nth).where(F.col("__nth") == F.col("__left")) \
+        .select(*by, F.col("__k").alias("__cut_key"), F.col("__t").alias("__cut_tie"))

@@ -5,7 +5,7 @@ Semantics (per group and label value):
 * the first ``max(1, floor(n * frac))`` rows are train, the rest test, so a
   label with one row is train only and the parts are disjoint and complete;
 * rows whose label is missing equal no label and leave both splits;
-* integer shares that do not sum to 100 are rescaled first.
+* only the ratio of the two shares counts.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.ranking import DEFAULT_SEED, rank_in_group, shuffle_key
+from corpusprep.operators.joins import bounded_broadcast, join_by
+from corpusprep.operators.ranking import DEFAULT_SEED, cut_points, rank_in_group, shuffle_key
 from corpusprep.schema import GROUP, ROW_IDX, SPLIT, TEST, TRAIN, group_cols
 
 # Default train and test shares.
@@ -24,12 +25,10 @@ DEFAULT_TEST = 20
 
 
 def train_fraction(train: float = DEFAULT_TRAIN, test: float = DEFAULT_TEST) -> float:
-    total = train + test
-    if total == 0:
-        raise ValueError("train and test shares sum to 0")
-    if total != 100:
-        train = (train / total) * 100
-    return train / 100.0
+    """Train's part of both shares; only their ratio counts."""
+    if min(train, test) < 0 or train + test <= 0:
+        raise ValueError(f"shares must not be negative and not both zero: {train}, {test}")
+    return train / (train + test)
 
 
 def seeded_shuffle(df: DataFrame, by: Sequence[str] | None = None, seed: int = DEFAULT_SEED,
@@ -43,15 +42,18 @@ def seeded_shuffle(df: DataFrame, by: Sequence[str] | None = None, seed: int = D
 def stratified_split(df: DataFrame, label: str, by: Sequence[str] | None = None,
                      train: float = DEFAULT_TRAIN, test: float = DEFAULT_TEST,
                      seed: int = DEFAULT_SEED, row_idx: str = ROW_IDX) -> DataFrame:
-    """Add ``split`` ('train'/'test') inside each ``(group, label)``."""
+    """Add ``split`` ('train'/'test') inside each ``(group, label)``.
+
+    Rows are compared with the cut point of their label, one row per
+    (group, label); no row of ``df`` is shuffled while these are few.
+    """
     by = group_cols(by)
     frac = train_fraction(train, test)
     keyed = df.where(F.col(label).isNotNull()).withColumn("__key", shuffle_key(row_idx, seed))
-    ranked = rank_in_group(keyed, by + [label], "__key", row_idx, "__rank", "__n")
-    n_train = F.greatest(F.lit(1), F.floor(F.col("__n") * F.lit(frac)))
-    return ranked.withColumn(
-        SPLIT, F.when(F.col("__rank") <= n_train, F.lit(TRAIN)).otherwise(F.lit(TEST))
-    ).drop("__key", "__rank", "__n")
+    cuts, small = bounded_broadcast(cut_points(keyed, by + [label], "__key", row_idx, frac))
+    at = F.struct(F.col("__key"), F.col(row_idx)) <= F.struct(F.col("__cut_key"), F.col("__cut_tie"))
+    return join_by(keyed, cuts, by + [label], broadcast=small).withColumn(
+        SPLIT, F.when(at, F.lit(TRAIN)).otherwise(F.lit(TEST))).drop("__key", "__cut_key", "__cut_tie")
 
 
 def last_present(label_cols: Sequence[str], df: DataFrame) -> str:
@@ -62,8 +64,27 @@ def last_present(label_cols: Sequence[str], df: DataFrame) -> str:
     return present[-1]
 
 
-def split_by_labels(df: DataFrame, label_cols: Sequence[str], **kw) -> DataFrame:
-    return stratified_split(df, last_present(label_cols, df), **kw)
+def with_label(df: DataFrame, label_cols: Sequence[str], by: Sequence[str] | None = None, last: bool = False,
+               out: str = "__label") -> DataFrame:
+    """Add ``out``: the value of the first (or ``last``) label column that the row's group has.
+
+    A group has a column if any of its rows holds a value in it, so groups
+    with different columns can stand in one frame. Null where it has none.
+    """
+    by = group_cols(by)
+    cols = [c for c in label_cols if c in df.columns]
+    if not cols:
+        raise ValueError(f"none of the label columns {list(label_cols)} is present")
+    has = df.groupBy(*by).agg(*[F.bool_or(F.col(c).isNotNull()).alias(f"__has_{i}") for i, c in enumerate(cols)])
+    order = list(enumerate(cols))[::-1] if last else list(enumerate(cols))
+    value = F.coalesce(*[F.when(F.col(f"__has_{i}"), F.struct(F.col(c).cast("string").alias("v"))) for i, c in order])["v"]
+    has, small = bounded_broadcast(has)
+    return join_by(df, has, by, broadcast=small).withColumn(out, value).drop(*[f"__has_{i}" for i, _ in order])
+
+
+def split_by_labels(df: DataFrame, label_cols: Sequence[str], by: Sequence[str] | None = None, **kw) -> DataFrame:
+    """Split each group by the last label column that it has."""
+    return stratified_split(with_label(df, label_cols, by, last=True), "__label", by, **kw).drop("__label")
 
 
 def split_counts(split_df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
@@ -88,4 +109,4 @@ def union_parts(*parts: DataFrame) -> DataFrame:
 
 
 __all__ = ["GROUP", "seeded_shuffle", "stratified_split", "split_by_labels", "split_counts",
-           "split_parts", "union_parts", "train_fraction", "last_present"]
+           "split_parts", "union_parts", "train_fraction", "last_present", "with_label"]

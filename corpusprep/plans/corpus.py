@@ -21,9 +21,10 @@ from corpusprep.operators import labels as lb
 from corpusprep.operators import leakage as lk
 from corpusprep.operators import split as sp
 from corpusprep.operators import vectors as vc
-from corpusprep.operators.joins import sized_join
+from corpusprep.operators.joins import join_by
 from corpusprep.schema import group_cols
 
+# Names of the derived text columns in the written reports.
 CLUSTER_TEXT = "__cluster_text__"
 COMBINED_TEXT = "__combined_text__"
 
@@ -43,15 +44,17 @@ def classify_corpus(split_df: DataFrame, text: str, label_cols: Sequence[str],
                     by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Naive Bayes per group on complete groups; returns (predictions,
     summary with ``status``): groups missing a split are reported as
-    ``skipped`` and do not stop the others."""
+    ``skipped`` and do not stop the others. Each group is fitted and scored
+    on the first of ``label_cols`` that it has."""
     by = group_cols(by)
-    label = sp.last_present(label_cols, split_df)
+    split_df = sp.with_label(split_df, label_cols, by)
+    label = "__label"
     usable = fl.complete_groups(split_df, by).select(*by)
-    s = sized_join(split_df, usable, on=by, how="left_semi")
+    s = join_by(split_df, usable, by, "left_semi").where(F.col(label).isNotNull())
     pred = cl.nb_evaluate(s, text, label, by)
     summary = cl.training_summary(s, pred, lb.label_map_sorted(s, label, by), by)
     groups = split_df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
-    out = groups.join(summary, by, "left").withColumn(
+    out = join_by(groups, summary, by, "left").withColumn(
         "status", F.when(F.col("num_labels").isNotNull(), "trained").otherwise("skipped")).drop("__rows")
     return pred, out
 

@@ -851,7 +851,7 @@ def q_nested_report(spark, sf):
 Q_SPLIT = S.split(S.with_text(S.Q, ["text"]), "toxic")
 
 
-@register("eval_by_group", "WITH " + S.nb_ctes(Q_SPLIT, "toxic") + """,
+@register("eval_by_group", "WITH " + S.nb_ctes(Q_SPLIT, "quality") + """,
 acc AS (SELECT workbook, sheet, avg(CAST(pred_id = label_id AS DOUBLE)) AS accuracy FROM ev GROUP BY workbook, sheet),
 wf AS (SELECT workbook, sheet, sum(f1 * support) / sum(support) AS f1 FROM repf GROUP BY workbook, sheet),
 cnts AS (SELECT workbook, sheet, count_if(split = 'train') AS ntr, count_if(split = 'test') AS nte FROM s

@@ -98,15 +98,6 @@ def customers_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    return e.select(
-        F.lit("events").alias("workbook"),
-        F.col("event_type").alias("sheet"),
-        F.col("event_id").alias("row_idx"),
-        "user_id", "value", "props",
-    )
-
 
 def as_cells(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """Typed corpus -> raw ``(workbook, sheet, row_idx, cells)`` form."""
