@@ -23,3 +23,10 @@ def safe_bool(c: Column, default: bool | None = False) -> Column:
     return (F.when(v.isin(*TRUE_WORDS), F.lit(True))
             .when(v.isin(*FALSE_WORDS), F.lit(False))
             .otherwise(F.lit(default).cast("boolean")))
+
+
+def safe_json(c: Column, schema: str, default: Column | None = None) -> Column:
+    """Parse JSON text into ``schema`` (DDL); text that is not such JSON, and null, give ``default``."""
+    parsed = F.from_json(c, schema, {"mode": "PERMISSIVE"})
+    ok = F.try_parse_json(c).isNotNull() & parsed.isNotNull()
+    return F.coalesce(F.when(ok, parsed), F.lit(None) if default is None else default)

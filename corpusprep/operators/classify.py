@@ -222,17 +222,19 @@ def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
     return counts.join(nl, by).join(accuracy(pred, by), by, "left").join(weighted_f1(pred, by), by, "left")
 
 
-def inference_samples(split_df: DataFrame, pred: DataFrame, text: str, k: int = 5,
+def inference_samples(split_df: DataFrame, model: dict, text: str, k: int = 5,
                       by: Sequence[str] | None = None) -> DataFrame:
-    """First ``k`` test rows per group (seeded order) with the first 250
-    characters of their text, predicted label and confidence."""
+    """First ``k`` test rows per group (seeded order): the first 250
+    characters of their text, and the label and confidence predicted for
+    these. Only the samples are scored."""
     from corpusprep.functions.text import preview
     from corpusprep.operators.report import first_rows
     by = group_cols(by)
     top = first_rows(split_df.where(F.col(SPLIT) == TEST).select(*by, ROW_IDX, text), k, by)
-    return top.join(pred.select(*by, ROW_IDX, "pred_label", "confidence"), by + [ROW_IDX]).select(
-        *by, F.col("rn").cast("int").alias("rn"), preview(F.col(text)).alias("text"),
-        F.col("pred_label").alias("predicted_label"), "confidence")
+    shown = reuse(top.select(*by, ROW_IDX, F.col("rn").cast("int").alias("rn"), preview(F.col(text)).alias("text")))
+    pred = nb_predict(model, shown, "text", by + [ROW_IDX], by)
+    return shown.join(pred, by + [ROW_IDX]).select(
+        *by, "rn", "text", F.col("pred_label").alias("predicted_label"), "confidence")
 
 
 def confusion(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:

@@ -26,10 +26,14 @@ def _long_labels(df: DataFrame, label_cols: Sequence[str], by: list[str]) -> Dat
 
 def label_map_first_seen(df: DataFrame, label_cols: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
     """id = order of first appearance (by ``row_idx``) of each label value;
-    a missing label is a value too. Returns ``by, label_col, label, label_id``."""
+    a missing label is a value too. A group has the label columns in which
+    any of its rows holds a value. Returns ``by, label_col, label, label_id``."""
     by = group_cols(by)
     first = _long_labels(df, label_cols, by).groupBy(*by, "label_col", "label").agg(
         F.min(ROW_IDX).alias("__first"))
+    # one row per distinct label: a column without any value in a group is not one of the group's
+    first = first.withColumn("__has", F.max(F.col("label").isNotNull()).over(Window.partitionBy(*by, "label_col"))) \
+        .where("__has").drop("__has")
     w = Window.partitionBy(*by, "label_col").orderBy("__first")
     return first.select(*by, "label_col", "label",
                         (F.row_number().over(w) - 1).cast("int").alias("label_id"))

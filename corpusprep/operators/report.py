@@ -46,8 +46,8 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ("workbook
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Small reports are written as one JSON-lines file."""
-    df.coalesce(1).write.mode(mode).json(path)
+    """Reports as JSON lines: one small file, gathered after the report is computed."""
+    df.repartition(1).write.mode(mode).json(path)
 
 
 def versioned_write(df: DataFrame, path: str, model: str, version: str | None = None,

@@ -129,7 +129,8 @@ def write_classification_outputs(split_df: DataFrame, pred: DataFrame, summary:
     version = versioned_write(lb.label_map_sorted(split_df, label, by), f"{base}/label_mapping", model, version,
                               by, fmt="json")
     versioned_write(cl.class_report(pred, by), f"{base}/metrics", model, version, by, fmt="json")
-    versioned_write(cl.inference_samples(split_df, pred, text, by=by), f"{base}/inference_samples", model,
+    samples = cl.inference_samples(split_df, cl.nb_fit(split_df, text, label, by), text, by=by)
+    versioned_write(samples, f"{base}/inference_samples", model,
                     version, by, fmt="json")
     versioned_write(summary, f"{base}/summary", model, version, by, fmt="json")
     return version

@@ -283,6 +283,17 @@ def q_csv_list(spark, sf):
                     F.md5(F.array_join(items, "|")).alias("items_md5"))
 
 
+@register("safe_json", """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN -1 ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
+FROM events""")
+def q_safe_json(spark, sf):
+    """JSON cast with a default; every third text is broken on purpose."""
+    e = tb.read_table(spark, sf, "events")
+    props = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
+    default = F.named_struct(F.lit("k"), F.lit(-1).cast("bigint"))
+    return e.select("event_id", cs.safe_json(props, "k bigint", default)["k"].alias("k"))
+
+
 @register("safe_cast", """
 SELECT event_id,
   coalesce(CASE WHEN regexp_full_match(trim(json_extract_string(props, '$.k')), '[+-]?[0-9]+')
@@ -402,6 +413,32 @@ def q_split_last_label(spark, sf):
     return s.groupBy(*GK, F.col("toxic").alias("label"), "split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+_MIXED_LABELS = ("SELECT 'part' AS workbook, p_brand AS sheet, p_partkey AS row_idx, p_type AS label FROM part "
+                 "UNION ALL SELECT 'customer', c_mktsegment, c_custkey, CAST(c_nationkey AS VARCHAR) FROM customer")
+
+
+def _mixed_frame(spark, sf):
+    """Parts and customers in one frame: each sheet has only its own columns."""
+    return tb.parts_by_brand(spark, sf).unionByName(tb.customers_by_segment(spark, sf), allowMissingColumns=True)
+
+
+@register("split_mixed_columns", f"""
+SELECT workbook, sheet, CAST(count_if(split = 'train') AS BIGINT) AS train_count,
+       CAST(count_if(split = 'test') AS BIGINT) AS test_count
+FROM ({S.split(_MIXED_LABELS, 'label')}) x GROUP BY workbook, sheet""")
+def q_split_mixed_columns(spark, sf):
+    return sp.split_counts(sp.split_by_labels(_mixed_frame(spark, sf), ["p_type", "c_nationkey"]))
+
+
+@register("label_map_mixed_columns", f"""
+SELECT workbook, sheet, label_col, label,
+       CAST(row_number() OVER (PARTITION BY workbook, sheet, label_col ORDER BY first_idx) - 1 AS INTEGER) AS label_id
+FROM (SELECT workbook, sheet, CASE workbook WHEN 'part' THEN 'p_type' ELSE 'c_nationkey' END AS label_col, label,
+             min(row_idx) AS first_idx FROM ({_MIXED_LABELS}) d GROUP BY workbook, sheet, label) f""")
+def q_label_map_mixed_columns(spark, sf):
+    return lb.label_map_first_seen(_mixed_frame(spark, sf), ["p_type", "c_nationkey"])
+
+
 @register("sample_rows_per_group", f"""
 SELECT workbook, sheet, CAST(rn AS INTEGER) AS rn, md5(ctext) AS text_md5 FROM (
   SELECT workbook, sheet, ctext, row_number() OVER (PARTITION BY workbook, sheet
@@ -885,6 +922,17 @@ def q_leakage_scope_workbook(spark, sf):
     return lk.sheet_report(d_split(spark, sf), "ctext", by=lk.scope_cols("workbook"))
 
 
+@register("leakage_scope_corpus", f"""
+WITH s AS ({D_SPLIT}),
+t AS (SELECT ctext, bool_or(split = 'train') AS a, bool_or(split = 'test') AS b FROM s GROUP BY ctext)
+SELECT CAST(count_if(split = 'train') AS BIGINT) AS num_train, CAST(count_if(split = 'test') AS BIGINT) AS num_test,
+       (SELECT CAST(count_if(a AND b) AS BIGINT) FROM t) AS exact_duplicates, CAST(0 AS BIGINT) AS near_duplicates
+FROM s""")
+def q_leakage_scope_corpus(spark, sf):
+    """Exact leakage over the whole corpus (scope='corpus', no group columns)."""
+    return lk.sheet_report(d_split(spark, sf), "ctext", by=lk.scope_cols("corpus"), threshold=None)
+
+
 # ======================================================================
 # DBSCAN (step 5)
 # ======================================================================
@@ -907,13 +955,38 @@ def q_dbscan_core_points(spark, sf):
     return db.core_points(tb.vectors_by_block(spark, sf), "embedding", eps=DB_EPS)
 
 
-@register("dbscan_labels")
+@register("dbscan_labels", f"""
+WITH RECURSIVE e AS ({S.E}),
+n AS (SELECT workbook, sheet, row_idx, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+             sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS nrm FROM e),
+u AS (SELECT workbook, sheet, row_idx, list_transform(v, lambda x: x / nrm) AS v FROM n),
+p AS (SELECT a.workbook, a.sheet, a.row_idx AS x, b.row_idx AS y
+      FROM u a JOIN u b ON a.workbook = b.workbook AND a.sheet = b.sheet
+      WHERE sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2]))))
+            <= sqrt(2 * {DB_EPS}) + 1e-12),
+core AS (SELECT workbook, sheet, x FROM p GROUP BY workbook, sheet, x HAVING count(*) >= 5),
+ce AS (SELECT p.* FROM p JOIN core a ON a.workbook = p.workbook AND a.sheet = p.sheet AND a.x = p.x
+       JOIN core b ON b.workbook = p.workbook AND b.sheet = p.sheet AND b.x = p.y),
+reach AS (SELECT workbook, sheet, x, y FROM ce
+          UNION SELECT r.workbook, r.sheet, r.x, c.y FROM reach r
+          JOIN ce c ON c.workbook = r.workbook AND c.sheet = r.sheet AND c.x = r.y),
+comp AS (SELECT workbook, sheet, x, min(y) AS c FROM reach GROUP BY workbook, sheet, x),
+edge AS (SELECT p.workbook, p.sheet, p.x, min(comp.c) AS c FROM p
+         JOIN comp ON comp.workbook = p.workbook AND comp.sheet = p.sheet AND comp.x = p.y
+         GROUP BY p.workbook, p.sheet, p.x),
+l AS (SELECT e.workbook, e.sheet, e.row_idx, coalesce(comp.c, edge.c) AS c FROM e
+      LEFT JOIN comp ON comp.workbook = e.workbook AND comp.sheet = e.sheet AND comp.x = e.row_idx
+      LEFT JOIN edge ON edge.workbook = e.workbook AND edge.sheet = e.sheet AND edge.x = e.row_idx),
+k AS (SELECT workbook, sheet, c, dense_rank() OVER (PARTITION BY workbook, sheet ORDER BY c) - 1 AS cid
+      FROM (SELECT DISTINCT workbook, sheet, c FROM l WHERE c IS NOT NULL) d)
+SELECT l.workbook, l.sheet, l.row_idx, CAST(coalesce(k.cid, -1) AS INTEGER) AS cluster
+FROM l LEFT JOIN k ON k.workbook = l.workbook AND k.sheet = l.sheet AND k.c = l.c""")
 def q_dbscan_labels(spark, sf):
     r = db.dbscan(tb.vectors_by_block(spark, sf), "embedding", eps=DB_EPS)
     return r.select(*GK, "row_idx", "cluster")
 
 
-@register("inference_samples", _NB + f""",
+@register("inference_samples", "WITH " + S.nb_ctes(L_SPLIT, "lang", test_text="substr(ctext, 1, 250)") + f""",
 ord AS (SELECT workbook, sheet, row_idx, substr(ctext, 1, 250) AS text,
                row_number() OVER (PARTITION BY workbook, sheet ORDER BY {S.shuffle_key()}, row_idx) AS rn
         FROM s WHERE split = 'test')
@@ -923,8 +996,7 @@ FROM ord o JOIN ev ON o.workbook = ev.workbook AND o.sheet = ev.sheet AND o.row_
 WHERE o.rn <= 5""")
 def q_inference_samples(spark, sf):
     s = l_split(spark, sf)
-    pred = cl.nb_evaluate(s, "ctext", "lang")
-    return cl.inference_samples(s, pred, "ctext").select(
+    return cl.inference_samples(s, cl.nb_fit(s, "ctext", "lang"), "ctext").select(
         *GK, "rn", "text", "predicted_label", F.round("confidence", 4).alias("confidence"))
 
 

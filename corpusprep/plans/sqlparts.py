@@ -62,13 +62,14 @@ def words(x: str) -> str:
     return WORDS.format(x=x)
 
 
-def nb_ctes(split_src: str, label: str, text: str = "ctext") -> str:
+def nb_ctes(split_src: str, label: str, text: str = "ctext", test_text: str | None = None) -> str:
     """CTEs fitting multinomial NB (add-one) per group and scoring test rows.
 
     Defines ``lmap``, ``cls``, ``cnt`` and ``sc`` (row x class scores) and
     ``pred`` (best class, smaller id on ties, softmax confidence).
     """
     w = words(text)
+    shown = f"{test_text} AS {text}" if test_text else text
     return f"""
 s AS ({split_src}),
 tr AS (SELECT workbook, sheet, CAST({label} AS VARCHAR) AS label, {text} FROM s WHERE split = 'train'),
@@ -87,7 +88,7 @@ cls AS (SELECT d.workbook, d.sheet, d.label, m.label_id, d.n_docs, coalesce(t.to
         FROM docs d LEFT JOIN tot t ON d.workbook = t.workbook AND d.sheet = t.sheet AND d.label = t.label
         LEFT JOIN voc v ON d.workbook = v.workbook AND d.sheet = v.sheet
         JOIN lmap m ON d.workbook = m.workbook AND d.sheet = m.sheet AND d.label = m.label),
-te AS (SELECT workbook, sheet, row_idx, CAST({label} AS VARCHAR) AS label, {text} FROM s WHERE split = 'test'),
+te AS (SELECT workbook, sheet, row_idx, CAST({label} AS VARCHAR) AS label, {shown} FROM s WHERE split = 'test'),
 tf AS (SELECT workbook, sheet, row_idx, token, count(*) AS tf
        FROM (SELECT workbook, sheet, row_idx, unnest({w}) AS token FROM te) t GROUP BY workbook, sheet, row_idx, token),
 known AS (SELECT tf.* FROM tf WHERE EXISTS (SELECT 1 FROM cnt c WHERE c.workbook = tf.workbook
