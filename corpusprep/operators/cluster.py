@@ -1,26 +1,28 @@
 """Clustering per group: grouped Lloyd k-means, bisecting k-means, summary.
 
 Grouped Lloyd runs every group in the same Spark job: centroids are a small
-table keyed by ``(group, cluster)``; each round assigns rows to the nearest
-centroid of their group (one centroid row per group joined to the rows) and
-recomputes means with MLlib's ``Summarizer`` (a partial aggregate). Seeds are
+table keyed by ``(group, cluster)`` that travels with the tasks (or, when it is
+too large, is joined to the rows); each round assigns rows to the nearest
+centroid of their group and adds up partial sums. Seeds are
 the ``k`` rows with the smallest ``md5('<seed>:<row_idx>')`` per group, so
 the result does not depend on partitioning.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.vectors import nearest_centroid
-from corpusprep.operators.joins import bounded_broadcast, sized_join
+from corpusprep.operators.joins import bounded_broadcast, join_by
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import ROW_IDX, group_cols
-from corpusprep.session import checkpoint_dir
+from corpusprep.session import checkpoint_dir, scratch_path
 
 # Default cluster count and the label of noise rows.
 DEFAULT_K = 5
@@ -92,9 +94,8 @@ def assign(df: DataFrame, vec: str, centroids: DataFrame, by: Sequence[str] | No
         .select(*by, F.transform("__p", lambda x: x["cluster"]).alias("__ids"),
                 F.transform("__p", lambda x: x["centroid"]).alias("__cents"))
     if broadcast is None:
-        j = sized_join(df, packed, on=by)
-    else:
-        j = df.join(F.broadcast(packed) if broadcast else packed, on=by)
+        packed, broadcast = bounded_broadcast(packed)
+    j = join_by(df, packed, by, broadcast=broadcast)
     gkey = F.xxhash64(*[F.col(c) for c in by]) if by else F.lit(0)
     best = nearest_centroid(gkey, _vec(vec), F.col("__ids"), F.col("__cents"))
     return j.withColumn("__best", best).withColumn(out, F.col("__best.c")) \
@@ -112,6 +113,118 @@ def update(assigned: DataFrame, vec: str, by: Sequence[str] | None = None, clust
     return s.select(*by, "cluster", vector_to_array("__m").alias("centroid"), "size")
 
 
+#: Largest centroid table (numbers) that travels with each task; beyond it centroids stay a table.
+CENTROID_NUMBERS = 4_000_000
+
+
+class _Rounds:
+    """Passes over ``(gid, row_idx, vec)`` with the centroids of all groups in a broadcast variable.
+
+    The centroids (groups * k * dimensions numbers, bounded by
+    ``CENTROID_NUMBERS``) are the only state; each pass is one job whose
+    partial results are added up in Spark, a row per (group, cluster).
+    """
+
+    def __init__(self, data: DataFrame, dim: int):
+        self.data, self.dim, self.sc = data, dim, data.sparkSession.sparkContext
+
+    def _pass(self, fn, schema: str, cents: dict) -> DataFrame:
+        sent = self.sc.broadcast(cents)
+
+        def run(batches):
+            yield from fn(batches, sent.value)
+        return self.data.mapInPandas(run, schema)
+
+    def draw(self, cents: dict, seed: int, c: int) -> dict:
+        """The next seed of each group by ``ln(u) / D^2`` (see ``plus_plus_seeds``)."""
+        def best(batches, cents):
+            top: dict = {}
+            for b in batches:
+                for gid, rows in b.groupby("gid", sort=False):
+                    x = np.stack(rows["vec"].to_numpy())
+                    d2 = np.min([((x - m) ** 2).sum(axis=1) for m in cents[gid][1]], axis=0)
+                    u = np.array([int(hashlib.md5(f"{seed}:{c}:{i}".encode()).hexdigest()[:13], 16) + 1.0
+                                  for i in rows["row_idx"]]) / float(1 << 52)
+                    for i in np.flatnonzero(d2 > 0):
+                        key = (np.log(u[i]) / d2[i], -int(rows["row_idx"].iat[i]))
+                        if gid not in top or key > top[gid][0]:
+                            top[gid] = (key, x[i])
+            yield pd.DataFrame([(g, k[0], k[1], v.tolist()) for g, (k, v) in top.items()], columns=["gid", "k", "t", "vec"])
+        picks = self._pass(best, "gid bigint, k double, t bigint, vec array<double>", cents) \
+            .groupBy("gid").agg(F.max_by("vec", F.struct("k", "t")).alias("vec")).collect()      # one row a group
+        for r in picks:
+            ids, m = cents[r["gid"]]
+            cents[r["gid"]] = (np.append(ids, c), np.vstack([m, r["vec"]]))
+        return cents
+
+    def means(self, cents: dict) -> dict:
+        """Mean vector of the rows nearest to each centroid: ``(gid, cluster) -> mean``."""
+        def sums(batches, cents):
+            total: dict = {}
+            for b in batches:
+                for gid, rows in b.groupby("gid", sort=False):
+                    if gid not in cents:
+                        continue
+                    ids, m = cents[gid]
+                    x = np.stack(rows["vec"].to_numpy())
+                    near = np.argmin([((x - v) ** 2).sum(axis=1) for v in m], axis=0)
+                    for at in np.unique(near):
+                        n, s = total.get((gid, int(ids[at])), (0, 0.0))
+                        total[gid, int(ids[at])] = (n + int((near == at).sum()), s + x[near == at].sum(axis=0))
+            yield pd.DataFrame([(g, c, n, s.tolist()) for (g, c), (n, s) in total.items()], columns=["gid", "cluster", "n", "s"])
+
+        def add(key, parts):
+            return pd.DataFrame([(*key, (np.sum(np.stack(parts["s"].to_numpy()), axis=0) / parts["n"].sum()).tolist())],
+                                columns=["gid", "cluster", "m"])
+        parts = self._pass(sums, "gid bigint, cluster int, n bigint, s array<double>", cents)
+        got = parts.groupBy("gid", "cluster").applyInPandas(add, "gid bigint, cluster int, m array<double>").collect()
+        return {(r["gid"], r["cluster"]): np.array(r["m"]) for r in got}
+
+
+def _lloyd(df: DataFrame, vec: str, k: int, by: list[str], seed: int, max_iter: int, tol: float,
+           init: str) -> tuple[DataFrame, bool] | None:
+    """Centroids of all groups by ``_Rounds``; None if they are too many to travel with the tasks."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    spark = df.sparkSession
+    var = df.select(*by, array_to_vector(_vec(vec)).alias("__v"), F.size(vec).alias("__size")).groupBy(*by) \
+        .agg(Summarizer.variance(F.col("__v")).alias("__var"), F.max("__size").alias("__dim"))
+    groups, _ = bounded_broadcast(var.select(
+        *by, F.monotonically_increasing_id().alias("gid"), "__dim",
+        (F.lit(tol) * F.aggregate(vector_to_array("__var"), F.lit(0.0), lambda a, x: a + x)
+         / F.greatest(F.size(vector_to_array("__var")), F.lit(1))).alias("__limit")))
+    size = groups.agg(F.count(F.lit(1)).alias("n"), F.max("__dim").alias("d")).first()
+    if not size["n"] or size["n"] * k * size["d"] > CENTROID_NUMBERS:
+        return None
+    path = scratch_path(spark, "kmeans")
+    join_by(df.select(*by, ROW_IDX, _vec(vec).alias("vec")), groups.select(*by, "gid"), by, broadcast=True) \
+        .select("gid", ROW_IDX, "vec").write.parquet(path)
+    rounds = _Rounds(spark.read.schema(f"gid bigint, {ROW_IDX} bigint, vec array<double>").parquet(path), size["d"])
+    first = seed_centroids(rounds.data, "vec", k if init == "md5" else 1, ["gid"], seed).orderBy("gid", "cluster").collect()
+    cents: dict = {}
+    for r in first:                                     # at most k rows a group
+        ids, m = cents.get(r["gid"], (np.zeros(0, int), np.zeros((0, size["d"]))))
+        cents[r["gid"]] = (np.append(ids, r["cluster"]), np.vstack([m, r["centroid"]]))
+    if init != "md5":
+        for c in range(1, k):
+            cents = rounds.draw(cents, seed, c)
+    limit = {r["gid"]: r["__limit"] for r in groups.select("gid", "__limit").collect()}
+    live = set(cents)
+    for _ in range(max_iter):
+        new = rounds.means({g: cents[g] for g in live})
+        for g in list(live):
+            ids, m = cents[g]
+            moved = np.stack([new.get((g, int(c)), v) for c, v in zip(ids, m, strict=True)])
+            if ((moved - m) ** 2).sum() <= limit[g]:
+                live.discard(g)
+            cents[g] = (ids, moved)
+        if not live:
+            break
+    rows = [(int(g), int(c), v.tolist(), g not in live) for g, (ids, m) in cents.items() for c, v in zip(ids, m, strict=True)]
+    table = spark.createDataFrame(rows, "gid bigint, cluster int, centroid array<double>, converged boolean")
+    return table.join(groups, "gid").select(*by, "cluster", "centroid", "converged")
+
+
 def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
            seed: int = DEFAULT_SEED, max_iter: int = 300, tol: float = 1e-4,
            init: str = "k-means++") -> tuple[DataFrame, DataFrame]:
@@ -122,85 +235,96 @@ def kmeans(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None
 
     A group has converged when the summed squared shift of its centroids is
     at most ``tol`` times the mean per-coordinate variance of its rows (the
-    usual relative tolerance); converged groups are frozen (later rounds read
-    only the rows of groups still moving) and the loop ends when every group
-    has converged or after ``max_iter`` rounds. Each round's centroids (a small table) are
-    written with ``checkpoint()`` to the shared checkpoint folder, so lineage
-    stays one round deep and a lost executor recomputes one round (persisted
-    chains measured slower: plans grow with every round). Whether the packed
-    centroids (one row per group) are broadcast is decided once from the
-    group count.
+    usual relative tolerance); converged groups are left out of later rounds,
+    and the loop ends when every group has converged or after ``max_iter``
+    rounds; ``centroids.converged`` tells for each group. While the centroids
+    of all groups are at most ``CENTROID_NUMBERS`` numbers they travel with
+    the tasks and a round is one job; beyond that they are a table.
     """
+    by = group_cols(by)
+    if init not in ("k-means++", "md5"):
+        raise ValueError(f"unknown init {init!r}")
+    cents = _lloyd(df, vec, k, by, seed, max_iter, tol, init)
+    if cents is None:
+        cents = _lloyd_table(df, vec, k, by, seed, max_iter, tol, init)
+    cents, small = bounded_broadcast(cents)
+    return assign(df, vec, cents, by, broadcast=small), cents
+
+
+def _lloyd_table(df: DataFrame, vec: str, k: int, by: list[str], seed: int, max_iter: int, tol: float, init: str) -> DataFrame:
+    """As ``_lloyd``, with the centroids as a table joined in each round and checkpointed after it."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
-    by = group_cols(by)
     checkpoint_dir(df.sparkSession)
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(df.sparkSession, "kmeans")
+    df.select(*by, ROW_IDX, _vec(vec).alias(vec)).write.parquet(path)
+    data = df.sparkSession.read.parquet(path)
     var = data.select(*by, array_to_vector(_vec(vec)).alias("__v")).groupBy(*by) \
         .agg(Summarizer.variance(F.col("__v")).alias("__var"))
-    limits = var.select(*by, (F.lit(tol) * F.aggregate(vector_to_array("__var"), F.lit(0.0), lambda a, x: a + x)
-                               / F.greatest(F.size(vector_to_array("__var")), F.lit(1))).alias("__limit")).checkpoint()
-    if init not in ("k-means++", "md5"):
-        raise ValueError(f"unknown init {init!r}")
-    first = seed_centroids(data, vec, k, by, seed).checkpoint()
-    n_groups = limits.count()
-    # the packed centroids (k vectors per group) have the seeds' size: check once
-    _, bcast = bounded_broadcast(first.groupBy(*by).agg(F.collect_list("centroid").alias("__c")))
-    cents = first if init == "md5" else plus_plus_seeds(data, vec, k, by, seed, broadcast=bcast)
-    lim = F.broadcast(limits) if bcast else limits
-    n_open, state = n_groups, None
+    lim = var.select(*by, (F.lit(tol) * F.aggregate(vector_to_array("__var"), F.lit(0.0), lambda a, x: a + x)
+                           / F.greatest(F.size(vector_to_array("__var")), F.lit(1))).alias("__limit")).checkpoint()
+    cents = seed_centroids(data, vec, k, by, seed).checkpoint() if init == "md5" \
+        else plus_plus_seeds(data, vec, k, by, seed, broadcast=False)
+    n_groups = n_open = lim.count()
+    state = None
     for _ in range(max_iter):
         if n_open < n_groups:                      # converged groups are frozen
             keys = state.where("__open").select(*by).distinct()
-            keys = F.broadcast(keys) if bcast else keys
-            rows, live = data.join(keys, by, "left_semi"), cents.join(keys, by, "left_semi")
+            rows, live = join_by(data, keys, by, "left_semi"), join_by(cents, keys, by, "left_semi")
         else:
             rows, live = data, cents
-        new = update(assign(rows, vec, live, by, broadcast=bcast), vec, by) \
+        new = update(assign(rows, vec, live, by, broadcast=False), vec, by) \
             .select(*by, "cluster", F.col("centroid").alias("__new"))
         shift = _sqdist(F.col("centroid"), F.coalesce("__new", "centroid"))
-        state = cents.join(new, by + ["cluster"], "left").join(lim, by).select(
+        state = join_by(join_by(cents, new, by + ["cluster"], "left"), lim, by).select(
             *by, "cluster", F.coalesce("__new", "centroid").alias("centroid"),
             (F.sum(shift).over(Window.partitionBy(*by)) > F.col("__limit")).alias("__open")).checkpoint()
         n_open = state.where("__open").select(*by).distinct().count()
         cents = state.select(*by, "cluster", "centroid")
         if n_open == 0:
             break
-    return assign(data, vec, cents, by, broadcast=bcast), cents
+    return state.select(*by, "cluster", "centroid", (~F.col("__open")).alias("converged")) if state is not None \
+        else cents.withColumn("converged", F.lit(False))
 
 
 def bisecting(df: DataFrame, vec: str, k: int = DEFAULT_K, by: Sequence[str] | None = None,
-              seed: int = DEFAULT_SEED, max_iter: int = 20) -> DataFrame:
+              seed: int = DEFAULT_SEED, max_iter: int = 300) -> DataFrame:
     """Top-down hierarchical clustering for every group at once.
 
     Start with one cluster per group; each round picks, in every group, the
     largest cluster (ties: smaller id) that still has at least two rows and
     splits it with grouped 2-means (``kmeans`` keyed by group and cluster);
     the new half gets the next id. After ``k - 1`` rounds each group has up
-    to ``k`` clusters. Each split runs at most ``max_iter`` Lloyd rounds
-    (20, as MLlib's bisecting k-means). Stands in for bottom-up
-    agglomerative clustering.
+    to ``k`` clusters. Each split runs at most ``max_iter`` Lloyd rounds, as
+    ``kmeans`` does. Between splits only keys and cluster ids are written.
+    Stands in for bottom-up agglomerative clustering.
     Adds ``cluster``.
     """
     by = group_cols(by)
-    checkpoint_dir(df.sparkSession)
-    cur = df.withColumn("cluster", F.lit(0)).checkpoint()
+    spark = df.sparkSession
+
+    def kept(rows: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "bisect")
+        rows.write.parquet(path)
+        return spark.read.parquet(path)
+    vectors = kept(df.select(*by, ROW_IDX, _vec(vec).alias("__vec")))
+    cur = kept(vectors.select(*by, ROW_IDX, F.lit(0).alias("cluster")))       # keys and cluster ids only
     for step in range(1, k):
         sizes = cur.groupBy(*by, "cluster").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= 2)
         w = Window.partitionBy(*by).orderBy(F.col("__n").desc(), F.col("cluster"))
-        target = sizes.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).select(*by, "cluster")
-        target = target.checkpoint()
-        if target.limit(1).count() == 0:
+        target = sizes.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1) \
+            .select(*by, F.col("cluster").alias("__parent"))
+        target, small = bounded_broadcast(target)          # at most one row per group
+        if not target.limit(1).count():
             break
-        tgt, _ = bounded_broadcast(target)          # at most one row per group
-        chosen = cur.join(tgt, by + ["cluster"], "left_semi")
-        rest = cur.join(tgt, by + ["cluster"], "left_anti")
-        halves, _ = kmeans(chosen.withColumnRenamed("cluster", "__parent"), vec, 2, by + ["__parent"], seed,
-                           max_iter)
-        halves = halves.withColumn("cluster", F.when(F.col("cluster") == 1, F.lit(step))
-                                   .otherwise(F.col("__parent"))).drop("__parent", "dist2")
-        cur = rest.unionByName(halves).checkpoint()
-    return cur
+        marked = join_by(cur, target, by, "left", broadcast=small)
+        chosen = marked.where(F.col("cluster") == F.col("__parent")).select(*by, ROW_IDX, "__parent")
+        rows = join_by(vectors, chosen, by + [ROW_IDX])
+        halves, _ = kmeans(rows, "__vec", 2, by + ["__parent"], seed, max_iter)
+        moved = halves.where(F.col("cluster") == 1).select(*by, ROW_IDX, F.lit(step).alias("__to"))
+        cur = kept(join_by(cur, moved, by + [ROW_IDX], "left")
+                   .select(*by, ROW_IDX, F.coalesce("__to", "cluster").alias("cluster")))
+    return join_by(df, cur, by + [ROW_IDX])
 
 
 def cluster_summary(assigned: DataFrame, by: Sequence[str] | None = None, cluster: str = "cluster",

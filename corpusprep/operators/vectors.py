@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.functions.text import word_tokens
-from corpusprep.operators.joins import reuse, sized_join
+from corpusprep.operators.joins import bounded_broadcast, join_by, null_safe_groups, reuse, sized_join
 from corpusprep.schema import ROW_IDX, group_cols
 
 HASH_DIMS = 256
@@ -129,24 +129,52 @@ def pca_2d(df: DataFrame, vec: str, by: Sequence[str] | None = None, k: int = 2)
                                                                          for i in range(k)])
 
 
-def knn_graph(df: DataFrame, vec: str, k: int = 10, by: Sequence[str] | None = None,
-              bucket_length: float = 2.0, num_tables: int = 3, max_distance: float = 2.0) -> DataFrame:
-    """Approximate k-nearest-neighbour graph inside each group (the data part
-    of the UMAP option), from MLlib ``BucketedRandomProjectionLSH``
-    similarity join; recall is below 1 by design of LSH."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+#: Rows of a block in the neighbour search.
+KNN_BLOCK = 2048
+
+
+@null_safe_groups
+def knn_graph(df: DataFrame, vec: str, k: int = 10, by: Sequence[str] | None = None, block_rows: int = KNN_BLOCK) -> DataFrame:
+    """Exact k-nearest-neighbour graph inside each group: ``by, src, dst, distance, rank``.
+
+    Rows of a group are dealt into blocks; a pair of blocks of one group is
+    one matrix product, which returns the ``k`` nearest of each of its rows,
+    not the pairs; the nearest of all blocks then meet by ``src``. Ties go to
+    the smaller ``row_idx``. The work grows with the square of the largest
+    group, the rows that travel with its size times the number of blocks.
+    """
     by = group_cols(by)
-    v = df.select(*by, ROW_IDX, array_to_vector(as_double_array(vec)).alias("__v"))
-    lsh = BucketedRandomProjectionLSH(inputCol="__v", outputCol="__h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=42).fit(v)
-    pairs = lsh.approxSimilarityJoin(v, v, max_distance, distCol="distance")
-    p = pairs.select(*[F.col(f"datasetA.{c}").alias(c) for c in by], F.col(f"datasetA.{ROW_IDX}").alias("src"),
-                     *[F.col(f"datasetB.{c}").alias(f"__b_{c}") for c in by],
-                     F.col(f"datasetB.{ROW_IDX}").alias("dst"), "distance")
-    same = F.lit(True)
-    for c in by:
-        same = same & (F.col(c) == F.col(f"__b_{c}"))
-    p = p.where(same & (F.col("src") != F.col("dst"))).drop(*[f"__b_{c}" for c in by])
+    rows = df.select(*by, ROW_IDX, as_double_array(vec).alias("__v"))
+    sizes, small = bounded_broadcast(rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("__n")))
+    dealt = join_by(rows, sizes, by, broadcast=small)
+    blocks = dealt.groupBy(*by, "__n", F.pmod(F.xxhash64(ROW_IDX), "__n").cast("int").alias("__b")).agg(
+        F.collect_list(F.struct(F.col(ROW_IDX).alias("i"), F.col("__v").alias("v"))).alias("__r"))
+    a = blocks.select(*by, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__o"), F.col("__r").alias("__x"))
+    b = blocks.select(*by, F.col("__b").alias("__o"), F.col("__r").alias("__y"))
+    near = join_by(a, b, [*by, "__o"]).select(*by, F.explode(_nearest(k)(
+        F.col("__x.i"), F.col("__x.v"), F.col("__y.i"), F.col("__y.v"))).alias("p")).select(*by, "p.src", "p.dst", "p.distance")
     w = Window.partitionBy(*by, "src").orderBy("distance", "dst")
-    return p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _nearest(k: int):
+    """Pandas UDF: the ``k`` nearest ``y`` rows of each ``x`` row, self excluded."""
+    @F.pandas_udf("array<struct<src:bigint,dst:bigint,distance:double>>")
+    def run(xi: pd.Series, xv: pd.Series, yi: pd.Series, yv: pd.Series) -> pd.Series:
+        out = []
+        for i, u, j, v in zip(xi, xv, yi, yv):
+            x, y = np.stack([np.asarray(r) for r in u]), np.stack([np.asarray(r) for r in v])
+            i, j = np.asarray(i), np.asarray(j)
+            d = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
+            d[i[:, None] == j[None, :]] = np.inf
+            found = []
+            take = min(k + 8, len(j))               # rounding of the product can only swap near ties
+            cand = np.argpartition(d, take - 1, axis=1)[:, :take]
+            for r in range(len(i)):
+                c = cand[r][np.isfinite(d[r, cand[r]])]
+                exact = np.sqrt(((x[r] - y[c]) ** 2).sum(axis=1))
+                for at in np.lexsort((j[c], exact))[:k]:
+                    found.append({"src": int(i[r]), "dst": int(j[c][at]), "distance": float(exact[at])})
+            out.append(found)
+        return pd.Series(out)
+    return run

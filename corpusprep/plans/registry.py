@@ -684,9 +684,16 @@ def q_pca_2d(spark, sf):
     return vc.pca_2d(tb.vectors_by_block(spark, sf), "embedding")
 
 
-@register("knn_graph")
+@register("knn_graph", f"""
+WITH e AS (SELECT workbook, sheet, row_idx, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM ({S.E}) x),
+p AS (SELECT a.workbook, a.sheet, a.row_idx AS src, b.row_idx AS dst,
+             sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS distance
+      FROM e a JOIN e b ON a.workbook = b.workbook AND a.sheet = b.sheet AND a.row_idx <> b.row_idx),
+r AS (SELECT *, row_number() OVER (PARTITION BY workbook, sheet, src ORDER BY distance, dst) AS rn FROM p)
+SELECT workbook, sheet, src, dst, round(distance, 6) AS distance, CAST(rn AS INTEGER) AS rank FROM r WHERE rn <= 10""")
 def q_knn_graph(spark, sf):
-    return vc.knn_graph(tb.vectors_by_block(spark, sf), "embedding", k=10)
+    return vc.knn_graph(tb.vectors_by_block(spark, sf), "embedding", k=10) \
+        .select(*GK, "src", "dst", F.round("distance", 6).alias("distance"), "rank")
 
 
 @register("cluster_corpus")
