@@ -80,11 +80,10 @@ def _blocks(classes: DataFrame, axes: np.ndarray, eps: float, block_rows: int, t
                  pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), k).cast(pa.list_(pa.float64()))],
                 names=[*b.schema.names, "cells", "pos"])
     kind = classes.schema["embedding"].dataType.simpleString()
-    spark = classes.sparkSession
     placed = map_text(classes.select("embedding", "class", "copies"), place,
                       f"embedding {kind}, class bigint, copies bigint, cells array<int>, pos array<double>")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = placed.repartitionByRange(parts, "cells", "pos").sortWithinPartitions("cells", "pos", "class") \
+    parts = -(-classes.count() // block_rows) or 1           # few large blocks: their pairs are what costs
+    ordered = placed.repartitionByRange(parts, "cells", "pos").coalesce(parts).sortWithinPartitions("cells", "pos", "class") \
         .withColumn("part", F.spark_partition_id())
 
     def cut(batches):
