@@ -6,7 +6,7 @@ whole-stage codegen; none needs a Python worker.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,22 +32,24 @@ def as_text(c: Column, null_text: str = NULL_TEXT) -> Column:
     return F.coalesce(c.cast("string"), F.lit(null_text))
 
 
-def tagged_text(cols: Sequence[str], present: Sequence[str] | None = None,
+def tagged_text(cols: Sequence[str], present: Sequence[str] | Mapping[str, Column] | None = None,
                 null_text: str = NULL_TEXT) -> Column:
     """``[COL] value`` for each column in order, joined by one space.
 
-    A column that is absent from the frame contributes its tag followed by a
-    space and nothing else. ``concat_ws`` drops nulls, so values are
-    coalesced first.
+    A column that is absent contributes its tag followed by a space and
+    nothing else. ``present`` names the columns of the frame, or gives for
+    each of them the condition under which the row's group has it.
+    ``concat_ws`` drops nulls, so values are coalesced first.
     """
-    present = set(cols if present is None else present)
+    has = present if isinstance(present, Mapping) else {c: None for c in (cols if present is None else present)}
     parts = []
     for c in cols:
-        tag = f"[{c.upper()}] "
-        if c in present:
-            parts.append(F.concat(F.lit(tag), strip_ws(as_text(F.col(c), null_text))))
-        else:
-            parts.append(F.lit(tag))
+        tag = F.lit(f"[{c.upper()}] ")
+        if c not in has:
+            parts.append(tag)
+            continue
+        value = F.concat(tag, strip_ws(as_text(F.col(c), null_text)))
+        parts.append(value if has[c] is None else F.when(has[c], value).otherwise(tag))
     return F.concat_ws(" ", *parts)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.names import NAME_PREFIXES, normalize_name, normalize_name_py
+from corpusprep.operators.joins import bounded_broadcast, join_by
 from corpusprep.schema import CELLS, SHEET, SPLIT, TEST, TRAIN, group_cols
 
 
@@ -68,3 +69,20 @@ def complete_groups(split_df: DataFrame, by: Sequence[str] | None = None) -> Dat
         F.count_if(F.col(SPLIT) == TRAIN).cast("bigint").alias("train_count"),
         F.count_if(F.col(SPLIT) == TEST).cast("bigint").alias("test_count"))
     return c.where((F.col("train_count") > 0) & (F.col("test_count") > 0))
+
+
+def with_presence(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None,
+                  prefix: str = "__has_") -> tuple[DataFrame, dict]:
+    """``df`` with a flag for each of ``cols`` that the row's group has, and the flags by column.
+
+    A group has a column if any of its rows holds a value in it; a column
+    that the frame does not have gets no flag. One row per group is joined.
+    """
+    by = group_cols(by)
+    known = [c for c in cols if c in df.columns]
+    flags = {c: F.col(f"{prefix}{i}") for i, c in enumerate(cols) if c in known}
+    if not known:
+        return df, flags
+    has = df.groupBy(*by).agg(*[F.bool_or(F.col(c).isNotNull()).alias(f"{prefix}{i}") for i, c in enumerate(cols) if c in known])
+    has, small = bounded_broadcast(has)
+    return join_by(df, has, by, broadcast=small), flags

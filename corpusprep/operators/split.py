@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.operators.filters import with_presence
 from corpusprep.operators.joins import bounded_broadcast, join_by
 from corpusprep.operators.ranking import DEFAULT_SEED, cut_points, rank_in_group, shuffle_key
 from corpusprep.schema import GROUP, ROW_IDX, SPLIT, TEST, TRAIN, group_cols
@@ -71,15 +72,12 @@ def with_label(df: DataFrame, label_cols: Sequence[str], by: Sequence[str] | Non
     A group has a column if any of its rows holds a value in it, so groups
     with different columns can stand in one frame. Null where it has none.
     """
-    by = group_cols(by)
     cols = [c for c in label_cols if c in df.columns]
     if not cols:
         raise ValueError(f"none of the label columns {list(label_cols)} is present")
-    has = df.groupBy(*by).agg(*[F.bool_or(F.col(c).isNotNull()).alias(f"__has_{i}") for i, c in enumerate(cols)])
-    order = list(enumerate(cols))[::-1] if last else list(enumerate(cols))
-    value = F.coalesce(*[F.when(F.col(f"__has_{i}"), F.struct(F.col(c).cast("string").alias("v"))) for i, c in order])["v"]
-    has, small = bounded_broadcast(has)
-    return join_by(df, has, by, broadcast=small).withColumn(out, value).drop(*[f"__has_{i}" for i, _ in order])
+    marked, has = with_presence(df, cols, by)
+    value = F.coalesce(*[F.when(has[c], F.struct(F.col(c).cast("string").alias("v"))) for c in (cols[::-1] if last else cols)])["v"]
+    return marked.withColumn(out, value).select(*df.columns, out)
 
 
 def split_by_labels(df: DataFrame, label_cols: Sequence[str], by: Sequence[str] | None = None, **kw) -> DataFrame:

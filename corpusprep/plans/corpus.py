@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -34,8 +35,9 @@ def leakage_report(df: DataFrame, text_cols: Sequence[str], label: str, by: Sequ
                    train: float = 80, test: float = 20, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Return ``(per-sheet report, gate row)``."""
     by = group_cols(by)
-    s = sp.stratified_split(df.withColumn(COMBINED_TEXT, tagged_text(text_cols, present=df.columns)),
-                            label, by, train, test, seed)
+    marked, has = fl.with_presence(df, text_cols, by)
+    texts = marked.withColumn(COMBINED_TEXT, tagged_text(text_cols, has)).select(*df.columns, COMBINED_TEXT)
+    s = sp.stratified_split(texts, label, by, train, test, seed)
     rep = lk.sheet_report(s, COMBINED_TEXT, by, threshold, seed, with_samples=threshold is not None)
     return rep, lk.leakage_gate(rep, fail_threshold)
 
@@ -64,13 +66,21 @@ def cluster_corpus(df: DataFrame, text_cols: Sequence[str], k: int = cu.DEFAULT_
                    dims: int = vc.HASH_DIMS, seed: int = 42, vectors: str | None = None
                    ) -> tuple[DataFrame, DataFrame]:
     """Cluster the text of every group; returns (rows with
-    ``__cluster_text__`` and ``cluster_label``, summary per group)."""
+    ``__cluster_text__`` and ``cluster_label``, summary per group). A group
+    without one of ``text_cols`` is left out of the rows and stands in the
+    summary as ``skipped``; the others go on."""
     by = group_cols(by)
     algorithm = cu.check_algorithm(algorithm)
-    if not text_cols or not all(c in df.columns for c in text_cols):
-        raise ValueError(f"missing clustering columns: {list(text_cols)}")
+    if not text_cols:
+        raise ValueError("no clustering columns are named")
     kept = fl.skip_groups(df, skip)
-    t = kept.withColumn(CLUSTER_TEXT, delimited_text(text_cols))
+    marked, has = fl.with_presence(kept, text_cols, by)
+    usable = functools.reduce(lambda a, b: a & b, (has.get(c, F.lit(False)) for c in text_cols))
+    left_out = marked.where(~usable).select(*by).distinct()
+    for c in text_cols:
+        if c not in df.columns:
+            marked = marked.withColumn(c, F.lit(None).cast("string"))
+    t = marked.where(usable).withColumn(CLUSTER_TEXT, delimited_text(text_cols)).select(*df.columns, CLUSTER_TEXT)
     v = t if vectors else vc.hashed_embedding(t, CLUSTER_TEXT, dims, out="__vec")
     vec = vectors or "__vec"
     if algorithm == "kmeans":
@@ -82,11 +92,22 @@ def cluster_corpus(df: DataFrame, text_cols: Sequence[str], k: int = cu.DEFAULT_
         from corpusprep.operators.dbscan import dbscan
         rows = dbscan(v, vec, by=by)
     rows = rows.withColumnRenamed("cluster", "cluster_label").drop("__vec")
-    summary = cu.cluster_summary(rows, by, "cluster_label", algorithm, text_cols)
-    return rows, summary
+    summary = cu.cluster_summary(rows, by, "cluster_label", algorithm, text_cols).withColumn("status", F.lit("clustered"))
+    skipped = left_out.select(*by, F.lit(0).cast("bigint").alias("records"), F.lit(0).cast("bigint").alias("clusters"),
+                              F.lit(algorithm).alias("algorithm"), F.array(*[F.lit(c) for c in text_cols]).alias("columns_used"),
+                              F.lit("skipped").alias("status"))
+    return rows, summary.unionByName(skipped)
 
 
-__all__ = ["leakage_report", "classify_corpus", "cluster_corpus", "write_leakage_report", "write_cluster_outputs",
+def global_cluster_summary(summary: DataFrame) -> DataFrame:
+    """One row over all groups: groups clustered and skipped, records, clusters."""
+    return summary.agg(F.count_if(F.col("status") == "clustered").cast("bigint").alias("groups"),
+                       F.count_if(F.col("status") == "skipped").cast("bigint").alias("skipped"),
+                       F.coalesce(F.sum("records"), F.lit(0)).cast("bigint").alias("records"),
+                       F.coalesce(F.sum("clusters"), F.lit(0)).cast("bigint").alias("clusters"))
+
+
+__all__ = ["leakage_report", "classify_corpus", "cluster_corpus", "global_cluster_summary", "write_leakage_report", "write_cluster_outputs",
            "write_classification_outputs"]
 
 

@@ -439,6 +439,14 @@ def q_label_map_mixed_columns(spark, sf):
     return lb.label_map_first_seen(_mixed_frame(spark, sf), ["p_type", "c_nationkey"])
 
 
+@register("tagged_text_mixed_columns", """
+SELECT 'part' AS workbook, p_brand AS sheet, p_partkey AS row_idx, '[P_NAME] ' || trim(p_name) || ' [C_NAME] ' AS text FROM part
+UNION ALL SELECT 'customer', c_mktsegment, c_custkey, '[P_NAME]  [C_NAME] ' || trim(c_name) FROM customer""")
+def q_tagged_text_mixed_columns(spark, sf):
+    marked, has = fl.with_presence(_mixed_frame(spark, sf), ["p_name", "c_name"])
+    return marked.select(*GK, "row_idx", tx.tagged_text(["p_name", "c_name"], has).alias("text"))
+
+
 @register("sample_rows_per_group", f"""
 SELECT workbook, sheet, CAST(rn AS INTEGER) AS rn, md5(ctext) AS text_md5 FROM (
   SELECT workbook, sheet, ctext, row_number() OVER (PARTITION BY workbook, sheet

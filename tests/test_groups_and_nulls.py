@@ -132,3 +132,16 @@ def test_json_cast_falls_back_to_the_default(spark):
     default = F.named_struct(F.lit("k"), F.lit(-1).cast("bigint"))
     got = {r["i"]: r["k"] for r in d.select("i", casts.safe_json(F.col("s"), "k bigint", default)["k"].alias("k")).collect()}
     assert got == {1: 5, 2: -1, 3: -1, 4: 1}
+
+
+def test_cluster_job_goes_on_without_groups_that_lack_a_column(spark):
+    from corpusprep.plans.corpus import cluster_corpus, global_cluster_summary
+    a = [("w", "a", i, f"text number {i % 3}", "q") for i in range(12)] + [("w", "b", i, f"text {i}", None) for i in range(4)]
+    d = spark.createDataFrame(a, "workbook string, sheet string, row_idx bigint, text string, kind string")
+    rows, summary = cluster_corpus(d, ["text", "kind"], k=2)
+    got = {r["sheet"]: (r["records"], r["status"]) for r in summary.collect()}
+    assert got == {"a": (12, "clustered"), "b": (0, "skipped")} and {r["sheet"] for r in rows.collect()} == {"a"}
+    total = global_cluster_summary(summary).first()
+    assert (total["groups"], total["skipped"], total["records"]) == (1, 1, 12)
+    _, none = cluster_corpus(d, ["text", "nowhere"], k=2)
+    assert {r["status"] for r in none.collect()} == {"skipped"}
