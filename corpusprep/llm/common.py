@@ -49,6 +49,38 @@ def map_text(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def hash_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """At most ``size`` rows, spread over all by the hash of ``key``; the same rows each time.
+
+    Larger tables are thinned by a second hash first, so that no task hands
+    its own ``size`` rows to the driver.
+    """
+    n = rows.count()
+    if n > 2 * size:
+        rows = rows.where(F.pmod(F.xxhash64(key, F.lit(1)), F.lit(n)) < 2 * size)
+    return rows.orderBy(F.xxhash64(key), key).limit(size)
+
+
+class Memo:
+    """What a worker remembers, in two generations of about ``size`` entries: often used entries stay."""
+
+    def __init__(self, size: int):
+        self.size, self.known, self.old = size, {}, {}
+
+    def unknown(self, keys: set) -> list:
+        """Keys still to be learned into ``known``; all other ``keys`` are in ``known`` afterwards."""
+        if len(self.known) > self.size:
+            self.old, self.known = self.known, {}
+        known, old, out = self.known, self.old, []
+        for k in keys.difference(known):
+            v = old.get(k)
+            if v is None:
+                out.append(k)
+            else:
+                known[k] = v
+        return out
+
+
 # ------------------------------------------------------------------ shared files
 def shared_uri(spark: SparkSession, name: str) -> str:
     """A fresh folder URI under the shared checkpoint folder, with its scheme."""

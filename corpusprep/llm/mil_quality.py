@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import map_text
+from corpusprep.llm.common import hash_sample, map_text
 
 SAMPLE = 3000
 PASSAGE = 384
@@ -161,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``sample`` labelled documents that are not held out; the driver gets their passage features."""
     key = F.col(id_col).cast("bigint")
     picked = labels.where(F.col(label_col).isin(0, 1) & ~held_out(key)).groupBy(key.alias("__id")) \
-        .agg(F.max(label_col).cast("int").alias("y")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
+        .agg(F.max(label_col).cast("int").alias("y"))
+    picked = hash_sample(picked, "__id", sample)
     texts = docs.select(key.alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "__id").select("text", "y", "__id")
 
     def run(batches):

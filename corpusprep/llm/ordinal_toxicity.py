@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import map_text
+from corpusprep.llm.common import Memo, hash_sample, map_text, written
 
 #: Labelled documents the model is fitted on, at most.
 SAMPLE = 12_000
@@ -41,7 +41,8 @@ MIN_CHI2 = 15.0
 SLOTS = 1 << 22
 #: A document is rejected from this probability of being toxic at all.
 REJECT = 0.5
-MEMO = 200_000
+#: Chunks a worker remembers, in each of two generations.
+MEMO = 150_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -68,23 +69,17 @@ class Slots:
     """Slots of the features of a chunk (a text between white space), remembered."""
 
     def __init__(self, known: frozenset[int] | None = None):
-        self.known, self.memo = known, {}
-
-    def __call__(self, chunk: str) -> tuple[int, ...]:
-        got = self.memo.get(chunk)
-        if got is None:
-            found = {slot(f) for w in _LETTERS.findall(chunk) for f in features_of(w)}
-            got = tuple(found if self.known is None else found & self.known)
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[chunk] = got
-        return got
+        self.known, self.memo = known, Memo(MEMO)
+
+    def _of(self, chunk: str) -> tuple[int, ...]:
+        found = {slot(f) for w in _LETTERS.findall(chunk) for f in features_of(w)}
+        return tuple(found if self.known is None else found & self.known)
 
     def text(self, text: str | None) -> set[int]:
-        out: set[int] = set()
-        for c in set((text or "").lower().split()):
-            out.update(self(c))
-        return out
+        chunks = set((text or "").lower().split())
+        for c in self.memo.unknown(chunks):
+            self.memo.known[c] = self._of(c)
+        return set().union(*map(self.memo.known.__getitem__, chunks))
 
 
 @dataclass(frozen=True)
@@ -160,26 +155,45 @@ def severity_grades(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic > 0, 1 + (hits > middle), 0).astype(np.int64)
 
 
+def telling_slots(sampled: DataFrame, features: int = FEATURES, min_chi2: float = MIN_CHI2) -> list[int]:
+    """Slots of ``sampled(slots, y)`` that the label tells apart, counted in Spark; at most ``features``."""
+    all_ = sampled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos")).first()
+    n, pos = float(all_["n"]), float(all_["pos"])
+    if not 0 < pos < n:
+        return []
+    c = sampled.select(F.explode("slots").alias("slot"), "y").groupBy("slot") \
+        .agg(F.count(F.lit(1)).cast("double").alias("both"), F.sum("y").cast("double").alias("a")).where("both >= 3")
+    apart = F.col("both") * (n - F.col("both")) * pos * (n - pos)
+    chi = F.when(apart > 0, n * F.pow(F.col("a") * n - F.col("both") * pos, 2) / apart).otherwise(F.lit(0.0))
+    best = c.withColumn("chi", chi).where(F.col("chi") >= min_chi2).orderBy(F.desc("chi"), "slot").limit(features)
+    return [r["slot"] for r in best.select("slot").collect()]
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled documents; only their feature slots reach the driver."""
+    """Fit on at most ``sample`` labelled documents; the driver gets their telling slots only."""
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("bigint").alias("__id")) \
         .agg(F.max(label_col).cast("int").alias("y"))
-    picked = known.orderBy(F.xxhash64(F.col("__id")), "__id").limit(sample)      # at most ``sample`` ids
+    picked = hash_sample(known, "__id", sample)
     texts = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(picked), "__id").select("text", "y", "__id")
 
     def run(batches):
         slots = Slots()
         for b in batches:
-            sets = [np.array(sorted(slots.text(t)), "<u4") for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in sets], pa.binary()), b.column(1), b.column(2)],
-                                             names=["slots", "y", "id"])
-    got = map_text(texts, run, "slots binary, y int, id bigint").orderBy("id", "slots").toArrow()
-    rows = [np.frombuffer(s, "<u4").astype(np.int64) for s in got["slots"].to_pylist()]
+            sets = [sorted(slots.text(t)) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int32())), b.column(1), b.column(2)], names=["slots", "y", "id"])
+    sampled = written(map_text(texts, run, "slots array<int>, y int, id bigint"), "toxicity-sample")
+    chosen = np.array(sorted(telling_slots(sampled)), np.int32)
+
+    def keep(batches):
+        for b in batches:
+            sets = [np.intersect1d(np.array(s, np.int32), chosen, assume_unique=True).tolist() for s in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int32())), b.column(1), b.column(2)], names=["slots", "y", "id"])
+    got = map_text(sampled, keep, "slots array<int>, y int, id bigint").orderBy("id", "slots").toArrow()
+    rows = [np.array(s, np.int64) for s in got["slots"].to_pylist()]
     toxic = got["y"].to_numpy().astype(np.int64)
-    grades = severity_grades(rows, toxic)
-    return fit(rows, grades, 3)
+    return fit(rows, severity_grades(rows, toxic), 3)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", reject: float = REJECT) -> DataFrame:
