@@ -8,7 +8,7 @@ and memory-mapped by its workers. A word that is not in the lexicon is
 merged exactly, lowest rank first, leftmost among equals.
 
 Texts are cut where no token can reach across (see ``UNIT``), so each worker
-keeps the ids of units it has seen (``MEMO`` entries at most, then afresh).
+keeps the ids of units it has seen (two generations of ``MEMO`` entries).
 
 Defined results: a null or empty text has no tokens and decodes to the empty
 text; strings of added tokens in a text become their ids, as the tokenizer
@@ -31,17 +31,18 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import map_text
+from corpusprep.llm.common import Memo, map_text, written
 
 #: Words compiled into the lexicon; a bound on what the driver builds and executors map.
 LEXICON_WORDS = 65_536
 #: Longer words are left to the merge.
 LEXICON_BYTES = 48
-#: Units whose ids a worker remembers, and words counted before a task passes them on.
-MEMO = 250_000
+#: Units whose ids a worker remembers, in each of two generations, and words counted before a task passes them on.
+MEMO = 150_000
+COUNTED = 250_000
 #: Words of at most so many bytes are merged many at a time.
 ROW_BYTES = 48
 
@@ -259,7 +260,7 @@ class Lexicon:
         self.merger = Merger(part["byte_ids"], part["merge_keys"], part["merge_ranks"], part["merge_made"])
         self.special = meta["special"]
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(MEMO)
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
         """Place of each word in the id table, -1 if it is not in the lexicon."""
@@ -291,15 +292,13 @@ class Lexicon:
             out[i] = ids
         return out
 
-    def learn(self, units: set[str]) -> None:
+    def learn(self, units: list[str]) -> None:
         """Put the ids of ``units`` into the memo."""
-        if len(self.memo) + len(units) > MEMO:
-            self.memo.clear()
         pieces = [WORD.findall(u) for u in units]
         words = list({w for p in pieces for w in p})
         ids = dict(zip(words, self.word_ids([w.encode() for w in words]), strict=True))
         for u, p in zip(units, pieces, strict=True):
-            self.memo[u] = b"".join([ids[w] for w in p])
+            self.memo.known[u] = b"".join([ids[w] for w in p])
 
     def parts(self, text: str) -> list[str]:
         return self.split.split(text) if self.split else [text]
@@ -307,12 +306,9 @@ class Lexicon:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [[p if p in self.special else UNIT.findall(p) for p in self.parts(t)] for t in texts]
-        new = {u for c in cut for p in c if not isinstance(p, str) for u in p}.difference(self.memo)
-        have = self.memo
-        if len(new) + len(have) > MEMO:     # the memo starts afresh: learn all units of these texts
-            new = {u for c in cut for p in c if not isinstance(p, str) for u in p}
-        if new:
+        if new := self.memo.unknown(set().union(*[p for c in cut for p in c if not isinstance(p, str)])):
             self.learn(new)
+        have = self.memo.known
         special = {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
         return [b"".join([special[p] if isinstance(p, str) else b"".join([have[u] for u in p]) for p in c]) for c in cut]
 
@@ -346,7 +342,7 @@ def word_counts(docs: DataFrame, text_col: str = "text", special: Iterable[str]
             for t in b.column(0).to_pylist():
                 for p in (split.split(t) if split else [t]) if t else []:
                     units.update(UNIT.findall(p))
-            if len(units) > MEMO:
+            if len(units) > COUNTED:
                 yield told(units)
                 units = Counter()
         yield told(units)
@@ -354,11 +350,24 @@ def word_counts(docs: DataFrame, text_col: str = "text", special: Iterable[str]
         .groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> DataFrame:
+    """Words at least as frequent as the lowest count that at most ``size`` words reach.
+
+    The threshold comes from the number of words for each count, so no task
+    has to hand its own ``size`` candidates to the driver.
+    """
+    run = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)     # one row for each distinct count
+    least = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("upto", F.sum("words").over(run)) \
+        .where(F.col("upto") <= size).agg(F.min("n").alias("n")).first()["n"]
+    return counts.where(F.col("n") >= least if least is not None else F.lit(False))
+
+
 def build_lexicon(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON_WORDS) -> str:
-    """Compile the ``size`` most frequent words of ``docs``; returns the name executors find the file by."""
+    """Compile the most frequent words of ``docs``, ``size`` at most; returns the name executors find the file by."""
     model = Model(path)
-    top = word_counts(docs, text_col, sorted(model.special)).where(F.octet_length("word") <= LEXICON_BYTES) \
-        .orderBy(F.desc("n"), "word").limit(size).select("word").collect()     # at most ``size`` rows
+    counts = written(word_counts(docs, text_col, sorted(model.special))
+                     .where((F.octet_length("word") <= LEXICON_BYTES) & (F.col("n") > 1)), "word-counts")
+    top = frequent_words(counts, size).select("word").collect()         # at most ``size`` rows
     fd, file = tempfile.mkstemp(prefix="lexicon-", suffix=".bin")
     os.close(fd)
     compile_lexicon(model, [bytes(r["word"]) for r in top], file)
