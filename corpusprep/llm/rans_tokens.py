@@ -33,19 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import (CommittedFile, key_of, map_text, prefix_sums, read_file, shard_bounds, shared_uri, slices,
+from corpusprep.llm.common import (CommittedFile, Memo, key_of, map_text, prefix_sums, read_file, shard_bounds, shared_uri, slices,
                                    with_shard, written)
 
 MAGIC = b"RANSIDS1"
 LANES, STEPS = 32, 512
 BLOCK = LANES * STEPS
-FILE_TOKENS = 4 << 20
+FILE_TOKENS = 2 << 20
 #: Text bytes of a shard on small inputs; it grows so that there are at most ``MAX_SHARDS``.
 SHARD_BYTES = 8 << 20
 MAX_SHARDS = 20_000
 LOW = np.uint64(1 << 31)          # states stay in [2^31, 2^63)
 CHECKPOINT = np.dtype([("offset", "<u8"), ("words", "<u4"), ("ids", "<u4"), ("crc", "<u4"), ("ids_crc", "<u4")])
-MEMO = 250_000
+#: Chunks, and words, that a worker remembers in each of two generations.
+MEMO = 150_000
 
 
 # ------------------------------------------------------------------ the coder
@@ -107,14 +108,18 @@ class Table:
 
 def pack(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
     """The bytes of one file."""
-    flat = np.concatenate(docs).astype(np.int64)
-    symbols, places, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    freq, bits = frequencies(counts)
+    flat = np.concatenate(docs).astype(np.uint32)
+    counts = np.bincount(flat)              # ids are bounded by the vocabulary
+    symbols = np.flatnonzero(counts)
+    place = np.zeros(len(counts), np.int32)
+    place[symbols] = np.arange(len(symbols))
+    places = place[flat]
+    freq, bits = frequencies(counts[symbols])
     table = Table(symbols, freq, bits)
     whole, rest = divmod(len(flat), BLOCK)
     parts = [(places[:whole * BLOCK].reshape(whole, STEPS, LANES), BLOCK)] if whole else []
     if rest:
-        tail = np.zeros(-(-rest // LANES) * LANES, np.int64)
+        tail = np.zeros(-(-rest // LANES) * LANES, np.int32)
         tail[:rest] = places[whole * BLOCK:]
         parts.append((tail.reshape(1, -1, LANES), rest))
     blocks, index, offset = [], [], 0
@@ -187,11 +192,12 @@ class WordTokens:
     """Ids of whole texts by the ``tokenizers`` library.
 
     The tokenizer drops white space and no token reaches across it, so a text
-    is the sequence of its chunks, and the library is asked once for each
-    new chunk. Letters before closing marks are asked for apart and in lower
-    case (the tokenizer lower-cases; only where both agree letter by letter),
-    so that repeated words cost nothing. A text with a special token's string
-    goes to the library whole.
+    is the sequence of its chunks, and each new chunk is tokenized once and
+    remembered. A word of plain letters before closing marks is asked for
+    apart from them, in lower case: normalizing and splitting leave such a
+    word as it is, so the library's BPE model gets its bytes directly. Other
+    chunks, and texts with a special token's string, go through the whole
+    tokenizer.
     """
 
     MARKS = b".,;:!?*&$#%|"
@@ -204,49 +210,54 @@ class WordTokens:
         self.lib.no_padding()
         spec = json.loads(self.lib.to_str())
         self.special = [t["content"] for t in spec["added_tokens"]]
-        splits = [p["pattern"].get("Regex", "") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        splits = [p["pattern"].get("Regex", "") for p in steps if p["type"] == "Split"]
         names = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         # chunks are apart only if white space never enters a token and letters are lower-cased
-        self.chunked = names == ["NFC", "Replace", "Lowercase"] and len(splits) == 1 and "[^\\s\\p{L}\\p{N}]+" in splits[0]
-        self.memo: dict[bytes, bytes] = {}
+        self.chunked = (names == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in steps] == ["Split", "ByteLevel"]
+                        and "[\\p{L}]+" in splits[0] and "[^\\s\\p{L}\\p{N}]+" in splits[0] and spec["post_processor"] is None)
+        # the printable character of each byte in a byte-level vocabulary
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = iter(range(256, 512))
+        self.byte_char = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+        self.chunks, self.words = Memo(MEMO), Memo(MEMO)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch(texts, add_special_tokens=False)]
 
-    def _parts(self, chunk: bytes) -> list[bytes]:
+    def _parts(self, chunk: bytes) -> tuple[bytes, bytes] | None:
+        """A plain lower-case word and the marks after it; None for all other chunks."""
         core = chunk.rstrip(self.MARKS)
-        tail = chunk[len(core):]
+        if core.isascii():
+            return (core.lower(), chunk[len(core):]) if core.isalpha() else None
         word = core.decode("utf-8")
         if not word or not word.isalpha() or ord(max(word)) >= 0x250:
-            return [chunk]
+            return None
         low = word.lower()
         if len(low) != len(word):       # a letter whose lower case holds a mark, which would join the tail
-            return [chunk]
-        return [low.encode("utf-8"), *([tail] if tail else [])]
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.memo) + len(chunks) > MEMO:
-            self.memo.clear()
-        cut = {c: self._parts(c) for c in chunks}
-        new = list({p for parts in cut.values() for p in parts if p not in self.memo})
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            self.memo.update(zip(some, self._library([p.decode("utf-8") for p in some]), strict=True))
-        for c, parts in cut.items():
-            self.memo[c] = b"".join([self.memo[p] for p in parts])
+            return None
+        return low.encode("utf-8"), chunk[len(core):]
+
+    def _learn(self, new: list[bytes]) -> None:
+        cut = {c: self._parts(c) for c in new}
+        whole = [c for c, p in cut.items() if p is None] + list({p[1] for p in cut.values() if p and p[1]})
+        ids = dict(zip(whole, self._library([c.decode("utf-8") for c in whole]), strict=True)) if whole else {}
+        ids[b""] = b""
+        tokenize, chars = self.lib.model.tokenize, self.byte_char
+        for w in self.words.unknown({p[0] for p in cut.values() if p}):
+            piece = w.decode("ascii") if w.isascii() else w.decode("latin-1").translate(chars)
+            self.words.known[w] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(piece)])
+        words, chunks = self.words.known, self.chunks.known
+        for c, p in cut.items():
+            chunks[c] = words[p[0]] + ids[p[1]] if p else ids[c]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         whole = [not self.chunked or any(s in t for s in self.special) for t in texts]
         cut = [[] if w else t.encode("utf-8").split() for t, w in zip(texts, whole, strict=True)]
-        chunks = {c for cs in cut for c in cs}
-        new = chunks.difference(self.memo)
-        if len(self.memo) + 3 * len(new) > MEMO:     # afresh, with all that these texts need
-            self.memo.clear()
-            new = chunks
-        if new:
+        if new := self.chunks.unknown(set().union(*cut)):
             self._learn(new)
-        have = self.memo
+        have = self.chunks.known
         out = [b"".join([have[c] for c in cs]) for cs in cut]
         for i in np.flatnonzero(whole):
             out[i] = self._library([texts[i]])[0]
@@ -319,7 +330,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, uri: str | None = None
     coded = map_text(docs.select(key_of(id_col).alias("key"), F.col(id_col).cast("bigint").alias("doc_id"),
                                  F.col(text_col).alias("text")), run, "key bigint, doc_id bigint, width int, ids binary")
     sorted_ = with_shard(coded, "key", bounds).select(F.col("__shard").alias("shard"), "key", "doc_id", "width", "ids") \
-        .repartition("shard").sortWithinPartitions("shard", "key", "width", "ids")
+        .repartition(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "key", "width", "ids")
     schema = "file string, shard int, seq int, documents bigint, tokens bigint, bytes bigint, crc32 bigint"
     return uri, written(sorted_.mapInArrow(_write(uri, file_tokens), schema), "rans-manifest")
 

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from corpusprep.llm import ordinal_toxicity, pii_scan, rans_tokens, simhash_gray, source_mix, warc_sharded
-from corpusprep.llm.common import open_store
+from corpusprep.llm.common import Memo, hash_sample, open_store
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -106,7 +106,10 @@ def test_word_tokens_equal_the_library():
         "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
     lib = Tokenizer.from_file(WORD_BPE)
     want = [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
-    assert rans_tokens.WordTokens(WORD_BPE).encode(texts) == want
+    tokens = rans_tokens.WordTokens(WORD_BPE)
+    assert tokens.encode(texts) == want
+    tokens.chunks, tokens.words = Memo(40), Memo(30)             # forgets all the time
+    assert [x for at in range(0, len(texts), 25) for x in tokens.encode(texts[at:at + 25])] == want
 
 
 def test_token_files_round_trip(spark):
@@ -129,6 +132,13 @@ def test_token_files_round_trip(spark):
     assert rans_tokens.read_tokens(uri, manifest).count() == 0
 
 
+def test_hash_sample_is_bounded_and_repeatable(spark):
+    t = spark.range(5000).withColumnRenamed("id", "k")
+    got = [sorted(r["k"] for r in hash_sample(t.repartition(n), "k", 300).collect()) for n in (2, 7)]
+    assert got[0] == got[1] and len(got[0]) == 300
+    assert hash_sample(t.limit(10), "k", 300).count() == 10 and hash_sample(t.limit(0), "k", 5).count() == 0
+
+
 # ------------------------------------------------------------------ mixing
 def brute_targets(sizes, weights=(5, 2, 1)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)

@@ -91,6 +91,20 @@ def test_encoding_equals_the_library(lexicon):
     assert got == want
 
 
+def test_frequent_words_keep_whole_counts_within_the_bound(spark):
+    counts = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 5), ("e", 2)], "word string, n bigint")
+    for size, want in ((0, ""), (1, "a"), (3, "a"), (4, "abcd"), (9, "abcde")):
+        assert sorted(r["word"] for r in bpe.frequent_words(counts, size).collect()) == list(want)
+    assert bpe.frequent_words(counts.limit(0), 5).count() == 0
+
+
+def test_encoding_with_a_short_memory_equals_the_library(lexicon):
+    texts = ["the then ten " * 3, "für the x1 loft's", "a b c d e f g", "the then"] * 5
+    lexicon[0].memo = bpe.Memo(3)
+    want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(lexicon[0].encode([t])[0], "<u4").tolist() for t in texts] == want
+
+
 def test_documents_equal_the_library(spark):
     lib = Tokenizer.from_file(BYTE_BPE)
     rows = [(1, "Hello the world, it's 2024!\n\n  Zürich"), (2, None), (3, ""), (None, "null id"), (4, "long " * 20_000), (1, "Hello again"),
