@@ -149,7 +149,7 @@ def write_archives(pages: DataFrame, uri: str | None = None, id_col: str = "page
                                     F.lit(None).cast("string").alias("payload"), "digest", "first"))
     sorted_ = with_shard(both, "key", bounds).select(F.col("__shard").alias("shard"), "key", "tag", "page_id", "url", "payload",
                                                      "digest", "first") \
-        .repartition("shard").sortWithinPartitions("shard", "key", "tag", "digest", "url")
+        .repartition(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "key", "tag", "digest", "url")
     return uri, written(sorted_.mapInArrow(_write(uri, roll_bytes), MANIFEST), "warc-manifest")
 
 
