@@ -6,11 +6,13 @@ row. A k-mer is an anchor if its smallest inner s-mer (by hash) is the first
 or the last one. This depends on the k-mer alone, so equal passages give
 equal anchors wherever they stand, whatever surrounds them.
 
-The fingerprint holds the ``SIZE`` smallest of the distinct anchors of the
-whole text, in text order, as eight hex digits each: a sample of anchors
-that is the same for equal anchors of any two texts. The likeness of two
-fingerprints is 2 J / (1 + J), where J is the share of common anchors among
-the ``SIZE`` smallest of both; texts with fewer anchors are compared exactly.
+The fingerprint holds all anchors of the text in text order, repeats
+included, as eight hex digits each; beside it stand their positions, the
+number of the unit at which each k-mer starts. The likeness of two
+fingerprints is twice the number of their common anchors over the number of
+all anchors of both; an anchor that stands m times in one and n times in the
+other is common min(m, n) times. A sketch, the ``SIZE`` smallest distinct
+anchors, is an extra of ``fingerprints``; no likeness uses it.
 
 Defined results: a null text is an empty text; a text without words has the
 empty fingerprint; one with fewer than ``K`` units has one anchor, its whole
@@ -36,28 +38,39 @@ MAX_BLOCKS = 10_000
 STEP = 128
 
 
-def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name`` (anchors of the sketch, sorted) and ``name_ordered`` (the same in text order)."""
+def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add ``name`` (all anchors in text order), ``name_at`` (unit positions) and ``name_keys`` (see ``_numbered``)."""
     h, s, n = f"__{name}_h", f"__{name}_s", F.size(f"__{name}_h")
     units = F.regexp_extract_all(F.col(text), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0))
     df = df.withColumn(h, F.transform(units, lambda u: F.xxhash64(u)))
     pairs = F.zip_with(h, F.slice(h, S, F.greatest(n, F.lit(1))), lambda a, b: F.xxhash64(a, b))
     df = df.withColumn(s, pairs)
-    inner = K - S + 1
-
-    def anchor(i: Column) -> Column:
-        of = [F.get(F.col(s), i + j) for j in range(inner)]
-        low = F.least(*of)
-        return F.when((low == of[0]) | (low == of[-1]), F.xxhash64(*of).bitwiseAND(F.lit(0xFFFFFFFF)))
-    found = F.when(n >= K, F.array_distinct(F.array_compact(F.transform(F.sequence(F.lit(0), n - K), anchor)))) \
-        .when(n > 0, F.array(F.xxhash64(h).bitwiseAND(F.lit(0xFFFFFFFF)))) \
-        .otherwise(F.array().cast("array<bigint>"))
-    df = df.withColumn(f"__{name}_a", found)
-    df = df.withColumn(name, F.slice(F.sort_array(f"__{name}_a"), 1, SIZE))
-    last = F.element_at(name, -1)
-    ordered = F.when(F.size(f"__{name}_a") <= SIZE, F.col(f"__{name}_a")) \
-        .otherwise(F.filter(f"__{name}_a", lambda x: x <= last))
-    return df.withColumn(f"{name}_ordered", ordered).drop(h, s, f"__{name}_a")
+
+    def inner(i: Column) -> list[Column]:
+        return [F.get(F.col(s), i + j) for j in range(K - S + 1)]
+
+    def closed(i: Column) -> Column:
+        first, *mid, last = inner(i)
+        return F.least(first, last) <= F.least(first, *mid, last)
+    low = F.lit(0xFFFFFFFF)
+    df = df.withColumn(f"{name}_at", F.when(n >= K, F.filter(F.sequence(F.lit(0), n - K), closed))
+                       .when(n > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
+    df = df.withColumn(name, F.when(n >= K, F.transform(f"{name}_at", lambda i: F.xxhash64(*inner(i)).bitwiseAND(low)))
+                       .when(n > 0, F.array(F.xxhash64(h).bitwiseAND(low))).otherwise(F.array().cast("array<bigint>")))
+    return _numbered(df, name).drop(h, s)
+
+
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """Add ``name_keys``: each anchor with the number of its earlier equals above its 32 bits, so that all differ."""
+    a, at, n = f"__{name}_sorted", f"__{name}_starts", F.size(name)
+    df = df.withColumn(a, F.sort_array(name))
+    df = df.withColumn(at, F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1))))
+                       .otherwise(F.array().cast("array<int>")))
+    ends = F.concat(F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), F.array(n))
+    keys = F.flatten(F.zip_with(at, ends, lambda b, e: F.transform(
+        F.sequence(F.lit(0), e - b - 1), lambda k: F.get(a, b) + k.cast("bigint") * F.lit(1 << 32))))
+    keys = F.when(F.size(at) < n, keys).otherwise(F.col(a))
+    return df.withColumn(f"{name}_keys", keys).drop(a, at)
 
 
 def as_string(ordered: str) -> Column:
@@ -65,16 +78,17 @@ def as_string(ordered: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SIZE)
-    both = F.size(F.array_intersect(union, F.array_intersect(a, b))).cast("double")
-    j = both / F.size(union)
-    return F.when(F.size(F.array_union(a, b)) == 0, F.lit(1.0)).otherwise(2 * j / (1 + j))
+    """Of two arrays of numbered anchors."""
+    n = F.size(a) + F.size(b)
+    return F.when(n == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a, b)).cast("double") / n)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, anchors`` of every document."""
+    """``doc_id, fingerprint, positions`` of every document, and ``anchors``, the sketch."""
     t = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return with_sketch(t, "text", "anchors").select("doc_id", as_string("anchors_ordered").alias("fingerprint"), "anchors")
+    return with_anchors(t, "text", "all").select(
+        "doc_id", as_string("all").alias("fingerprint"), F.col("all_at").alias("positions"),
+        F.slice(F.sort_array(F.array_distinct("all")), 1, SIZE).alias("anchors"))
 
 
 def _bounds(keys: DataFrame) -> list[int]:
@@ -111,14 +125,15 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     before = F.struct(F.when(F.col("block") == 1, F.lit(len(bounds))).otherwise(F.col("block") - 1).alias("b"), F.lit(True).alias("guest"))
     copies = F.when(F.col("key") == F.element_at(every, F.col("block")), F.array(own, before)).otherwise(F.array(own))
     t = t.withColumn("copy", F.explode(copies)).select("key", "doc_id", "text", F.col("copy.b").alias("block"), F.col("copy.guest").alias("guest"))
-    t = with_sketch(t.repartition("block"), "text", "own")
+    t = with_anchors(t.repartition("block"), "text", "own").withColumn("own", as_string("own"))
     w = Window.partitionBy("block").orderBy("guest", "key", "text")
-    t = t.withColumn("next_text", F.lead("text").over(w)).withColumn("next_own", F.lead("own").over(w)).where(~F.col("guest"))
+    t = t.withColumn("next_text", F.lead("text").over(w)).withColumn("next_keys", F.lead("own_keys").over(w)).where(~F.col("guest"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     t = t.withColumn("n_chars", n.cast("bigint")) \
         .withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)))
-    t = with_sketch(t.drop("text", "next_text"), "edited", "new")
+    t = with_anchors(t.drop("text", "next_text"), "edited", "new")
     return t.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                    as_string("own_ordered").alias("fingerprint"), as_string("new_ordered").alias("edited_fingerprint"),
-                    likeness("own", "new").alias("near_edited"), likeness("own", "next_own").alias("near_next"))
+                    F.col("own").alias("fingerprint"), F.col("own_at").alias("positions"),
+                    as_string("new").alias("edited_fingerprint"), F.col("new_at").alias("edited_positions"),
+                    likeness("own_keys", "new_keys").alias("near_edited"), likeness("own_keys", "next_keys").alias("near_next"))

@@ -1,6 +1,7 @@
 """Near-duplicate operators against brute force: SimHash, syncmers, embeddings."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -186,6 +187,27 @@ def test_syncmers_are_context_free_and_equal_brute_force(spark):
     assert got[2]["anchors"] == sorted(anchors)[:syncmers.SIZE]
 
 
+def test_syncmer_fingerprint_holds_all_anchors_in_order_with_positions(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{rng.integers(0, 900)}" for _ in range(9000)]
+    shared = " ".join(f"s{rng.integers(0, 10 ** 3)}" for _ in range(400))
+    rows = [(1, " ".join(words[:4000]) + " " + shared), (2, shared + " " + " ".join(f"z{w}" for w in words)), (3, "a b c d " * 50), (4, "a b c d " * 20)]
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(docs_of(spark, rows)).collect()}
+    marks = {i: [r["fingerprint"][a:a + 8] for a in range(0, len(r["fingerprint"]), 8)] for i, r in got.items()}
+    for i, r in got.items():
+        assert len(marks[i]) == len(r["positions"]) and r["positions"] == sorted(set(r["positions"]))
+    assert len(marks[1]) > 2000 and set(got[1]["anchors"]) < {int(m, 16) for m in marks[1]}
+    own = " ".join(words[:4000]).split(" ")                    # words have at most UNIT code points
+    inside = {(p - len(own), m) for p, m in zip(got[1]["positions"], marks[1], strict=True) if p >= len(own)}
+    assert inside and inside == {(p, m) for p, m in zip(got[2]["positions"], marks[2], strict=True) if p <= 400 - syncmers.K}
+    assert len(marks[3]) > len(set(marks[3]))                  # repeats stay
+    next_of = {r["doc_id"]: r["near_next"] for r in syncmers.edited_likeness(docs_of(spark, rows)).collect()}
+    for i, j in ((1, 2), (2, 3), (3, 4), (4, 1)):
+        a, b = Counter(marks[i]), Counter(marks[j])
+        assert next_of[i] == pytest.approx(2 * (a & b).total() / (a.total() + b.total()), abs=1e-12)
+    assert next_of[1] > 0 and 0 < next_of[3] < 1
+
+
 # ------------------------------------------------------------------ embeddings
 def brute_vectors(rows, cosine):
     ok = [v is not None and None not in v and np.isfinite(v).all() and any(v) for _, v in rows]
