@@ -1,10 +1,15 @@
 """Document fingerprints from closed syncmers, in DataFrame operations only.
 
-A text is cut into units: runs of up to ``UNIT`` code points inside its
-words. A k-mer is ``K`` units in a row, its inner s-mers are ``S`` units in a
+A text is cut into units inside its words, the runs without white space. A
+word of up to ``2 * UNIT`` code points is cut from its start into units of up
+to ``UNIT``; a longer one (text without spaces, URLs, base64) has a unit of
+``UNIT`` code points at every code point, so that its units do not depend on
+where it starts. A k-mer is ``K`` units in a row, its inner s-mers are ``S`` units in a
 row. A k-mer is an anchor if its smallest inner s-mer (by hash) is the first
-or the last one. This depends on the k-mer alone, so equal passages give
-equal anchors wherever they stand, whatever surrounds them.
+or the last one. This depends on the k-mer alone, so equal runs of
+units give equal anchors wherever they stand. Equal passages have equal units
+but for the word at either end that is cut, and there only units that reach
+over the cut differ if the word is long in both texts.
 
 The fingerprint holds all anchors of the text in text order, repeats
 included, as eight hex digits each; beside it stand their positions, the
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from corpusprep.llm.common import NULL_KEY, key_of
 
 UNIT = 4
+#: One match for each unit, which is group 1: the rest of a word, the first unit of a short word, or one code point of a long one.
+UNITS = r"(?=(X{1,%d}))(?:X{1,%d}+(?!X)|(?<!X)X{%d}(?=X{1,%d}+(?!X))|X)".replace("X", r"[^\x20\x09-\x0D]") % ((UNIT,) * 4)
 K, S = 4, 2
 SIZE = 128
 #: Rows aimed at in a block of neighbouring ids, and the most blocks there are (then they grow).
@@ -41,7 +48,7 @@ STEP = 128
 def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add ``name`` (all anchors in text order), ``name_at`` (unit positions) and ``name_keys`` (see ``_numbered``)."""
     h, s, n = f"__{name}_h", f"__{name}_s", F.size(f"__{name}_h")
-    units = F.regexp_extract_all(F.col(text), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0))
+    units = F.regexp_extract_all(F.col(text), F.lit(UNITS), F.lit(1))
     df = df.withColumn(h, F.transform(units, lambda u: F.xxhash64(u)))
     pairs = F.zip_with(h, F.slice(h, S, F.greatest(n, F.lit(1))), lambda a, b: F.xxhash64(a, b))
     df = df.withColumn(s, pairs)

@@ -208,6 +208,30 @@ def test_syncmer_fingerprint_holds_all_anchors_in_order_with_positions(spark):
     assert next_of[1] > 0 and 0 < next_of[3] < 1
 
 
+def test_syncmers_find_a_shared_passage_at_any_offset_without_spaces(spark):
+    rng = np.random.default_rng(4)
+    run = lambda n: "".join(chr(int(c)) for c in np.where(rng.random(n) < 0.1, rng.integers(0x20000, 0x2A000, n), rng.integers(0x4E00, 0x9000, n)))
+    passage = run(300)
+    rows = [(0, passage)] + [(o, run(37 + o) + passage + run(20)) for o in range(1, 9)] + [(9, passage[:150] + run(1) + passage[150:])]
+    got = {r["doc_id"]: r for r in syncmers.fingerprints(docs_of(spark, rows)).collect()}
+    marks = {i: [(p, r["fingerprint"][8 * k:8 * k + 8]) for k, p in enumerate(r["positions"])] for i, r in got.items()}
+    assert len(marks[0]) > 150
+    for o in range(1, 9):                                      # a unit at each code point: positions are shifted by as many
+        assert {(p + 37 + o, m) for p, m in marks[0]} <= set(marks[o])
+    kept = {m for _, m in marks[0]} & {m for _, m in marks[9]}
+    assert len(kept) >= len({m for _, m in marks[0]}) - syncmers.UNIT - syncmers.K
+
+
+def test_syncmer_units_of_short_and_long_words(spark):
+    words = ["a", "𝔸bcd", "abcde", "ab𝔸defgh", "abcdefghi", "𝔸𝔸𝔸𝔸𝔸𝔸𝔸𝔸𝔸𝔸x", "", "x" * 30]
+    def units(w):
+        n = syncmers.UNIT
+        return [w[i:i + n] for i in (range(0, len(w), n) if len(w) <= 2 * n else range(len(w) - n + 1))]
+    text = " \t".join(words) + "\n"
+    got = spark.createDataFrame([(text,)], "t string").selectExpr(f"regexp_extract_all(t, r'{syncmers.UNITS}', 1) AS u").first()["u"]
+    assert got == [u for w in words for u in units(w)]
+
+
 # ------------------------------------------------------------------ embeddings
 def brute_vectors(rows, cosine):
     ok = [v is not None and None not in v and np.isfinite(v).all() and any(v) for _, v in rows]
