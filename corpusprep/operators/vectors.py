@@ -139,8 +139,8 @@ def knn_graph(df: DataFrame, vec: str, k: int = 10, by: Sequence[str] | None = N
 
     Rows of a group are dealt into blocks; a pair of blocks of one group is
     one matrix product, which returns the ``k`` nearest of each of its rows,
-    not the pairs; the nearest of all blocks then meet by ``src``. Ties go to
-    the smaller ``row_idx``. The work grows with the square of the largest
+    not the pairs; the nearest of all blocks then meet by ``src``. Ties, however
+    many, go to the smaller ``row_idx``. The work grows with the square of the largest
     group, the rows that travel with its size times the number of blocks.
     """
     by = group_cols(by)
@@ -166,12 +166,15 @@ def _nearest(k: int):
             x, y = np.stack([np.asarray(r) for r in u]), np.stack([np.asarray(r) for r in v])
             i, j = np.asarray(i), np.asarray(j)
             d = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
-            d[i[:, None] == j[None, :]] = np.inf
+            d[(i[:, None] == j[None, :]) | ~np.isfinite(d)] = np.inf
             found = []
-            take = min(k + 8, len(j))               # rounding of the product can only swap near ties
-            cand = np.argpartition(d, take - 1, axis=1)[:, :take]
+            # all rows that rounding of the product, or a tie, can bring among the k nearest
+            x2, y2 = (x * x).sum(axis=1), (y * y).sum(axis=1)
+            margin = 16 * (x.shape[1] + 4) * np.finfo(float).eps * (x2 + y2[np.isfinite(y2)].max(initial=0.0))
+            take = min(k, len(j))
+            limit = np.partition(d, take - 1, axis=1)[:, take - 1] + margin
             for r in range(len(i)):
-                c = cand[r][np.isfinite(d[r, cand[r]])]
+                c = np.flatnonzero((d[r] <= limit[r]) & np.isfinite(d[r]))
                 exact = np.sqrt(((x[r] - y[c]) ** 2).sum(axis=1))
                 for at in np.lexsort((j[c], exact))[:k]:
                     found.append({"src": int(i[r]), "dst": int(j[c][at]), "distance": float(exact[at])})

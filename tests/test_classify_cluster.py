@@ -226,3 +226,17 @@ def test_plus_plus_seeds_distinct_and_invariant(spark):
     assert len(set(c.values())) == 4
     with pytest.raises(ValueError):
         cu.kmeans(df, "v", 2, init="random")
+
+
+@pytest.mark.parametrize("block_rows", [2048, 40])
+def test_knn_ties_beyond_any_margin_go_to_the_smaller_row(spark, block_rows):
+    rng = np.random.default_rng(12)
+    copies, others = rng.normal(size=6), rng.normal(size=(30, 6))
+    ids = [int(i) for i in rng.permutation(150)]
+    vecs = {i: copies if n < 120 else others[n - 120] for n, i in enumerate(ids)}
+    frame = spark.createDataFrame([("w", "s", i, [float(x) for x in v]) for i, v in vecs.items()],
+                                  "workbook string, sheet string, row_idx bigint, v array<double>")
+    got = vc.knn_graph(frame, "v", k=5, block_rows=block_rows).orderBy("src", "rank").collect()
+    want = [(i, j) for i in sorted(vecs) for _, j in sorted(
+        (float(np.sqrt(((vecs[i] - vecs[j]) ** 2).sum())), j) for j in vecs if j != i)[:5]]
+    assert [(r.src, r.dst) for r in got] == want
