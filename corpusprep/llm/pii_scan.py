@@ -43,7 +43,14 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+_IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
+#: Length of an IBAN by country; other countries may have any from 15 to 34.
+IBAN_LENGTH = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+    "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+    "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _WORD = re.compile(r"[a-z]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -63,6 +70,36 @@ def mod97(iban: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Starts at country code and check digits; ends at the country's length.
+
+    Where no length is known, it is the longest end of a group that passes,
+    outside the spans of known length.
+    """
+    known: list[tuple[int, int]] = []
+    other: list[tuple[int, list[int]]] = []
+    for m in _IBAN.finditer(text):
+        if not (rest := _IBAN_REST.match(text, m.end())):
+            continue
+        marks = [i + 1 for i in range(m.end(), rest.end()) if text[i] != " "]
+        n = IBAN_LENGTH.get(m[0][:2])
+        ends = [e for e in (marks[n - 5:n - 4] if n else marks[10:])
+                if not (text[e:e + 1].isascii() and text[e:e + 1].isalnum()) and mod97(text[m.start():e])]
+        if n is None:
+            other.append((m.start(), ends[::-1]))
+        elif ends and (not known or m.start() >= known[-1][1]):
+            known.append((m.start(), ends[0]))
+    out, k, last = list(known), 0, 0
+    for start, ends in other:
+        while k < len(known) and known[k][0] < start:
+            last, k = max(last, known[k][1]), k + 1
+        until = known[k][0] if k < len(known) else len(text)
+        if end := next((e for e in ends if last <= start and e <= until), 0):
+            out.append((start, end))
+            last = end
+    return sorted(out)
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     out, end, at = [], 0, 0
     while m := _DOMAIN.search(text, at):
@@ -115,7 +152,7 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
                 added.append(("card", a, b))
         if "+" in text:
             base += [("phone", *s) for s in phones(text)]
-        added += [("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m[0])]
+        added += [("iban", *s) for s in ibans(text)]
         added += [("ssn", *m.span()) for m in _SSN.finditer(text)]
     added = [s for s in added if score(text, *s) >= MIN_SCORE]
     return base, added

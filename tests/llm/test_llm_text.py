@@ -63,6 +63,22 @@ def test_find_and_mask_over_odd_rows(spark):
     assert out[4]["text"] == "é [IP]" and out[4]["n_chars"] == 6 and out[2]["text"] is None and out[1]["text"] == "mail me [EMAIL]"
 
 
+@pytest.mark.parametrize("iban", ["CH93 0076 2011 6238 5295 7", "PT50 0002 0123 1234 5678 9015 4", "GB82 WEST 1234 5698 7654 32",
+                                  "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "CH9300762011623852957"])
+def test_ibans_end_where_the_country_says(iban):
+    for before, after in (("", ""), ("IBAN ", " USD 500"), ("to ", " BIC"), ("AB12 CD34 ", " 7 EUR"), ("(", ")."), ("", "é"), ("XX00 ", " GB82 WEST 0")):
+        assert pii_scan.spans(before + iban + after)[1] == [("iban", len(before), len(before) + len(iban))]
+        assert pii_scan.mask(before + iban + after) == f"{before}[IBAN]{after}"
+    for bad in (iban[:-1], iban + "1", iban + "x", "x" + iban, iban[:2] + "99" + iban[4:]):
+        assert pii_scan.ibans(bad) == []
+    assert pii_scan.ibans(f"{iban} {iban}") == [(0, len(iban)), (len(iban) + 1, 2 * len(iban) + 1)]
+
+
+def test_iban_of_a_country_without_a_known_length():
+    digits = 98 - int("12345678901234" + "333300") % 97       # X is 33
+    assert pii_scan.ibans(f"XX{digits:02d} 1234 5678 9012 34 ABC") == [(0, 22)]
+
+
 # ------------------------------------------------------------------ BPE
 @pytest.fixture(scope="module")
 def lexicon(tmp_path_factory):
