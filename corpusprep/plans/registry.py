@@ -948,6 +948,12 @@ def q_leakage_scope_corpus(spark, sf):
     return lk.sheet_report(d_split(spark, sf), "ctext", by=lk.scope_cols("corpus"), threshold=None)
 
 
+@register("leakage_scope_corpus_near")
+def q_leakage_scope_corpus_near(spark, sf):
+    """Exact and near leakage over the whole corpus at the production threshold (scope='corpus')."""
+    return lk.sheet_report(d_split(spark, sf), "ctext", by=lk.scope_cols("corpus"))
+
+
 # ======================================================================
 # DBSCAN (step 5)
 # ======================================================================

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions import similarity as sim
 from corpusprep.operators import leakage as lk
+from corpusprep.plans import registry as reg
 
 
 def _split_frame(spark, train, test, group=("w", "s")):
@@ -139,3 +140,20 @@ def test_hot_text_multiplicities(spark, monkeypatch):
     assert got[(hot, near)] == 30 * 2 and got[(near, hot)] == 3 * 10
     rep = lk.sheet_report(df, "text").first()
     assert rep.exact_duplicates == 2 and rep.near_duplicates == sum(got.values())
+
+
+def test_corpus_scope_query_equals_brute_force_across_sheets(spark, tmp_path):
+    rng = random.Random(11)
+    pool = _random_texts(rng, 40, ["alpha", "beta", "gamma", "delta", "omega", "kappa", "sigma", "tau"])
+    docs = [(i, rng.choice(["en", "de", "fr"]), rng.choice("ab"), rng.choice(pool)) for i in range(120)]
+    spark.createDataFrame(docs, "doc_id bigint, lang string, source string, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    rows = reg.d_split(spark, str(tmp_path)).select("sheet", "split", "ctext").collect()
+    train, test = ([(r.ctext, r.sheet) for r in rows if r.split == p] for p in ("train", "test"))
+    want = sum(_brute([t for t, _ in train], [t for t, _ in test], lk.SIMILARITY_THRESHOLD).values())
+    inside = sum(sum(_brute([t for t, s in train if s == g], [t for t, s in test if s == g], lk.SIMILARITY_THRESHOLD).values())
+                 for g in ("en", "de", "fr"))
+    got = reg.QUERIES["leakage_scope_corpus_near"](spark, str(tmp_path)).collect()
+    assert want > inside > 0 and len(got) == 1
+    assert (got[0].num_train, got[0].num_test, got[0].near_duplicates) == (len(train), len(test), want)
+    assert got[0].exact_duplicates == len({t for t, _ in train} & {t for t, _ in test})
