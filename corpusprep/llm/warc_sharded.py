@@ -42,8 +42,8 @@ MIN_REPEAT = 100
 #: Payload bytes of a shard (a task) on small inputs; it grows so that there are at most ``MAX_SHARDS``.
 SHARD_BYTES = 8 << 20
 MAX_SHARDS = 20_000
-#: Compressed bytes from which a file is closed; a large shard is a series of files.
-ROLL_BYTES = 64 << 20
+#: Compressed bytes from which a file is closed. Well below what a shard compresses to, so a shard is a series of files.
+ROLL_BYTES = 1 << 20
 #: The record format, and one date for all records so that reruns agree.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"

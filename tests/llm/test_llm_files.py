@@ -41,6 +41,17 @@ def want_pages(rows):
     return sorted(map(str, out))
 
 
+def test_a_shard_rolls_by_compressed_size_at_production_parameters(spark):
+    rnd = random.Random(6)
+    rows = [(i, f"http://e/{i}", rnd.randbytes(50_000).hex()) for i in range(70)]       # 7 MB, about 3.5 MB compressed
+    d = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    uri, manifest = warc_sharded.write_archives(d)
+    files = sorted(manifest.collect(), key=lambda r: r["file"])
+    assert {r["shard"] for r in files} == {files[0]["shard"]} and len(files) > 2
+    assert all(warc_sharded.ROLL_BYTES <= r["bytes"] < warc_sharded.ROLL_BYTES + 100_000 for r in files[:-1])
+    assert warc_sharded.read_archives(uri, manifest).count() == 70
+
+
 def test_archives_round_trip_roll_and_rerun(spark):
     rows = pages()
     d = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, payload_digest string")
