@@ -161,28 +161,41 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
 _ORDER = {k: i for i, k in enumerate((*KINDS, *EXTRA))}
 
 
+def is_base(text: str, kind: str, start: int, end: int) -> bool:
+    return kind in KINDS and (kind != "card" or len(_NOT_DIGIT.sub("", text[start:end])) >= 16)
+
+
+def scored(text: str) -> list[tuple[str, int, int, float]]:
+    """All spans, base and added, with their scores adjusted by context, sorted by kind and start."""
+    base, added = spans(text)
+    return [(*s, score(text, *s)) for s in sorted(base + added, key=lambda s: (_ORDER[s[0]], s[1]))]
+
+
 def joined(found: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(found, key=lambda s: (_ORDER[s[0]], s[1])))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: counts of the base kinds, digest of the base spans, all spans."""
+    """One row a document: counts of the base kinds, digest of the base spans, all spans, and the score of each in their order."""
     def run(batches):
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(7)]
             for t in b.column(1).to_pylist():
-                base, added = spans(t or "")
+                found = scored(t or "")
+                # base spans are those of the base kinds, but for card numbers of 13 to 15 digits
+                base = [s[:3] for s in found if is_base(t, *s[:3])]
                 for i, k in enumerate(KINDS):
                     cols[i].append(sum(s[0] == k for s in base))
                 cols[4].append(hashlib.sha256(joined(base).encode()).hexdigest())
-                cols[5].append(joined(base + added))
+                cols[5].append(joined([s[:3] for s in found]))
+                cols[6].append([s[3] for s in found])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string()),
-                 pa.array(cols[5], pa.string())],
-                names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                 pa.array(cols[5], pa.string()), pa.array(cols[6], pa.list_(pa.float64()))],
+                names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores"])
     return map_text(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), run,
                     "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-                    "base_sha256 string, spans string")
+                    "base_sha256 string, spans string, scores array<double>")
 
 
 def mask(text: str) -> str:

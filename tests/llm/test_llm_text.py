@@ -79,6 +79,20 @@ def test_iban_of_a_country_without_a_known_length():
     assert pii_scan.ibans(f"XX{digits:02d} 1234 5678 9012 34 ABC") == [(0, 22)]
 
 
+def test_every_span_has_a_score_that_context_raises(spark):
+    plain, near = "see a@b.co", "contact: a@b.co"
+    assert pii_scan.scored(plain) == [("email", 4, 10, pii_scan.PRIOR["email"])] and pii_scan.scored(near) == [("email", 9, 15, 1.0)]
+    rows = [(1, "server 10.0.0.1, phone +1 555 123 4567, card 4111111111111111 or 378282246310005, GB82 WEST 1234 5698 7654 32"),
+            (2, "x 10.0.0.1"), (3, None)]
+    got = {r["doc_id"]: r for r in pii_scan.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, t in rows:
+        found = pii_scan.scored(t or "")
+        assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b, _ in found) and got[i]["scores"] == [s for *_, s in found]
+        base = pii_scan.joined(pii_scan.spans(t or "")[0])
+        assert got[i]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+    assert len(got[1]["scores"]) == 5 and got[1]["n_card"] == 1 and got[2]["scores"] == [pii_scan.PRIOR["ip"]]
+
+
 # ------------------------------------------------------------------ BPE
 @pytest.fixture(scope="module")
 def lexicon(tmp_path_factory):
