@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusprep.llm import (bpe_transducer, ego_join, mil_quality, ordinal_toxicity, pii_scan, rans_tokens, simhash_gray,
-                            source_mix, syncmers, warc_sharded)
+from corpusprep.llm import (bpe_transducer, conversation_repair, ego_join, lemp_negatives, line_runs, mil_quality, ordinal_toxicity,
+                            pii_scan, rans_tokens, simhash_gray, source_mix, syncmers, warc_sharded)
 from corpusprep.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,117 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damage(conversations), conversations)
+
+
+#: crc32 bit by bit: each byte is followed by eight shifts (-1).
+_CRC = """(xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+  string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+  lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295))"""
+
+ORACLE["op11_conversations"] = rf"""
+WITH RECURSIVE x AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS fault FROM conversations),
+y AS (SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM x WHERE fault <> 0),
+w AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM y),
+z AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+             rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM w),
+r AS (SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+             CASE WHEN core = '' THEN 'blank' WHEN seen THEN 'duplicate'
+                  WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM z),
+-- paths to each state: cost, audit and repaired turns; an insertion relaxes 0, 1, 3 to 2, then 2 to 3
+dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i,
+         [{{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}},
+          NULL,
+          {{'c': 3, 'a': 'I', 't': ['user:']}},
+          {{'c': 6, 'a': 'II', 't': ['user:', 'assistant:']}}] AS f
+  FROM (SELECT DISTINCT conv_id FROM r)
+  UNION ALL
+  SELECT conv_id, i, [g[1], g[2], m, list_min(list_filter([g[4], CASE WHEN m IS NULL THEN NULL ELSE
+           {{'c': m.c + 3, 'a': m.a || 'I', 't': list_append(m.t, 'assistant:')}} END], lambda v: v IS NOT NULL))] AS f
+  FROM (SELECT conv_id, i, g, list_min(list_filter(list_concat([g[3]], list_transform([g[1], g[2], g[4]], lambda v:
+             CASE WHEN v IS NULL THEN NULL ELSE {{'c': v.c + 3, 'a': v.a || 'I', 't': list_append(v.t, 'user:')}} END)),
+             lambda v: v IS NOT NULL)) AS m
+        FROM (SELECT dp.conv_id, r.i, list_transform([0, 1, 2, 3], lambda q: list_min(list_filter(list_concat(
+                 [CASE WHEN dp.f[q + 1] IS NULL THEN NULL ELSE
+                   {{'c': dp.f[q + 1].c + 4, 'a': dp.f[q + 1].a || 'D', 't': dp.f[q + 1].t}} END],
+                 list_transform([0, 1, 2, 3], lambda o: CASE WHEN dp.f[o + 1] IS NULL OR r.fault IN ('blank', 'duplicate')
+                     OR NOT list_contains(['s01', 'u02', 'u12', 'a23', 'u32'], r.initial || o || q) THEN NULL ELSE
+                   {{'c': dp.f[o + 1].c + CASE r.fault WHEN 'truncated' THEN 3 ELSE 0 END, 'a': dp.f[o + 1].a || 'K',
+                     't': list_append(dp.f[o + 1].t, r.role || ':' || r.text)}} END),
+                 list_transform([0, 1, 2, 3], lambda o: CASE WHEN dp.f[o + 1] IS NULL OR r.fault IN ('blank', 'duplicate')
+                     OR NOT list_contains(['02', '12', '23', '32'], o || '' || q) THEN NULL ELSE
+                   {{'c': dp.f[o + 1].c + CASE r.fault WHEN 'truncated' THEN 6 ELSE 3 END, 'a': dp.f[o + 1].a || 'R',
+                     't': list_append(dp.f[o + 1].t, CASE o WHEN 2 THEN 'assistant:' ELSE 'user:' END || r.text)}} END)),
+                 lambda v: v IS NOT NULL))) AS g
+              FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1) AS s) AS t),
+last AS (SELECT conv_id, list_min(list_filter([f[1], f[4]], lambda v: v IS NOT NULL)) AS b FROM dp
+         QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+             count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+             count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM r GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(n.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(n.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(n.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(n.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(n.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(last.b.c, 0) AS BIGINT) AS cost,
+       coalesce(last.b.a, '') AS audit, sha256(coalesce(array_to_string(last.b.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN last ON last.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.drop_frequent_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op12_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT r, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+g AS (SELECT k.r, count(*) AS n_lines, count(f.key) AS n_dropped,
+             coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.key IS NULL), '') AS kept
+      FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.r)
+SELECT d.doc_id, CAST(g.n_lines AS BIGINT) AS n_lines, CAST(g.n_dropped AS BIGINT) AS n_dropped, sha256(g.kept) AS kept_sha256
+FROM d JOIN g ON d.r = g.r
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+        AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
