@@ -7,8 +7,10 @@ the id table and the merge table are one file, sent to every executor once
 and memory-mapped by its workers. A word that is not in the lexicon is
 merged exactly, lowest rank first, leftmost among equals.
 
-Texts are cut where no token can reach across (see ``UNIT``), so each worker
-keeps the ids of units it has seen (two generations of ``MEMO`` entries).
+Texts are cut where no token can reach across: at blanks between two
+characters that are not white space, or, in texts with other white space
+around a blank, by ``UNIT``. Each worker keeps the ids of the pieces it has
+seen (two generations of ``MEMO`` entries).
 
 Defined results: a null or empty text has no tokens and decodes to the empty
 text; strings of added tokens in a text become their ids, as the tokenizer
@@ -25,7 +27,7 @@ import os
 import re
 import tempfile
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,23 @@ _SPACE = "\t-\r \x85\xa0" + chr(0x1680) + chr(0x2000) + "-" + "".join(map(chr, (
 UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 #: Fixed value: the word pattern of byte-level BPE.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Fixed value: characters that the word pattern takes as one run when they follow a word's letters.
+MARKS = ".,;:!?*&$#%|"
+
+
+def chunk_words(chunk: str, blank: str) -> list[str] | None:
+    """Words of ``blank + chunk``, a piece of text between two blanks (``blank`` is empty at the start of a text).
+
+    None if white space stands at an edge: then what is beside the blank decides.
+    """
+    if not chunk:
+        return None if blank else []
+    if chunk[-1].isspace() or blank and chunk[0].isspace():
+        return None
+    core = chunk.rstrip(MARKS)
+    if core.isalpha():
+        return [blank + core, chunk[len(core):]] if len(core) < len(chunk) else [blank + core]
+    return WORD.findall(blank + chunk)
 
 
 def byte_chars() -> dict[str, int]:
@@ -260,7 +279,7 @@ class Lexicon:
         self.merger = Merger(part["byte_ids"], part["merge_keys"], part["merge_ranks"], part["merge_made"])
         self.special = meta["special"]
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo = Memo(MEMO)
+        self.memo, self.chunks = Memo(MEMO), Memo(MEMO)
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
         """Place of each word in the id table, -1 if it is not in the lexicon."""
@@ -286,7 +305,8 @@ class Lexicon:
     def word_ids(self, words: list[bytes]) -> list[bytes]:
         place = self.lookup(words)
         a, b = self.offsets[place], self.offsets[np.minimum(place + 1, len(self.offsets) - 1)]
-        out = [self.ids[x:y].tobytes() if p >= 0 else b"" for p, x, y in zip(place.tolist(), a.tolist(), b.tolist(), strict=True)]
+        table = memoryview(self.ids)
+        out = [bytes(table[x:y]) if p >= 0 else b"" for p, x, y in zip(place.tolist(), a.tolist(), b.tolist(), strict=True)]
         unseen = np.flatnonzero(place < 0)
         for i, ids in zip(unseen, self.merger.words([words[i] for i in unseen]), strict=True):
             out[i] = ids
@@ -300,17 +320,92 @@ class Lexicon:
         for u, p in zip(units, pieces, strict=True):
             self.memo.known[u] = b"".join([ids[w] for w in p])
 
+    def learn_chunks(self, chunks: list) -> None:
+        """Put the ids of chunks (a 1-tuple: at the start of a text) into their memo; None for those the edges decide."""
+        pieces = [chunk_words(c[0], "") if isinstance(c, tuple) else chunk_words(c, " ") for c in chunks]
+        words = list({w for p in pieces if p for w in p})
+        ids = dict(zip(words, self.word_ids([w.encode() for w in words]), strict=True))
+        known = self.chunks.known
+        for c, p in zip(chunks, pieces, strict=True):
+            known[c] = None if p is None else ids[p[0]] if len(p) == 1 else b"".join([ids[w] for w in p])
+
     def parts(self, text: str) -> list[str]:
         return self.split.split(text) if self.split else [text]
 
+    def _plain(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of each part; None where white space stands beside a blank."""
+        cut = [p.split(" ") for p in parts]
+        for c in cut:
+            c[0] = (c[0],)
+        if new := self.chunks.unknown(set().union(*cut)):
+            self.learn_chunks(new)
+        get = self.chunks.known.__getitem__
+        out = []
+        for c in cut:
+            try:
+                out.append(b"".join(map(get, c)))
+            except TypeError:
+                out.append(None)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [[p if p in self.special else UNIT.findall(p) for p in self.parts(t)] for t in texts]
-        if new := self.memo.unknown(set().union(*[p for c in cut for p in c if not isinstance(p, str)])):
-            self.learn(new)
-        have = self.memo.known
         special = {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
-        return [b"".join([special[p] if isinstance(p, str) else b"".join([have[u] for u in p]) for p in c]) for c in cut]
+        cut = [self.parts(t) for t in texts]
+        flat = [p for c in cut for p in c if p not in special]
+        ids = self._plain(flat)
+        odd = [i for i, x in enumerate(ids) if x is None]
+        units = [UNIT.findall(flat[i]) for i in odd]
+        if new := self.memo.unknown(set().union(*units)):
+            self.learn(new)
+        for i, u in zip(odd, units, strict=True):
+            ids[i] = b"".join(map(self.memo.known.__getitem__, u))
+        left = iter(ids)
+        return [b"".join([special[p] if p in special else next(left) for p in c]) if len(c) > 1 else next(left) if c[0] not in special
+                else special[c[0]] for c in cut]
+
+
+class Decoder:
+    """Bytes of token ids by one gather over the vocabulary's bytes."""
+
+    #: Ids decoded at once; bounds the memory of a very long text.
+    IDS = 1 << 18
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def _gather(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        n = self.sizes[ids]
+        ends = np.cumsum(n)
+        at = np.repeat(self.starts[ids] - ends + n, n)
+        at += np.arange(len(at))
+        return self.flat[at].tobytes(), ends
+
+    def decode(self, ids: list[bytes]) -> Iterator[bytes]:
+        """Bytes of each text; short ones are decoded together."""
+        held, n = [], 0
+        for x in ids:
+            if n + len(x) // 4 > self.IDS:
+                yield from self._together(held)
+                held, n = [], 0
+            if len(x) // 4 > self.IDS:
+                one = np.frombuffer(x, "<u4")
+                yield b"".join(self._gather(one[i:i + self.IDS])[0] for i in range(0, len(one), self.IDS))
+            else:
+                held.append(x)
+                n += len(x) // 4
+        yield from self._together(held)
+
+    def _together(self, ids: list[bytes]) -> Iterator[bytes]:
+        data, ends = self._gather(np.frombuffer(b"".join(ids), "<u4"))
+        last = np.cumsum([len(x) // 4 for x in ids])
+        at = 0
+        for k, x in zip(last.tolist(), ids, strict=True):
+            end = int(ends[k - 1]) if x else at
+            yield data[at:end]
+            at = end
 
 
 _OPEN: dict[str, Lexicon] = {}
@@ -325,27 +420,31 @@ def _lexicon(name: str) -> Lexicon:
 
 # ------------------------------------------------------------------ over documents
 def word_counts(docs: DataFrame, text_col: str = "text", special: Iterable[str] = ()) -> DataFrame:
-    """``word, n`` of all documents; each task adds up its own words first."""
+    """``word, n`` of all documents; each task adds up its own words first.
+
+    A text's first word counts as if a blank stood before it.
+    """
     split = re.compile("|".join(map(re.escape, special))) if special else None
 
-    def told(units: Counter) -> pa.RecordBatch:
+    def told(chunks: Counter) -> pa.RecordBatch:
         words: Counter = Counter()
-        for u, n in units.items():
-            for w in WORD.findall(u):
+        for c, n in chunks.items():
+            pieces = chunk_words(c, " ")
+            for w in WORD.findall(" " + c) if pieces is None else pieces:
                 words[w] += n
         return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()),
                                            pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
     def run(batches):
-        units: Counter = Counter()
+        chunks: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
                 for p in (split.split(t) if split else [t]) if t else []:
-                    units.update(UNIT.findall(p))
-            if len(units) > COUNTED:
-                yield told(units)
-                units = Counter()
-        yield told(units)
+                    chunks.update(p.split(" "))
+            if len(chunks) > COUNTED:
+                yield told(chunks)
+                chunks = Counter()
+        yield told(chunks)
     return map_text(docs.select(F.col(text_col).alias("text")), run, "word binary, n bigint") \
         .groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -379,18 +478,17 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                      lexicon_words: int = LEXICON_WORDS, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``) of every document."""
     name = build_lexicon(docs, path, text_col, lexicon_words)
-    tokens = docs.sparkSession.sparkContext.broadcast(Model(path).tokens)      # bounded by the vocabulary
+    decoder = docs.sparkSession.sparkContext.broadcast(Decoder(Model(path).tokens))      # bounded by the vocabulary
 
     def run(batches):
-        lex, table = _lexicon(name), tokens.value
+        lex, table = _lexicon(name), decoder.value
         for b in batches:
             ids = lex.encode([t or "" for t in b.column(1).to_pylist()])
             n, digest, back = [], [], []
-            for x in ids:
+            for x, text in zip(ids, table.decode(ids), strict=True):
                 n.append(len(x) // 4)
                 digest.append(hashlib.sha256(x).hexdigest())
-                text = b"".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())).decode("utf-8", "replace")
-                back.append(hashlib.sha256(text.encode()).hexdigest())
+                back.append(hashlib.sha256(text.decode("utf-8", "replace").encode()).hexdigest())
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(back, pa.string())]
             if keep_ids:
                 flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
