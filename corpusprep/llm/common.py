@@ -162,10 +162,16 @@ def shard_bounds(starts: DataFrame, key: str, shard_size: int, max_shards: int)
     return [(r["k"], r["o"]) for r in rows]
 
 
-def with_shard(df: DataFrame, key: str, bounds: list[tuple[int, int]]) -> DataFrame:
-    """Add ``__shard``: the last shard whose first key is at most ``key``."""
+def shard_firsts(bounds: list[tuple[int, int]]) -> np.ndarray:
+    """First key of each shard; the first shard starts before all keys."""
     firsts = np.array([k for k, _ in bounds] or [NULL_KEY], dtype=np.int64)
     firsts[0] = NULL_KEY
+    return firsts
+
+
+def with_shard(df: DataFrame, key: str, bounds: list[tuple[int, int]]) -> DataFrame:
+    """Add ``__shard``: the last shard whose first key is at most ``key``."""
+    firsts = shard_firsts(bounds)
     at = df.columns.index(key)
     schema = df.select("*", F.lit(0).alias("__shard")).schema
 

@@ -26,15 +26,15 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import (CommittedFile, Memo, key_of, map_text, prefix_sums, read_file, shard_bounds, shared_uri, slices,
-                                   with_shard, written)
+from corpusprep.llm.common import (CommittedFile, Memo, key_of, map_text, prefix_sums, read_file, shard_bounds, shard_firsts,
+                                   shared_uri, slices, written)
 
 MAGIC = b"RANSIDS1"
 LANES, STEPS = 32, 512
@@ -221,9 +221,11 @@ class WordTokens:
         rest = iter(range(256, 512))
         self.byte_char = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
         self.chunks, self.words = Memo(MEMO), Memo(MEMO)
+        #: Bytes of an id in the memories and in ``packed``: two, if the vocabulary allows it.
+        self.width = 2 if max(self.lib.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.lib.encode_batch(texts, add_special_tokens=False)]
 
     def _parts(self, chunk: bytes) -> tuple[bytes, bytes] | None:
         """A plain lower-case word and the marks after it; None for all other chunks."""
@@ -243,22 +245,26 @@ class WordTokens:
         whole = [c for c, p in cut.items() if p is None] + list({p[1] for p in cut.values() if p and p[1]})
         ids = dict(zip(whole, self._library([c.decode("utf-8") for c in whole]), strict=True)) if whole else {}
         ids[b""] = b""
-        tokenize, chars = self.lib.model.tokenize, self.byte_char
+        tokenize, chars, width = self.lib.model.tokenize, self.byte_char, self.width
         for w in self.words.unknown({p[0] for p in cut.values() if p}):
             piece = w.decode("ascii") if w.isascii() else w.decode("latin-1").translate(chars)
-            self.words.known[w] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(piece)])
+            self.words.known[w] = b"".join([t.id.to_bytes(width, "little") for t in tokenize(piece)])
         words, chunks = self.words.known, self.chunks.known
         for c, p in cut.items():
             chunks[c] = words[p[0]] + ids[p[1]] if p else ids[c]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
+        return [np.frombuffer(x, f"<u{self.width}").astype("<u4").tobytes() for x in self.packed(texts)]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids as little-endian unsigned integers of ``width`` bytes."""
         whole = [not self.chunked or any(s in t for s in self.special) for t in texts]
         cut = [[] if w else t.encode("utf-8").split() for t, w in zip(texts, whole, strict=True)]
         if new := self.chunks.unknown(set().union(*cut)):
             self._learn(new)
-        have = self.chunks.known
-        out = [b"".join([have[c] for c in cs]) for cs in cut]
+        get = self.chunks.known.__getitem__
+        out = [b"".join(map(get, cs)) for cs in cut]
         for i in np.flatnonzero(whole):
             out[i] = self._library([texts[i]])[0]
         return out
@@ -267,10 +273,10 @@ class WordTokens:
 _OPEN: dict[str, WordTokens] = {}
 
 
-def word_tokens(path: str) -> Callable[[list[str]], list[bytes]]:
+def word_tokens(path: str) -> WordTokens:
     if path not in _OPEN:
         _OPEN[path] = WordTokens(path)
-    return _OPEN[path].encode
+    return _OPEN[path]
 
 
 # ------------------------------------------------------------------ files
@@ -314,23 +320,22 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, uri: str | None = None
     light = docs.select(key_of(id_col).alias("key"),
                         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint").alias("n"))
     bounds = shard_bounds(prefix_sums(light, ["key"], "n"), "key", shard_bytes, MAX_SHARDS)
-    end = np.array([end_id], "<u4").tobytes()
+    firsts = shard_firsts(bounds)
 
     def run(batches):
-        encode = word_tokens(path)
+        tokens = word_tokens(path)
+        width = max(tokens.width, 2 if end_id < 1 << 16 else 4)
+        encode = tokens.packed if width == tokens.width else tokens.encode
+        end = end_id.to_bytes(width, "little")
         for b in batches:
-            out, width = [], []
-            for x in encode([t or "" for t in b.column(2).to_pylist()]):
-                ids = np.frombuffer(x + end, "<u4")
-                w = 2 if ids.max() < 1 << 16 else 4
-                width.append(w)
-                out.append(ids.astype(f"<u{w}").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(width, pa.int32()), pa.array(out, pa.binary())],
-                                             names=["key", "doc_id", "width", "ids"])
+            out = [x + end for x in encode([t or "" for t in b.column(2).to_pylist()])]
+            shard = np.searchsorted(firsts, b.column(0).to_numpy(), side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), b.column(0), b.column(1),
+                                              pa.array(np.full(len(out), width, np.int32)), pa.array(out, pa.binary())],
+                                             names=["shard", "key", "doc_id", "width", "ids"])
     coded = map_text(docs.select(key_of(id_col).alias("key"), F.col(id_col).cast("bigint").alias("doc_id"),
-                                 F.col(text_col).alias("text")), run, "key bigint, doc_id bigint, width int, ids binary")
-    sorted_ = with_shard(coded, "key", bounds).select(F.col("__shard").alias("shard"), "key", "doc_id", "width", "ids") \
-        .repartition(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "key", "width", "ids")
+                                 F.col(text_col).alias("text")), run, "shard int, key bigint, doc_id bigint, width int, ids binary")
+    sorted_ = coded.repartition(max(1, len(bounds)), "shard").sortWithinPartitions("shard", "key", "ids")
     schema = "file string, shard int, seq int, documents bigint, tokens bigint, bytes bigint, crc32 bigint"
     return uri, written(sorted_.mapInArrow(_write(uri, file_tokens), schema), "rans-manifest")
 

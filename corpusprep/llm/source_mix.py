@@ -4,9 +4,10 @@ Each document gets a hash-random key (md5 of seed and id). Keys are cut into
 ranges by their leading hex digits; a histogram of words for each
 ``(source, range)`` and its running sum give the words before each range.
 A source's target holds a whole number of passes over it plus a rest: the
-one range in which the rest ends is ranked row by row, all other ranges are
-wholly in or wholly out. No source is sorted in one task and only the
-histogram is shuffled.
+one range in which the rest ends is range-sorted and summed up row by row, in
+as many tasks as a shuffle has; all other ranges are wholly in or wholly out
+and are not moved. So the result is that of sorting each whole source, and no
+source, range or id (null ids share a key) is sorted in one task.
 
 Defined results: a null text has size 0; a null source is a source of its
 own, ordered last; rows that tie in key and id are ordered by size, and
@@ -22,14 +23,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import written
+from corpusprep.llm.common import prefix_sums, written
 
 SEED = 42
 WEIGHTS = (5, 2, 1)
 #: A target stops at so many times its source's size.
 MAX_EPOCHS = 3
-#: Rows aimed at in a key range; ranges double until they are met, up to 16 ** 7 a source.
-RANGE_ROWS = 512
+#: Leading hex digits of a key that make its range: 4,096 ranges a source.
+RANGE_DIGITS = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -67,6 +68,45 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
                     F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(share.cast("double")).alias("target"))
 
 
+def _sized(docs: DataFrame, columns: list[Column], id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``columns`` with each row's source, words and key, written: texts are counted once."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    return written(docs.select(*columns, F.col(source_col).cast("string").alias("__source"), n_words(F.col(text_col)).alias("__size"),
+                               F.col(id_col).cast("bigint").alias("__id"), key.alias("__key")), "mix-sizes")
+
+
+def _taken(sized: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
+    """Add ``__source_size``, ``__target`` and ``__taken``: the words taken of this very row."""
+    sized = sized.withColumn("__range", F.substring("__key", 1, RANGE_DIGITS))
+    hist = sized.groupBy("__source", "__range").agg(F.sum("__size").alias("words"))
+    by_source = hist.groupBy("__source").agg(F.sum("words").alias("source_size"))
+    goal = targets(by_source.withColumnRenamed("__source", "source"), weights, max_epochs) \
+        .withColumn("budget", F.floor("target").cast("bigint")) \
+        .withColumn("passes", F.coalesce(F.expr("budget div nullif(source_size, 0)"), F.lit(0))) \
+        .withColumn("rest", F.col("budget") - F.col("passes") * F.col("source_size"))
+    run = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = hist.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
+    g, e = goal.alias("g"), ends.alias("e")
+    cuts = g.join(e, F.col("g.source").eqNullSafe(F.col("e.__source")), "left") \
+        .groupBy("g.source", "source_size", "target", "passes", "rest") \
+        .agg(F.max(F.when(F.col("before") <= F.col("rest"), F.struct("__range", "before"))).alias("cut"))
+    cuts = written(cuts.select(F.col("source").alias("__of"), F.col("source_size").alias("__source_size"), F.col("target").alias("__target"),
+                               F.col("passes").alias("__passes"), F.col("rest").alias("__rest"), F.col("cut.__range").alias("__cut"),
+                               F.col("cut.before").alias("__cut_before")), "mix-cuts")
+    rows = sized.join(cuts, F.col("__source").eqNullSafe(F.col("__of"))).drop("__of")
+    # the range in which a budget ends is ranked by distributed prefix sums; equal rows part by any number
+    inside = rows.where(F.col("__range") == F.col("__cut")).withColumn("__any", F.monotonically_increasing_id())
+    inside = prefix_sums(inside, ["__source", "__key", "__id", "__size", "__any"], "__size", "__start").drop("__any")
+    first = inside.groupBy(F.col("__source").alias("__of")).agg(F.min("__start").alias("__first"))
+    inside = inside.join(first, F.col("__source").eqNullSafe(F.col("__of"))) \
+        .withColumn("__upto", F.col("__start") - F.col("__first") + F.col("__cut_before")) \
+        .withColumn("__last", F.greatest(F.lit(0), F.least(F.col("__size"), F.col("__rest") - F.col("__upto")))) \
+        .drop("__start", "__first", "__of", "__upto")
+    outside = rows.where(F.col("__range") != F.col("__cut")) \
+        .withColumn("__last", F.when(F.col("__range") < F.col("__cut"), F.col("__size")).otherwise(F.lit(0)))
+    return inside.unionByName(outside).withColumn("__taken", (F.col("__passes") * F.col("__size") + F.col("__last")).cast("bigint"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[int] = WEIGHTS, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every document.
@@ -75,38 +115,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the last, partial pass; in it the document in which the budget ends gives
     only the words that are left. Each source so takes floor(target) words.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    sized = written(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                                n_words(F.col(text_col)).alias("size"), key.alias("key")), "mix-sizes")
-    by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    most = by_source.agg(F.max("n").alias("n")).first()["n"] or 0
-    digits = 1
-    while digits < 7 and most > RANGE_ROWS * 16 ** digits:
-        digits += 1
-    sized = sized.withColumn("range", F.substring("key", 1, digits))
-    goal = targets(by_source.select("source", "source_size"), weights, max_epochs) \
-        .withColumn("budget", F.floor("target").cast("bigint")) \
-        .withColumn("passes", F.coalesce(F.expr("budget div nullif(source_size, 0)"), F.lit(0))) \
-        .withColumn("rest", F.col("budget") - F.col("passes") * F.col("source_size"))
-    hist = sized.groupBy("source", "range").agg(F.sum("size").alias("words"))
-    run = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ends = hist.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
-    g, e = goal.alias("g"), ends.alias("e")
-    cuts = g.join(e, F.col("g.source").eqNullSafe(F.col("e.source")), "left") \
-        .groupBy("g.source", "source_size", "target", "passes", "rest") \
-        .agg(F.max(F.when(F.col("before") <= F.col("rest"), F.struct("range", "before"))).alias("cut"))
-    cuts = written(cuts.select(F.col("source").alias("of"), "source_size", "target", "passes", "rest",
-                               F.col("cut.range").alias("cut"), F.col("cut.before").alias("before")), "mix-cuts")
-    rows = sized.join(cuts, F.col("source").eqNullSafe(F.col("of")))
-    inside = rows.where(F.col("range") == F.col("cut"))
-    upto = F.coalesce(F.sum("size").over(Window.partitionBy("of").orderBy("key", "doc_id", "size")
-                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("before")
-    inside = inside.withColumn("last", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - upto)))
-    outside = rows.where(F.col("range") != F.col("cut")) \
-        .withColumn("last", F.when(F.col("range") < F.col("cut"), F.col("size")).otherwise(F.lit(0)))
-    return inside.unionByName(outside).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("passes") * F.col("size") + F.col("last")).cast("bigint").alias("taken"))
+    rows = _taken(_sized(docs, [], id_col, text_col, source_col, seed), weights, max_epochs)
+    return rows.select(F.col("__id").alias("doc_id"), F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+                       F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -115,21 +126,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of the document in which a source's budget ends, the last copy has only
     the words taken, joined by single spaces (and ``n_chars``, if there is
-    such a column, counts them). A document without words is in no pass.
-    Rows that share an id are told apart by their size.
+    such a column, counts them). A document without words is in no pass. Each
+    row has its own share, whatever ids, sizes or texts it has in common with others.
     """
-    taken = mix(docs, id_col, text_col, source_col, weights, seed) \
-        .groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size")).agg(
-            F.max("taken").alias("__taken")).where(F.col("__taken") > 0)
-    sized = docs.withColumn("__words", n_words(F.col(text_col)))
-    rows = sized.join(taken, F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")))
+    columns = [F.col(c).alias(f"__doc_{i}") for i, c in enumerate(docs.columns)]      # other names cannot clash
+    rows = _taken(_sized(docs, columns, id_col, text_col, source_col, seed), weights, MAX_EPOCHS).where(F.col("__taken") > 0)
     # words of each copy: full passes, then what is left of the last one
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))))
     keep = F.least(F.col("__size"), F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")).cast("int")
-    head = F.array_join(F.slice(F.split(F.regexp_replace(F.col(text_col), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"),
+    named = {c: F.col(f"__doc_{i}") for i, c in enumerate(docs.columns)}
+    head = F.array_join(F.slice(F.split(F.regexp_replace(named[text_col], r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"),
                                 1, keep), " ")
-    rows = rows.withColumn("__cut", keep < F.col("__size")).withColumn(
-        text_col, F.when(F.col("__cut"), head).otherwise(F.col(text_col)))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("__cut"), F.length(text_col).cast("bigint")).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    cut = keep < F.col("__size")
+    shown = {**named, text_col: F.when(cut, head).otherwise(named[text_col])}
+    if "n_chars" in named:
+        shown["n_chars"] = F.when(cut, F.length(head).cast("bigint")).otherwise(named["n_chars"])
+    return rows.select(*[shown[c].alias(c) for c in docs.columns])

@@ -1,6 +1,7 @@
 """Archives, token files, mixing and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -163,10 +164,10 @@ def brute_targets(sizes, weights=(5, 2, 1)):
         fixed |= {s: 3 * sizes[s] for s in over}
 
 
-@pytest.mark.parametrize("range_rows", [512, 2])
-def test_mix_equals_brute_force(spark, monkeypatch, range_rows):
-    monkeypatch.setattr(source_mix, "RANGE_ROWS", range_rows)
-    rnd = random.Random(range_rows)
+@pytest.mark.parametrize("digits", [3, 1])
+def test_mix_equals_brute_force(spark, monkeypatch, digits):
+    monkeypatch.setattr(source_mix, "RANGE_DIGITS", digits)
+    rnd = random.Random(digits)
     rows = [(i, " ".join("w" for _ in range(rnd.randint(0, 40))), rnd.choice(["a"] * 30 + ["b", "ä", "Z", "c", None])) for i in range(400)]
     rows += [(1000, None, "b"), (1001, " \t\n lead and trail \r", "tiny"), (None, "no id here", "a"), (5, "dup dup", "a"), (5, "dup dup", "a"),
              (1002, "", "empty"), (1003, "big " * 20_000, "huge")]
@@ -206,6 +207,47 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert source_mix.mixed_documents(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("digits", [3, 1])
+def test_mixed_documents_keep_every_budget_with_shared_repeated_and_null_ids(spark, monkeypatch, digits):
+    monkeypatch.setattr(source_mix, "RANGE_DIGITS", digits)
+    rnd = random.Random(9)
+    words = lambda n: " ".join(rnd.choice("abcdefgh") + str(rnd.randrange(99)) for _ in range(n))
+    rows = [(i, words(8), "s1") for i in range(200)] + [(i, words(8), "s2") for i in range(800)]      # ids shared, sizes equal
+    rows += [(None, words(5), s) for s in ("s1", "s2", None) for _ in range(60)]                       # null ids of one size
+    rows += [(7, rows[7][1], "s1")] * 20 + [(None, "same text here", "s2")] * 90 + [(3, words(rnd.randrange(9)), None) for _ in range(50)]
+    d = spark.createDataFrame([(i, t, s, "x", 1) for i, t, s in rows], "doc_id bigint, text string, source string, __size string, size int")
+    size = lambda t: len(t.split())
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    targets = brute_targets(sizes)
+    # a loop over each source in the order of the keys: how many words each (id, size) gives in all
+    want, given = {}, {}
+    key = lambda r: (hashlib.md5(f"42:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] is not None, r[0] or 0, size(r[1]))
+    for s, target in targets.items():
+        passes, rest = divmod(math.floor(target), sizes[s])
+        for i, t, _ in sorted((r for r in rows if r[2] == s), key=key):
+            last = min(size(t), rest)
+            rest -= last
+            want[s, i, size(t)] = want.get((s, i, size(t)), 0) + passes * size(t) + last
+    taken = sum(r["taken"] for r in source_mix.mix(d).collect())
+    texts = {(s, i): set() for i, _, s in rows}
+    for i, t, s in rows:
+        texts[s, i].add(t)
+    out = source_mix.mixed_documents(d)
+    assert out.columns == d.columns
+    for r in out.collect():
+        given[r["source"]] = given.get(r["source"], 0) + size(r["text"])
+        assert any(t == r["text"] or " ".join(t.split()).startswith(r["text"] + " ") for t in texts[r["source"], r["doc_id"]])
+    assert given == {s: math.floor(t) for s, t in targets.items()}
+    assert sum(given.values()) == taken == sum(want.values())
+    got = {}
+    for r in out.collect():
+        if r["doc_id"] is not None and r["doc_id"] > 100:            # ids that are not repeated within a source
+            got[r["source"], r["doc_id"]] = got.get((r["source"], r["doc_id"]), 0) + size(r["text"])
+    assert got == {(s, i): n for (s, i, _), n in want.items() if i is not None and i > 100 and n}
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
     rnd = random.Random(6)
