@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import word_tokens
-from corpusprep.operators.joins import reuse, sized_join
+from corpusprep.operators.joins import null_safe_groups, reuse, sized_join
 from corpusprep.operators.labels import label_encode, label_map_sorted
 from corpusprep.schema import ROW_IDX, SPLIT, TEST, TRAIN, group_cols
 
@@ -27,6 +27,7 @@ def argmax(scores: Column) -> Column:
 # --------------------------------------------------------------------------
 # naive Bayes by aggregation
 # --------------------------------------------------------------------------
+@null_safe_groups
 def nb_fit(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None,
            alpha: float = 1.0) -> dict[str, DataFrame]:
     """Fit multinomial NB on the train rows of every group at once.
@@ -53,6 +54,7 @@ def nb_fit(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None
     return {"label_map": lmap, "classes": classes, "tokens": tokens, "alpha": alpha}
 
 
+@null_safe_groups
 def nb_scores(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None = None,
               by: Sequence[str] | None = None) -> DataFrame:
     """Log score per (row, class): prior + sum over in-vocabulary words of
@@ -66,10 +68,10 @@ def nb_scores(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None
     # one model row per (group, token) with its per-label gains: a single
     # size-checked join finds the known words and their gains together
     packed = model["tokens"].groupBy(*by, "token").agg(
-        F.collect_list(F.struct("label", "log_gain")).alias("__g"))
+        F.collect_list(F.struct("label", "log_gain")).alias("__gains"))
     known = reuse(sized_join(tf, packed, on=by + ["token"]))
     n_known = known.groupBy(*keys).agg(F.sum("tf").alias("n_known"))
-    gains = known.select(*keys, "tf", F.explode("__g").alias("__e")) \
+    gains = known.select(*keys, "tf", F.explode("__gains").alias("__e")) \
         .groupBy(*keys, F.col("__e.label").alias("label")) \
         .agg(F.sum(F.col("tf") * F.col("__e.log_gain")).alias("gain"))
     rows = df.select(*keys).join(n_known, keys, "left").fillna(0, subset=["n_known"])
@@ -80,6 +82,7 @@ def nb_scores(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None
          + F.col("n_known") * (F.log(F.lit(alpha)) - F.col("log_denom"))).alias("score"))
 
 
+@null_safe_groups
 def nb_predict(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None = None,
                by: Sequence[str] | None = None) -> DataFrame:
     """``pred_id``, ``pred_label`` (highest score, smaller id on ties) and
@@ -96,6 +99,7 @@ def nb_predict(model: dict, df: DataFrame, text: str, keys: Sequence[str] | None
                       (F.lit(1.0) / denom).alias("confidence"))
 
 
+@null_safe_groups
 def nb_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None,
                 alpha: float = 1.0) -> DataFrame:
     """Fit on train, predict test; rows ``group, row_idx, label_id, pred_id,
@@ -145,22 +149,9 @@ def lr_fit(split_df: DataFrame, text: str, label: str, key: tuple, by: Sequence[
 
 
 def lr_evaluate(split_df: DataFrame, text: str, label: str, by: Sequence[str] | None = None) -> DataFrame:
-    """Logistic regression per group with MLlib (one distributed fit per
-    group; meant for few, large groups)."""
-    from pyspark.ml.functions import vector_to_array
-    by = group_cols(by)
-    keys = [tuple(r) for r in split_df.select(*by).distinct().collect()]  # group keys only
-    outs = []
-    for g in keys:
-        model, lmap = lr_fit(split_df, text, label, g, by)
-        te = label_encode(split_df.where(_group_filter(by, g) & (F.col(SPLIT) == TEST)), lmap, label, by)
-        outs.append(model.transform(te).select(
-            *by, ROW_IDX, "label_id", F.col("prediction").cast("int").alias("pred_id"),
-            F.array_max(vector_to_array("probability")).alias("confidence")))
-    out = outs[0]
-    for p in outs[1:]:
-        out = out.unionByName(p)
-    return out
+    """Softmax regression of all groups in one run (see ``operators.linear``)."""
+    from corpusprep.operators.linear import softmax_evaluate
+    return softmax_evaluate(split_df, text, label, by)
 
 
 # --------------------------------------------------------------------------
@@ -211,6 +202,7 @@ def weighted_f1(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     return report_averages(class_report(pred, by), by).select(*by, F.col("weighted_f1").alias("f1"))
 
 
+@null_safe_groups
 def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
                      by: Sequence[str] | None = None) -> DataFrame:
     """Per group: labels, accuracy, weighted F1, train and test counts."""
@@ -222,6 +214,7 @@ def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
     return counts.join(nl, by).join(accuracy(pred, by), by, "left").join(weighted_f1(pred, by), by, "left")
 
 
+@null_safe_groups
 def inference_samples(split_df: DataFrame, model: dict, text: str, k: int = 5,
                       by: Sequence[str] | None = None) -> DataFrame:
     """First ``k`` test rows per group (seeded order): the first 250

@@ -61,12 +61,27 @@ GROUP_KEY = "__g"
 
 
 def null_safe_groups(fn):
-    """Let a grouped operator ``fn(df, ..., by)`` keep null group keys and take an empty ``by``."""
+    """Let a grouped operator ``fn(..., by)`` keep null group keys and take an empty ``by``.
+
+    Every frame among its arguments that has all group columns, also inside
+    a model (a dict of frames), gets them packed into one struct; results
+    get them back. A ``keys`` argument names the packed key in their place.
+    """
     sig = inspect.signature(fn)
 
+    def pack(value, by):
+        if isinstance(value, dict):
+            return {k: pack(v, by) for k, v in value.items()}
+        if isinstance(value, DataFrame) and GROUP_KEY not in value.columns and set(by) <= set(value.columns):
+            key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+            return value.withColumn(GROUP_KEY, key).drop(*by)
+        return value
+
     def unpack(out, by):
         if isinstance(out, tuple):
             return tuple(unpack(o, by) for o in out)
+        if isinstance(out, dict):
+            return {k: unpack(v, by) for k, v in out.items()}
         if isinstance(out, DataFrame) and GROUP_KEY in out.columns:
             return out.select(*[F.col(f"{GROUP_KEY}.{c}").alias(c) for c in by], *[c for c in out.columns if c != GROUP_KEY])
         return out
@@ -79,9 +94,10 @@ def null_safe_groups(fn):
         by = group_cols(bound.arguments["by"])
         if by == [GROUP_KEY]:
             return fn(*bound.args, **bound.kwargs)
-        first = next(iter(bound.arguments))
-        key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
-        bound.arguments[first] = bound.arguments[first].withColumn(GROUP_KEY, key).drop(*by)
+        for name, value in bound.arguments.items():
+            bound.arguments[name] = pack(value, by)
+        if bound.arguments.get("keys") is not None:
+            bound.arguments["keys"] = [GROUP_KEY, *[k for k in bound.arguments["keys"] if k not in by]]
         bound.arguments["by"] = [GROUP_KEY]
         return unpack(fn(*bound.args, **bound.kwargs), by)
     return run

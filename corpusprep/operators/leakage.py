@@ -253,7 +253,8 @@ def sheet_report(split_df: DataFrame, text: str, by: Sequence[str] | None = None
                  autojunk: bool = False, with_samples: bool = False) -> DataFrame:
     """``num_train, num_test, exact_duplicates, near_duplicates`` per group.
 
-    ``threshold=None`` skips the near-duplicate search (near = 0).
+    ``threshold=None`` skips the near-duplicate search; then there is no
+    column ``near_duplicates``.
     """
     by = group_cols(by)
     split_df = reuse(split_df)
@@ -261,15 +262,18 @@ def sheet_report(split_df: DataFrame, text: str, by: Sequence[str] | None = None
         F.count_if(F.col(SPLIT) == TRAIN).cast("bigint").alias("num_train"),
         F.count_if(F.col(SPLIT) == TEST).cast("bigint").alias("num_test"))
     out = counts.join(exact_duplicates(split_df, text, by), by, "left")
-    if threshold is None:
-        out = out.withColumn("near_duplicates", F.lit(0).cast("bigint"))
-    else:
+    if threshold is not None:
         pairs = near_duplicate_pairs(split_df, text, by, threshold, seed, autojunk)
         if with_samples:
             pairs = pairs.persist()
             out = out.join(sample_pairs(pairs, by), by, "left")
         out = out.join(near_duplicate_counts(pairs, by), by, "left")
-    return out.fillna(0, subset=["exact_duplicates", "near_duplicates"])
+    return out.fillna(0, subset=_found(out))
+
+
+def _found(report: DataFrame) -> list[str]:
+    """The duplicate counts that a report holds: near ones only if they were looked for."""
+    return [c for c in ("exact_duplicates", "near_duplicates") if c in report.columns]
 
 
 def leakage_rollup(report: DataFrame) -> DataFrame:
@@ -278,8 +282,7 @@ def leakage_rollup(report: DataFrame) -> DataFrame:
         F.grouping_id().cast("int").alias("level"),
         F.sum("num_train").cast("bigint").alias("num_train"),
         F.sum("num_test").cast("bigint").alias("num_test"),
-        F.sum("exact_duplicates").cast("bigint").alias("exact_duplicates"),
-        F.sum("near_duplicates").cast("bigint").alias("near_duplicates"),
+        *[F.sum(c).cast("bigint").alias(c) for c in _found(report)],
     )
 
 
@@ -287,19 +290,20 @@ def leakage_gate(report: DataFrame, fail_threshold: float = FAIL_THRESHOLD) -> D
     """One row: totals, ratio (rounded to 4) and PASS / FAIL / NO_DATA.
 
     The ratio mixes distinct exact texts and near pairs, as specified, so it
-    can exceed 1; it is compared with the threshold before rounding.
+    can exceed 1; it is compared with the threshold before rounding. Without
+    a column ``near_duplicates`` it is a gate on exact duplicates alone.
     """
+    found = _found(report)
     t = report.agg(
         F.coalesce(F.sum(F.col("num_train") + F.col("num_test")), F.lit(0)).cast("bigint").alias("total_records"),
-        F.coalesce(F.sum("exact_duplicates"), F.lit(0)).cast("bigint").alias("exact_duplicates"),
-        F.coalesce(F.sum("near_duplicates"), F.lit(0)).cast("bigint").alias("near_duplicates"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in found],
         F.count(F.lit(1)).alias("__groups"),
     )
     raw = F.when(F.col("total_records") > 0,
-                 (F.col("exact_duplicates") + F.col("near_duplicates")) / F.col("total_records")
+                 sum((F.col(c) for c in found), F.lit(0)) / F.col("total_records")
                  ).otherwise(F.lit(0.0))
     return t.select(
-        "total_records", "exact_duplicates", "near_duplicates",
+        "total_records", *found,
         F.round(raw, 4).alias("leakage_ratio"),
         F.when(F.col("__groups") == 0, F.lit("NO_DATA"))
          .when(raw <= F.lit(fail_threshold), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),

@@ -22,6 +22,7 @@ from corpusprep.schema import ROW_IDX, group_cols
 HASH_DIMS = 256
 
 
+@null_safe_groups
 def tfidf(df: DataFrame, text: str, by: Sequence[str] | None = None, vocab: DataFrame | None = None) -> DataFrame:
     """Sparse TF-IDF rows ``group, row_idx, token, weight`` (L2-normalised per row).
 
@@ -73,6 +74,17 @@ def as_double_array(c: str):
 
 
 def pca_2d(df: DataFrame, vec: str, by: Sequence[str] | None = None, k: int = 2) -> DataFrame:
+    """PCA of each group (null keys and an empty ``by`` included): see ``_pca``."""
+    by = group_cols(by)
+    # a text that names the group: to_json leaves null columns out and quotes the others
+    name = F.to_json(F.struct(*by)) if by else F.lit("{}")
+    rows = df.select(*by, ROW_IDX, as_double_array(vec).alias("__x"), name.alias("__group"))
+    out = _pca(rows.select("__group", ROW_IDX, "__x"), "__x", ["__group"], k)
+    keys = rows.select("__group", *by, ROW_IDX)
+    return keys.join(out, ["__group", ROW_IDX]).select(*by, ROW_IDX, *[f"pc{i + 1}" for i in range(k)])
+
+
+def _pca(df: DataFrame, vec: str, by: list[str], k: int) -> DataFrame:
     """Mean-centred PCA to ``k`` components for every group in one job.
 
     Per group, MLlib's ``Summarizer`` (a partial aggregate) gives the mean of
@@ -86,7 +98,6 @@ def pca_2d(df: DataFrame, vec: str, by: Sequence[str] | None = None, k: int = 2)
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
     from corpusprep.functions.vectors import moment_partials
-    by = group_cols(by)
     v = as_double_array(vec)
     src = df.select(*by, v.alias("__v"))
     part_schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by] + [

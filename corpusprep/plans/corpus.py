@@ -73,13 +73,13 @@ def cluster_corpus(df: DataFrame, text_cols: Sequence[str], k: int = cu.DEFAULT_
     algorithm = cu.check_algorithm(algorithm)
     if not text_cols:
         raise ValueError("no clustering columns are named")
+    missing = [c for c in text_cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"no group can have the columns {missing}")
     kept = fl.skip_groups(df, skip)
     marked, has = fl.with_presence(kept, text_cols, by)
-    usable = functools.reduce(lambda a, b: a & b, (has.get(c, F.lit(False)) for c in text_cols))
+    usable = functools.reduce(lambda a, b: a & b, (has[c] for c in text_cols))
     left_out = marked.where(~usable).select(*by).distinct()
-    for c in text_cols:
-        if c not in df.columns:
-            marked = marked.withColumn(c, F.lit(None).cast("string"))
     t = marked.where(usable).withColumn(CLUSTER_TEXT, delimited_text(text_cols)).select(*df.columns, CLUSTER_TEXT)
     v = t if vectors else vc.hashed_embedding(t, CLUSTER_TEXT, dims, out="__vec")
     vec = vectors or "__vec"
@@ -87,7 +87,8 @@ def cluster_corpus(df: DataFrame, text_cols: Sequence[str], k: int = cu.DEFAULT_
         rows, _ = cu.kmeans(v, vec, k, by, seed)
         rows = rows.drop("dist2")
     elif algorithm == "agglomerative":
-        rows = cu.bisecting(v, vec, k, by, seed)
+        from corpusprep.operators.agglomerative import ward
+        rows = ward(v, vec, k, by)
     else:
         from corpusprep.operators.dbscan import dbscan
         rows = dbscan(v, vec, by=by)

@@ -106,16 +106,14 @@ c AS (SELECT workbook, sheet, count_if(split = 'train') AS num_train, count_if(s
 t AS (SELECT workbook, sheet, ctext, bool_or(split = 'train') AS a, bool_or(split = 'test') AS b
       FROM s GROUP BY workbook, sheet, ctext),
 e AS (SELECT workbook, sheet, count_if(a AND b) AS exact_duplicates FROM t GROUP BY workbook, sheet),
-r AS (SELECT c.workbook, c.sheet, c.num_train, c.num_test, coalesce(e.exact_duplicates, 0) AS exact_duplicates,
-             0 AS near_duplicates
+r AS (SELECT c.workbook, c.sheet, c.num_train, c.num_test, coalesce(e.exact_duplicates, 0) AS exact_duplicates
       FROM c LEFT JOIN e ON c.workbook = e.workbook AND c.sheet = e.sheet)"""
 
 
 @register("leakage_rollup", _EXACT_REPORT + """
 SELECT workbook, sheet, CAST(grouping_id(workbook, sheet) AS INTEGER) AS level,
        CAST(sum(num_train) AS BIGINT) AS num_train, CAST(sum(num_test) AS BIGINT) AS num_test,
-       CAST(sum(exact_duplicates) AS BIGINT) AS exact_duplicates,
-       CAST(sum(near_duplicates) AS BIGINT) AS near_duplicates
+       CAST(sum(exact_duplicates) AS BIGINT) AS exact_duplicates
 FROM r GROUP BY ROLLUP (workbook, sheet)""")
 def q_leakage_rollup(spark, sf):
     return lk.leakage_rollup(lk.sheet_report(d_split(spark, sf), "ctext", threshold=None))
@@ -124,10 +122,9 @@ def q_leakage_rollup(spark, sf):
 @register("exact_leakage_gate", _EXACT_REPORT + """
 SELECT CAST(sum(num_train + num_test) AS BIGINT) AS total_records,
        CAST(sum(exact_duplicates) AS BIGINT) AS exact_duplicates,
-       CAST(sum(near_duplicates) AS BIGINT) AS near_duplicates,
-       round(CAST(sum(exact_duplicates) + sum(near_duplicates) AS DOUBLE) / sum(num_train + num_test), 4)
+       round(CAST(sum(exact_duplicates) AS DOUBLE) / sum(num_train + num_test), 4)
          AS leakage_ratio,
-       CASE WHEN CAST(sum(exact_duplicates) + sum(near_duplicates) AS DOUBLE) / sum(num_train + num_test) <= 0.01
+       CASE WHEN CAST(sum(exact_duplicates) AS DOUBLE) / sum(num_train + num_test) <= 0.01
             THEN 'PASS' ELSE 'FAIL' END AS status
 FROM r""")
 def q_exact_leakage_gate(spark, sf):
@@ -682,6 +679,13 @@ def q_kmeans_fit(spark, sf):
     return rows.select(*GK, "row_idx", "cluster", F.round("dist2", 6).alias("dist2"))
 
 
+@register("agglomerative_clusters")
+def q_agglomerative_clusters(spark, sf):
+    """Bottom-up Ward clusters of every group."""
+    from corpusprep.operators.agglomerative import ward
+    return ward(tb.vectors_by_block(spark, sf), "embedding", 5).select(*GK, "row_idx", "cluster")
+
+
 @register("hierarchical_clusters")
 def q_hierarchical_clusters(spark, sf):
     return cu.bisecting(tb.vectors_by_block(spark, sf), "embedding", 5).select(*GK, "row_idx", "cluster")
@@ -828,7 +832,7 @@ def q_csv_roundtrip(spark, sf):
 SELECT workbook, sheet, CAST(num_train AS BIGINT) AS num_train, CAST(num_test AS BIGINT) AS num_test,
        CAST(exact_duplicates AS BIGINT) AS exact_duplicates FROM r""")
 def q_report_json(spark, sf):
-    rep = lk.sheet_report(d_split(spark, sf), "ctext", threshold=None).drop("near_duplicates")
+    rep = lk.sheet_report(d_split(spark, sf), "ctext", threshold=None)
     path = scratch_path(spark, "json")
     rp.write_json_report(rep, path)
     return spark.read.schema("workbook string, sheet string, num_train bigint, num_test bigint, "
@@ -941,7 +945,7 @@ def q_leakage_scope_workbook(spark, sf):
 WITH s AS ({D_SPLIT}),
 t AS (SELECT ctext, bool_or(split = 'train') AS a, bool_or(split = 'test') AS b FROM s GROUP BY ctext)
 SELECT CAST(count_if(split = 'train') AS BIGINT) AS num_train, CAST(count_if(split = 'test') AS BIGINT) AS num_test,
-       (SELECT CAST(count_if(a AND b) AS BIGINT) FROM t) AS exact_duplicates, CAST(0 AS BIGINT) AS near_duplicates
+       (SELECT CAST(count_if(a AND b) AS BIGINT) FROM t) AS exact_duplicates
 FROM s""")
 def q_leakage_scope_corpus(spark, sf):
     """Exact leakage over the whole corpus (scope='corpus', no group columns)."""
