@@ -784,6 +784,37 @@ def q_xlsx_bad_files(spark, sf):
         F.bool_or(F.col("_error").isNotNull()).alias("failed"))
 
 
+ORDERS_PER_BOOK = 250_000
+_ORDER_COLS = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority"]
+_ORDER_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderdate", T.TimestampType()),
+    T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderpriority", T.StringType())])
+
+
+def _write_order_books(spark, sf):
+    """Workbooks derived from ``orders``: a worksheet per status, dates as
+    styled serial numbers, unspecified priorities as the word ``N/A``."""
+    folder = scratch_path(spark, "xlsx")
+    o = tb.read_table(spark, sf, "orders").withColumn(
+        "book", F.concat(F.lit("orders-"), F.floor(F.col("o_orderkey") / ORDERS_PER_BOOK).cast("string"))) \
+        .withColumn("o_orderpriority", F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "N/A").otherwise(F.col("o_orderpriority")))
+    xl.write_workbooks(o, folder, "book", "o_orderstatus", _ORDER_COLS, order_col="o_orderkey").collect()  # a small row per workbook
+    return folder
+
+
+@register("xlsx_typed_cells", f"""
+SELECT 'orders-' || CAST(o_orderkey // {ORDERS_PER_BOOK} AS VARCHAR) || '.xlsx' AS workbook, o_orderstatus AS sheet,
+       CAST(row_number() OVER (PARTITION BY o_orderkey // {ORDERS_PER_BOOK}, o_orderstatus ORDER BY o_orderkey) - 1 AS BIGINT) AS row_idx,
+       o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_totalprice,
+       nullif(o_orderpriority, '4-NOT SPECIFIED') AS o_orderpriority
+FROM orders""")
+def q_xlsx_typed_cells(spark, sf):
+    """Every cell of the order workbooks, each worksheet read by several tasks."""
+    raw = xl.read_workbooks(spark, _write_order_books(spark, sf), split_bytes=1 << 18)
+    t = ty.typed_projection(xl.good_rows(raw), _ORDER_SCHEMA, keys=["workbook", "sheet", "row_idx"])
+    return t.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("scan_summary", f"""
 SELECT workbook, CAST(count_if(NOT skipped) AS BIGINT) AS n_sheets,
        string_agg(CASE WHEN NOT skipped THEN sheet END, ', ' ORDER BY sheet) AS sheets,

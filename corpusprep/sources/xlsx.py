@@ -1,9 +1,11 @@
 """Excel workbooks as a Spark data source (stdlib ``zipfile`` + XML only).
 
 ``spark.read.format("xlsx").load(folder)`` yields one row per worksheet row:
-``workbook, sheet, row_idx, cells map<string,string>, _error``. Each workbook
-is one input partition, read on an executor; the first row of a sheet is the
-header. Options:
+``workbook, sheet, row_idx, cells map<string,string>, _error``. A small
+workbook is one input partition, read on an executor; the worksheets of a
+large one are cut into stretches of rows that different tasks parse
+(``sources.xlsx_parts``, which also states how cells become text). The first
+row of a sheet is the header. Options:
 
 * ``files``: ``ALL_FILES`` (default) lists ``*.xlsx`` of the folder (not
   recursive); otherwise a comma list, trimmed, blanks dropped; the keyword
@@ -11,6 +13,9 @@ header. Options:
 * ``skip``: comma list of sheet names to leave out (normalised names);
 * ``mode``: ``PERMISSIVE`` (default) turns an unreadable workbook into one
   row with ``_error`` set; ``FAILFAST`` raises;
+* ``split_bytes``: inflated bytes of a worksheet that one task parses
+  (32 MiB; 0 leaves every workbook to one task);
+* ``na_words``: ``true`` (default) reads words such as ``N/A`` as null;
 * ``output``: ``rows`` (default) or ``sheets`` (one row per worksheet with
   its columns and row count, including empty worksheets and, flagged
   ``skipped``, those left out by the skip list).
@@ -21,11 +26,9 @@ or object-store folders.
 
 from __future__ import annotations
 
+import datetime as dt
 import io
-import re
-import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,15 +36,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from corpusprep.functions.names import normalize_name_py
+from corpusprep.sources.xlsx_parts import NA_WORDS, NS, Workbook, stretches
 
 ROWS_SCHEMA = "workbook string, sheet string, row_idx bigint, cells map<string,string>, _error string"
 SHEETS_SCHEMA = ("workbook string, sheet string, columns array<string>, n_rows bigint, skipped boolean, "
                  "_error string")
 ALL_FILES = "ALL_FILES"
-
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-_PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}Relationship"
+#: Inflated bytes of a worksheet that one task parses.
+SPLIT_BYTES = 32 << 20
+#: Worksheets rarely inflate to more than this many times the file; smaller files are not opened when planning.
+INFLATES = 50
 
 
 def _fs(path: str):
@@ -71,117 +75,12 @@ def list_workbooks(folder: str, files: str | None = None, keyword_case_sensitive
                   and not i.base_name.startswith(("_", ".")))   # hidden and temporary files
 
 
-def _col_index(ref: str) -> int:
-    n = 0
-    for ch in re.match(r"[A-Z]+", ref).group(0):
-        n = n * 26 + (ord(ch) - 64)
-    return n - 1
-
-
-def _text(el) -> str:
-    """Text of a shared or inline string: plain ``t`` or rich-text runs
-    (phonetic runs are left out)."""
-    m = _NS["m"]
-    t = el.find(f"{{{m}}}t")
-    if t is not None:
-        return t.text or ""
-    return "".join((r.findtext(f"{{{m}}}t") or "") for r in el.findall(f"{{{m}}}r"))
-
-
-def _cell_value(c, shared: list[str]) -> str | None:
-    t = c.get("t", "n")
-    if t == "inlineStr":
-        is_el = c.find("m:is", _NS)
-        return _text(is_el) if is_el is not None else None
-    v = c.find("m:v", _NS)
-    val = v.text if v is not None else None
-    if t == "s" and val is not None:
-        return shared[int(val)]
-    if t == "b" and val is not None:
-        return "True" if val == "1" else "False"
-    return val
-
-
-def _sheet_rows(fh, shared: list[str]) -> Iterator[tuple[int, dict[int, str | None]]]:
-    """Stream ``(row number, {column index: value})`` from a worksheet part
-    with ``iterparse``; each row element is cleared once read, so memory
-    stays bounded by one row."""
-    row_tag = f"{{{_NS['m']}}}row"
-    last = 0
-    for _, el in ET.iterparse(fh, events=("end",)):
-        if el.tag != row_tag:
-            continue
-        rnum = int(el.get("r")) if el.get("r") else last + 1
-        last = rnum
-        cells: dict[int, str | None] = {}
-        for i, c in enumerate(el.findall("m:c", _NS)):
-            cells[_col_index(c.get("r")) if c.get("r") else i] = _cell_value(c, shared)
-        el.clear()
-        if any(v is not None for v in cells.values()):
-            yield rnum, cells
-
-
-def _header(head: dict[int, str | None], width: int) -> list[str]:
-    header, seen = [], {}
-    for i in range(width):
-        h = head.get(i)
-        name = str(h) if h is not None else f"Unnamed: {i}"
-        if name in seen:
-            seen[name] += 1
-            name = f"{name}.{seen[name]}"
-        else:
-            seen[name] = 0
-        header.append(name)
-    return header
-
-
-def parse_workbook(data: bytes) -> Iterator[tuple[str, list[str], Iterator[tuple[int, dict[str, str | None]]]]]:
-    """Yield ``(sheet name, header, rows)`` per worksheet; ``rows`` streams
-    ``(row_idx, cells)``. Columns past the header row are named
-    ``Unnamed: i``; repeated names get ``.1``, ``.2`` suffixes."""
-    z = zipfile.ZipFile(io.BytesIO(data))
-    names = set(z.namelist())
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in names:
-        root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-        shared = [_text(si) for si in root.findall("m:si", _NS)]
-    rels = {}
-    if "xl/_rels/workbook.xml.rels" in names:
-        for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).iter(_PKG_REL):
-            t = r.get("Target")
-            rels[r.get("Id")] = t.lstrip("/") if t.startswith("/") else "xl/" + t
-    wb = ET.fromstring(z.read("xl/workbook.xml"))
-    for sh in wb.find("m:sheets", _NS).findall("m:sheet", _NS):
-        target = rels.get(sh.get(_REL))
-        if not target or target not in names:
-            yield sh.get("name"), [], iter(())
-            continue
-        # one pass for the width (cells may extend past the header row),
-        # a second streaming pass for the rows
-        width, head, head_r = 0, None, None
-        with z.open(target) as fh:
-            for rnum, cells in _sheet_rows(fh, shared):
-                if head is None:
-                    head, head_r = cells, rnum
-                width = max(width, max(cells) + 1)
-        if head is None:
-            yield sh.get("name"), [], iter(())
-            continue
-        header = _header(head, width)
-
-        def rows(target=target, head_r=head_r, header=header):
-            with z.open(target) as fh:
-                for rnum, cells in _sheet_rows(fh, shared):
-                    if rnum > head_r:
-                        yield rnum - head_r - 1, {header[i]: cells.get(i) for i in range(len(header))}
-
-        yield sh.get("name"), header, rows()
-
-
 class _Part(InputPartition):
-    def __init__(self, path: str, name: str):
-        super().__init__(path)
-        self.path, self.name = path, name
+    """A whole workbook (``sheet`` is None), or a stretch of one of its worksheets."""
+
+    def __init__(self, path: str, name: str, sheet: int | None = None, lo: int = 0, hi: float = float("inf")):
+        super().__init__(f"{path}#{sheet}:{lo}")
+        self.path, self.name, self.sheet, self.lo, self.hi = path, name, sheet, lo, hi
 
 
 class XlsxReader(DataSourceReader):
@@ -191,6 +90,8 @@ class XlsxReader(DataSourceReader):
         self.keyword_cs = options.get("keyword_case_sensitive", "true").lower() == "true"
         self.mode = options.get("mode", "PERMISSIVE").upper()
         self.output = output
+        self.split_bytes = int(options.get("split_bytes", SPLIT_BYTES))
+        self.na_words = NA_WORDS if options.get("na_words", "true").lower() == "true" else frozenset()
         skip = options.get("skip", "")
         self.skip = {normalize_name_py(s) for s in skip.split(",") if s.strip()}
         self.only: dict[str, set] = {}          # pushed equality / IN filters per key column
@@ -200,7 +101,28 @@ class XlsxReader(DataSourceReader):
         names = list_workbooks(self.folder, self.files, self.keyword_cs)
         if "workbook" in self.only:
             names = [n for n in names if n in self.only["workbook"]]
-        return [_Part(f"{base}/{n}", n) for n in names]
+        return [part for n in names for part in self._parts(f"{base}/{n}", n)]
+
+    def _parts(self, path: str, name: str) -> list[_Part]:
+        """One part for a small workbook. Of a large one the directory and the
+        list of worksheets are read, and its worksheets are cut into stretches."""
+        whole = [_Part(path, name)]
+        if self.split_bytes <= 0:
+            return whole
+        try:
+            fs, p = _fs(path)
+            info = fs.get_file_info(p)
+            if info.size is None or info.size * INFLATES < self.split_bytes:
+                return whole
+            with fs.open_input_file(p) as fh:
+                book = Workbook(fh)
+                sizes = [book.inflated_bytes(t) if t else 0 for _, t in book.sheets]
+        except Exception:  # noqa: BLE001 - the task that reads it reports the damage
+            return whole
+        if sum(sizes) <= self.split_bytes:
+            return whole
+        return [_Part(path, name, i, lo, hi) for i, size in enumerate(sizes)
+                for lo, hi in (stretches(size, self.split_bytes) if self.output != "sheets" else [(0, float("inf"))])]
 
     def _error(self, workbook: str, sheet: str | None, e: Exception):
         if self.mode == "FAILFAST":
@@ -214,28 +136,29 @@ class XlsxReader(DataSourceReader):
     def read(self, partition):
         try:
             fs, p = _fs(partition.path)
-            with fs.open_input_file(p) as fh:
-                data = fh.read()
-            sheets = list(parse_workbook(data))    # structure and widths; rows stream below
+            fh = fs.open_input_file(p)
+            book = Workbook(fh, self.na_words)
         except Exception as e:  # noqa: BLE001 - reported as a row in PERMISSIVE mode
             row = self._error(partition.name, None, e)
             if row is not None:
                 yield row
             return
-        for sheet, header, rows in sheets:
-            if "sheet" in self.only and sheet not in self.only["sheet"]:
-                continue
-            skipped = normalize_name_py(sheet) in self.skip
-            try:
-                if self.output == "sheets":
-                    yield (partition.name, sheet, header, sum(1 for _ in rows), skipped, None)
-                elif not skipped:
-                    for idx, cells in rows:
-                        yield (partition.name, sheet, idx, cells, None)
-            except Exception as e:  # noqa: BLE001 - a damaged worksheet
-                row = self._error(partition.name, sheet, e)
-                if row is not None:
-                    yield row
+        with fh:
+            chosen = book.sheets if partition.sheet is None else [book.sheets[partition.sheet]]
+            for sheet, target in chosen:
+                if "sheet" in self.only and sheet not in self.only["sheet"]:
+                    continue
+                skipped = normalize_name_py(sheet) in self.skip
+                try:
+                    if self.output == "sheets":
+                        yield (partition.name, sheet, *book.outline(target), skipped, None)
+                    elif not skipped and target:
+                        for idx, cells in book.rows(target, partition.lo, partition.hi):
+                            yield (partition.name, sheet, idx, cells, None)
+                except Exception as e:  # noqa: BLE001 - a damaged worksheet
+                    row = self._error(partition.name, sheet, e)
+                    if row is not None:
+                        yield row
 
 
 class XlsxPushdownReader(XlsxReader):
@@ -273,23 +196,30 @@ def register(spark: SparkSession) -> None:
 
 
 def read_workbooks(spark: SparkSession, folder: str, files: str | None = None, skip: str = "",
-                   mode: str = "PERMISSIVE", output: str = "rows", keyword_case_sensitive: bool = True) -> DataFrame:
+                   mode: str = "PERMISSIVE", output: str = "rows", keyword_case_sensitive: bool = True,
+                   split_bytes: int = SPLIT_BYTES, na_words: bool = True) -> DataFrame:
     register(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
     r = spark.read.format("xlsx").option("mode", mode).option("skip", skip).option("output", output) \
-        .option("pushdown", str(pushdown).lower())
+        .option("pushdown", str(pushdown).lower()).option("split_bytes", split_bytes) \
+        .option("na_words", str(na_words).lower())
     if files is not None:
         r = r.option("files", files)
     r = r.option("keyword_case_sensitive", str(keyword_case_sensitive).lower())
     return r.load(folder)
 
 
-def good_rows(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("_error").isNull()).drop("_error")
+def good_rows(raw: DataFrame, whole_workbooks: bool = False) -> DataFrame:
+    """Rows that were read. A damaged worksheet leaves the rows before the
+    damage and those of the workbook's other worksheets; with
+    ``whole_workbooks`` a workbook with any damage is left out."""
+    rows = raw.where(F.col("_error").isNull()).drop("_error")
+    return rows.join(bad_files(raw).select("workbook"), "workbook", "left_anti") if whole_workbooks else rows
 
 
 def bad_files(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("_error").isNotNull()).select("workbook", F.col("_error").alias("error"))
+    """One row per workbook with damage."""
+    return raw.where(F.col("_error").isNotNull()).groupBy("workbook").agg(F.min("_error").alias("error"))
 
 
 # --------------------------------------------------------------------------
@@ -306,14 +236,18 @@ def _col_ref(i: int) -> str:
 
 def _sheet_xml(header: list[str], rows: list[list]) -> str:
     out = ['<?xml version="1.0" encoding="UTF-8" standalone="yes"?>',
-           f'<worksheet xmlns="{_NS["m"]}"><sheetData>']
+           f'<worksheet xmlns="{NS["m"]}"><sheetData>']
     for r, values in enumerate([header] + rows, start=1):
         cells = []
         for i, v in enumerate(values):
             ref = f"{_col_ref(i)}{r}"
             if v is None:
                 continue
-            if isinstance(v, bool) or not isinstance(v, (int, float)):
+            if isinstance(v, dt.date):
+                at = v if isinstance(v, dt.datetime) else dt.datetime(v.year, v.month, v.day)
+                days = (at.replace(tzinfo=None) - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1)
+                cells.append(f'<c r="{ref}" s="1"><v>{days!r}</v></c>')
+            elif isinstance(v, bool) or not isinstance(v, (int, float)):
                 cells.append(f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
             else:
                 cells.append(f'<c r="{ref}"><v>{v!r}</v></c>')
@@ -323,7 +257,7 @@ def _sheet_xml(header: list[str], rows: list[list]) -> str:
 
 
 def workbook_bytes(sheets: list[tuple[str, list[str], list[list]]]) -> bytes:
-    """A minimal valid .xlsx holding the given worksheets (inline strings)."""
+    """A minimal .xlsx holding the given worksheets (inline strings, dates as styled numbers)."""
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         over = "".join(
@@ -337,6 +271,8 @@ def workbook_bytes(sheets: list[tuple[str, list[str], list[list]]]) -> bytes:
                    '<Default Extension="xml" ContentType="application/xml"/>'
                    '<Override PartName="/xl/workbook.xml" '
                    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+                   '<Override PartName="/xl/styles.xml" '
+                   'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
                    f'{over}</Types>')
         z.writestr("_rels/.rels",
                    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
@@ -346,7 +282,7 @@ def workbook_bytes(sheets: list[tuple[str, list[str], list[list]]]) -> bytes:
         sheet_el = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>'
                            for i, (n, _, _) in enumerate(sheets, start=1))
         z.writestr("xl/workbook.xml",
-                   f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><workbook xmlns="{_NS["m"]}" '
+                   f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><workbook xmlns="{NS["m"]}" '
                    'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
                    f'<sheets>{sheet_el}</sheets></workbook>')
         rel_el = "".join(
@@ -355,7 +291,12 @@ def workbook_bytes(sheets: list[tuple[str, list[str], list[list]]]) -> bytes:
         z.writestr("xl/_rels/workbook.xml.rels",
                    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
                    f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rel_el}'
-                   '</Relationships>')
+                   '<Relationship Id="rIdStyles" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/'
+                   'styles" Target="styles.xml"/></Relationships>')
+        # style 1 shows a serial day number as date and time (built-in format 22)
+        z.writestr("xl/styles.xml",
+                   f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><styleSheet xmlns="{NS["m"]}">'
+                   '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="22"/></cellXfs></styleSheet>')
         for i, (_, header, rows) in enumerate(sheets, start=1):
             z.writestr(f"xl/worksheets/sheet{i}.xml", _sheet_xml(header, rows))
     return buf.getvalue()
