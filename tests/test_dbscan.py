@@ -56,3 +56,33 @@ def test_dbscan_equals_brute_force(spark):
     core = {r.row_idx: r.is_core for r in db.core_points(df, "v", eps=0.6, min_samples=4, metric="euclidean")
             .collect()}
     assert sum(core.values()) > 10
+
+
+def test_small_packs_chains_copies_and_null_groups(spark, monkeypatch):
+    """Cells, packs and blocks of a few points: every step meets more than one of them."""
+    monkeypatch.setattr(db, "PACK", 8)
+    monkeypatch.setattr(db, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    parts = [rng.normal(c, 0.3, size=(25, 3)) for c in ([0, 0, 0], [3, 3, 0], [1.6, 1.6, 0])]
+    chain = np.linspace([5, 0, 0], [5, 9, 0], 40)                 # one long cluster, far ends apart
+    copies = np.repeat([[1.0, 1.0, 1.0], [-4.0, -4.0, 0.0]], [20, 5], axis=0)
+    pts = np.vstack([*parts, chain, copies, rng.uniform(-4, 6, size=(20, 3))])
+    odd = [("w", None, len(pts), [float("nan"), 0.0, 0.0]), ("w", None, len(pts) + 1, None)]
+    rows = [("w", g, i, [float(x) for x in p]) for g in (None, "s") for i, p in enumerate(pts)] + odd
+    df = spark.createDataFrame(rows, "workbook string, sheet string, row_idx bigint, v array<double>")
+    got = db.dbscan(df, "v", eps=0.6, min_samples=5, metric="euclidean").collect()
+    exp = _canon(_py_dbscan(pts, 0.6, 5))
+    for g in (None, "s"):
+        of = {r.row_idx: r.cluster for r in got if r.sheet == g}
+        assert _canon([of[i] for i in range(len(pts))]) == exp
+        assert g == "s" or of[len(pts)] == of[len(pts) + 1] == -1
+    n = {(r.sheet, r.row_idx): r.n_neighbors for r in db.core_points(df, "v", eps=0.6, metric="euclidean").collect()}
+    near = (np.linalg.norm(pts[:, None] - pts[None], axis=2) <= 0.6 + 1e-12).sum(axis=1)
+    assert all(n[g, i] == near[i] for g in (None, "s") for i in range(len(pts)))
+    assert n[None, len(pts) + 1] == 1 and (None, len(pts)) not in n
+
+
+def test_pairs_at_the_radius_are_within():
+    x = np.array([[0.0, 0.0], [3.0, 4.0], [1e6, 1e6]])
+    y = np.array([[0.0, 5.0], [0.0, 5.0000001], [1e6 + 3, 1e6 + 4]])
+    assert db.within(x, y, 5.0).tolist() == [[True, False, False], [True, True, False], [False, False, True]]
