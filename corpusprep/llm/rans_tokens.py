@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import (CommittedFile, Memo, key_of, map_text, prefix_sums, read_file, shard_bounds, shard_firsts,
+from corpusprep.llm.common import (CommittedFile, key_of, map_text, prefix_sums, read_file, shard_bounds, shard_firsts,
                                    shared_uri, slices, written)
 
 MAGIC = b"RANSIDS1"
@@ -188,6 +188,26 @@ class Reader:
 
 
 # ------------------------------------------------------------------ tokenizing
+class Learned(dict):
+    """What a worker remembers, in two generations: a missing value comes from the older one or is learned."""
+
+    def __init__(self, learn):
+        self.learn, self.old = learn, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.learn(key)
+        self[key] = value
+        return value
+
+    def turn(self, size: int) -> None:
+        """Begin a generation when this one has more than ``size`` entries; often used entries stay."""
+        if len(self) > size:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordTokens:
     """Ids of whole texts by the ``tokenizers`` library.
 
@@ -220,38 +240,44 @@ class WordTokens:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = iter(range(256, 512))
         self.byte_char = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
-        self.chunks, self.words = Memo(MEMO), Memo(MEMO)
         #: Bytes of an id in the memories and in ``packed``: two, if the vocabulary allows it.
-        self.width = 2 if max(self.lib.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+        last = max(self.lib.get_vocab(with_added_tokens=True).values())
+        self.width = 2 if last < 1 << 16 else 4
+        self.id_bytes = [i.to_bytes(self.width, "little") for i in range(last + 1)]
+        self.model = self.lib.model
+        self.chunks, self.words, self.tails = Learned(self._chunk), Learned(self._word), Learned(self._whole)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.lib.encode_batch(texts, add_special_tokens=False)]
 
-    def _parts(self, chunk: bytes) -> tuple[bytes, bytes] | None:
-        """A plain lower-case word and the marks after it; None for all other chunks."""
-        core = chunk.rstrip(self.MARKS)
-        if core.isascii():
-            return (core.lower(), chunk[len(core):]) if core.isalpha() else None
+    def _whole(self, chunk: bytes) -> bytes:
+        return self._library([chunk.decode("utf-8")])[0]
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a lower-case word of plain letters."""
+        piece = word.decode("ascii") if word.isascii() else word.decode("latin-1").translate(self.byte_char)
+        at = self.id_bytes
+        return b"".join([at[t.id] for t in self.model.tokenize(piece)])
+
+    def _plain(self, core: bytes) -> bytes | None:
+        """A word of plain letters, not all of them ASCII, in lower case; None for all other chunks."""
         word = core.decode("utf-8")
-        if not word or not word.isalpha() or ord(max(word)) >= 0x250:
+        if not word.isalpha() or ord(max(word)) >= 0x250:
             return None
         low = word.lower()
-        if len(low) != len(word):       # a letter whose lower case holds a mark, which would join the tail
-            return None
-        return low.encode("utf-8"), chunk[len(core):]
-
-    def _learn(self, new: list[bytes]) -> None:
-        cut = {c: self._parts(c) for c in new}
-        whole = [c for c, p in cut.items() if p is None] + list({p[1] for p in cut.values() if p and p[1]})
-        ids = dict(zip(whole, self._library([c.decode("utf-8") for c in whole]), strict=True)) if whole else {}
-        ids[b""] = b""
-        tokenize, chars, width = self.lib.model.tokenize, self.byte_char, self.width
-        for w in self.words.unknown({p[0] for p in cut.values() if p}):
-            piece = w.decode("ascii") if w.isascii() else w.decode("latin-1").translate(chars)
-            self.words.known[w] = b"".join([t.id.to_bytes(width, "little") for t in tokenize(piece)])
-        words, chunks = self.words.known, self.chunks.known
-        for c, p in cut.items():
-            chunks[c] = words[p[0]] + ids[p[1]] if p else ids[c]
+        # a letter whose lower case holds a mark, which would join the tail, makes it longer
+        return low.encode("utf-8") if len(low) == len(word) else None
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        core = chunk.rstrip(self.MARKS)
+        if core.isalpha():                      # bytes.isalpha() knows ASCII letters only
+            word = core.lower()
+        else:
+            word = None if core.isascii() else self._plain(core)
+            if word is None:
+                return self._whole(chunk)
+        ids = self.words[word]
+        return ids if len(core) == len(chunk) else ids + self.tails[chunk[len(core):]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -261,9 +287,9 @@ class WordTokens:
         """Ids as little-endian unsigned integers of ``width`` bytes."""
         whole = [not self.chunked or any(s in t for s in self.special) for t in texts]
         cut = [[] if w else t.encode("utf-8").split() for t, w in zip(texts, whole, strict=True)]
-        if new := self.chunks.unknown(set().union(*cut)):
-            self._learn(new)
-        get = self.chunks.known.__getitem__
+        for memory in (self.chunks, self.words, self.tails):
+            memory.turn(MEMO)
+        get = self.chunks.__getitem__
         out = [b"".join(map(get, cs)) for cs in cut]
         for i in np.flatnonzero(whole):
             out[i] = self._library([texts[i]])[0]

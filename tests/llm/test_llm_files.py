@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from corpusprep.llm import ordinal_toxicity, pii_scan, rans_tokens, simhash_gray, source_mix, warc_sharded
-from corpusprep.llm.common import Memo, hash_sample, open_store
+from corpusprep.llm.common import hash_sample, open_store
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -109,7 +109,7 @@ def test_coder_is_near_the_entropy_and_notices_damage():
         assert np.array_equal(rans_tokens.Reader(rans_tokens.pack([1], [one])).ids(), one)
 
 
-def test_word_tokens_equal_the_library():
+def test_word_tokens_equal_the_library(monkeypatch):
     rnd = random.Random(3)
     odd = [chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, 0x2003, 0x3000, 0x180E, 0x200B, 0x301, 0x308, 0x130, 0x131,
                             0x3A3, 0x3C2, 0xAD)]
@@ -120,7 +120,7 @@ def test_word_tokens_equal_the_library():
     want = [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
     tokens = rans_tokens.WordTokens(WORD_BPE)
     assert tokens.encode(texts) == want
-    tokens.chunks, tokens.words = Memo(40), Memo(30)             # forgets all the time
+    monkeypatch.setattr(rans_tokens, "MEMO", 30)                 # forgets all the time
     assert [x for at in range(0, len(texts), 25) for x in tokens.encode(texts[at:at + 25])] == want
 
 
