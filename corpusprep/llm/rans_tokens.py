@@ -45,8 +45,8 @@ SHARD_BYTES = 8 << 20
 MAX_SHARDS = 20_000
 LOW = np.uint64(1 << 31)          # states stay in [2^31, 2^63)
 CHECKPOINT = np.dtype([("offset", "<u8"), ("words", "<u4"), ("ids", "<u4"), ("crc", "<u4"), ("ids_crc", "<u4")])
-#: Chunks, and words, that a worker remembers in each of two generations.
-MEMO = 150_000
+#: Chunks that a worker remembers in each of two generations; words and their chunks share the memory.
+MEMO = 300_000
 
 
 # ------------------------------------------------------------------ the coder
@@ -245,7 +245,8 @@ class WordTokens:
         self.width = 2 if last < 1 << 16 else 4
         self.id_bytes = [i.to_bytes(self.width, "little") for i in range(last + 1)]
         self.model = self.lib.model
-        self.chunks, self.words, self.tails = Learned(self._chunk), Learned(self._word), Learned(self._whole)
+        #: Chunks, the plain words within them among these, and the marks that close a chunk.
+        self.chunks, self.tails = Learned(self._chunk), Learned(self._whole)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.lib.encode_batch(texts, add_special_tokens=False)]
@@ -276,7 +277,7 @@ class WordTokens:
             word = None if core.isascii() else self._plain(core)
             if word is None:
                 return self._whole(chunk)
-        ids = self.words[word]
+        ids = self._word(word) if word == chunk else self.chunks[word]
         return ids if len(core) == len(chunk) else ids + self.tails[chunk[len(core):]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -287,7 +288,7 @@ class WordTokens:
         """Ids as little-endian unsigned integers of ``width`` bytes."""
         whole = [not self.chunked or any(s in t for s in self.special) for t in texts]
         cut = [[] if w else t.encode("utf-8").split() for t, w in zip(texts, whole, strict=True)]
-        for memory in (self.chunks, self.words, self.tails):
+        for memory in (self.chunks, self.tails):
             memory.turn(MEMO)
         get = self.chunks.__getitem__
         out = [b"".join(map(get, cs)) for cs in cut]
