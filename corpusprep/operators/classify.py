@@ -214,6 +214,32 @@ def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
     return counts.join(nl, by).join(accuracy(pred, by), by, "left").join(weighted_f1(pred, by), by, "left")
 
 
+@null_safe_groups
+def report_record(pred: DataFrame, label_map: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """The written report of each group: ``accuracy, f1, per_class, macro_avg, weighted_avg``.
+
+    ``per_class`` is an array of ``class_id, label, precision, recall, f1,
+    support`` by class id, as long as the group has classes; labels that the
+    train rows do not have are class -1 with a null name. The averages are
+    structs of the same four figures. Accuracy is the recall of all classes
+    weighted by support, so predictions are read once. A group without
+    predictions has no record.
+    """
+    by = group_cols(by)
+    names = label_map.select(*by, F.col("label_id").alias("class_id"), "label")
+    rep = sized_join(class_report(pred, by), names, on=[*by, "class_id"], how="left")
+    figures = ("precision", "recall", "f1")
+    total = F.sum("support")
+
+    def average(kind: str, of) -> Column:
+        return F.struct(*[of(c).alias(c) for c in figures], total.cast("bigint").alias("support")).alias(kind)
+    out = rep.groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.struct("class_id", "label", *figures, "support"))).alias("per_class"),
+        average("macro_avg", F.avg), average("weighted_avg", lambda c: F.sum(F.col(c) * F.col("support")) / total))
+    return out.select(*by, F.col("weighted_avg.recall").alias("accuracy"), F.col("weighted_avg.f1").alias("f1"),
+                      "per_class", "macro_avg", "weighted_avg")
+
+
 @null_safe_groups
 def inference_samples(split_df: DataFrame, model: dict, text: str, k: int = 5,
                       by: Sequence[str] | None = None) -> DataFrame:

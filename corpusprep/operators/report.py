@@ -36,6 +36,30 @@ def nest(df: DataFrame, outer: Sequence[str], name: str, order: Sequence[str] |
     return df.groupBy(*outer).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
 
 
+def master_summary(summary: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+    """One row for each value of the first group column: its groups nested, with totals.
+
+    ``summary`` has one row a group (``training_summary`` or the summary of
+    ``classify_corpus``). Returns the first group column, ``n_groups,
+    num_train_samples, num_test_samples, accuracy`` (of all its test rows:
+    groups weigh by theirs; groups without accuracy are left out of it) and
+    ``groups``, an array of the rows without that column, by the other group
+    columns. A null group column is a value; ``by=[]`` gives one row.
+    """
+    by = group_cols(by)
+    outer, inner = by[:1], by[1:]
+    scored = F.col("accuracy").isNotNull()
+    weight = F.when(scored, F.col("num_test_samples"))
+    rows = [c for c in summary.columns if c not in by]
+    return summary.groupBy(*outer).agg(
+        F.count(F.lit(1)).cast("int").alias("n_groups"),
+        F.coalesce(F.sum("num_train_samples"), F.lit(0)).cast("bigint").alias("total_train"),
+        F.coalesce(F.sum("num_test_samples"), F.lit(0)).cast("bigint").alias("total_test"),
+        F.try_divide(F.sum(F.col("accuracy") * weight), F.sum(weight)).alias("mean_accuracy"),
+        F.sort_array(F.collect_list(F.struct(*inner, *rows))).alias("groups")) \
+        .withColumnsRenamed({"total_train": "num_train_samples", "total_test": "num_test_samples", "mean_accuracy": "accuracy"})
+
+
 # --------------------------------------------------------------------------
 # sinks
 # --------------------------------------------------------------------------

@@ -589,6 +589,54 @@ def q_training_summary(spark, sf):
                     "num_train_samples", "num_test_samples")
 
 
+@register("clf_record", _NB + """,
+named AS (SELECT r.*, m.label FROM repf r LEFT JOIN lmap m
+          ON r.workbook = m.workbook AND r.sheet = m.sheet AND r.class_id = m.label_id),
+entries AS (
+  SELECT workbook, sheet, 'class' AS kind, label AS entry, precision, recall, f1, support FROM named
+  UNION ALL
+  SELECT workbook, sheet, 'macro avg', NULL, avg(precision), avg(recall), avg(f1), sum(support) FROM repf GROUP BY workbook, sheet
+  UNION ALL
+  SELECT workbook, sheet, 'weighted avg', NULL, sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+         sum(f1 * support) / sum(support), sum(support) FROM repf GROUP BY workbook, sheet),
+acc AS (SELECT workbook, sheet, avg(CAST(pred_id = label_id AS DOUBLE)) AS accuracy FROM ev GROUP BY workbook, sheet)
+SELECT e.workbook, e.sheet, round(acc.accuracy, 9) AS accuracy, kind, entry, round(precision, 9) AS precision,
+       round(recall, 9) AS recall, round(f1, 9) AS f1, CAST(support AS BIGINT) AS support
+FROM entries e JOIN acc ON e.workbook = acc.workbook AND e.sheet = acc.sheet""")
+def q_clf_record(spark, sf):
+    s = l_split(spark, sf)
+    rec = cl.report_record(cl.nb_evaluate(s, "ctext", "lang"), lb.label_map_sorted(s, "lang"))
+    entry = lambda kind, e, label: F.struct(F.lit(kind).alias("kind"), label.alias("entry"), *[
+        e[c].alias(c) for c in ("precision", "recall", "f1", "support")])
+    none = F.lit(None).cast("string")
+    entries = F.concat(F.transform("per_class", lambda e: entry("class", e, e["label"])),
+                       F.array(entry("macro avg", F.col("macro_avg"), none), entry("weighted avg", F.col("weighted_avg"), none)))
+    return rec.select(*GK, F.round("accuracy", 9).alias("accuracy"), F.explode(entries).alias("e")).select(
+        *GK, "accuracy", "e.kind", "e.entry", *[F.round(f"e.{c}", 9).alias(c) for c in ("precision", "recall", "f1")], "e.support")
+
+
+@register("training_master_summary", _NB + """,
+acc AS (SELECT workbook, sheet, avg(CAST(pred_id = label_id AS DOUBLE)) AS accuracy FROM ev GROUP BY workbook, sheet),
+cnts AS (SELECT workbook, sheet, count_if(split = 'train') AS ntr, count_if(split = 'test') AS nte FROM s
+         GROUP BY workbook, sheet),
+nl AS (SELECT workbook, sheet, count(*) AS num_labels FROM lmap GROUP BY workbook, sheet),
+g AS (SELECT c.*, nl.num_labels, acc.accuracy FROM cnts c
+      JOIN nl ON c.workbook = nl.workbook AND c.sheet = nl.sheet
+      LEFT JOIN acc ON c.workbook = acc.workbook AND c.sheet = acc.sheet)
+SELECT workbook, CAST(count(*) AS INTEGER) AS n_groups, CAST(sum(ntr) AS BIGINT) AS num_train_samples,
+       CAST(sum(nte) AS BIGINT) AS num_test_samples,
+       round(sum(accuracy * nte) / sum(CASE WHEN accuracy IS NOT NULL THEN nte END), 9) AS accuracy,
+       string_agg(sheet || ':' || num_labels || ':' || ntr || ':' || nte, ',' ORDER BY sheet) AS sheets
+FROM g GROUP BY workbook""")
+def q_training_master_summary(spark, sf):
+    s = l_split(spark, sf)
+    pred = cl.nb_evaluate(s, "ctext", "lang")
+    m = rp.master_summary(cl.training_summary(s, pred, lb.label_map_sorted(s, "lang")))
+    shown = lambda g: F.concat_ws(":", g["sheet"], g["num_labels"], g["num_train_samples"], g["num_test_samples"])
+    return m.select("workbook", "n_groups", "num_train_samples", "num_test_samples", F.round("accuracy", 9).alias("accuracy"),
+                    F.array_join(F.transform("groups", shown), ",").alias("sheets"))
+
+
 # ======================================================================
 # vectors and clusters (step 5)
 # ======================================================================
