@@ -62,19 +62,32 @@ def rank_in_group(df: DataFrame, by: Sequence[str], key: str, tie: str,
 CUT_HEX = 3
 
 
-def cut_points(df: DataFrame, by: Sequence[str], key: str, tie: str, frac: float) -> DataFrame:
+def cut_points(df: DataFrame, by: Sequence[str], key: str, tie: str, frac: float,
+               within: Sequence[str] | None = None) -> DataFrame:
     """``by`` with the key and tie of the last of the first ``max(1, floor(n * frac))`` rows.
 
     A histogram of key prefixes tells the bucket in which that row lies; only
     the rows of this bucket are ranked, on narrow columns. One row per group.
+    With ``within``, some of the columns ``by``, the groups that share these
+    stand in the order of the others and what rounding leaves is carried on:
+    the first ``k`` of them take ``floor(frac * their rows)`` together, and a
+    group that takes none has no cut point.
     """
     by = list(by)
     narrow = df.select(*by, F.col(key).alias("__k"), F.col(tie).alias("__t"),
                        F.substring(F.col(key), 1, CUT_HEX).alias("__b"))
     hist = narrow.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
     run = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    want = F.greatest(F.lit(1), F.floor(F.sum("__cnt").over(Window.partitionBy(*by)) * F.lit(frac)))
-    hist = hist.withColumn("__upto", F.sum("__cnt").over(run)).withColumn("__want", want)
+    if within is None:
+        want = F.greatest(F.lit(1), F.floor(F.sum("__cnt").over(Window.partitionBy(*by)) * F.lit(frac)))
+        hist = hist.withColumn("__want", want)
+    else:
+        sizes = hist.groupBy(*by).agg(F.sum("__cnt").alias("__n"))
+        total = F.sum("__n").over(Window.partitionBy(*within).orderBy(*[c for c in by if c not in within]))
+        sizes = sizes.withColumn("__total", total).withColumn(
+            "__want", F.floor(F.col("__total") * F.lit(frac)) - F.floor((F.col("__total") - F.col("__n")) * F.lit(frac)))
+        hist = join_by(hist, sizes.select(*by, "__want"), by)
+    hist = hist.withColumn("__upto", F.sum("__cnt").over(run))
     cut = hist.where((F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__cnt") < F.col("__want"))) \
         .withColumn("__left", F.col("__want") - (F.col("__upto") - F.col("__cnt"))).select(*by, "__b", "__left")
     inside = join_by(narrow, cut, by + ["__b"])

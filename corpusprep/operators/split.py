@@ -85,6 +85,40 @@ def split_by_labels(df: DataFrame, label_cols: Sequence[str], by: Sequence[str]
     return stratified_split(with_label(df, label_cols, by, last=True), "__label", by, **kw).drop("__label")
 
 
+def split_by_combination(df: DataFrame, label_cols: Sequence[str], by: Sequence[str] | None = None,
+                         train: float = DEFAULT_TRAIN, test: float = DEFAULT_TEST,
+                         seed: int = DEFAULT_SEED, row_idx: str = ROW_IDX) -> DataFrame:
+    """Split each group by all its label columns together; adds ``split``.
+
+    The combinations of values stand in the order of ``label_cols``, nulls
+    first, and what rounding leaves is carried from one to the next. So train
+    has its share to within one row in the group, in every value of the first
+    column, in every combination of the first two, and so on: combinations of
+    a row or two, which ``stratified_split`` would put into train one by one,
+    keep the share together. Inside a combination the seeded order decides.
+    A column that a group does not have parts nothing there; a row without a
+    value in a column that its group has leaves both splits, as do groups
+    with none of the columns.
+    """
+    by = group_cols(by)
+    cols = [c for c in label_cols if c in df.columns]
+    if not cols:
+        raise ValueError(f"none of the label columns {list(label_cols)} is present")
+    marked, has = with_presence(df, cols, by)
+    parts = [f"__label{i}" for i in range(len(cols))]
+    labelled, whole = F.lit(False), F.lit(True)
+    for c in cols:
+        labelled, whole = labelled | has[c], whole & (~has[c] | F.col(c).isNotNull())
+    keyed = marked.where(labelled & whole).select(
+        *df.columns, *[F.when(has[c], F.col(c).cast("string")).alias(p) for c, p in zip(cols, parts, strict=True)],
+        shuffle_key(row_idx, seed).alias("__key"))
+    cuts, small = bounded_broadcast(cut_points(keyed, by + parts, "__key", row_idx, train_fraction(train, test), within=by))
+    at = F.struct(F.col("__key"), F.col(row_idx)) <= F.struct(F.col("__cut_key"), F.col("__cut_tie"))
+    out = join_by(keyed, cuts, by + parts, how="left", broadcast=small)
+    return out.withColumn(SPLIT, F.when(F.col("__cut_key").isNotNull() & at, F.lit(TRAIN)).otherwise(F.lit(TEST))) \
+        .select(*df.columns, SPLIT)
+
+
 def split_counts(split_df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """``train_count``, ``test_count`` per group."""
     by = group_cols(by)
@@ -106,5 +140,5 @@ def union_parts(*parts: DataFrame) -> DataFrame:
     return out
 
 
-__all__ = ["GROUP", "seeded_shuffle", "stratified_split", "split_by_labels", "split_counts",
+__all__ = ["GROUP", "seeded_shuffle", "stratified_split", "split_by_labels", "split_by_combination", "split_counts",
            "split_parts", "union_parts", "train_fraction", "last_present", "with_label"]

@@ -410,6 +410,20 @@ def q_split_last_label(spark, sf):
     return s.groupBy(*GK, F.col("toxic").alias("label"), "split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+@register("split_combination", f"""
+WITH q AS (SELECT * FROM ({S.Q}) x WHERE toxic IS NOT NULL AND quality IS NOT NULL),
+c AS (SELECT workbook, sheet, toxic, quality, n, sum(n) OVER (PARTITION BY workbook, sheet ORDER BY toxic, quality) AS upto
+      FROM (SELECT workbook, sheet, toxic, quality, count(*) AS n FROM q GROUP BY workbook, sheet, toxic, quality) y),
+r AS (SELECT q.*, row_number() OVER (PARTITION BY workbook, sheet, toxic, quality ORDER BY {S.shuffle_key()}, row_idx) AS nth FROM q)
+SELECT r.workbook, r.sheet, r.row_idx, r.toxic, r.quality,
+       CASE WHEN nth <= floor(upto * CAST({S.FRAC} AS DOUBLE)) - floor((upto - n) * CAST({S.FRAC} AS DOUBLE))
+            THEN 'train' ELSE 'test' END AS split
+FROM r JOIN c ON r.workbook = c.workbook AND r.sheet IS NOT DISTINCT FROM c.sheet AND r.toxic = c.toxic AND r.quality = c.quality""")
+def q_split_combination(spark, sf):
+    s = sp.split_by_combination(tb.docs_labelled(spark, sf), ["toxic", "not_a_column", "quality"])
+    return s.select(*GK, "row_idx", "toxic", "quality", "split")
+
+
 _MIXED_LABELS = ("SELECT 'part' AS workbook, p_brand AS sheet, p_partkey AS row_idx, p_type AS label FROM part "
                  "UNION ALL SELECT 'customer', c_mktsegment, c_custkey, CAST(c_nationkey AS VARCHAR) FROM customer")
 
