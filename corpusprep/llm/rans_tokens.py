@@ -46,7 +46,7 @@ MAX_SHARDS = 20_000
 LOW = np.uint64(1 << 31)          # states stay in [2^31, 2^63)
 CHECKPOINT = np.dtype([("offset", "<u8"), ("words", "<u4"), ("ids", "<u4"), ("crc", "<u4"), ("ids_crc", "<u4")])
 #: Chunks that a worker remembers in each of two generations; words and their chunks share the memory.
-MEMO = 300_000
+MEMO = 150_000
 
 
 # ------------------------------------------------------------------ the coder
@@ -313,6 +313,7 @@ MANIFEST = pa.schema([("file", pa.string()), ("shard", pa.int32()), ("seq", pa.i
 
 def _write(uri: str, file_tokens: int):
     def files(batches) -> Iterator[dict]:
+        _OPEN.clear()               # a worker that tokenized before holds its words no longer
         at, seq, ids, docs, n = None, 0, [], [], 0
 
         def flush() -> dict:
