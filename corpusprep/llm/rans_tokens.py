@@ -46,7 +46,7 @@ MAX_SHARDS = 20_000
 LOW = np.uint64(1 << 31)          # states stay in [2^31, 2^63)
 CHECKPOINT = np.dtype([("offset", "<u8"), ("words", "<u4"), ("ids", "<u4"), ("crc", "<u4"), ("ids_crc", "<u4")])
 #: Chunks that a worker remembers in each of two generations; words and their chunks share the memory.
-MEMO = 150_000
+MEMO = 300_000
 
 
 # ------------------------------------------------------------------ the coder
