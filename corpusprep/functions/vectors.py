@@ -11,9 +11,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """The vectors of an Arrow column, all of one length, as a matrix; a null component is NaN."""
+    rows = column.combine_chunks()
+    rows = pa.concat_arrays(rows.chunks) if isinstance(rows, pa.ChunkedArray) else rows
+    flat = rows.flatten()
+    if rows.null_count or flat.null_count or len(np.unique(np.diff(rows.offsets.to_numpy()))) > 1:
+        return np.stack([np.asarray(v, dtype=np.float64) for v in rows.to_pylist()])
+    return flat.to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+
+
 NEAREST_SCHEMA = T.StructType([T.StructField("c", T.IntegerType()), T.StructField("d", T.DoubleType())])
 
 

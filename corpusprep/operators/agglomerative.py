@@ -11,7 +11,7 @@ Ward's distance follows in closed form:
     height^2 = 2 * n_a * n_b / (n_a + n_b) * |c_a - c_b|^2
 
 Equal vectors are one cluster from the start. Clusters of a group are dealt
-into blocks and a pair of blocks is one matrix product that returns one
+into blocks and two blocks meet in one task that returns one
 neighbour for each row; the work of a round grows with the square of the
 group's clusters, what travels with their number times the number of blocks.
 Only clusters and merges are written between rounds.
@@ -22,17 +22,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusprep.operators.joins import bounded_broadcast, join_by, null_safe_groups
+from corpusprep.functions.vectors import matrix
+from corpusprep.operators.joins import block_pairs, join_by, null_safe_groups
 from corpusprep.schema import ROW_IDX, group_cols
 from corpusprep.session import scratch_path
 
 NOISE = -1
-#: Clusters of a block in the neighbour search.
-BLOCK = 2048
+#: Clusters of a block in the neighbour search, and of it those whose distances are held at a time.
+BLOCK, ROWS = 8192, 512
 MAX_ROUNDS = 10_000
 
 
@@ -43,46 +44,40 @@ def _kept(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def _nearest():
-    @F.pandas_udf("array<struct<src:bigint,dst:bigint,height:double>>")
-    def run(xi: pd.Series, xn: pd.Series, xv: pd.Series, yi: pd.Series, yn: pd.Series, yv: pd.Series) -> pd.Series:
-        """The nearest ``y`` cluster of each ``x`` cluster by Ward's distance, itself excluded; ties go to the smaller id."""
-        out = []
-        for i, n, u, j, m, v in zip(xi, xn, xv, yi, yn, yv):
-            i, j, n, m = np.asarray(i), np.asarray(j), np.asarray(n, float), np.asarray(m, float)
-            x, y = np.stack([np.asarray(r, float) for r in u]), np.stack([np.asarray(r, float) for r in v])
-            x2, y2 = (x * x).sum(axis=1), (y * y).sum(axis=1)
-            weight = 2 * n[:, None] * m[None, :] / (n[:, None] + m[None, :])
-            near = np.maximum(x2[:, None] + y2[None, :] - 2 * (x @ y.T), 0) * weight
-            near[i[:, None] == j[None, :]] = np.inf
-            # all clusters that rounding of the product can bring first are measured again from the centroids
-            slack = 16 * (x.shape[1] + 4) * np.finfo(float).eps * (x2 + y2.max()) * weight.max(axis=1)
-            limit = near.min(axis=1) + slack
-            found = []
-            for r in range(len(i)):
-                c = np.flatnonzero(near[r] <= limit[r])
-                c = c[np.isfinite(near[r, c])]
-                if len(c):
-                    exact = np.sqrt(((x[r] - y[c]) ** 2).sum(axis=1) * weight[r, c])
-                    best = np.lexsort((j[c], exact))[0]
-                    found.append({"src": int(i[r]), "dst": int(j[c[best]]), "height": float(exact[best])})
-            out.append(found)
-        return pd.Series(out)
-    return run
+def _nearest(i: np.ndarray, n: np.ndarray, x: np.ndarray, j: np.ndarray, m: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """``src, dst, height``: the nearest ``y`` cluster of each ``x`` cluster by Ward's distance, itself excluded; ties go to the smaller id."""
+    src, dst, height = [], [], []
+    x2, y2 = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    for at in range(0, len(i), ROWS):
+        part = slice(at, at + ROWS)
+        weight = 2 * n[part, None] * m[None, :] / (n[part, None] + m[None, :])
+        near = np.maximum(x2[part, None] + y2[None, :] - 2 * (x[part] @ y.T), 0) * weight
+        near[i[part, None] == j[None, :]] = np.inf
+        # all clusters that rounding of the product can bring first are measured again from the centroids
+        slack = 16 * (x.shape[1] + 4) * np.finfo(float).eps * (x2[part] + y2.max()) * weight.max(axis=1)
+        limit = near.min(axis=1) + slack
+        for r in range(len(near)):
+            c = np.flatnonzero(near[r] <= limit[r])
+            c = c[np.isfinite(near[r, c])]
+            if len(c):
+                exact = np.sqrt(((x[at + r] - y[c]) ** 2).sum(axis=1) * weight[r, c])
+                best = np.lexsort((j[c], exact))[0]
+                src.append(i[at + r]), dst.append(j[c[best]]), height.append(exact[best])
+    return [np.array(src, np.int64), np.array(dst, np.int64), np.array(height, float)]
+
+
+def _nearest_of_blocks(a, b):
+    sides = [(t.column("id").to_numpy(), t.column("n").to_numpy().astype(float), matrix(t.column("centroid"))) for t in (a, b) if t is not None]
+    if len(sides) == 1:
+        return _nearest(*sides[0], *sides[0])
+    return [np.concatenate(c) for c in zip(_nearest(*sides[0], *sides[1]), _nearest(*sides[1], *sides[0]), strict=True)]
 
 
 def _neighbours(clusters: DataFrame, by: list[str], block: int) -> DataFrame:
     """``by, src, dst, height``: each cluster's nearest one."""
-    sizes, small = bounded_broadcast(clusters.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__blocks")))
-    dealt = join_by(clusters, sizes, by, broadcast=small)
-    blocks = dealt.groupBy(*by, "__blocks", F.pmod(F.xxhash64("id"), "__blocks").cast("int").alias("__b")).agg(
-        F.collect_list(F.struct("id", "n", "centroid")).alias("__r"))          # about ``block`` clusters
-    a = blocks.select(*by, F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__o"), F.col("__r").alias("__x"))
-    b = blocks.select(*by, F.col("__b").alias("__o"), F.col("__r").alias("__y"))
-    pairs = join_by(a, b, [*by, "__o"])
-    near = pairs.select(*by, F.explode(_nearest()(F.col("__x.id"), F.col("__x.n"), F.col("__x.centroid"),
-                                                F.col("__y.id"), F.col("__y.n"), F.col("__y.centroid"))).alias("p"))
-    best = near.groupBy(*by, "p.src").agg(F.min(F.struct("p.height", "p.dst")).alias("b"))
+    schema = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType()), T.StructField("height", T.DoubleType())])
+    near = block_pairs(clusters.select(*by, "id", "n", "centroid"), by, "id", block, _nearest_of_blocks, schema)
+    best = near.groupBy(*by, "src").agg(F.min(F.struct("height", "dst")).alias("b"))
     return best.select(*by, "src", F.col("b.dst").alias("dst"), F.col("b.height").alias("height"))
 
 
