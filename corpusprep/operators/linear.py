@@ -54,7 +54,7 @@ def _kept(rows: DataFrame, name: str) -> DataFrame:
 class Features:
     """Hashed bags of a block's rows as compressed sparse rows of unit length, with a constant at place ``dims``."""
 
-    def __init__(self, bags: list[list[int]], dims: int):
+    def __init__(self, bags: Sequence[Sequence[int]], dims: int):
         cols, vals, ends = [], [], [0]
         for bag in bags:
             c, n = np.unique(np.asarray(bag, np.int64), return_counts=True)
@@ -69,14 +69,24 @@ class Features:
 
     def part(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row numbers (from 0), places and values of the chosen rows."""
-        at = np.concatenate([np.arange(self.ends[r], self.ends[r + 1]) for r in rows]) if len(rows) else np.zeros(0, np.int64)
-        row = np.repeat(np.arange(len(rows)), self.ends[rows + 1] - self.ends[rows])
-        return row, self.cols[at], self.vals[at]
+        size = self.ends[rows + 1] - self.ends[rows]
+        at = np.arange(size.sum()) + np.repeat(self.ends[rows] - np.cumsum(size) + size, size)
+        return np.repeat(np.arange(len(rows)), size), self.cols[at], self.vals[at]
+
+
+def _bags(rows: pa.StructArray) -> list[np.ndarray]:
+    bag = rows.field("bag")
+    return np.split(bag.flatten().to_numpy(), np.cumsum(bag.value_lengths().to_numpy())[:-1]) if len(bag) else []
+
+
+def _added(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Matrix of ``n`` rows: the rows of ``values`` added up, one after the other, at their places."""
+    k = values.shape[1]
+    return np.bincount((at[:, None] * k + np.arange(k)).ravel(), weights=values.ravel(), minlength=n * k).reshape(n, k)
 
 
 def probabilities(w: np.ndarray, row: np.ndarray, cols: np.ndarray, vals: np.ndarray, n: int) -> np.ndarray:
-    z = np.zeros((n, w.shape[1]))
-    np.add.at(z, row, w[cols] * vals[:, None])
+    z = _added(row, w[cols] * vals[:, None], n)
     z = np.exp(z - z.max(axis=1, keepdims=True))
     return z / z.sum(axis=1, keepdims=True)
 
@@ -84,25 +94,40 @@ def probabilities(w: np.ndarray, row: np.ndarray, cols: np.ndarray, vals: np.nda
 def train_block(x: Features, y: np.ndarray, w: np.ndarray, first_epoch: int, epochs: int, all_epochs: int, seed: int) -> np.ndarray:
     """Weights after ``epochs`` passes; the step size follows the schedule of ``all_epochs``."""
     w, m, s = w.copy(), np.zeros_like(w), np.zeros_like(w)
+    change, root = np.empty_like(w), np.empty_like(w)
     batches = -(-len(y) // BATCH_ROWS)
     total = batches * all_epochs
     warm = max(1, int(WARM_UP * total))
     done = 0
     for e in range(first_epoch, first_epoch + epochs):
         order = np.random.default_rng([seed, e]).permutation(len(y))
+        every, all_cols, all_vals = x.part(order)
+        cuts = np.searchsorted(every, np.arange(batches + 1) * BATCH_ROWS)
         for b in range(batches):
             rows = order[b * BATCH_ROWS:(b + 1) * BATCH_ROWS]
-            row, cols, vals = x.part(rows)
+            here = slice(cuts[b], cuts[b + 1])
+            row, cols, vals = every[here] - b * BATCH_ROWS, all_cols[here], all_vals[here]
             p = probabilities(w, row, cols, vals, len(rows))
             p[np.arange(len(rows)), y[rows]] -= 1
-            g = np.zeros_like(w)
-            np.add.at(g, cols, p[row] * (vals / len(rows))[:, None])
+            g = _added(cols, p[row] * (vals / len(rows))[:, None], len(w))
             at = e * batches + b + 1
             done += 1
             step = STEP * min(at / warm, max(0.0, (total - at + 1) / max(1, total - warm)))
-            m = BETAS[0] * m + (1 - BETAS[0]) * g
-            s = BETAS[1] * s + (1 - BETAS[1]) * g * g
-            w -= step * ((m / (1 - BETAS[0] ** done)) / (np.sqrt(s / (1 - BETAS[1] ** done)) + TINY) + DECAY * w)
+            # m = b0 * m + (1 - b0) * g and s = b1 * s + (1 - b1) * g * g, in place
+            m *= BETAS[0]
+            m += np.multiply(g, 1 - BETAS[0], out=change)
+            np.multiply(g, 1 - BETAS[1], out=change)
+            change *= g
+            s *= BETAS[1]
+            s += change
+            # w -= step * (m' / (sqrt(s') + tiny) + decay * w)
+            np.sqrt(np.divide(s, 1 - BETAS[1] ** done, out=root), out=root)
+            root += TINY
+            np.divide(m, 1 - BETAS[0] ** done, out=change)
+            change /= root
+            change += np.multiply(w, DECAY, out=root)
+            change *= step
+            w -= change
     return w
 
 
@@ -148,11 +173,11 @@ def softmax_fit(split_df: DataFrame, text: str, label: str, by: Sequence[str] |
                 for i in range(batch.num_rows):
                     b = batch.slice(i, 1)
                     r = {c: b.column(b.schema.get_field_index(c))[0] for c in ("slice", "labels", "rows", "weights")}
-                    rows, labels = r["rows"].as_py(), r["labels"].as_py()
-                    y = np.array([x["label_id"] for x in rows])
+                    rows, labels = r["rows"].values, r["labels"].as_py()
+                    y = rows.field("label_id").to_numpy()
                     w = r["weights"].values
                     w = np.zeros((dims + 1, labels)) if w is None else w.to_numpy().reshape(dims + 1, labels)
-                    x = Features([x["bag"] for x in rows], dims)
+                    x = Features(_bags(rows), dims)
                     loss = mean_loss(x, y, w)
                     w = train_block(x, y, w, nth * local_epochs, local_epochs, rounds * local_epochs, seed + r["slice"].as_py())
                     cols = [b.column(b.schema.get_field_index(c)) for c in by]
@@ -199,13 +224,13 @@ def softmax_predict(rows: DataFrame, models: DataFrame, text: str, by: Sequence[
         for batch in batches:
             for i in range(batch.num_rows):
                 b = batch.slice(i, 1)
-                part = b.column(b.schema.get_field_index("rows"))[0].as_py()
+                part = b.column(b.schema.get_field_index("rows"))[0].values
                 labels = b.column(b.schema.get_field_index("labels"))[0].as_py()
                 w = b.column(b.schema.get_field_index("weights"))[0].values.to_numpy().reshape(dims + 1, labels)
-                x = Features([r["bag"] for r in part], dims)
+                x = Features(_bags(part), dims)
                 p = probabilities(w, *x.part(np.arange(len(part))), len(part))
                 keys = [b.column(b.schema.get_field_index(c)).take(pa.array(np.zeros(len(part), np.int64))) for c in by]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array([r[ROW_IDX] for r in part], pa.int64()),
+                yield pa.RecordBatch.from_arrays([*keys, part.field(ROW_IDX).cast(pa.int64()),
                                                   pa.array(p.argmax(axis=1).astype(np.int32)), pa.array(p.max(axis=1))], names=names)
     return work.mapInArrow(run, out)
 

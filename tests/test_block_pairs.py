@@ -41,3 +41,13 @@ def test_knn_of_null_group_and_chunks(spark, monkeypatch):
         d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
         best = [j for j in np.lexsort((np.arange(60), d)) if j != i][:3]
         assert [got[i, n + 1] for n in range(3)] == [(j, d[j]) for j in best]
+
+
+def test_block_rows_are_read_as_arrays():
+    kind = pa.struct([("row_idx", pa.int64()), ("label_id", pa.int32()), ("bag", pa.list_(pa.int32()))])
+    rows = pa.array([{"row_idx": i, "label_id": i % 2, "bag": [5, 1, 5][:i]} for i in range(4)], kind)
+    assert [b.tolist() for b in ln._bags(rows.slice(1))] == [[5], [5, 1], [5, 1, 5]]
+    x = ln.Features(ln._bags(rows), 8)
+    row, cols, vals = x.part(np.array([3, 0, 2]))
+    assert row.tolist() == [0, 0, 0, 1, 2, 2, 2] and cols.tolist() == [1, 5, 8, 8, 1, 5, 8]
+    assert np.allclose(vals[:2], np.log1p([1, 2]) / np.linalg.norm(np.log1p([1, 2])))
