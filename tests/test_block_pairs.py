@@ -51,3 +51,12 @@ def test_block_rows_are_read_as_arrays():
     row, cols, vals = x.part(np.array([3, 0, 2]))
     assert row.tolist() == [0, 0, 0, 1, 2, 2, 2] and cols.tolist() == [1, 5, 8, 8, 1, 5, 8]
     assert np.allclose(vals[:2], np.log1p([1, 2]) / np.linalg.norm(np.log1p([1, 2])))
+
+
+def test_tokens_are_counted_where_their_text_is(spark):
+    df = spark.createDataFrame([("w", "s", 1, "a b a"), ("w", "s", 1, "b c"), ("w", None, 2, "a")],
+                               "workbook string, sheet string, row_idx bigint, text string")
+    out = vc.tfidf(df, "text")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [p for p in re.findall(r"hashpartitioning\([^)]*\)", plan) if "row_idx" in p and "token" in p]
+    assert sorted((r.row_idx, r.token) for r in out.collect()) == [(1, "a"), (1, "b"), (1, "c"), (2, "a")]
