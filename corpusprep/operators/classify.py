@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import word_tokens
-from corpusprep.operators.joins import null_safe_groups, reuse, sized_join
+from corpusprep.operators.joins import bounded_broadcast, null_safe_groups, reuse, sized_join
 from corpusprep.operators.labels import label_encode, label_map_sorted
 from corpusprep.schema import ROW_IDX, SPLIT, TEST, TRAIN, group_cols
 
@@ -162,18 +162,22 @@ def accuracy(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     return pred.groupBy(*by).agg(F.avg((F.col("pred_id") == F.col("label_id")).cast("double")).alias("accuracy"))
 
 
-def class_report(pred: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
+def class_report(pred: DataFrame, by: Sequence[str] | None = None, times: str | None = None) -> DataFrame:
     """precision, recall, f1, support per (group, class id); a zero
-    denominator gives 0. Classes are those seen as actual or predicted."""
+    denominator gives 0. Classes are those seen as actual or predicted.
+    ``times`` names a column with the number of rows that a row stands for."""
     by = group_cols(by)
+    n = (F.col(times) if times else F.lit(1)).cast("bigint")
+    zero = F.lit(0).cast("bigint")
     roles = pred.select(*by, F.explode(F.array(
-        F.struct(F.col("label_id").alias("cls"), F.lit(1).alias("is_actual"),
-                 (F.col("label_id") == F.col("pred_id")).cast("int").alias("hit")),
-        F.struct(F.col("pred_id").alias("cls"), F.lit(0).alias("is_actual"), F.lit(0).alias("hit")),
+        F.struct(F.col("label_id").alias("cls"), n.alias("is_actual"), zero.alias("is_pred"),
+                 ((F.col("label_id") == F.col("pred_id")).cast("int") * n).alias("hit")),
+        F.struct(F.col("pred_id").alias("cls"), zero.alias("is_actual"), n.alias("is_pred"),
+                 zero.alias("hit")),
     )).alias("r")).select(*by, "r.*")
     c = roles.groupBy(*by, "cls").agg(
         F.sum("is_actual").cast("bigint").alias("support"),
-        F.sum(1 - F.col("is_actual")).cast("bigint").alias("n_pred"),
+        F.sum("is_pred").cast("bigint").alias("n_pred"),
         F.sum("hit").cast("bigint").alias("tp"))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
@@ -211,7 +215,12 @@ def training_summary(split_df: DataFrame, pred: DataFrame, label_map: DataFrame,
         F.count_if(F.col(SPLIT) == TRAIN).cast("bigint").alias("num_train_samples"),
         F.count_if(F.col(SPLIT) == TEST).cast("bigint").alias("num_test_samples"))
     nl = label_map.groupBy(*by).agg(F.count(F.lit(1)).cast("int").alias("num_labels"))
-    return counts.join(nl, by).join(accuracy(pred, by), by, "left").join(weighted_f1(pred, by), by, "left")
+    # both figures come from the counts of each two classes, so the rows are predicted once
+    conf, _ = bounded_broadcast(confusion(pred, by))
+    hit = F.when(F.col("label_id").isNotNull() & F.col("pred_id").isNotNull(), (F.col("pred_id") == F.col("label_id")).cast("int"))
+    acc = conf.groupBy(*by).agg((F.sum(hit * F.col("n")) / F.sum(F.when(hit.isNotNull(), F.col("n")))).alias("accuracy"))
+    f1 = report_averages(class_report(conf, by, "n"), by).select(*by, F.col("weighted_f1").alias("f1"))
+    return counts.join(nl, by).join(acc, by, "left").join(f1, by, "left")
 
 
 @null_safe_groups

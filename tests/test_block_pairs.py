@@ -60,3 +60,21 @@ def test_tokens_are_counted_where_their_text_is(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not [p for p in re.findall(r"hashpartitioning\([^)]*\)", plan) if "row_idx" in p and "token" in p]
     assert sorted((r.row_idx, r.token) for r in out.collect()) == [(1, "a"), (1, "b"), (1, "c"), (2, "a")]
+
+
+def test_summary_predicts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = [("w", "s", i, i % 3, (i * i) % 3) for i in range(30)]
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    pred = spark.createDataFrame(rows, "workbook string, sheet string, row_idx bigint, label_id int, pred_id int")
+    pred = pred.mapInPandas(count, pred.schema)
+    split = spark.createDataFrame([("w", "s", "train"), ("w", "s", "test")], "workbook string, sheet string, split string")
+    lmap = spark.createDataFrame([("w", "s", str(i), i) for i in range(3)], "workbook string, sheet string, label string, label_id int")
+    out = cl.training_summary(split, pred, lmap).collect()
+    hits = sum(r[3] == r[4] for r in rows)
+    assert [(r.num_labels, r.accuracy, r.num_train_samples) for r in out] == [(3, hits / 30, 1)]
+    assert seen.value == 30
