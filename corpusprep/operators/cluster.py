@@ -15,10 +15,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from corpusprep.functions.vectors import nearest_centroid
+from corpusprep.functions.vectors import matrix, nearest_centroid
 from corpusprep.operators.joins import bounded_broadcast, join_by
 from corpusprep.operators.ranking import DEFAULT_SEED, shuffle_key
 from corpusprep.schema import ROW_IDX, group_cols
@@ -129,27 +132,39 @@ class _Rounds:
         self.data, self.dim, self.sc = data, dim, data.sparkSession.sparkContext
 
     def _pass(self, fn, schema: str, cents: dict) -> DataFrame:
+        """``fn`` gets batches of ``(gid, row_idx, rows of vec)``, one group after the other, and the centroids."""
         sent = self.sc.broadcast(cents)
 
+        def groups(batches):
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                gid, ids = b.column("gid").to_numpy(), b.column(ROW_IDX).to_numpy(zero_copy_only=False)
+                x = matrix(pa.chunked_array([b.column("vec")]))
+                for g in pd.unique(gid):
+                    at = np.flatnonzero(gid == g)
+                    yield int(g), ids[at], x if len(at) == len(x) else x[at]
+
         def run(batches):
-            yield from fn(batches, sent.value)
-        return self.data.mapInPandas(run, schema)
+            yield pa.RecordBatch.from_pandas(fn(groups(batches), sent.value), schema=arrow, preserve_index=False)
+        arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+        return self.data.mapInArrow(run, schema)
 
     def draw(self, cents: dict, seed: int, c: int) -> dict:
         """The next seed of each group by ``ln(u) / D^2`` (see ``plus_plus_seeds``)."""
-        def best(batches, cents):
+        def best(groups, cents):
             top: dict = {}
-            for b in batches:
-                for gid, rows in b.groupby("gid", sort=False):
-                    x = np.stack(rows["vec"].to_numpy())
-                    d2 = np.min([((x - m) ** 2).sum(axis=1) for m in cents[gid][1]], axis=0)
-                    u = np.array([int(hashlib.md5(f"{seed}:{c}:{i}".encode()).hexdigest()[:13], 16) + 1.0
-                                  for i in rows["row_idx"]]) / float(1 << 52)
-                    for i in np.flatnonzero(d2 > 0):
-                        key = (np.log(u[i]) / d2[i], -int(rows["row_idx"].iat[i]))
-                        if gid not in top or key > top[gid][0]:
-                            top[gid] = (key, x[i])
-            yield pd.DataFrame([(g, k[0], k[1], v.tolist()) for g, (k, v) in top.items()], columns=["gid", "k", "t", "vec"])
+            for gid, ids, x in groups:
+                d2 = np.min([((x - m) ** 2).sum(axis=1) for m in cents[gid][1]], axis=0)
+                u = np.array([int(hashlib.md5(f"{seed}:{c}:{i}".encode()).hexdigest()[:13], 16) + 1.0 for i in ids.tolist()]) / float(1 << 52)
+                far = np.flatnonzero(d2 > 0)
+                if len(far):
+                    keys = np.log(u[far]) / d2[far]
+                    i = far[np.lexsort((ids[far], -keys))[0]]               # largest key, then the smaller row
+                    key = (np.log(u[i]) / d2[i], -int(ids[i]))
+                    if gid not in top or key > top[gid][0]:
+                        top[gid] = (key, x[i])
+            return pd.DataFrame([(g, k[0], k[1], v.tolist()) for g, (k, v) in top.items()], columns=["gid", "k", "t", "vec"])
         picks = self._pass(best, "gid bigint, k double, t bigint, vec array<double>", cents) \
             .groupBy("gid").agg(F.max_by("vec", F.struct("k", "t")).alias("vec")).collect()      # one row a group
         for r in picks:
@@ -159,19 +174,17 @@ class _Rounds:
 
     def means(self, cents: dict) -> dict:
         """Mean vector of the rows nearest to each centroid: ``(gid, cluster) -> mean``."""
-        def sums(batches, cents):
+        def sums(groups, cents):
             total: dict = {}
-            for b in batches:
-                for gid, rows in b.groupby("gid", sort=False):
-                    if gid not in cents:
-                        continue
-                    ids, m = cents[gid]
-                    x = np.stack(rows["vec"].to_numpy())
-                    near = np.argmin([((x - v) ** 2).sum(axis=1) for v in m], axis=0)
-                    for at in np.unique(near):
-                        n, s = total.get((gid, int(ids[at])), (0, 0.0))
-                        total[gid, int(ids[at])] = (n + int((near == at).sum()), s + x[near == at].sum(axis=0))
-            yield pd.DataFrame([(g, c, n, s.tolist()) for (g, c), (n, s) in total.items()], columns=["gid", "cluster", "n", "s"])
+            for gid, _, x in groups:
+                if gid not in cents:
+                    continue
+                ids, m = cents[gid]
+                near = np.argmin([((x - v) ** 2).sum(axis=1) for v in m], axis=0)
+                for at in np.unique(near):
+                    n, s = total.get((gid, int(ids[at])), (0, 0.0))
+                    total[gid, int(ids[at])] = (n + int((near == at).sum()), s + x[near == at].sum(axis=0))
+            return pd.DataFrame([(g, c, n, s.tolist()) for (g, c), (n, s) in total.items()], columns=["gid", "cluster", "n", "s"])
 
         def add(key, parts):
             return pd.DataFrame([(*key, (np.sum(np.stack(parts["s"].to_numpy()), axis=0) / parts["n"].sum()).tolist())],
@@ -187,7 +200,10 @@ def _lloyd(df: DataFrame, vec: str, k: int, by: list[str], seed: int, max_iter:
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
     spark = df.sparkSession
-    var = df.select(*by, array_to_vector(_vec(vec)).alias("__v"), F.size(vec).alias("__size")).groupBy(*by) \
+    path = scratch_path(spark, "kmeans")
+    df.select(*by, ROW_IDX, _vec(vec).alias("vec")).write.parquet(path)          # vectors are made once for all passes
+    kept = spark.read.parquet(path)
+    var = kept.select(*by, array_to_vector("vec").alias("__v"), F.size("vec").alias("__size")).groupBy(*by) \
         .agg(Summarizer.variance(F.col("__v")).alias("__var"), F.max("__size").alias("__dim"))
     groups, _ = bounded_broadcast(var.select(
         *by, F.monotonically_increasing_id().alias("gid"), "__dim",
@@ -196,10 +212,8 @@ def _lloyd(df: DataFrame, vec: str, k: int, by: list[str], seed: int, max_iter:
     size = groups.agg(F.count(F.lit(1)).alias("n"), F.max("__dim").alias("d")).first()
     if not size["n"] or size["n"] * k * size["d"] > CENTROID_NUMBERS:
         return None
-    path = scratch_path(spark, "kmeans")
-    join_by(df.select(*by, ROW_IDX, _vec(vec).alias("vec")), groups.select(*by, "gid"), by, broadcast=True) \
-        .select("gid", ROW_IDX, "vec").write.parquet(path)
-    rounds = _Rounds(spark.read.schema(f"gid bigint, {ROW_IDX} bigint, vec array<double>").parquet(path), size["d"])
+    rows = join_by(kept, groups.select(*by, "gid"), by, broadcast=True).select("gid", F.col(ROW_IDX).cast("bigint").alias(ROW_IDX), "vec")
+    rounds = _Rounds(rows, size["d"])
     first = seed_centroids(rounds.data, "vec", k if init == "md5" else 1, ["gid"], seed).orderBy("gid", "cluster").collect()
     cents: dict = {}
     for r in first:                                     # at most k rows a group
