@@ -46,6 +46,7 @@ ALL_FILES = "ALL_FILES"
 SPLIT_BYTES = 32 << 20
 #: Worksheets rarely inflate to more than this many times the file; smaller files are not opened when planning.
 INFLATES = 50
+_EPOCH, _DAY = dt.datetime(1899, 12, 30), dt.timedelta(days=1)
 
 
 def _fs(path: str):
@@ -234,23 +235,29 @@ def _col_ref(i: int) -> str:
     return s
 
 
+def _serial_day(v: dt.date) -> float:
+    if not isinstance(v, dt.datetime):
+        v = dt.datetime(v.year, v.month, v.day)
+    elif hasattr(v, "to_pydatetime"):           # pandas' own arithmetic takes many times as long
+        v = v.to_pydatetime(warn=False)
+    return ((v.replace(tzinfo=None) if v.tzinfo else v) - _EPOCH) / _DAY
+
+
 def _sheet_xml(header: list[str], rows: list[list]) -> str:
     out = ['<?xml version="1.0" encoding="UTF-8" standalone="yes"?>',
            f'<worksheet xmlns="{NS["m"]}"><sheetData>']
-    for r, values in enumerate([header] + rows, start=1):
+    refs = [_col_ref(i) for i in range(max(map(len, [header, *rows])))]
+    for r, values in enumerate([header, *rows], start=1):
         cells = []
-        for i, v in enumerate(values):
-            ref = f"{_col_ref(i)}{r}"
+        for col, v in zip(refs, values):
             if v is None:
                 continue
             if isinstance(v, dt.date):
-                at = v if isinstance(v, dt.datetime) else dt.datetime(v.year, v.month, v.day)
-                days = (at.replace(tzinfo=None) - dt.datetime(1899, 12, 30)) / dt.timedelta(days=1)
-                cells.append(f'<c r="{ref}" s="1"><v>{days!r}</v></c>')
+                cells.append(f'<c r="{col}{r}" s="1"><v>{_serial_day(v)!r}</v></c>')
             elif isinstance(v, bool) or not isinstance(v, (int, float)):
-                cells.append(f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
+                cells.append(f'<c r="{col}{r}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
             else:
-                cells.append(f'<c r="{ref}"><v>{v!r}</v></c>')
+                cells.append(f'<c r="{col}{r}"><v>{v!r}</v></c>')
         out.append(f'<row r="{r}">{"".join(cells)}</row>')
     out.append("</sheetData></worksheet>")
     return "".join(out)
@@ -327,9 +334,8 @@ def write_workbooks(df: DataFrame, folder: str, book_col: str, sheet_col: str, c
                 bg = bg.sort_values(order_col, kind="stable")
             sheets = []
             for name, g in bg.groupby(sheet_col, sort=True):
-                rows = [[None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in r]
-                        for r in g[columns].itertuples(index=False, name=None)]
-                sheets.append((str(name), list(columns), rows))
+                values = [g[c].astype(object).where(g[c].notna(), None).tolist() for c in columns]
+                sheets.append((str(name), list(columns), list(zip(*values)) or [()] * len(g)))
             sheets += [(e, list(columns), []) for e in empty_sheets]
             fname = f"{book}.xlsx"
             write_bytes(f"{folder}/{fname}", workbook_bytes(sheets))

@@ -132,3 +132,21 @@ def test_damaged_worksheet_leaves_the_rest(spark):
     assert {r.workbook for r in xl.bad_files(raw).collect()} == {"cut.xlsx"}
     assert xl.good_rows(raw).where("workbook = 'fine.xlsx'").count() == 5
     assert {r.workbook for r in xl.good_rows(raw, whole_workbooks=True).collect()} == {"fine.xlsx"}
+
+
+def test_rows_before_a_stretch_are_not_read_one_by_one(monkeypatch):
+    numbered = "".join(f'<row r="{i}"><c r="A{i}"><v>{i}</v></c></row>' for i in range(1, 60_001))
+    bare = "".join(f"<row ><c><v>{i}</v></c></row>" for i in range(60_000))
+    for rows, before in ((numbered, 60_000), (bare, 60_000), (numbered[:len(numbered) // 2].rsplit("<row", 1)[0] + bare, None)):
+        xml = f'<worksheet xmlns="{xp.NS["m"]}"><sheetData>{rows}<row><c><v>7</v></c></row></sheetData></worksheet>'.encode()
+        lo = xml.rindex(b"<row")
+        want = before if before else rows.count("<row")
+        seen = []
+        count = xp._Span._count
+        monkeypatch.setattr(xp._Span, "_count", lambda self, tags: (seen.append(len(tags)), count(self, tags))[1])
+        span = xp._Span(io.BytesIO(xml), lo, float("inf"))
+        out = b"".join(span.pieces())
+        monkeypatch.undo()
+        assert span.before == want and out.count(b"<row") == 1
+        if rows is numbered:
+            assert sum(seen) < 30_000           # only the chunk in which the stretch starts is gone through
