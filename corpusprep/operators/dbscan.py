@@ -35,6 +35,8 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,8 @@ METRIC = "cosine"
 PACK = 1024
 #: Points, centres or balls of a block that one task goes through.
 BLOCK = 2048
+#: Packs, about, that one task compares with another one.
+LOT = 8
 #: Shares of the radius that the rounds of the cell net use up: less than a half together.
 CELL_SHARES = (1 / 4, 1 / 8, 1 / 16)
 #: Multiples of the radius of the nets over cells.
@@ -154,49 +158,46 @@ def _near_udf(r: float, once: bool):
     return run
 
 
-def _count_udf(r: float):
-    @F.pandas_udf("array<struct<id:bigint,n:bigint>>")
-    def run(ids: pd.Series, x: pd.Series, weights: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for i, u, w, v in zip(ids, x, weights, y):
-            n = within(_matrix(u), _matrix(v), r) @ np.asarray(w, dtype=np.int64)
-            out.append([{"id": int(a), "n": int(b)} for a, b in zip(i, n) if b])
-        return pd.Series(out)
-    return run
+def _count(r: float, ids: np.ndarray, x: np.ndarray, weights: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = within(x, y, r) @ weights
+    return ids[n > 0], n[n > 0]
 
 
-def _link_udf(r: float):
-    @F.pandas_udf("array<struct<a:bigint,b:bigint>>")
-    def run(la: pd.Series, x: pd.Series, lb: pd.Series, y: pd.Series) -> pd.Series:
-        """Each label of two packs with the smallest one that it reaches through their near pairs."""
-        out = []
-        for p, u, q, v in zip(la, x, lb, y):
-            near = within(_matrix(u), _matrix(v), r)
-            p, q = np.asarray(p, dtype=np.int64), np.asarray(q, dtype=np.int64)
-            top = np.iinfo(np.int64).max
-            low_p, low_q = p.copy(), q.copy()
-            while True:
-                to_q = np.minimum(low_q, np.where(near, low_p[:, None], top).min(axis=0))
-                to_p = np.minimum(low_p, np.where(near, to_q[None, :], top).min(axis=1))
-                if (to_p == low_p).all() and (to_q == low_q).all():
-                    break
-                low_p, low_q = to_p, to_q
-            links = {(int(a), int(b)) for a, b in [*zip(p, low_p), *zip(q, low_q)] if a != b}
-            out.append([{"a": a, "b": b} for a, b in sorted(links)])
-        return pd.Series(out)
-    return run
+def _link(r: float, p: np.ndarray, x: np.ndarray, q: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each label of two packs with the smallest one that it reaches through their near pairs."""
+    near = within(x, y, r)
+    top = np.iinfo(np.int64).max
+    low_p, low_q = p.copy(), q.copy()
+    while True:
+        to_q = np.minimum(low_q, np.where(near, low_p[:, None], top).min(axis=0))
+        to_p = np.minimum(low_p, np.where(near, to_q[None, :], top).min(axis=1))
+        if (to_p == low_p).all() and (to_q == low_q).all():
+            break
+        low_p, low_q = to_p, to_q
+    a, low = np.concatenate([p, q]), np.concatenate([low_p, low_q])
+    links = np.unique(np.stack([a, low], axis=1)[a != low], axis=0)
+    return links[:, 0], links[:, 1]
 
 
-def _lowest_udf(r: float):
-    @F.pandas_udf("array<struct<id:bigint,label:bigint>>")
-    def run(ids: pd.Series, x: pd.Series, labels: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for i, u, lab, v in zip(ids, x, labels, y):
-            near = within(_matrix(u), _matrix(v), r)
-            low = np.where(near, np.asarray(lab, dtype=np.int64)[None, :], np.iinfo(np.int64).max).min(axis=1)
-            out.append([{"id": int(a), "label": int(b)} for a, b, any_ in zip(i, low, near.any(axis=1)) if any_])
-        return pd.Series(out)
-    return run
+def _lowest(r: float, ids: np.ndarray, x: np.ndarray, labels: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    near = within(x, y, r)
+    any_ = near.any(axis=1)
+    return ids[any_], np.where(near, labels[None, :], np.iinfo(np.int64).max).min(axis=1)[any_]
+
+
+def _columns(pack: pa.StructArray, names: Sequence[str]) -> list[np.ndarray]:
+    """Fields of a pack's points; vectors as the rows of a matrix."""
+    out = []
+    for name in names:
+        c = pc.struct_field(pack, name)
+        if name == "v":
+            widths = pc.unique(pc.list_value_length(c))
+            if len(widths) != 1:
+                raise ValueError("vectors of one group have different lengths")
+            out.append(c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), widths[0].as_py()))
+        else:
+            out.append(c.to_numpy(zero_copy_only=False))
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -281,8 +282,8 @@ def _packs(points: DataFrame, by: list[str], name: str, fields: Sequence[str], l
 
 
 def _compare(a: DataFrame, b: DataFrame, by: list[str], r: float, fn: Callable, left: Sequence[str], right: Sequence[str],
-             once: bool = False, labelled: bool = False) -> DataFrame:
-    """Rows that ``fn`` finds for each two packs whose balls allow a distance of ``r``.
+             out: Sequence[str], once: bool = False, labelled: bool = False) -> DataFrame:
+    """Rows ``by, out`` that ``fn`` finds for each two packs whose balls allow a distance of ``r``.
 
     ``once``: ``a`` and ``b`` are the same packs, two of them meet once.
     ``labelled``: packs of equal labels are not compared."""
@@ -296,10 +297,22 @@ def _compare(a: DataFrame, b: DataFrame, by: list[str], r: float, fn: Callable,
     met = join_by(x, y.select(*by, "__b", "__y"), [*by, "__b"])
     parts = [F.col(f"{s}.{f}") for s in ("__x", "__y") for f in ("pack", "centre", "radius", "label")]
     pairs = _kept(met.select(*by, F.explode(_near_udf(r, once)(*parts)).alias("p")).select(*by, "p.*"), "pairs")
-    both = join_by(pairs, a.select(*by, F.col("pack").alias("a"), F.col("rows").alias("__x")), [*by, "a"])
-    both = join_by(both, b.select(*by, F.col("pack").alias("b"), F.col("rows").alias("__y")), [*by, "b"])
-    found = fn(r)(*[F.col(f"__x.{f}") for f in left], *[F.col(f"__y.{f}") for f in right])
-    return both.select(*by, F.explode(found).alias("f")).select(*by, "f.*")
+    # packs that meet one pack are dealt into lots, so that a task holds a lot and that pack
+    lots = pairs.groupBy(*by, "b").agg(F.ceil(F.count(F.lit(1)) / LOT).cast("int").alias("__n"))
+    pairs = join_by(pairs, lots, [*by, "b"]).select(*by, "a", "b", F.pmod(F.xxhash64("a"), "__n").cast("int").alias("__lot"))
+    x = join_by(pairs, a.select(*by, F.col("pack").alias("a"), F.col("rows").alias("__x")), [*by, "a"]).drop("a")
+    y = join_by(pairs.select(*by, "b", "__lot").distinct(), b.select(*by, F.col("pack").alias("b"), F.col("rows").alias("__y")), [*by, "b"])
+    y = y.select(*[F.col(c).alias(c if c == "__y" else f"__y_{c}") for c in y.columns])
+    schema = T.StructType([*[pairs.schema[c] for c in by], *[T.StructField(c, T.LongType()) for c in out]])
+
+    def run(some: pa.Table, one: pa.Table) -> pa.Table:
+        to = _columns(one.column("__y")[0].values, right)
+        found = [fn(r, *_columns(pack.values, left), *to) for pack in some.column("__x")]
+        cols = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)]
+        at = pa.array(np.zeros(len(cols[0]), np.int64))
+        return pa.table([*[some.column(c).take(at) for c in by], *cols], names=schema.names)
+    keys = [*by, "b", "__lot"]
+    return x.groupBy(*keys).cogroup(y.groupBy(*[f"__y_{c}" for c in keys])).applyInArrow(run, schema)
 
 
 def _components(nodes: DataFrame, links: DataFrame, by: list[str]) -> DataFrame:
@@ -351,7 +364,7 @@ def _degrees(open_: DataFrame, points: DataFrame, by: list[str], r: float) -> Da
     """``by, id, n``: rows within ``r`` of each point of ``open_``, itself included."""
     a = _packs(open_, by, "open", ["id", "v"])
     b = _packs(points, by, "all", ["n", "v"])
-    return _compare(a, b, by, r, _count_udf, ["id", "v"], ["n", "v"]).groupBy(*by, "id").agg(F.sum("n").alias("n"))
+    return _compare(a, b, by, r, _count, ["id", "v"], ["n", "v"], ["id", "n"]).groupBy(*by, "id").agg(F.sum("n").alias("n"))
 
 
 @null_safe_groups
@@ -386,18 +399,18 @@ def dbscan(df: DataFrame, vec: str, eps: float = EPS, min_samples: int = MIN_SAM
 
     # nodes by their centres first, then what is left between components
     centres = _packs(core.where("id = cell").drop("pack").withColumnRenamed("cpack", "pack"), by, "centres", ["node", "v"])
-    links = _compare(centres, centres, by, r, _link_udf, ["node", "v"], ["node", "v"], once=True)
+    links = _compare(centres, centres, by, r, _link, ["node", "v"], ["node", "v"], ["a", "b"], once=True)
     first = _components(core.select(*by, "node").distinct(), links, by)
     parted = join_by(core, first, [*by, "node"])
     sides = _packs(parted, by, "sides", ["label", "v"], label="label")
-    links = _compare(sides, sides, by, r, _link_udf, ["label", "v"], ["label", "v"], once=True, labelled=True)
+    links = _compare(sides, sides, by, r, _link, ["label", "v"], ["label", "v"], ["a", "b"], once=True, labelled=True)
     whole = _components(first.select(*by, F.col("label").alias("node")).distinct(), links, by)
     named = join_by(parted.drop("node").withColumnRenamed("label", "node"), whole, [*by, "node"])
     named = _kept(named.select(*by, "id", "v", "pack", "label"), "named")
 
     border = join_by(open_, degrees, [*by, "id"], "left_anti")
     near = _compare(_packs(border, by, "border", ["id", "v"]), _packs(named, by, "clusters", ["label", "v"], label="label"),
-                    by, r, _lowest_udf, ["id", "v"], ["label", "v"]).groupBy(*by, "id").agg(F.min("label").alias("comp"))
+                    by, r, _lowest, ["id", "v"], ["label", "v"], ["id", "label"]).groupBy(*by, "id").agg(F.min("label").alias("comp"))
     comp = named.select(*by, "id", F.col("label").alias("comp")).unionByName(near)
     comp = join_by(_copies(rows, points, by), comp, [*by, "id"]).select(*by, ROW_IDX, "comp")
     if min_samples <= 1:

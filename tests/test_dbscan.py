@@ -86,3 +86,14 @@ def test_pairs_at_the_radius_are_within():
     x = np.array([[0.0, 0.0], [3.0, 4.0], [1e6, 1e6]])
     y = np.array([[0.0, 5.0], [0.0, 5.0000001], [1e6 + 3, 1e6 + 4]])
     assert db.within(x, y, 5.0).tolist() == [[True, False, False], [True, True, False], [False, False, True]]
+
+
+def test_packs_meet_a_lot_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(db, "PACK", 4)
+    monkeypatch.setattr(db, "LOT", 2, raising=False)
+    points = [(None, i, [float(i % 13), float(i // 13) / 9]) for i in range(60)]
+    df = spark.createDataFrame(points, "sheet string, row_idx bigint, v array<double>")
+    found = db.core_points(df, "v", eps=1.0, min_samples=5, metric="euclidean", by=["sheet"])
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    want = {i: sum((a - c) ** 2 + (b - d) ** 2 <= 1.0 + 1e-12 for _, _, (c, d) in points) for _, i, (a, b) in points}
+    assert {r.row_idx: r.n_neighbors for r in found.collect()} == want
