@@ -33,7 +33,7 @@ def by_sql(folder, name):
     return {tuple(sorted(zip(got.columns, r), key=lambda x: x[0])) for r in got.fetchall()}
 
 
-@pytest.mark.parametrize("name, by", [("leakage_rollup", ["workbook", "sheet"])])
+@pytest.mark.parametrize("name, by", [("leakage_rollup", ["workbook", "sheet"]), ("leakage_scope_corpus", [])])
 def test_near_duplicates_are_counted(spark, folder, name, by):
     rows = [r.asDict() for r in reg.QUERIES[name](spark, folder).collect()]
     side = {s: [r for r in reg.d_split(spark, folder).collect() if r["split"] == s] for s in ("train", "test")}
