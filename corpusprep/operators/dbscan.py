@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.operators.cluster import NOISE
-from corpusprep.operators.joins import join_by, null_safe_groups
+from corpusprep.operators.joins import bounded_broadcast, join_by, null_safe_groups
 from corpusprep.schema import ROW_IDX, group_cols
 from corpusprep.session import scratch_path
 
@@ -55,8 +55,8 @@ METRIC = "cosine"
 PACK = 1024
 #: Points, centres or balls of a block that one task goes through.
 BLOCK = 2048
-#: Packs, about, that one task compares with another one.
-LOT = 8
+#: Packs, about, of a lot, and the lots that few packs make.
+LOT, FEW_LOTS = 32, 4
 #: Shares of the radius that the rounds of the cell net use up: less than a half together.
 CELL_SHARES = (1 / 4, 1 / 8, 1 / 16)
 #: Multiples of the radius of the nets over cells.
@@ -205,8 +205,8 @@ def _columns(pack: pa.StructArray, names: Sequence[str]) -> list[np.ndarray]:
 # --------------------------------------------------------------------------
 def _blocks(rows: DataFrame, by: list[str], key: str, size: int) -> DataFrame:
     """``rows`` with ``__blocks`` of the group and ``__b``, the block of the row."""
-    n = rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("__blocks"))
-    return join_by(rows, n, by).withColumn("__b", F.pmod(F.xxhash64(key), "__blocks").cast("int"))
+    n, small = bounded_broadcast(rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("__blocks")))
+    return join_by(rows, n, by, broadcast=small).withColumn("__b", F.pmod(F.xxhash64(key), "__blocks").cast("int"))
 
 
 def _net(centres: DataFrame, by: list[str], r: float) -> DataFrame:
@@ -297,21 +297,27 @@ def _compare(a: DataFrame, b: DataFrame, by: list[str], r: float, fn: Callable,
     met = join_by(x, y.select(*by, "__b", "__y"), [*by, "__b"])
     parts = [F.col(f"{s}.{f}") for s in ("__x", "__y") for f in ("pack", "centre", "radius", "label")]
     pairs = _kept(met.select(*by, F.explode(_near_udf(r, once)(*parts)).alias("p")).select(*by, "p.*"), "pairs")
-    # packs that meet one pack are dealt into lots, so that a task holds a lot and that pack
-    lots = pairs.groupBy(*by, "b").agg(F.ceil(F.count(F.lit(1)) / LOT).cast("int").alias("__n"))
-    pairs = join_by(pairs, lots, [*by, "b"]).select(*by, "a", "b", F.pmod(F.xxhash64("a"), "__n").cast("int").alias("__lot"))
-    x = join_by(pairs, a.select(*by, F.col("pack").alias("a"), F.col("rows").alias("__x")), [*by, "a"]).drop("a")
-    y = join_by(pairs.select(*by, "b", "__lot").distinct(), b.select(*by, F.col("pack").alias("b"), F.col("rows").alias("__y")), [*by, "b"])
+    # packs are dealt into lots, and two lots meet in a task: there a pack comes once, with the names of those it is compared with
+    sizes = [F.count_distinct(c) for c in ("a", "b")]
+    lots = pairs.groupBy(*by).agg(*[F.greatest(F.ceil(n / LOT), F.least(F.lit(FEW_LOTS), n)).cast("int").alias(c) for n, c in zip(sizes, ("__na", "__nb"))])
+    pairs = join_by(pairs, lots, by).select(
+        *by, "a", "b", F.pmod(F.xxhash64("a"), "__na").cast("int").alias("__la"), F.pmod(F.xxhash64("b"), "__nb").cast("int").alias("__lb"))
+    meets = pairs.groupBy(*by, "__la", "__lb", "a").agg(F.collect_list("b").alias("__with"))
+    x = join_by(meets, a.select(*by, F.col("pack").alias("a"), F.col("rows").alias("__x")), [*by, "a"]).drop("a")
+    y = join_by(pairs.select(*by, "__la", "__lb", "b").distinct(), b.select(*by, F.col("pack").alias("b"), F.col("rows").alias("__y")), [*by, "b"])
     y = y.select(*[F.col(c).alias(c if c == "__y" else f"__y_{c}") for c in y.columns])
     schema = T.StructType([*[pairs.schema[c] for c in by], *[T.StructField(c, T.LongType()) for c in out]])
 
-    def run(some: pa.Table, one: pa.Table) -> pa.Table:
-        to = _columns(one.column("__y")[0].values, right)
-        found = [fn(r, *_columns(pack.values, left), *to) for pack in some.column("__x")]
+    def run(some: pa.Table, others: pa.Table) -> pa.Table:
+        to = {name: _columns(pack.values, right) for name, pack in zip(others.column("__y_b").to_pylist(), others.column("__y"))}
+        found = []
+        for pack, names in zip(some.column("__x"), some.column("__with").to_pylist()):
+            own = _columns(pack.values, left)
+            found += [fn(r, *own, *to[name]) for name in names]
         cols = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)]
         at = pa.array(np.zeros(len(cols[0]), np.int64))
         return pa.table([*[some.column(c).take(at) for c in by], *cols], names=schema.names)
-    keys = [*by, "b", "__lot"]
+    keys = [*by, "__la", "__lb"]
     return x.groupBy(*keys).cogroup(y.groupBy(*[f"__y_{c}" for c in keys])).applyInArrow(run, schema)
 
 

@@ -97,3 +97,15 @@ def test_packs_meet_a_lot_at_a_time(spark, monkeypatch):
     assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
     want = {i: sum((a - c) ** 2 + (b - d) ** 2 <= 1.0 + 1e-12 for _, _, (c, d) in points) for _, i, (a, b) in points}
     assert {r.row_idx: r.n_neighbors for r in found.collect()} == want
+
+
+def test_a_pack_travels_once_for_each_lot(spark, monkeypatch):
+    from pyspark.sql.group import GroupedData
+    points = [(None, i, str(i % 64), [float(i % 16) / 40, float(i // 16) / 40], 1) for i in range(256)]      # all near each other
+    df = spark.createDataFrame(points, "sheet string, id bigint, pack string, v array<double>, n bigint")
+    packs, sides = db._packs(df, ["sheet"], "all", ["id", "n", "v"]), []
+    monkeypatch.setattr(GroupedData, "cogroup", lambda self, other, real=GroupedData.cogroup: sides.append((self._df, other._df)) or real(self, other))
+    near = db._compare(packs, packs, ["sheet"], 1.0, db._count, ["id", "v"], ["n", "v"], ["id", "n"]).collect()
+    assert [x.count() for x in sides[0]] == [64 * 4, 64 * 4]             # 64 * 64 pairs of packs
+    assert {r["id"] for r in near} == set(range(256))
+    assert sum(r["n"] for r in near) == sum((a - c) ** 2 + (b - d) ** 2 <= 1 for *_, (a, b), _ in points for *_, (c, d), _ in points)
